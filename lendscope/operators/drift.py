@@ -73,14 +73,17 @@ def psi_edges(train: DataFrame, prod: DataFrame, cols, method: str = "exact") ->
     lo = F.least(e[0], F.col("bmin"), F.col("cmin")) - PAD
     hi = F.greatest(F.element_at(e, -1), F.col("bmax"), F.col("cmax")) + PAD
     fixed = F.when(n == 1, F.array(e[0] - SINGLE_PAD, e[0] + SINGLE_PAD)).otherwise(
-        F.concat(F.array(lo), F.slice(e, 2, n - 2), F.array(hi)))
+        F.concat(F.array(lo), F.slice(e, 2, F.greatest(n - 2, F.lit(0))), F.array(hi)))
     feats = _feature_table(long.sparkSession, cols)
-    return (feats.join(mm, "feature", "left").join(raw, "feature", "left")
-                 .select("feature",
-                         F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
-                         F.coalesce("n_base", F.lit(0)).alias("n_base"),
-                         F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-                         (n == 1).alias("constant_feature")))
+    out = (feats.join(mm, "feature", "left").join(raw, "feature", "left")
+                .select("feature",
+                        F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
+                        F.coalesce("n_base", F.lit(0)).alias("n_base"),
+                        F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
+                        (n == 1).alias("constant_feature")))
+    # One row per feature with at most 11 edges: collected once so the
+    # histogram pass does not recompute the quantile jobs.
+    return long.sparkSession.createDataFrame(out.collect(), out.schema)
 
 
 def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
@@ -88,12 +91,15 @@ def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") ->
     edges = psi_edges(train, prod, cols, method)
     long = numeric_long(train, prod, cols)
     e = F.col("edges")
-    inner = F.slice(e, 2, F.size(e) - 2)
     x = F.col("x")
+    # bin = number of inner edges (1 .. n-2, at most 9) not above x; written
+    # out as plain comparisons so it stays inside whole-stage codegen.
+    n_inner = F.size(e) - 2
+    bin_ = sum(F.when((n_inner >= k) & (x >= F.try_element_at(e, F.lit(k + 1))), 1).otherwise(0)
+               for k in range(1, len(PROBS) - 1))
     binned = (long.join(F.broadcast(edges.select("feature", "edges")), "feature")
                   .where((x >= e[0]) & (x <= F.element_at(e, -1)))
-                  .select("feature", "side",
-                          F.size(F.filter(inner, lambda v: x >= v)).alias("bin")))
+                  .select("feature", "side", bin_.alias("bin")))
     is_b = F.col("side") == SIDE_BASE
     counts = binned.groupBy("feature", "bin").agg(F.count_if(is_b).alias("base_count"),
                                                   F.count_if(~is_b).alias("cur_count"))

@@ -8,8 +8,8 @@ many distinct values that map does not fit. Here the work is split instead:
 2. range-partition the distinct values by (group, value) so every partition
    holds a contiguous slice of each group's sorted values;
 3. running counts inside each partition, plus the offsets of earlier
-   partitions from a table with one row per (partition, group) -- bounded by
-   the shuffle partition count times the group count, so it is broadcast;
+   partitions from the per-(partition, group) totals -- at most partitions x
+   groups numbers, so they are collected and broadcast;
 4. pick the rows whose rank interval contains the floor/ceil ranks of each
    requested probability (a bounded broadcast target table) and interpolate
    linearly (the "linear" method of NumPy / ``quantile_cont``).
@@ -19,54 +19,65 @@ No task ever holds more than one range partition.
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def exact_quantiles(long: DataFrame, group: str, value: str, probs,
                     partitions: int | None = None) -> DataFrame:
-    """Returns (group, p_index, p, q) for every group with at least one
-    non-NULL value; ``q`` is the linear-interpolated quantile."""
+    """Returns (group, pi, p, q) for every group with at least one non-NULL
+    value; ``q`` is the linear-interpolated quantile.
+
+    Eager: two jobs over the data (partition totals, then the rank lookup);
+    the result (groups x probabilities rows) is returned as a small table.
+    """
     spark = long.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = long.select(F.col(group).alias("g"), F.col(value).alias("v")).where(F.col("v").isNotNull())
     vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
     ranged = (vc.repartitionByRange(partitions, "g", "v")
-                .withColumn("pid", F.spark_partition_id()))
-    w_in = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("run", F.sum("c").over(w_in))
-    # Totals per (partition, group): at most partitions x groups rows.
-    part_tot = ranged.groupBy("pid", "g").agg(F.sum("c").alias("pc"))
-    w_off = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (part_tot
-               .withColumn("off", F.coalesce(F.sum("pc").over(w_off), F.lit(0)))
-               .withColumn("n", F.sum("pc").over(Window.partitionBy("g"))))
-    ranked = (local.join(F.broadcast(offsets.select("pid", "g", "off", "n")), ["pid", "g"])
-                   .select("g", "v", "n",
-                           (F.col("off") + F.col("run") - F.col("c")).alias("lo_rank"),
-                           (F.col("off") + F.col("run")).alias("hi_rank")))
-    # Target ranks per group: floor and ceil of p * (n - 1) (0-based).
-    probs = [float(p) for p in probs]
-    p_arr = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(p).alias("p"))
-                      for i, p in enumerate(probs)])
-    groups_n = offsets.select("g", "n").distinct()
-    targets = (groups_n.select("g", "n", F.inline(p_arr))
-               .withColumn("pos", F.col("p") * (F.col("n") - 1))
-               .withColumn("r_lo", F.floor("pos"))
-               .withColumn("r_hi", F.ceil("pos")))
-    tg = targets.select("g", "pi", "p", "pos", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("r_lo").alias("r")),
-        F.struct(F.lit(1).alias("side"), F.col("r_hi").alias("r")))).alias("t"))
-    tg = tg.select(F.col("g").alias("tg"), "pi", "p", "pos", "t.side", "t.r")
-    hit = (ranked.join(F.broadcast(tg),
-                       (F.col("g") == F.col("tg")) & (F.col("r") >= F.col("lo_rank"))
-                       & (F.col("r") < F.col("hi_rank")))
-                 .select("g", "pi", "p", "pos", "side", "r", "v"))
-    out = (hit.groupBy("g", "pi", "p", "pos")
-              .agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("v_lo"),
-                   F.max(F.when(F.col("side") == 1, F.col("v"))).alias("v_hi"),
-                   F.max(F.when(F.col("side") == 0, F.col("r"))).alias("r_lo")))
-    frac = F.col("pos") - F.col("r_lo")
-    q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac
-    return out.select(F.col("g").alias(group), "pi", "p", q.alias("q"))
+                .withColumn("pid", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        # Totals per (partition, group): at most partitions x groups rows.
+        part = ranged.groupBy("pid", "g").agg(F.sum("c").alias("pc")).collect()
+        totals, offsets = {}, []
+        for r in sorted(part, key=lambda r: (str(r["g"]), r["pid"])):
+            offsets.append((r["pid"], r["g"], totals.get(r["g"], 0)))
+            totals[r["g"]] = totals.get(r["g"], 0) + r["pc"]
+        if not offsets:
+            return spark.createDataFrame([], f"{group} string, pi int, p double, q double")
+        probs = [float(p) for p in probs]
+        targets = []
+        for g, n in totals.items():
+            for i, p in enumerate(probs):
+                pos = p * (n - 1)
+                for side, r in ((0, math.floor(pos)), (1, math.ceil(pos))):
+                    targets.append((g, i, p, pos, side, r))
+        gtype = dict(long.dtypes)[group]
+        off_df = spark.createDataFrame(offsets, f"pid int, g {gtype}, off long")
+        tg_df = spark.createDataFrame(targets, f"tg {gtype}, pi int, p double, pos double, side int, r long")
+        w_in = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = (ranged.withColumn("run", F.sum("c").over(w_in))
+                        .join(F.broadcast(off_df), ["pid", "g"])
+                        .select("g", "v", (F.col("off") + F.col("run") - F.col("c")).alias("lo_rank"),
+                                (F.col("off") + F.col("run")).alias("hi_rank")))
+        hit = (ranked.join(F.broadcast(tg_df),
+                           (F.col("g") == F.col("tg")) & (F.col("r") >= F.col("lo_rank"))
+                           & (F.col("r") < F.col("hi_rank")))
+                     .select("g", "pi", "p", "pos", "side", "r", "v").collect())
+    finally:
+        ranged.unpersist()
+    acc = {}
+    for h in hit:
+        a = acc.setdefault((h["g"], h["pi"]), {"p": h["p"], "pos": h["pos"]})
+        a[h["side"]] = (h["r"], h["v"])
+    rows = []
+    for (g, i), a in acc.items():
+        (r_lo, v_lo), (_, v_hi) = a[0], a[1]
+        rows.append((g, i, a["p"], v_lo + (v_hi - v_lo) * (a["pos"] - r_lo)))
+    return spark.createDataFrame(rows, f"{group} {gtype}, pi int, p double, q double")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import (FIXTURE_SPLITS, apply_null_tokens, clean_loans,
                                feature_view, temporal_split)
+from ..session import shared_dir
 from ..sources.tables import loans_raw
 
 OUT_DECIMAL = "decimal(18,6)"
@@ -35,6 +36,26 @@ def splits(spark: SparkSession, sf_dir: str, ranges=FIXTURE_SPLITS) -> DataFrame
     return temporal_split(clean(spark, sf_dir), ranges)
 
 
+_STORED: dict = {}
+
+
+def stored_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split table written once as parquet partitioned by ``split``.
+
+    Later jobs (drift, features, learners) read it back, so the raw joins run
+    once per input directory and a split filter prunes whole directories.
+    The folder lives under the session's shared checkpoint location.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _STORED.get(key)
+    if path is None:
+        path = shared_dir(spark, "splits")
+        (splits(spark, sf_dir).write.mode("overwrite")
+         .partitionBy("split").parquet(path))
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
 def split_features(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    s = splits(spark, sf_dir)
+    s = stored_splits(spark, sf_dir)
     return feature_view(s.where(F.col("split") == name))
