@@ -216,3 +216,139 @@ FROM report"""))
 def q_drift_summary(spark, d):
     s = drift_ops.drift_summary(drift_report_df(spark, d))
     return s.withColumn("moderate_or_above_ratio", r6("moderate_or_above_ratio"))
+
+
+# ---------------------------------------------------------------- step 2: sampling, profiles, joins
+
+from ..functions.columns import STATUS_LABEL, parse_month  # noqa: E402
+from ..operators import profile as prof  # noqa: E402
+from ..operators import sample as smp  # noqa: E402
+from ..operators.clean import HELPERS  # noqa: E402
+from ..session import shared_dir  # noqa: E402
+from .pipeline import stored_splits  # noqa: E402
+
+CAP = 500  # per-year cap used with the driver tables (20,000 in the reference)
+SHUFFLE_HEAD = 1000
+
+_SQL_QUOTA = f"""qc AS (SELECT issue_year, loan_status, COUNT(*) AS available FROM clean GROUP BY issue_year, loan_status),
+qc2 AS (SELECT *, SUM(available) OVER (PARTITION BY issue_year) AS total FROM qc),
+qc3 AS (SELECT *, (available * {CAP}) // total AS base, (available * {CAP}) % total AS rem FROM qc2),
+qc4 AS (SELECT *, {CAP} - SUM(base) OVER (PARTITION BY issue_year) AS lft,
+  ROW_NUMBER() OVER (PARTITION BY issue_year ORDER BY rem DESC, available DESC, loan_status) AS pos FROM qc3),
+quota AS (SELECT issue_year, loan_status, available,
+  CAST(CASE WHEN total <= {CAP} THEN available ELSE base + CASE WHEN pos <= lft THEN 1 ELSE 0 END END AS BIGINT) AS quota FROM qc4)"""
+_SQL_CAP = """capped AS (SELECT c.* FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY issue_year, loan_status
+  ORDER BY md5(concat_ws('_', '42', CAST(row_id AS VARCHAR)))) AS rn FROM clean) c
+  JOIN quota q ON c.issue_year = q.issue_year AND c.loan_status = q.loan_status WHERE c.rn <= q.quota)"""
+
+
+def _capped(spark, d):
+    return smp.stratified_cap(clean(spark, d), CAP)
+
+
+@register("strata_quota", O.with_front(_SQL_QUOTA, select="SELECT issue_year, loan_status, available, quota FROM quota"))
+def q_strata_quota(spark, d):
+    return smp.strata_quota(clean(spark, d), CAP)
+
+
+@register("stratified_cap", O.with_front(_SQL_QUOTA, _SQL_CAP,
+                                         select="SELECT row_id, issue_year, loan_status FROM capped"))
+def q_stratified_cap(spark, d):
+    return _capped(spark, d).select("row_id", "issue_year", "loan_status")
+
+
+@register("shuffle_head", O.with_front(_SQL_QUOTA, _SQL_CAP, select=f"""
+SELECT row_id, md5(concat_ws('_', '42', CAST(row_id AS VARCHAR))) AS shuffle_key FROM capped
+ORDER BY shuffle_key, row_id LIMIT {SHUFFLE_HEAD}"""))
+def q_shuffle_head(spark, d):
+    return smp.seeded_order(_capped(spark, d)).select("row_id", "shuffle_key").limit(SHUFFLE_HEAD)
+
+
+@register("year_counts", O.with_front(_SQL_QUOTA, _SQL_CAP, select="""
+SELECT a.issue_year, a.available, COALESCE(s.sampled, 0) AS sampled
+FROM (SELECT issue_year, COUNT(*) AS available FROM clean GROUP BY issue_year) a
+LEFT JOIN (SELECT issue_year, COUNT(*) AS sampled FROM capped GROUP BY issue_year) s ON a.issue_year = s.issue_year"""))
+def q_year_counts(spark, d):
+    return prof.year_counts(clean(spark, d), _capped(spark, d))
+
+
+@register("prep_counts", O.with_front(select="""
+SELECT COUNT(*) AS rows_read,
+ COUNT(*) FILTER (WHERE loan_status IN ('Fully Paid', 'Charged Off', 'Default')) AS rows_status_kept,
+ COUNT(*) FILTER (WHERE loan_status IN ('Fully Paid', 'Charged Off', 'Default')
+   AND TRY_STRPTIME(issue_d, '%b-%Y') IS NOT NULL) AS rows_kept FROM scan"""))
+def q_prep_counts(spark, d):
+    return prof.prep_counts(scan_loans(spark, d), list(STATUS_LABEL), parse_month(F.col("issue_d")))
+
+
+_CLEAN_COLS = O._RAW_COLS + ["issue_year"]
+
+
+@register("missing_by_column", O.with_front(select=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM clean"
+    for c in _CLEAN_COLS)))
+def q_missing_by_column(spark, d):
+    return prof.missing_by_column(clean(spark, d))
+
+
+@register("class_distribution", O.with_front(select=f"""
+SELECT loan_status, COUNT(*) AS count, {O.d6('COUNT(*) * 100.0 / SUM(COUNT(*)) OVER ()')} AS percent
+FROM clean GROUP BY loan_status"""))
+def q_class_distribution(spark, d):
+    return prof.class_distribution(clean(spark, d)).withColumn("percent", r6("percent"))
+
+
+@register("split_report", O.with_front(select=f"""
+SELECT split, COUNT(*) AS rows, 18 AS features, {O.d6('AVG(loan_status)')} AS default_rate,
+ MIN(issue_year) AS min_year, MAX(issue_year) AS max_year,
+ CAST({' + '.join(f'COUNT(*) FILTER (WHERE {c} IS NULL)' for c in NUMERIC + CATEGORICAL + ['issue_d'])} AS BIGINT) AS missing_cells
+FROM splits GROUP BY split"""))
+def q_split_report(spark, d):
+    return prof.split_report(stored_splits(spark, d)).withColumn("default_rate", r6("default_rate"))
+
+
+@register("split_violations", O.with_front(select="""
+SELECT split, issue_year, COUNT(*) AS rows,
+ CASE split WHEN 'train' THEN issue_year BETWEEN 1995 AND 1998 WHEN 'val' THEN issue_year = 1999
+   WHEN 'test' THEN issue_year = 2000 WHEN 'prod' THEN issue_year = 2001 ELSE FALSE END AS valid
+FROM splits GROUP BY split, issue_year
+UNION ALL
+SELECT NULL AS split, issue_year, COUNT(*) AS rows, FALSE AS valid FROM clean
+WHERE NOT issue_year BETWEEN 1995 AND 2001 GROUP BY issue_year"""))
+def q_split_violations(spark, d):
+    return prof.split_violations(stored_splits(spark, d), clean(spark, d))
+
+
+@register("label_join", O.with_front(select=f"""
+SELECT row_id, split, loan_status, {O.d6('loan_amnt')} AS loan_amnt FROM splits"""))
+def q_label_join(spark, d):
+    s = stored_splits(spark, d)
+    feats = s.drop("loan_status")
+    labels = s.select("row_id", "loan_status")
+    return prof.join_labels(feats, labels).select("row_id", "split", "loan_status",
+                                                  r6("loan_amnt").alias("loan_amnt"))
+
+
+@register("combined_train", O.with_front(select="""
+SELECT row_id, split, loan_status FROM splits WHERE split IN ('train', 'prod')"""))
+def q_combined_train(spark, d):
+    s = stored_splits(spark, d)
+    return prof.combine(s.where(F.col("split") == "train"), s.where(F.col("split") == "prod")) \
+        .select("row_id", "split", "loan_status")
+
+
+@register("parquet_roundtrip", O.with_front(select=f"""
+SELECT row_id, issue_year, loan_status, issue_d, {O.d6('int_rate')} AS int_rate, term FROM clean"""))
+def q_parquet_roundtrip(spark, d):
+    path = shared_dir(spark, "clean")
+    clean(spark, d).write.mode("overwrite").partitionBy("issue_year").parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("row_id", "issue_year", "loan_status", "issue_d",
+                       r6("int_rate").alias("int_rate"), "term")
+
+
+@register("split_roundtrip", O.with_front(select="""
+SELECT row_id, issue_year, loan_status, term FROM splits WHERE split = 'val'"""))
+def q_split_roundtrip(spark, d):
+    return stored_splits(spark, d).where(F.col("split") == "val") \
+        .select("row_id", "issue_year", "loan_status", "term")
