@@ -99,7 +99,7 @@ SPLIT = """splits AS (SELECT *, CASE WHEN issue_year BETWEEN 1995 AND 1998 THEN
  WHEN issue_year = 2001 THEN 'prod' END AS split FROM clean
  WHERE issue_year BETWEEN 1995 AND 2001)"""
 
-FEATURES = ("feat AS (SELECT split, " + ", ".join(NUM + CAT)
+FEATURES = ("feat AS (SELECT row_id, split, " + ", ".join(NUM + CAT)
             + ", CAST(issue_d AS VARCHAR) AS issue_d FROM splits)")
 
 FRONT = ",\n".join([RAW, SCAN, CLEAN, SPLIT, FEATURES])

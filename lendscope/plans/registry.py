@@ -352,3 +352,122 @@ SELECT row_id, issue_year, loan_status, term FROM splits WHERE split = 'val'""")
 def q_split_roundtrip(spark, d):
     return stored_splits(spark, d).where(F.col("split") == "val") \
         .select("row_id", "issue_year", "loan_status", "term")
+
+
+# ---------------------------------------------------------------- step 3: feature statistics
+
+from ..operators import features as fe  # noqa: E402
+from ..operators.clean import feature_view  # noqa: E402
+from ..functions.columns import safe_name  # noqa: E402
+
+_FITTED: dict = {}
+
+
+def fitted_features(spark, d):
+    """Feature pipeline fitted on the training split (cached per input dir)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        train = split_features(spark, d, "train")
+        _FITTED[key] = fe.feature_pipeline(NUMERIC, FEATURE_CAT).fit(train)
+    return _FITTED[key]
+
+
+_CAT_POS = "CASE feature " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(FEATURE_CAT)) + " END"
+_SQL_MED = "med AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, quantile_cont({c}, 0.5) AS median FROM feat WHERE split = 'train'"
+    for c in NUMERIC) + ")"
+_SQL_MODE = f"""tl AS (SELECT feature, value FROM (SELECT {", ".join(FEATURE_CAT)} FROM feat WHERE split = 'train')
+  UNPIVOT (value FOR feature IN ({", ".join(FEATURE_CAT)}))),
+tcnt AS (SELECT feature, value, COUNT(*) AS n FROM tl GROUP BY feature, value),
+mode AS (SELECT feature, value AS mode FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY n DESC, value) AS r FROM tcnt) WHERE r = 1)"""
+_SQL_STD = "std AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, AVG(COALESCE({c}, (SELECT median FROM med WHERE feature = '{c}'))) AS mean, "
+    f"STDDEV_POP(COALESCE({c}, (SELECT median FROM med WHERE feature = '{c}'))) AS std FROM feat WHERE split = 'train'"
+    for c in NUMERIC) + ")"
+_SQL_NAMES = f"""cats AS (SELECT DISTINCT feature, value FROM tl),
+names AS (SELECT CAST(idx AS INTEGER) AS idx, name FROM (
+  {" UNION ALL ".join(f"SELECT {i} AS idx, 'num__{c}' AS name" for i, c in enumerate(NUMERIC))}
+  UNION ALL SELECT {len(NUMERIC)} - 1 + ROW_NUMBER() OVER (ORDER BY {_CAT_POS}, value) AS idx,
+  'cat__' || feature || '_' || value AS name FROM cats))"""
+
+
+@register("impute_median", O.with_front(_SQL_MED, select=f"SELECT feature, {O.d6('median')} AS median FROM med"))
+def q_impute_median(spark, d):
+    m = fe._stage(fitted_features(spark, d), fe.MedianImputerModel)._stats()
+    return spark.createDataFrame(list(m.items()), "feature string, median double") \
+        .select("feature", r6("median").alias("median"))
+
+
+@register("impute_mode", O.with_front(_SQL_MODE, select="SELECT feature, mode FROM mode"))
+def q_impute_mode(spark, d):
+    m = fe._stage(fitted_features(spark, d), fe.ModeImputerModel)._stats()
+    return spark.createDataFrame(list(m.items()), "feature string, mode string")
+
+
+@register("standardize", O.with_front(_SQL_MED, _SQL_STD,
+                                      select=f"SELECT feature, {O.d6('mean')} AS mean, {O.d6('std')} AS std FROM std"))
+def q_standardize(spark, d):
+    m = fe._stage(fitted_features(spark, d), fe.PopulationScalerModel)._stats()
+    return spark.createDataFrame([(k, v[0], v[1]) for k, v in m.items()], "feature string, mean double, std double") \
+        .select("feature", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+@register("feature_names", O.with_front(_SQL_MODE, _SQL_NAMES, select="SELECT idx, name FROM names"))
+def q_feature_names(spark, d):
+    return fe.feature_names(fitted_features(spark, d), spark)
+
+
+@register("safe_names", O.with_front(_SQL_MODE, _SQL_NAMES, select="""
+SELECT idx, name, replace(replace(replace(name, '<', 'less_than'), '[', '('), ']', ')') AS safe_name FROM names"""))
+def q_safe_names(spark, d):
+    n = fe.feature_names(fitted_features(spark, d), spark)
+    return n.select("idx", "name", safe_name("name").alias("safe_name"))
+
+
+@register("one_hot_long", O.with_front(_SQL_MODE, _SQL_NAMES, f"""
+al AS (SELECT row_id, feature, value FROM (SELECT row_id, {", ".join(f"COALESCE({c}, (SELECT mode FROM mode WHERE feature = '{c}')) AS {c}" for c in FEATURE_CAT)} FROM feat)
+  UNPIVOT (value FOR feature IN ({", ".join(FEATURE_CAT)})))""", select="""
+SELECT al.row_id, n.idx AS slot, n.name FROM al JOIN names n ON n.name = 'cat__' || al.feature || '_' || al.value"""))
+def q_one_hot_long(spark, d):
+    s = stored_splits(spark, d)
+    return fe.one_hot_long(fitted_features(spark, d), feature_view(s, drop=("loan_status", "issue_year", "split")),
+                           FEATURE_CAT)
+
+
+@register("transform_splits", O.with_front(_SQL_MED, _SQL_STD, select="SELECT row_id, split, " + ", ".join(
+    O.d6(f"(COALESCE({c}, (SELECT median FROM med WHERE feature = '{c}')) - (SELECT mean FROM std WHERE feature = '{c}'))"
+         f" / (SELECT CASE WHEN std = 0 THEN 1 ELSE std END FROM std WHERE feature = '{c}')") + f" AS {c}"
+    for c in NUMERIC) + " FROM feat"))
+def q_transform_splits(spark, d):
+    s = stored_splits(spark, d)
+    out = fitted_features(spark, d).transform(feature_view(s, drop=("loan_status", "issue_year")))
+    return out.select("row_id", "split", *[r6(c).alias(c) for c in NUMERIC])
+
+
+@register("class_weights", O.with_front(select=f"""
+SELECT loan_status, COUNT(*) AS count, {O.d6('SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*))')} AS weight
+FROM splits WHERE split = 'train' GROUP BY loan_status"""))
+def q_class_weights(spark, d):
+    t = stored_splits(spark, d).where(F.col("split") == "train")
+    return fe.class_weights(t).withColumn("weight", r6("weight"))
+
+
+@register("pos_weight", O.with_front(select=f"""
+SELECT COUNT(*) FILTER (WHERE loan_status = 0) AS negatives, COUNT(*) FILTER (WHERE loan_status = 1) AS positives,
+ {O.d6("COALESCE((COUNT(*) FILTER (WHERE loan_status = 0))::DOUBLE / NULLIF(COUNT(*) FILTER (WHERE loan_status = 1), 0), 1.0)")} AS pos_weight
+FROM splits WHERE split = 'train'"""))
+def q_pos_weight(spark, d):
+    t = stored_splits(spark, d).where(F.col("split") == "train")
+    return fe.pos_weight(t).withColumn("pos_weight", r6("pos_weight"))
+
+
+@register("training_checks", O.with_front(select="""
+SELECT COUNT(*) AS rows_x, COUNT(*) AS rows_y, CAST(0 AS BIGINT) AS unmatched, CAST(0 AS BIGINT) AS missing_x,
+ COUNT(*) FILTER (WHERE loan_status IS NULL) AS missing_y,
+ COUNT(*) FILTER (WHERE loan_status IS NULL) = 0 AS passed FROM splits WHERE split = 'train'"""))
+def q_training_checks(spark, d):
+    s = stored_splits(spark, d).where(F.col("split") == "train")
+    x = fitted_features(spark, d).transform(feature_view(s, drop=("loan_status", "issue_year", "split")))
+    x = x.select("row_id", *NUMERIC, *FEATURE_CAT)
+    y = s.select("row_id", "loan_status")
+    return prof.training_checks(x, y)
