@@ -471,3 +471,272 @@ def q_training_checks(spark, d):
     x = x.select("row_id", *NUMERIC, *FEATURE_CAT)
     y = s.select("row_id", "loan_status")
     return prof.training_checks(x, y)
+
+
+# ---------------------------------------------------------------- step 4: evaluation, ranking, versions
+
+from ..operators import evaluate as ev  # noqa: E402
+from ..operators import rank as rk  # noqa: E402
+
+# Fixed scoring rules used as "models" over the driver tables: a linear score
+# of cleaned columns (NULL -> 0) through a logistic, rounded to 6 decimals.
+RULES = [
+    ("Rate Rule Baseline", "(COALESCE(int_rate, 0) - 5) / 3"),
+    ("Income Rule", "(2000 - COALESCE(annual_inc, 0)) / 3000"),
+    ("Leverage Rule", "(COALESCE(dti, 0) - 4) / 2 + (COALESCE(revol_util, 0) - 25) / 50"),
+]
+
+
+def scored(spark, d, split="val"):
+    """(model_name, row_id, y_true, y_pred, y_prob) for every rule, one scan."""
+    s = stored_splits(spark, d).where(F.col("split") == split)
+    arr = F.array(*[F.struct(F.lit(n).alias("model_name"), F.expr(z).alias("z")) for n, z in RULES])
+    x = s.select("row_id", F.col("loan_status").alias("y_true"), F.inline(arr))
+    prob = F.round(1.0 / (1.0 + F.exp(-F.col("z"))), 6)
+    return x.select("model_name", "row_id", "y_true", prob.alias("y_prob")) \
+            .withColumn("y_pred", ev.predict_from_prob(F.col("y_prob")))
+
+
+def _sql_scored(split="val"):
+    return "scored_" + split + " AS (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS model_name, row_id, loan_status AS y_true, "
+        f"ROUND(1.0 / (1.0 + EXP(-({z}))), 6) AS y_prob FROM splits WHERE split = '{split}'"
+        for n, z in RULES) + ")"
+
+
+def _sql_eval(split="val"):
+    sc = f"scored_{split}"
+    return f"""{_sql_scored(split)},
+cm_{split} AS (SELECT model_name,
+  COUNT(*) FILTER (WHERE y_true = 0 AND y_prob <= 0.5) AS tn, COUNT(*) FILTER (WHERE y_true = 0 AND y_prob > 0.5) AS fp,
+  COUNT(*) FILTER (WHERE y_true = 1 AND y_prob <= 0.5) AS fn, COUNT(*) FILTER (WHERE y_true = 1 AND y_prob > 0.5) AS tp
+  FROM {sc} GROUP BY model_name),
+bm_{split} AS (SELECT *, COALESCE((tp + tn)::DOUBLE / NULLIF(tp + tn + fp + fn, 0), 0) AS accuracy,
+  COALESCE(tp::DOUBLE / NULLIF(tp + fp, 0), 0) AS precision, COALESCE(tp::DOUBLE / NULLIF(tp + fn, 0), 0) AS recall,
+  COALESCE(2.0 * tp / NULLIF(2 * tp + fp + fn, 0), 0) AS f1_score FROM cm_{split}),
+sg_{split} AS (SELECT model_name, y_prob, COUNT(*) FILTER (WHERE y_true = 1) AS pos, COUNT(*) FILTER (WHERE y_true = 0) AS neg
+  FROM {sc} GROUP BY model_name, y_prob),
+sr_{split} AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY model_name ORDER BY y_prob ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM sg_{split}),
+auc_{split} AS (SELECT model_name, CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives,
+  CASE WHEN SUM(pos) > 0 AND SUM(neg) > 0 THEN SUM(pos * (below + 0.5 * neg)) / (SUM(pos) * SUM(neg)) END AS roc_auc
+  FROM sr_{split} GROUP BY model_name),
+ev_{split} AS (SELECT b.*, a.roc_auc FROM bm_{split} b LEFT JOIN auc_{split} a ON a.model_name = b.model_name)"""
+
+
+def _records(spark, d, split="val"):
+    e = ev.evaluation(scored(spark, d, split))
+    return e.withColumn("training_time", F.lit(0.0)) \
+            .withColumn("file_name", F.concat(rk.model_key("model_name"), F.lit("_metrics.json")))
+
+
+_R6 = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
+
+
+@register("confusion", O.with_front(_sql_eval(), select="SELECT model_name, tn, fp, fn, tp FROM cm_val"))
+def q_confusion(spark, d):
+    return ev.confusion(scored(spark, d))
+
+
+@register("binary_metrics", O.with_front(_sql_eval(), select="SELECT model_name, " + ", ".join(
+    f"{O.d6(m)} AS {m}" for m in _R6[:4]) + " FROM bm_val"))
+def q_binary_metrics(spark, d):
+    m = ev.binary_metrics(scored(spark, d))
+    return m.select("model_name", *[r6(c).alias(c) for c in _R6[:4]])
+
+
+@register("roc_auc", O.with_front(_sql_eval(), select=f"""
+SELECT model_name, positives, negatives, {O.d6('roc_auc')} AS roc_auc FROM auc_val"""))
+def q_roc_auc(spark, d):
+    a = ev.roc_auc(scored(spark, d))
+    return a.select("model_name", "positives", "negatives", r6("roc_auc").alias("roc_auc"))
+
+
+def _sql_report():
+    d = lambda a, b: f"COALESCE(({a})::DOUBLE / NULLIF({b}, 0), 0)"
+    p0, r0, f0 = d("tn", "tn + fn"), d("tn", "tn + fp"), d("2 * tn", "2 * tn + fn + fp")
+    p1, r1, f1 = d("tp", "tp + fp"), d("tp", "tp + fn"), d("2 * tp", "2 * tp + fp + fn")
+    n0, n1 = "(tn + fp)", "(fn + tp)"
+    rows = [
+        ("'0'", p0, r0, f0, n0), ("'1'", p1, r1, f1, n1),
+        ("'accuracy'", "NULL", "NULL", d("tp + tn", "tn + fp + fn + tp"), f"{n0} + {n1}"),
+        ("'macro avg'", f"({p0} + {p1}) / 2", f"({r0} + {r1}) / 2", f"({f0} + {f1}) / 2", f"{n0} + {n1}"),
+        ("'weighted avg'", f"({p0} * {n0} + {p1} * {n1}) / ({n0} + {n1})", f"({r0} * {n0} + {r1} * {n1}) / ({n0} + {n1})",
+         f"({f0} * {n0} + {f1} * {n1}) / ({n0} + {n1})", f"{n0} + {n1}"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT model_name, {lab} AS label, {O.d6(p)} AS precision, {O.d6(r)} AS recall, {O.d6(f)} AS f1_score, "
+        f"CAST({n} AS BIGINT) AS support FROM cm_val" for lab, p, r, f, n in rows)
+
+
+@register("classification_report", O.with_front(_sql_eval(), select=_sql_report()))
+def q_classification_report(spark, d):
+    c = ev.classification_report(scored(spark, d))
+    return c.select("model_name", "label", *[r6(x).alias(x) for x in ("precision", "recall", "f1_score")], "support")
+
+
+_SQL_KEY = """CASE WHEN lower(model_name) LIKE '%logistic%' THEN 'logistic_regression'
+  WHEN lower(model_name) LIKE '%forest%' THEN 'random_forest' WHEN lower(model_name) LIKE '%xgboost%' THEN 'xgboost'
+  ELSE trim(replace(replace(lower(model_name), ' ', '_'), 'baseline', ''), '_') END"""
+
+
+def _metric_records(spark, d):
+    """Records written as one JSON document each (plus an archived copy and
+    a comparison document that the reader must skip), then read back."""
+    rec = _records(spark, d)
+    extra = (rec.where(F.col("model_name") == RULES[0][0])
+                .withColumn("file_name", F.concat(rk.model_key("model_name"), F.lit("_metrics_v1.json"))))
+    comp = (rec.where(F.col("model_name") == RULES[1][0])
+               .withColumn("file_name", F.lit("model_comparison.json")))
+    path = shared_dir(spark, "results")
+    rk.write_metric_files(rec.unionByName(extra).unionByName(comp), path)
+    return rk.read_metric_records(spark, path, multi_line=False)
+
+
+@register("metric_records", O.with_front(_sql_eval(), select=f"""
+SELECT {_SQL_KEY} || '_metrics.json' AS file_name, model_name, """ + ", ".join(f"{O.d6(m)} AS {m}" for m in _R6)
+    + f", {O.d6('0.0')} AS training_time FROM ev_val"))
+def q_metric_records(spark, d):
+    r = _metric_records(spark, d)
+    return r.select("file_name", "model_name", *[r6(m).alias(m) for m in _R6 + ["training_time"]])
+
+
+_SQL_RANK = f"""recs AS (SELECT model_name, accuracy, precision, recall, f1_score, roc_auc, 0.0::DOUBLE AS training_time FROM ev_val),
+cmp AS (SELECT a.model_name, b.model_name AS other,
+  CASE WHEN ABS(a.roc_auc - b.roc_auc) >= 0.005 THEN CASE WHEN a.roc_auc > b.roc_auc THEN -1 ELSE 1 END
+       WHEN ABS(a.f1_score - b.f1_score) > 1e-6 THEN CASE WHEN a.f1_score > b.f1_score THEN -1 ELSE 1 END
+       WHEN ABS(a.recall - b.recall) > 1e-6 THEN CASE WHEN a.recall > b.recall THEN -1 ELSE 1 END
+       WHEN ABS(a.training_time - b.training_time) > 1e-6 THEN CASE WHEN a.training_time < b.training_time THEN -1 ELSE 1 END
+       ELSE 0 END AS c FROM recs a JOIN recs b ON a.model_name <> b.model_name),
+wins AS (SELECT model_name, COUNT(*) FILTER (WHERE c = -1) AS w FROM cmp GROUP BY model_name),
+ranked AS (SELECT r.*, ROW_NUMBER() OVER (ORDER BY COALESCE(w.w, 0) DESC, r.model_name) AS rank
+  FROM recs r LEFT JOIN wins w ON r.model_name = w.model_name),
+runner AS (SELECT r.*, LEAD(model_name) OVER (ORDER BY rank) AS ru_name, LEAD(roc_auc) OVER (ORDER BY rank) AS ru_auc,
+  LEAD(f1_score) OVER (ORDER BY rank) AS ru_f1, LEAD(recall) OVER (ORDER BY rank) AS ru_recall FROM ranked r)"""
+
+
+def _ranked(spark, d):
+    return rk.rank_models(_records(spark, d))
+
+
+@register("model_ranking", O.with_front(_sql_eval(), _SQL_RANK, select="SELECT 'all' AS segment, model_name, CAST(rank AS BIGINT) AS rank FROM ranked"))
+def q_model_ranking(spark, d):
+    return _ranked(spark, d).select("segment", "model_name", "rank")
+
+
+@register("model_comparison", O.with_front(_sql_eval(), _SQL_RANK, select=f"""
+SELECT model_name AS "Model", {O.d6('accuracy')} AS "Accuracy", {O.d6('precision')} AS "Precision",
+ {O.d6('recall')} AS "Recall", {O.d6('f1_score')} AS "F1 Score", {O.d6('roc_auc')} AS "ROC-AUC",
+ {O.d6('training_time')} AS "Training Time", CAST(rank AS BIGINT) AS "Rank" FROM ranked"""))
+def q_model_comparison(spark, d):
+    r = _ranked(spark, d)
+    return r.select(F.col("model_name").alias("Model"), r6("accuracy").alias("Accuracy"),
+                    r6("precision").alias("Precision"), r6("recall").alias("Recall"),
+                    r6("f1_score").alias("F1 Score"), r6("roc_auc").alias("ROC-AUC"),
+                    r6("training_time").alias("Training Time"), F.col("rank").alias("Rank"))
+
+
+_P4 = lambda e: f"printf('%.4f', {e})"
+_SQL_REASON = f"""CASE WHEN ru_name IS NULL THEN 'Selected ' || model_name || ' as the best model with ROC-AUC=' || {_P4('roc_auc')} || '.'
+ WHEN roc_auc - ru_auc >= 0.005 THEN 'Highest ROC-AUC (' || {_P4('roc_auc')} || ') on the validation split. It outperforms the next best model ('
+   || ru_name || ' with ROC-AUC=' || {_P4('ru_auc')} || ') by a significant margin of ' || {_P4('roc_auc - ru_auc')} || '.'
+ ELSE 'Statistically similar ROC-AUC to ' || ru_name || ' (difference of ' || {_P4('ABS(roc_auc - ru_auc)')} || ' is less than 0.005). '
+   || 'Selected as the best model because of a higher F1 Score (' || {_P4('f1_score')} || ' vs ' || {_P4('ru_f1')} || ') '
+   || CASE WHEN recall > ru_recall THEN 'and higher Recall (' || {_P4('recall')} || ' vs ' || {_P4('ru_recall')} || ').'
+      ELSE 'and competitive Recall.' END END"""
+
+
+@register("selection_reason", O.with_front(_sql_eval(), _SQL_RANK, select=f"""
+SELECT 'all' AS segment, model_name, {_SQL_REASON} AS reason FROM runner WHERE rank = 1"""))
+def q_selection_reason(spark, d):
+    return rk.selection_reason(_ranked(spark, d))
+
+
+@register("model_keys", O.with_front(_sql_eval(), select=f"""
+SELECT model_name, {_SQL_KEY} AS model_key, 'artifacts/models/' || {_SQL_KEY} || '.joblib' AS model_path FROM ev_val"""))
+def q_model_keys(spark, d):
+    r = _records(spark, d)
+    return r.select("model_name", rk.model_key("model_name").alias("model_key"),
+                    rk.model_path(rk.model_key("model_name")).alias("model_path"))
+
+
+def _champion_on(spark, d, split):
+    champ = _ranked(spark, d).where(F.col("rank") == 1).select("segment", "model_name")
+    e = ev.evaluation(scored(spark, d, split))
+    return e.join(F.broadcast(champ), "model_name")  # one row
+
+
+def _decision(spark, d):
+    return rk.promotion(_champion_on(spark, d, "val"), _champion_on(spark, d, "test"))
+
+
+_SQL_DECISION = f"""{_sql_eval('test')},
+champ AS (SELECT model_name FROM ranked WHERE rank = 1),
+dec AS (SELECT v.roc_auc AS cand_roc_auc, v.f1_score AS cand_f1, COALESCE(t.roc_auc, 0) AS dep_roc_auc, COALESCE(t.f1_score, 0) AS dep_f1,
+  v.roc_auc >= COALESCE(t.roc_auc, 0) AS roc_pass, v.f1_score >= COALESCE(t.f1_score, 0) - 0.01 AS f1_pass
+  FROM champ c JOIN ev_val v ON v.model_name = c.model_name LEFT JOIN ev_test t ON t.model_name = c.model_name)"""
+
+
+@register("promotion_decision", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, select=f"""
+SELECT {O.d6('cand_roc_auc')} AS cand_roc_auc, {O.d6('cand_f1')} AS cand_f1, {O.d6('dep_roc_auc')} AS dep_roc_auc,
+ {O.d6('dep_f1')} AS dep_f1, roc_pass, f1_pass, roc_pass AND f1_pass AS promoted FROM dec"""))
+def q_promotion_decision(spark, d):
+    x = _decision(spark, d)
+    return x.select(*[r6(c).alias(c) for c in ("cand_roc_auc", "cand_f1", "dep_roc_auc", "dep_f1")],
+                    "roc_pass", "f1_pass", "promoted")
+
+
+VERSION_SCHEMA = ("version int, selected_model string, model_path string, reason string, date string, "
+                  "previous_version int, model_name string")
+
+
+def model_versions(spark, d):
+    """Version table derived from the data: v1 = selected champion, v2 =
+    appended when the promotion rule accepts the re-evaluated champion.
+    Each input is a one-row result, so it is collected and the (tiny) version
+    table is rebuilt from it."""
+    as_of = stored_splits(spark, d).agg(F.date_format(F.max("issue_d"), "yyyy-MM-dd").alias("date")).first()["date"]
+    key = rk.model_key("model_name")
+    champ = rk.selection_reason(_ranked(spark, d)).select(
+        "model_name", key.alias("key"), rk.model_path(key).alias("path"), "reason").first()
+    rows = [(1, champ["key"], champ["path"], champ["reason"], as_of, None, champ["model_name"])]
+    dec = _decision(spark, d)
+    dec = dec.select("promoted", rk.promotion_reason(dec).alias("reason")).first()
+    if dec is not None and dec["promoted"]:
+        rows.append((2, champ["key"], f"artifacts/models/{champ['key']}_latest.joblib", dec["reason"],
+                     as_of, 1, champ["model_name"]))
+    return spark.createDataFrame(rows, VERSION_SCHEMA)
+
+
+_SQL_VERSIONS = f"""as_of_d AS (SELECT strftime(MAX(issue_d), '%Y-%m-%d') AS date FROM splits),
+v1 AS (SELECT 1 AS version, {_SQL_KEY} AS selected_model, 'artifacts/models/' || {_SQL_KEY} || '.joblib' AS model_path,
+  {_SQL_REASON} AS reason, (SELECT date FROM as_of_d) AS date, CAST(NULL AS INTEGER) AS previous_version, model_name
+  FROM runner WHERE rank = 1),
+v2 AS (SELECT 2 AS version, selected_model, 'artifacts/models/' || selected_model || '_latest.joblib' AS model_path,
+  'Retrained model satisfied promotion criteria: ROC-AUC (' || {_P4('cand_roc_auc')} || ') >= Deployed Test ROC-AUC ('
+  || {_P4('dep_roc_auc')} || '), and F1 Score (' || {_P4('cand_f1')} || ') did not decrease by more than 1% compared to deployed F1 ('
+  || {_P4('dep_f1')} || ').' AS reason, date, 1 AS previous_version, model_name
+  FROM v1, dec WHERE roc_pass AND f1_pass),
+versions AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2)"""
+
+
+@register("current_version", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, _SQL_VERSIONS, select="""
+SELECT version, selected_model, list_reduce(list_transform(string_split(replace(selected_model, '_', ' '), ' '),
+  lambda w: upper(w[1]) || lower(w[2:])), lambda a, b: a || ' ' || b) AS display_name,
+ COALESCE(reason, 'No reason recorded') AS reason, COALESCE(date, 'N/A') AS date, model_path, previous_version
+FROM versions ORDER BY version DESC LIMIT 1"""))
+def q_current_version(spark, d):
+    return rk.current_version(model_versions(spark, d))
+
+
+@register("next_version", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, _SQL_VERSIONS, select="""
+SELECT version, selected_model, model_path, reason, date, previous_version, model_name FROM versions"""))
+def q_next_version(spark, d):
+    return model_versions(spark, d)
+
+
+@register("top_features", O.with_front(*_DRIFT_CTES, select=f"""
+SELECT feature, feature_type, {O.d6('metric')} AS metric FROM report ORDER BY metric DESC, feature LIMIT 15"""))
+def q_top_features(spark, d):
+    r = drift_report_df(spark, d)
+    return r.orderBy(F.desc("metric"), "feature").limit(15) \
+            .select("feature", "feature_type", r6("metric").alias("metric"))
