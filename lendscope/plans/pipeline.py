@@ -59,3 +59,17 @@ def stored_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_features(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     s = stored_splits(spark, sf_dir)
     return feature_view(s.where(F.col("split") == name))
+
+
+def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan applications as a scoring client sends them: every field as text,
+    percentages as plain numbers (no '%'), categories untrimmed."""
+    from ..operators.clean import NUMERIC, PERCENT
+    from ..operators.score import TEXT_FIELDS
+    s = scan_loans(spark, sf_dir)
+    cols = [F.col("row_id")]
+    for c in NUMERIC:
+        v = F.col(c).cast("string")
+        cols.append((F.rtrim(v, F.lit("%")) if c in PERCENT else v).alias(c))
+    cols += [F.col(c).cast("string").alias(c) for c in TEXT_FIELDS]
+    return s.select(*cols)

@@ -740,3 +740,103 @@ def q_top_features(spark, d):
     r = drift_report_df(spark, d)
     return r.orderBy(F.desc("metric"), "feature").limit(15) \
             .select("feature", "feature_type", r6("metric").alias("metric"))
+
+
+# ---------------------------------------------------------------- step 5: learners, scoring
+
+from ..operators import score as sc  # noqa: E402
+from ..operators import train as tr  # noqa: E402
+from .pipeline import applications  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def _train_table(spark, d):
+    s = stored_splits(spark, d).where(F.col("split") == "train")
+    return feature_view(s, drop=("issue_year", "split"))
+
+
+def fitted(spark, d, key, **params):
+    """Fitted learner pipeline on the training split (cached per input dir)."""
+    k = (spark.sparkContext.applicationId, d, key, tuple(sorted(params.items())))
+    if k not in _MODELS:
+        _MODELS[k] = tr.fit(key, _train_table(spark, d), NUMERIC, FEATURE_CAT, **params)
+    return _MODELS[k]
+
+
+def _imp(spark, d, key, **params):
+    m = fitted(spark, d, key, **params)
+    return tr.importances(m, spark).select("idx", "name", r6("importance").alias("importance"))
+
+
+@register("lr_coefficients")
+def q_lr_coefficients(spark, d):
+    return _imp(spark, d, "logistic_regression").withColumnRenamed("importance", "coefficient")
+
+
+@register("rf_v1_importance")
+def q_rf_v1_importance(spark, d):
+    return _imp(spark, d, "random_forest", **tr.RF_V1_PARAMS)
+
+
+@register("rf_importance")
+def q_rf_importance(spark, d):
+    return _imp(spark, d, "random_forest", **tr.RF_PARAMS)
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, d):
+    return _imp(spark, d, "xgboost")
+
+
+@register("predictions")
+def q_predictions(spark, d):
+    m = fitted(spark, d, "logistic_regression")
+    v = feature_view(stored_splits(spark, d).where(F.col("split") == "val"), drop=("issue_year", "split"))
+    out = m.transform(v)
+    return out.select("row_id", F.col("loan_status").alias("y_true"),
+                      F.col("prediction").cast("int").alias("y_pred"),
+                      r6(sc.positive_prob()).alias("y_prob"))
+
+
+def _sql_num(c):
+    e = f"TRIM(CAST({c} AS VARCHAR))"
+    if c in ("int_rate", "revol_util"):
+        e = f"RTRIM(CAST({c} AS VARCHAR), '%')"
+        e = f"TRIM({e})"
+    return f"COALESCE(CASE WHEN isnan(TRY_CAST({e} AS DOUBLE)) THEN NULL ELSE TRY_CAST({e} AS DOUBLE) END, 0.0)"
+
+
+@register("score_coerce", O.with_front(select="SELECT row_id, " + ", ".join(
+    f"{O.d6(_sql_num(c))} AS {c}" for c in NUMERIC) + ", " + ", ".join(
+    f"TRIM({c}) AS {c}" for c in CATEGORICAL) + ", TRIM(issue_d) AS issue_d FROM scan"))
+def q_score_coerce(spark, d):
+    x = sc.coerce_applications(applications(spark, d))
+    return x.select("row_id", *[r6(c).alias(c) for c in NUMERIC], *sc.TEXT_FIELDS)
+
+
+@register("score_rejects", O.with_front(select="SELECT row_id, " + " + ".join(
+    f"CAST({c} IS NULL AS INTEGER)" for c in NUMERIC + FEATURE_CAT) + " AS missing_fields FROM scan WHERE "
+    + " OR ".join(f"{c} IS NULL" for c in NUMERIC + FEATURE_CAT)))
+def q_score_rejects(spark, d):
+    _, rej = sc.split_rejects(applications(spark, d))
+    return rej.select("row_id", "missing_fields")
+
+
+@register("risk_bands", O.with_front(_sql_scored(), select=f"""
+SELECT model_name, row_id, CASE WHEN y_prob > 0.5 THEN 'High Default Risk' ELSE 'Loan Likely to be Repaid' END AS prediction,
+ CASE WHEN y_prob > 0.5 THEN 'High Risk' ELSE 'Low Risk' END AS prediction_label,
+ {O.d6('ROUND_EVEN(y_prob, 4)')} AS probability, CAST(ROUND_EVEN(y_prob * 100, 0) AS INTEGER) AS risk_score FROM scored_val"""))
+def q_risk_bands(spark, d):
+    b = sc.risk_bands(scored(spark, d))
+    return b.select("model_name", "row_id", "prediction", "prediction_label",
+                    r6("probability").alias("probability"), "risk_score")
+
+
+@register("score_batch")
+def q_score_batch(spark, d):
+    m = fitted(spark, d, "logistic_regression")
+    ok, _ = sc.split_rejects(applications(spark, d))
+    out = sc.score(m, ok)
+    return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"),
+                      "risk_score")
