@@ -840,3 +840,49 @@ def q_score_batch(spark, d):
     out = sc.score(m, ok)
     return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"),
                       "risk_score")
+
+
+# ---------------------------------------------------------------- step 6: streams
+
+from ..streaming import jobs as sj  # noqa: E402
+from ..sources.tables import table as _table  # noqa: E402
+from .pipeline import _STORED  # noqa: E402
+
+
+@register("score_stream", O.with_front(select=f"""
+SELECT row_id, {O.d6(f'ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6)')} AS y_prob,
+ CAST(ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6) > 0.5 AS INTEGER) AS y_pred,
+ CASE WHEN ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6) > 0.5 THEN 'High Risk' ELSE 'Low Risk' END AS prediction_label
+FROM splits WHERE split = 'prod'"""))
+def q_score_stream(spark, d):
+    stored_splits(spark, d)
+    path = _STORED[(spark.sparkContext.applicationId, d)]
+    schema = spark.read.parquet(path).schema
+    src = spark.readStream.schema(schema).parquet(path).where(F.col("split") == "prod")
+    z = F.round(1.0 / (1.0 + F.exp(-F.expr(RULES[0][1]))), 6)
+    out = sj.run_to_parquet(sj.score_stream(src, z), spark, "score-stream")
+    return out.select("row_id", r6("y_prob").alias("y_prob"), "y_pred", "prediction_label")
+
+
+@register("drift_stream", O.with_front(f"""
+ev AS (SELECT event_type, ROUND(value, 9) AS x, ts FROM events),
+qe AS (SELECT event_type, list_sort(list_distinct(list(ROUND(q, 9)))) AS e FROM (
+  SELECT event_type, UNNEST(quantile_cont(x, {sj.DECILES})) AS q FROM ev GROUP BY event_type) GROUP BY event_type),
+inn AS (SELECT event_type, e[2:len(e) - 1] AS inner_e FROM qe),
+eb AS (SELECT ev.ts, ev.event_type, len(list_filter(inner_e, lambda v: ev.x >= v)) AS bin
+  FROM ev JOIN inn ON ev.event_type = inn.event_type),
+ew AS (SELECT CAST(to_timestamp(floor(epoch(ts) / 604800) * 604800) AS TIMESTAMP) AS ws, event_type, bin FROM eb)""",
+    select="""
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+ event_type, CAST(bin AS INTEGER) AS bin, COUNT(*) AS n FROM ew
+WHERE ws + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY
+GROUP BY ws, event_type, bin"""))
+def q_drift_stream(spark, d):
+    ev = _table(spark, d, "events")
+    edges = sj.baseline_edges(ev, "event_type", "value")
+    src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
+           .parquet(d.rstrip("/")))
+    out = sj.run_to_parquet(sj.drift_stream(src, edges, "event_type", "value", "ts"), spark, "drift-stream")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return out.select(F.date_format("window_start", fmt).alias("window_start"),
+                      F.date_format("window_end", fmt).alias("window_end"), "event_type", "bin", "n")
