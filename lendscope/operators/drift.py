@@ -110,8 +110,8 @@ def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") ->
              .select("feature", "bin", "n_base", "n_cur",
                      F.coalesce("base_count", F.lit(0)).alias("base_count"),
                      F.coalesce("cur_count", F.lit(0)).alias("cur_count")))
-    tp = F.col("base_count") / F.col("n_base")
-    cp = F.col("cur_count") / F.col("n_cur")
+    tp = F.try_divide(F.col("base_count"), F.col("n_base"))  # NULL on an empty side
+    cp = F.try_divide(F.col("cur_count"), F.col("n_cur"))
     g = (g.withColumn("tp", F.when(tp == 0, F.lit(EPS)).otherwise(tp))
           .withColumn("cp", F.when(cp == 0, F.lit(EPS)).otherwise(cp)))
     w = Window.partitionBy("feature")  # at most 10 rows per feature
@@ -142,7 +142,8 @@ def categorical_drift(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
     tot = vc.groupBy("feature").agg(F.sum("bc").alias("nb"), F.sum("cc").alias("nc"))
     d = (vc.join(F.broadcast(tot), "feature")  # one row per feature
            .groupBy("feature")
-           .agg(F.sum(F.abs(F.col("bc") / F.col("nb") - F.col("cc") / F.col("nc"))).alias("m"),
+           .agg(F.sum(F.abs(F.try_divide(F.col("bc"), F.col("nb"))
+                            - F.try_divide(F.col("cc"), F.col("nc")))).alias("m"),
                 F.min(F.least("nb", "nc")).alias("nmin")))
     feats = _feature_table(train.sparkSession, cols)
     return (feats.join(d, "feature", "left")

@@ -47,6 +47,8 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, df: DataFrame):
         cols = self.getInputCols()
+        if not cols:
+            return MedianImputerModel(inputCols=[], stats="{}")
         long = df.select([F.col(c).cast("double").alias(c) for c in cols]) \
                  .unpivot([], cols, "feature", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
         med = {r["feature"]: r["q"] for r in exact_quantiles(long, "feature", "x", [0.5]).collect()}
@@ -76,6 +78,8 @@ class ModeImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsW
 
     def _fit(self, df: DataFrame):
         cols = self.getInputCols()
+        if not cols:
+            return ModeImputerModel(inputCols=[], stats="{}")
         long = df.select([F.col(c).cast("string").alias(c) for c in cols]) \
                  .unpivot([], cols, "feature", "value").where(F.col("value").isNotNull())
         cnt = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -108,6 +112,8 @@ class PopulationScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
 
     def _fit(self, df: DataFrame):
         cols = [c for c in self.getInputCols() if c in df.columns]
+        if not cols:
+            return PopulationScalerModel(inputCols=[], stats="{}")
         row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
                      *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
         st = {c: [row[f"m_{i}"], row[f"s_{i}"]] for i, c in enumerate(cols)}
