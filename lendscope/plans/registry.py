@@ -886,3 +886,39 @@ def q_drift_stream(spark, d):
     fmt = "yyyy-MM-dd HH:mm:ss"
     return out.select(F.date_format("window_start", fmt).alias("window_start"),
                       F.date_format("window_end", fmt).alias("window_end"), "event_type", "bin", "n")
+
+
+# ---------------------------------------------------------------- step 7: gated refit, held-out evaluation
+
+from ..operators import refit as rf_ops  # noqa: E402
+
+
+def _split_view(spark, d, name):
+    return feature_view(stored_splits(spark, d).where(F.col("split") == name), drop=("issue_year", "split"))
+
+
+_EVAL_COLS = ["model_name", "tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1_score", "roc_auc"]
+
+
+@register("refit_candidate")
+def q_refit_candidate(spark, d):
+    """Gate on the drift summary; when it recommends a refit, fit the champion
+    learner (logistic regression) on train + prod and evaluate on val."""
+    summary = drift_ops.drift_summary(drift_report_df(spark, d))
+    _, m = rf_ops.refit_if_needed(summary, _split_view(spark, d, "train"), _split_view(spark, d, "prod"),
+                                  _split_view(spark, d, "val"), "logistic_regression", NUMERIC, FEATURE_CAT)
+    if m is None:
+        return spark.createDataFrame([], "model_name string, tn long, fp long, fn long, tp long, accuracy decimal(18,6), "
+                                         "precision decimal(18,6), recall decimal(18,6), f1_score decimal(18,6), roc_auc decimal(18,6)")
+    return m.select(*_EVAL_COLS[:5], *[r6(c).alias(c) for c in _EVAL_COLS[5:]])
+
+
+@register("test_evaluation")
+def q_test_evaluation(spark, d):
+    """The current version saved as a directory, loaded back and evaluated on
+    the held-out test split."""
+    m = fitted(spark, d, "logistic_regression")
+    path = shared_dir(spark, "version")
+    m.write().overwrite().save(path)
+    e = rf_ops.evaluate_version(path, _split_view(spark, d, "test"), "logistic_regression")
+    return e.select(*_EVAL_COLS[:5], *[r6(c).alias(c) for c in _EVAL_COLS[5:]])
