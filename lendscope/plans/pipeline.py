@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import (FIXTURE_SPLITS, apply_null_tokens, clean_loans,
+from ..operators.clean import (FIXTURE_SPLITS, YEAR, apply_null_tokens, clean_loans,
                                feature_view, temporal_split)
 from ..session import shared_dir
 from ..sources.tables import loans_raw
@@ -39,26 +39,43 @@ def splits(spark: SparkSession, sf_dir: str, ranges=FIXTURE_SPLITS) -> DataFrame
 _STORED: dict = {}
 
 
-def stored_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split table written once as parquet partitioned by ``split``.
-
-    Later jobs (drift, features, learners) read it back, so the raw joins run
-    once per input directory and a split filter prunes whole directories.
-    The folder lives under the session's shared checkpoint location.
-    """
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the cleaned table, written once as parquet partitioned by
+    ``issue_year`` under the session's shared checkpoint location."""
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _STORED.get(key)
     if path is None:
-        path = shared_dir(spark, "splits")
-        (splits(spark, sf_dir).write.mode("overwrite")
-         .partitionBy("split").parquet(path))
+        path = shared_dir(spark, "clean")
+        clean(spark, sf_dir).write.mode("overwrite").partitionBy(YEAR).parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table read back: later jobs (sampling, profiles, drift,
+    features, learners) scan it instead of re-running the raw joins, and a
+    year filter prunes whole directories."""
+    return spark.read.parquet(stored_path(spark, sf_dir))
+
+
+def split_rows(spark: SparkSession, sf_dir: str, name: str, ranges=FIXTURE_SPLITS) -> DataFrame:
+    """Rows of one split: a year-range filter on the partition column."""
+    lo, hi = ranges[name]
+    return (stored_clean(spark, sf_dir).where(F.col(YEAR).between(lo, hi))
+            .withColumn("split", F.lit(name)))
+
+
+def stored_splits(spark: SparkSession, sf_dir: str, ranges=FIXTURE_SPLITS) -> DataFrame:
+    """All split rows with their ``split`` label (years outside every range
+    are pruned)."""
+    lo = min(a for a, _ in ranges.values())
+    hi = max(b for _, b in ranges.values())
+    c = stored_clean(spark, sf_dir).where(F.col(YEAR).between(lo, hi))
+    return temporal_split(c, ranges)
 
 
 def split_features(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    s = stored_splits(spark, sf_dir)
-    return feature_view(s.where(F.col("split") == name))
+    return feature_view(split_rows(spark, sf_dir, name))
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,7 +225,7 @@ from ..operators import profile as prof  # noqa: E402
 from ..operators import sample as smp  # noqa: E402
 from ..operators.clean import HELPERS  # noqa: E402
 from ..session import shared_dir  # noqa: E402
-from .pipeline import stored_splits  # noqa: E402
+from .pipeline import split_rows, stored_clean, stored_splits  # noqa: E402
 
 CAP = 500  # per-year cap used with the driver tables (20,000 in the reference)
 SHUFFLE_HEAD = 1000
@@ -243,12 +243,12 @@ _SQL_CAP = """capped AS (SELECT c.* FROM (SELECT *, ROW_NUMBER() OVER (PARTITION
 
 
 def _capped(spark, d):
-    return smp.stratified_cap(clean(spark, d), CAP)
+    return smp.stratified_cap(stored_clean(spark, d), CAP)
 
 
 @register("strata_quota", O.with_front(_SQL_QUOTA, select="SELECT issue_year, loan_status, available, quota FROM quota"))
 def q_strata_quota(spark, d):
-    return smp.strata_quota(clean(spark, d), CAP)
+    return smp.strata_quota(stored_clean(spark, d), CAP)
 
 
 @register("stratified_cap", O.with_front(_SQL_QUOTA, _SQL_CAP,
@@ -269,7 +269,7 @@ SELECT a.issue_year, a.available, COALESCE(s.sampled, 0) AS sampled
 FROM (SELECT issue_year, COUNT(*) AS available FROM clean GROUP BY issue_year) a
 LEFT JOIN (SELECT issue_year, COUNT(*) AS sampled FROM capped GROUP BY issue_year) s ON a.issue_year = s.issue_year"""))
 def q_year_counts(spark, d):
-    return prof.year_counts(clean(spark, d), _capped(spark, d))
+    return prof.year_counts(stored_clean(spark, d), _capped(spark, d))
 
 
 @register("prep_counts", O.with_front(select="""
@@ -288,14 +288,14 @@ _CLEAN_COLS = O._RAW_COLS + ["issue_year"]
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM clean"
     for c in _CLEAN_COLS)))
 def q_missing_by_column(spark, d):
-    return prof.missing_by_column(clean(spark, d))
+    return prof.missing_by_column(stored_clean(spark, d))
 
 
 @register("class_distribution", O.with_front(select=f"""
 SELECT loan_status, COUNT(*) AS count, {O.d6('COUNT(*) * 100.0 / SUM(COUNT(*)) OVER ()')} AS percent
 FROM clean GROUP BY loan_status"""))
 def q_class_distribution(spark, d):
-    return prof.class_distribution(clean(spark, d)).withColumn("percent", r6("percent"))
+    return prof.class_distribution(stored_clean(spark, d)).withColumn("percent", r6("percent"))
 
 
 @register("split_report", O.with_front(select=f"""
@@ -316,7 +316,7 @@ UNION ALL
 SELECT NULL AS split, issue_year, COUNT(*) AS rows, FALSE AS valid FROM clean
 WHERE NOT issue_year BETWEEN 1995 AND 2001 GROUP BY issue_year"""))
 def q_split_violations(spark, d):
-    return prof.split_violations(stored_splits(spark, d), clean(spark, d))
+    return prof.split_violations(stored_splits(spark, d), stored_clean(spark, d))
 
 
 @register("label_join", O.with_front(select=f"""
@@ -332,8 +332,7 @@ def q_label_join(spark, d):
 @register("combined_train", O.with_front(select="""
 SELECT row_id, split, loan_status FROM splits WHERE split IN ('train', 'prod')"""))
 def q_combined_train(spark, d):
-    s = stored_splits(spark, d)
-    return prof.combine(s.where(F.col("split") == "train"), s.where(F.col("split") == "prod")) \
+    return prof.combine(split_rows(spark, d, "train"), split_rows(spark, d, "prod")) \
         .select("row_id", "split", "loan_status")
 
 
@@ -350,7 +349,7 @@ def q_parquet_roundtrip(spark, d):
 @register("split_roundtrip", O.with_front(select="""
 SELECT row_id, issue_year, loan_status, term FROM splits WHERE split = 'val'"""))
 def q_split_roundtrip(spark, d):
-    return stored_splits(spark, d).where(F.col("split") == "val") \
+    return split_rows(spark, d, "val") \
         .select("row_id", "issue_year", "loan_status", "term")
 
 
@@ -448,7 +447,7 @@ def q_transform_splits(spark, d):
 SELECT loan_status, COUNT(*) AS count, {O.d6('SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*))')} AS weight
 FROM splits WHERE split = 'train' GROUP BY loan_status"""))
 def q_class_weights(spark, d):
-    t = stored_splits(spark, d).where(F.col("split") == "train")
+    t = split_rows(spark, d, "train")
     return fe.class_weights(t).withColumn("weight", r6("weight"))
 
 
@@ -457,7 +456,7 @@ SELECT COUNT(*) FILTER (WHERE loan_status = 0) AS negatives, COUNT(*) FILTER (WH
  {O.d6("COALESCE((COUNT(*) FILTER (WHERE loan_status = 0))::DOUBLE / NULLIF(COUNT(*) FILTER (WHERE loan_status = 1), 0), 1.0)")} AS pos_weight
 FROM splits WHERE split = 'train'"""))
 def q_pos_weight(spark, d):
-    t = stored_splits(spark, d).where(F.col("split") == "train")
+    t = split_rows(spark, d, "train")
     return fe.pos_weight(t).withColumn("pos_weight", r6("pos_weight"))
 
 
@@ -466,7 +465,7 @@ SELECT COUNT(*) AS rows_x, COUNT(*) AS rows_y, CAST(0 AS BIGINT) AS unmatched, C
  COUNT(*) FILTER (WHERE loan_status IS NULL) AS missing_y,
  COUNT(*) FILTER (WHERE loan_status IS NULL) = 0 AS passed FROM splits WHERE split = 'train'"""))
 def q_training_checks(spark, d):
-    s = stored_splits(spark, d).where(F.col("split") == "train")
+    s = split_rows(spark, d, "train")
     x = fitted_features(spark, d).transform(feature_view(s, drop=("loan_status", "issue_year", "split")))
     x = x.select("row_id", *NUMERIC, *FEATURE_CAT)
     y = s.select("row_id", "loan_status")
@@ -489,7 +488,7 @@ RULES = [
 
 def scored(spark, d, split="val"):
     """(model_name, row_id, y_true, y_pred, y_prob) for every rule, one scan."""
-    s = stored_splits(spark, d).where(F.col("split") == split)
+    s = split_rows(spark, d, split)
     arr = F.array(*[F.struct(F.lit(n).alias("model_name"), F.expr(z).alias("z")) for n, z in RULES])
     x = s.select("row_id", F.col("loan_status").alias("y_true"), F.inline(arr))
     prob = F.round(1.0 / (1.0 + F.exp(-F.col("z"))), 6)
@@ -752,7 +751,7 @@ _MODELS: dict = {}
 
 
 def _train_table(spark, d):
-    s = stored_splits(spark, d).where(F.col("split") == "train")
+    s = split_rows(spark, d, "train")
     return feature_view(s, drop=("issue_year", "split"))
 
 
@@ -792,7 +791,7 @@ def q_gbt_importance(spark, d):
 @register("predictions")
 def q_predictions(spark, d):
     m = fitted(spark, d, "logistic_regression")
-    v = feature_view(stored_splits(spark, d).where(F.col("split") == "val"), drop=("issue_year", "split"))
+    v = feature_view(split_rows(spark, d, "val"), drop=("issue_year", "split"))
     out = m.transform(v)
     return out.select("row_id", F.col("loan_status").alias("y_true"),
                       F.col("prediction").cast("int").alias("y_pred"),
@@ -846,7 +845,8 @@ def q_score_batch(spark, d):
 
 from ..streaming import jobs as sj  # noqa: E402
 from ..sources.tables import table as _table  # noqa: E402
-from .pipeline import _STORED  # noqa: E402
+from .pipeline import stored_path  # noqa: E402
+from ..operators.clean import FIXTURE_SPLITS  # noqa: E402
 
 
 @register("score_stream", O.with_front(select=f"""
@@ -855,10 +855,10 @@ SELECT row_id, {O.d6(f'ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6)')} AS y_pro
  CASE WHEN ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6) > 0.5 THEN 'High Risk' ELSE 'Low Risk' END AS prediction_label
 FROM splits WHERE split = 'prod'"""))
 def q_score_stream(spark, d):
-    stored_splits(spark, d)
-    path = _STORED[(spark.sparkContext.applicationId, d)]
+    path = stored_path(spark, d)
     schema = spark.read.parquet(path).schema
-    src = spark.readStream.schema(schema).parquet(path).where(F.col("split") == "prod")
+    lo, hi = FIXTURE_SPLITS["prod"]
+    src = spark.readStream.schema(schema).parquet(path).where(F.col("issue_year").between(lo, hi))
     z = F.round(1.0 / (1.0 + F.exp(-F.expr(RULES[0][1]))), 6)
     out = sj.run_to_parquet(sj.score_stream(src, z), spark, "score-stream")
     return out.select("row_id", r6("y_prob").alias("y_prob"), "y_pred", "prediction_label")
@@ -894,7 +894,7 @@ from ..operators import refit as rf_ops  # noqa: E402
 
 
 def _split_view(spark, d, name):
-    return feature_view(stored_splits(spark, d).where(F.col("split") == name), drop=("issue_year", "split"))
+    return feature_view(split_rows(spark, d, name), drop=("issue_year", "split"))
 
 
 _EVAL_COLS = ["model_name", "tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1_score", "roc_auc"]
