@@ -26,19 +26,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Largest number of distinct values per group for which one task may hold a
+# group's value->count map (the built-in exact ``percentile`` with counts).
+MAX_GROUP_DISTINCT = 1_000_000
+
+
 def exact_quantiles(long: DataFrame, group: str, value: str, probs,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None,
+                    max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
     """Returns (group, pi, p, q) for every group with at least one non-NULL
     value; ``q`` is the linear-interpolated quantile.
 
-    Eager: two jobs over the data (partition totals, then the rank lookup);
-    the result (groups x probabilities rows) is returned as a small table.
+    Eager; the result (groups x probabilities rows) is returned as a small
+    table. The distinct-value counts per group are checked first: when every
+    group has at most ``max_group_distinct`` distinct values, the built-in
+    exact ``percentile`` with a frequency column runs over the (group, value,
+    count) table -- memory per task is bounded by that check. Otherwise the
+    range-partitioned rank lookup below is used, which has no per-group bound.
     """
     spark = long.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = long.select(F.col(group).alias("g"), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    gtype = dict(long.dtypes)[group]
+    vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        widest = vc.groupBy("g").count().agg(F.max("count")).first()[0]
+        if widest is None:
+            return spark.createDataFrame([], f"{group} {gtype}, pi int, p double, q double")
+        if widest <= max_group_distinct:
+            probs = [float(p) for p in probs]
+            rows = (vc.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]), F.col("c")).alias("qs"))
+                      .select("g", F.posexplode("qs").alias("pi", "q")).collect())
+            return spark.createDataFrame([(r["g"], r["pi"], probs[r["pi"]], r["q"]) for r in rows],
+                                         f"{group} {gtype}, pi int, p double, q double")
+        return _ranked_quantiles(spark, vc, group, gtype, probs, partitions)
+    finally:
+        vc.unpersist()
+
+
+def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, partitions: int) -> DataFrame:
     ranged = (vc.repartitionByRange(partitions, "g", "v")
                 .withColumn("pid", F.spark_partition_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))
@@ -58,7 +85,6 @@ def exact_quantiles(long: DataFrame, group: str, value: str, probs,
                 pos = p * (n - 1)
                 for side, r in ((0, math.floor(pos)), (1, math.ceil(pos))):
                     targets.append((g, i, p, pos, side, r))
-        gtype = dict(long.dtypes)[group]
         off_df = spark.createDataFrame(offsets, f"pid int, g {gtype}, off long")
         tg_df = spark.createDataFrame(targets, f"tg {gtype}, pi int, p double, pos double, side int, r long")
         w_in = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

@@ -7,7 +7,7 @@ holds transform and model together.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.sql import DataFrame
@@ -49,13 +49,15 @@ def rf(**p) -> RandomForestClassifier:
     q = dict(RF_V1_PARAMS)
     q.update(p)
     return RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
-                                  featureSubsetStrategy="sqrt", **q)
+                                  featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
+                                  cacheNodeIds=True, **q)
 
 
 def gbt(**p) -> GBTClassifier:
     q = dict(GBT_PARAMS)
     q.update(p)
-    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", **q)
+    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
+                         maxMemoryInMB=1024, **q)
 
 
 def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
@@ -72,11 +74,27 @@ def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
     return Pipeline(stages=feature_pipeline(num, cat).getStages() + [est])
 
 
-def fit(key: str, train: DataFrame, num, cat, **params):
-    """Fit a learner with the weighting its family uses."""
+def spread(df: DataFrame) -> DataFrame:
+    """Learners run one task per input partition and pass; a small stored
+    table can be a single partition, so spread it over the cluster's cores
+    (no-op when the input already has that many partitions)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
+    """Fit a learner with the weighting its family uses.
+
+    ``features_model`` -- a feature pipeline already fitted on the same
+    training rows -- is reused instead of fitting the statistics again."""
+    train = spread(train)
     weighted = positive_weighted(train) if ("xgboost" in key or "boost" in key) else balanced(train)
     n = train.count() if "logistic" in key else 1
-    return learner(key, num, cat, n_rows=n, **params).fit(weighted)
+    if features_model is None:
+        return learner(key, num, cat, n_rows=n, **params).fit(weighted)
+    est = learner(key, num, cat, n_rows=n, **params).getStages()[-1]
+    model = est.fit(features_model.transform(weighted))
+    return PipelineModel(stages=list(features_model.stages) + [model])
 
 
 def importances(model, spark=None) -> DataFrame:

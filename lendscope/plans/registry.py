@@ -184,9 +184,20 @@ def q_drift_categorical(spark, d):
     return drift_ops.categorical_drift(tr, pr, FEATURE_CAT).select("feature", r6("metric").alias("metric"))
 
 
+_REPORTS: dict = {}
+
+
 def drift_report_df(spark, d):
-    tr, pr = _train_prod(spark, d)
-    return drift_ops.drift_report(tr, pr)
+    """The drift report, computed once per session and input (one row per
+    feature, so it is kept as a small literal table) and shared by the
+    summary, the top-k view and the refit gate."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _REPORTS:
+        tr, pr = _train_prod(spark, d)
+        rep = drift_ops.drift_report(tr, pr)
+        _REPORTS[key] = (rep.collect(), rep.schema)
+    rows, schema = _REPORTS[key]
+    return spark.createDataFrame(rows, schema)
 
 
 _DRIFT_CTES = (_SQL_LONG, _SQL_EDGES, _SQL_BINS, _SQL_PSI, _SQL_CAT, _SQL_REPORT)
@@ -759,7 +770,8 @@ def fitted(spark, d, key, **params):
     """Fitted learner pipeline on the training split (cached per input dir)."""
     k = (spark.sparkContext.applicationId, d, key, tuple(sorted(params.items())))
     if k not in _MODELS:
-        _MODELS[k] = tr.fit(key, _train_table(spark, d), NUMERIC, FEATURE_CAT, **params)
+        _MODELS[k] = tr.fit(key, _train_table(spark, d), NUMERIC, FEATURE_CAT,
+                            features_model=fitted_features(spark, d), **params)
     return _MODELS[k]
 
 

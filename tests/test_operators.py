@@ -12,14 +12,16 @@ from lendscope.operators.quantiles import exact_quantiles
 from lendscope.plans import pipeline
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("bound", [0, 10**6])  # ranked path, bounded built-in path
+def test_exact_quantiles_match_numpy(spark, bound):
     rng = np.random.default_rng(1)
     vals = {"a": rng.normal(size=500).round(3), "b": rng.integers(0, 7, size=301).astype(float),
             "c": np.array([4.0])}
     rows = [(g, float(v)) for g, arr in vals.items() for v in arr]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0, 0.1, 0.25, 0.5, 0.9, 1]
-    got = {(r["g"], r["pi"]): r["q"] for r in exact_quantiles(df, "g", "x", probs, partitions=5).collect()}
+    got = {(r["g"], r["pi"]): r["q"] for r in exact_quantiles(df, "g", "x", probs, partitions=5,
+                                                                      max_group_distinct=bound).collect()}
     for g, arr in vals.items():
         for i, p in enumerate(probs):
             assert got[(g, i)] == pytest.approx(np.percentile(arr, p * 100), abs=1e-12)
