@@ -18,12 +18,13 @@ interpolated edge falls in the same bin in every engine.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import drift_status
 from .clean import column_roles
-from .quantiles import exact_quantiles
+from .quantiles import quantiles_of_counts
 
 EPS = 1e-4          # Fixed value: proportion given to an empty bin.
 PAD = 1e-5          # Fixed value: widening of the outer edges.
@@ -33,9 +34,13 @@ PROBS = [i / 10 for i in range(11)]
 SIDE_BASE, SIDE_CUR = "base", "cur"
 
 
-def _sides(train: DataFrame, prod: DataFrame, cols, cast: str) -> DataFrame:
-    sel = lambda df, s: df.select(F.lit(s).alias("side"),
-                                  *[F.col(c).cast(cast).alias(c) for c in cols])
+def _sides(train: DataFrame, prod: DataFrame, num, cat) -> DataFrame:
+    """One frame with a ``side`` column: numeric columns as double,
+    categorical columns as text."""
+    def sel(df, side):
+        return df.select(F.lit(side).alias("side"),
+                         *[F.col(c).cast("double").alias(c) for c in num],
+                         *[F.col(c).cast("string").alias(c) for c in cat])
     return sel(train, SIDE_BASE).unionByName(sel(prod, SIDE_CUR))
 
 
@@ -44,52 +49,61 @@ def _feature_table(spark, cols) -> DataFrame:
     return spark.createDataFrame([(c,) for c in cols], "feature string")
 
 
-def numeric_long(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
-    both = _sides(train, prod, cols, "double")
-    long = both.unpivot(["side"], list(cols), "feature", "x")
+def _long(both: DataFrame, cols) -> DataFrame:
+    long = both.select("side", *cols).unpivot(["side"], list(cols), "feature", "x")
     x = F.col("x")
-    return (long.where(x.isNotNull() & ~F.isnan(x))
-                .withColumn("x", F.round(x, DIGITS)))
+    return long.where(x.isNotNull() & ~F.isnan(x)).withColumn("x", F.round(x, DIGITS))
 
 
-def psi_edges(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
-    """(feature, edges, n_base, n_cur): fixed-up bin edges per numeric column."""
-    long = numeric_long(train, prod, cols)
-    base = long.where(F.col("side") == SIDE_BASE)
-    if method == "exact":
-        q = exact_quantiles(base, "feature", "x", PROBS)
-    else:
-        q = (base.groupBy("feature")
-                 .agg(F.percentile_approx("x", PROBS, 100_000).alias("qs"))
-                 .select("feature", F.posexplode("qs").alias("pi", "q")))
-    raw = (q.groupBy("feature")
-            .agg(F.array_sort(F.collect_set(F.round("q", DIGITS))).alias("e")))
-    is_b = F.col("side") == SIDE_BASE
-    mm = long.groupBy("feature").agg(
-        F.min(F.when(is_b, F.col("x"))).alias("bmin"), F.max(F.when(is_b, F.col("x"))).alias("bmax"),
-        F.min(F.when(~is_b, F.col("x"))).alias("cmin"), F.max(F.when(~is_b, F.col("x"))).alias("cmax"),
-        F.count_if(is_b).alias("n_base"), F.count_if(~is_b).alias("n_cur"))
-    e, n = F.col("e"), F.size(F.col("e"))
-    lo = F.least(e[0], F.col("bmin"), F.col("cmin")) - PAD
-    hi = F.greatest(F.element_at(e, -1), F.col("bmax"), F.col("cmax")) + PAD
-    fixed = F.when(n == 1, F.array(e[0] - SINGLE_PAD, e[0] + SINGLE_PAD)).otherwise(
-        F.concat(F.array(lo), F.slice(e, 2, F.greatest(n - 2, F.lit(0))), F.array(hi)))
-    feats = _feature_table(long.sparkSession, cols)
-    out = (feats.join(mm, "feature", "left").join(raw, "feature", "left")
-                .select("feature",
-                        F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
-                        F.coalesce("n_base", F.lit(0)).alias("n_base"),
-                        F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-                        (n == 1).alias("constant_feature")))
-    # One row per feature with at most 11 edges: collected once so the
-    # histogram pass does not recompute the quantile jobs.
-    return long.sparkSession.createDataFrame(out.collect(), out.schema)
+def numeric_long(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
+    return _long(_sides(train, prod, cols, []), cols)
 
 
-def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
-    """(feature, bin, base_count, cur_count, base_prop, cur_prop) for every bin."""
-    edges = psi_edges(train, prod, cols, method)
-    long = numeric_long(train, prod, cols)
+def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
+    """(feature, edges, n_base, n_cur, constant_feature) -- collected, one
+    row per feature. One (feature, value) counting pass gives the quantile
+    input, the per-side minima / maxima and the per-side counts."""
+    spark = both.sparkSession
+    long = _long(both, cols)
+    is_b = F.col("side") == SIDE_BASE
+    vc = (long.groupBy("feature", "x")
+              .agg(F.count_if(is_b).alias("cb"), F.count_if(~is_b).alias("cc"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        base = vc.select(F.col("feature").alias("g"), F.col("x").alias("v"), F.col("cb").alias("c"))
+        if method == "exact":
+            q = quantiles_of_counts(base, PROBS).withColumnRenamed("g", "feature")
+        else:
+            q = (base.where(F.col("c") > 0).groupBy("g")
+                     .agg(F.percentile_approx("v", PROBS, 100_000).alias("qs"))
+                     .select(F.col("g").alias("feature"), F.posexplode("qs").alias("pi", "q")))
+        raw = (q.groupBy("feature")
+                .agg(F.array_sort(F.collect_set(F.round("q", DIGITS))).alias("e")))
+        x = F.col("x")
+        mm = vc.groupBy("feature").agg(
+            F.min(F.when(F.col("cb") > 0, x)).alias("bmin"), F.max(F.when(F.col("cb") > 0, x)).alias("bmax"),
+            F.min(F.when(F.col("cc") > 0, x)).alias("cmin"), F.max(F.when(F.col("cc") > 0, x)).alias("cmax"),
+            F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur"))
+        e, n = F.col("e"), F.size(F.col("e"))
+        lo = F.least(e[0], F.col("bmin"), F.col("cmin")) - PAD
+        hi = F.greatest(F.element_at(e, -1), F.col("bmax"), F.col("cmax")) + PAD
+        fixed = F.when(n == 1, F.array(e[0] - SINGLE_PAD, e[0] + SINGLE_PAD)).otherwise(
+            F.concat(F.array(lo), F.slice(e, 2, F.greatest(n - 2, F.lit(0))), F.array(hi)))
+        out = (_feature_table(spark, cols).join(mm, "feature", "left").join(raw, "feature", "left")
+               .select("feature",
+                       F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
+                       F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
+                       F.coalesce("n_cur", F.lit(0)).cast("long").alias("n_cur"),
+                       (n == 1).alias("constant_feature")))
+        # One row per feature with at most 11 edges: collected once so the
+        # histogram pass does not recompute the quantile jobs.
+        return spark.createDataFrame(out.collect(), out.schema)
+    finally:
+        vc.unpersist()
+
+
+def _bins(both: DataFrame, cols, edges: DataFrame) -> DataFrame:
+    long = _long(both, cols)
     e = F.col("edges")
     x = F.col("x")
     # bin = number of inner edges (1 .. n-2, at most 9) not above x; written
@@ -120,22 +134,19 @@ def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") ->
                     (F.col("cp") / F.sum("cp").over(w)).alias("cur_prop"))
 
 
-def numeric_psi(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
-    """(feature, metric): PSI per numeric column; 0 when a side is empty."""
-    b = psi_bins(train, prod, cols, method)
+def _psi(both: DataFrame, cols, method: str = "exact") -> DataFrame:
+    b = _bins(both, cols, _edges(both, cols, method))
     term = (F.col("cur_prop") - F.col("base_prop")) * F.ln(F.col("cur_prop") / F.col("base_prop"))
     psi = b.groupBy("feature").agg(F.sum(term).alias("psi"),
                                    F.min(F.least("n_base", "n_cur")).alias("nmin"))
-    feats = _feature_table(train.sparkSession, cols)
-    return (feats.join(psi, "feature", "left")
-                 .select("feature", F.when(F.col("nmin") > 0, F.col("psi"))
-                                     .otherwise(F.lit(0.0)).alias("metric")))
+    return (_feature_table(both.sparkSession, cols).join(psi, "feature", "left")
+            .select("feature", F.when(F.col("nmin") > 0, F.col("psi"))
+                                .otherwise(F.lit(0.0)).alias("metric")))
 
 
-def categorical_drift(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
-    """(feature, metric): sum over the union of categories of |f_base - f_cur|."""
-    both = _sides(train, prod, cols, "string")
-    long = both.unpivot(["side"], list(cols), "feature", "value").where(F.col("value").isNotNull())
+def _categorical(both: DataFrame, cols) -> DataFrame:
+    long = (both.select("side", *cols).unpivot(["side"], list(cols), "feature", "value")
+                .where(F.col("value").isNotNull()))
     is_b = F.col("side") == SIDE_BASE
     vc = long.groupBy("feature", "value").agg(F.count_if(is_b).alias("bc"),
                                               F.count_if(~is_b).alias("cc"))
@@ -145,32 +156,61 @@ def categorical_drift(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
            .agg(F.sum(F.abs(F.try_divide(F.col("bc"), F.col("nb"))
                             - F.try_divide(F.col("cc"), F.col("nc")))).alias("m"),
                 F.min(F.least("nb", "nc")).alias("nmin")))
-    feats = _feature_table(train.sparkSession, cols)
-    return (feats.join(d, "feature", "left")
-                 .select("feature", F.when(F.col("nmin") > 0, F.col("m"))
-                                     .otherwise(F.lit(0.0)).alias("metric")))
+    return (_feature_table(both.sparkSession, cols).join(d, "feature", "left")
+            .select("feature", F.when(F.col("nmin") > 0, F.col("m"))
+                                .otherwise(F.lit(0.0)).alias("metric")))
+
+
+def psi_edges(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
+    """(feature, edges, n_base, n_cur, constant_feature) per numeric column."""
+    return _edges(_sides(train, prod, cols, []), cols, method)
+
+
+def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
+    """(feature, bin, base_count, cur_count, n_base, n_cur, base_prop, cur_prop)."""
+    both = _sides(train, prod, cols, [])
+    return _bins(both, cols, _edges(both, cols, method))
+
+
+def numeric_psi(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
+    """(feature, metric): PSI per numeric column; 0 when a side is empty."""
+    return _psi(_sides(train, prod, cols, []), cols, method)
+
+
+def categorical_drift(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
+    """(feature, metric): sum over the union of categories of |f_base - f_cur|."""
+    return _categorical(_sides(train, prod, [], cols), cols)
 
 
 def drift_report(train: DataFrame, prod: DataFrame, exclude=(), method: str = "exact",
                  numeric=None, categorical=None) -> DataFrame:
     """(feature, feature_type, metric, drift_status) for every column, sorted
-    by metric descending (feature name breaks ties)."""
+    by metric descending (feature name breaks ties).
+
+    Eager: both sides are read once into a persisted frame that the edge,
+    histogram and categorical passes share; the report (one row per column)
+    is returned as a small table.
+    """
     num, cat = column_roles(train.schema, drop=tuple(exclude))
     num = numeric if numeric is not None else num
     cat = categorical if categorical is not None else cat
-    parts = []
-    if num:
-        parts.append(numeric_psi(train, prod, num, method)
-                     .withColumn("feature_type", F.lit("Numerical")))
-    if cat:
-        parts.append(categorical_drift(train, prod, cat)
-                     .withColumn("feature_type", F.lit("Categorical")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.select("feature", "feature_type", "metric",
-                       drift_status(F.col("metric")).alias("drift_status"))
-               .orderBy(F.desc("metric"), "feature"))
+    spark = train.sparkSession
+    both = _sides(train, prod, num, cat).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = []
+        if num:
+            parts.append(_psi(both, num, method).withColumn("feature_type", F.lit("Numerical")))
+        if cat:
+            parts.append(_categorical(both, cat).withColumn("feature_type", F.lit("Categorical")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out = out.select("feature", "feature_type", "metric",
+                         drift_status(F.col("metric")).alias("drift_status"))
+        rows = out.collect()
+    finally:
+        both.unpersist()
+    return spark.createDataFrame(rows, out.schema).orderBy(F.desc("metric"), "feature")
 
 
 def drift_summary(report: DataFrame, ratio_limit: float = 0.30) -> DataFrame:

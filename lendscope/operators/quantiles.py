@@ -44,12 +44,21 @@ def exact_quantiles(long: DataFrame, group: str, value: str, probs,
     count) table -- memory per task is bounded by that check. Otherwise the
     range-partitioned rank lookup below is used, which has no per-group bound.
     """
-    spark = long.sparkSession
+    vals = long.select(F.col(group).alias("g"), F.col(value).alias("v")).where(F.col("v").isNotNull())
+    vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    out = quantiles_of_counts(vc, probs, partitions, max_group_distinct)
+    return out.withColumnRenamed("g", group)
+
+
+def quantiles_of_counts(vc: DataFrame, probs, partitions: int | None = None,
+                        max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
+    """Same as :func:`exact_quantiles` over a pre-counted (g, v, c) table."""
+    spark = vc.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = long.select(F.col(group).alias("g"), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    gtype = dict(long.dtypes)[group]
-    vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    group = "g"
+    gtype = dict(vc.dtypes)["g"]
+    vc = vc.where(F.col("c") > 0).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         widest = vc.groupBy("g").count().agg(F.max("count")).first()[0]
         if widest is None:
