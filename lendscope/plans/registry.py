@@ -885,7 +885,7 @@ eb AS (SELECT ev.ts, ev.event_type, len(list_filter(inner_e, lambda v: ev.x >= v
   FROM ev JOIN inn ON ev.event_type = inn.event_type),
 ew AS (SELECT CAST(to_timestamp(floor(epoch(ts) / 604800) * 604800) AS TIMESTAMP) AS ws, event_type, bin FROM eb)""",
     select="""
-SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+SELECT CAST(epoch(ws) AS BIGINT) AS window_start, CAST(epoch(ws + INTERVAL 7 DAY) AS BIGINT) AS window_end,
  event_type, CAST(bin AS INTEGER) AS bin, COUNT(*) AS n FROM ew
 WHERE ws + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY
 GROUP BY ws, event_type, bin"""))
@@ -895,9 +895,7 @@ def q_drift_stream(spark, d):
     src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
            .parquet(d.rstrip("/")))
     out = sj.run_to_parquet(sj.drift_stream(src, edges, "event_type", "value", "ts"), spark, "drift-stream")
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return out.select(F.date_format("window_start", fmt).alias("window_start"),
-                      F.date_format("window_end", fmt).alias("window_end"), "event_type", "bin", "n")
+    return out.select("window_start", "window_end", "event_type", "bin", "n")
 
 
 # ---------------------------------------------------------------- step 7: gated refit, held-out evaluation

@@ -55,16 +55,20 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
 def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts: str,
                  window: str = "7 days", watermark: str = "1 day") -> DataFrame:
     """Counts per (tumbling window, group, bin) of arriving values against
-    frozen edges; windows are emitted once the watermark closes them."""
+    frozen edges; windows are emitted once the watermark closes them.
+    Window bounds are epoch seconds (UTC), independent of the session zone."""
     x = F.round(F.col(value).cast("double"), DIGITS)
     inner = F.col("inner")
     bin_ = sum(F.when((F.size(inner) >= k) & (x >= F.try_element_at(inner, F.lit(k))), 1).otherwise(0)
                for k in range(1, len(DECILES) - 1))
-    s = (stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    # Event times are wall-clock (timestamp_ntz) in UTC: read them as UTC
+    # instants whatever the session time zone is.
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    s = (stream.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz))
                .withWatermark(ts, watermark)
                .join(F.broadcast(edges), group)  # one row per group
                .select(ts, group, bin_.alias("bin")))
     return (s.groupBy(F.window(ts, window).alias("w"), group, "bin")
              .agg(F.count(F.lit(1)).alias("n"))
-             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                     group, "bin", "n"))
+             .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
+                     F.unix_seconds(F.col("w.end")).alias("window_end"), group, "bin", "n"))
