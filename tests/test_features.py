@@ -77,3 +77,19 @@ def test_small_forest_and_boosting_fit(spark, train):
     assert len(tr.importances(gb, spark).collect()) == len(imp)
     with pytest.raises(ValueError):
         tr.learner("svm", NUMERIC, FEATURE_CAT)
+
+
+def test_all_missing_column_dropped_and_mode_ties(spark):
+    rows = [(1, None, "b"), (2, None, "a"), (3, None, "a"), (4, None, "b"), (5, None, None)]
+    df = spark.createDataFrame(rows, "row_id long, empty double, c string")
+    med = fe.MedianImputer(inputCols=["empty"]).fit(df)
+    assert "empty" not in med.transform(df).columns  # T14: nothing to impute from
+    mode = fe.ModeImputer(inputCols=["c"]).fit(df)
+    assert mode._stats() == {"c": "a"}  # tie between a and b -> smallest
+    assert mode.transform(df).where("row_id = 5").first()["c"] == "a"
+
+
+def test_scaler_zero_sigma_divides_by_one(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, 3.0)], "row_id long, x double")
+    m = fe.PopulationScaler(inputCols=["x"]).fit(df)
+    assert [r["x"] for r in m.transform(df).collect()] == [0.0, 0.0]
