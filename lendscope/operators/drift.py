@@ -60,9 +60,10 @@ def numeric_long(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
 
 
 def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
-    """(feature, edges, n_base, n_cur, constant_feature) -- collected, one
-    row per feature. One (feature, value) counting pass gives the quantile
-    input, the per-side minima / maxima and the per-side counts."""
+    """(feature, edges, n_base, n_cur, constant_feature) -- one row per
+    feature, as a small literal table. One (feature, value) counting pass is
+    persisted; from it one job collects per-feature extremes, side counts and
+    distinct-value counts, and one job computes the baseline quantiles."""
     spark = both.sparkSession
     long = _long(both, cols)
     is_b = F.col("side") == SIDE_BASE
@@ -70,36 +71,46 @@ def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
               .agg(F.count_if(is_b).alias("cb"), F.count_if(~is_b).alias("cc"))
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        base = vc.select(F.col("feature").alias("g"), F.col("x").alias("v"), F.col("cb").alias("c"))
-        if method == "exact":
-            q = quantiles_of_counts(base, PROBS).withColumnRenamed("g", "feature")
-        else:
-            q = (base.where(F.col("c") > 0).groupBy("g")
-                     .agg(F.percentile_approx("v", PROBS, 100_000).alias("qs"))
-                     .select(F.col("g").alias("feature"), F.posexplode("qs").alias("pi", "q")))
-        raw = (q.groupBy("feature")
-                .agg(F.array_sort(F.collect_set(F.round("q", DIGITS))).alias("e")))
         x = F.col("x")
-        mm = vc.groupBy("feature").agg(
+        stats = {r["feature"]: r for r in vc.groupBy("feature").agg(
             F.min(F.when(F.col("cb") > 0, x)).alias("bmin"), F.max(F.when(F.col("cb") > 0, x)).alias("bmax"),
             F.min(F.when(F.col("cc") > 0, x)).alias("cmin"), F.max(F.when(F.col("cc") > 0, x)).alias("cmax"),
-            F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur"))
-        e, n = F.col("e"), F.size(F.col("e"))
-        lo = F.least(e[0], F.col("bmin"), F.col("cmin")) - PAD
-        hi = F.greatest(F.element_at(e, -1), F.col("bmax"), F.col("cmax")) + PAD
-        fixed = F.when(n == 1, F.array(e[0] - SINGLE_PAD, e[0] + SINGLE_PAD)).otherwise(
-            F.concat(F.array(lo), F.slice(e, 2, F.greatest(n - 2, F.lit(0))), F.array(hi)))
-        out = (_feature_table(spark, cols).join(mm, "feature", "left").join(raw, "feature", "left")
-               .select("feature",
-                       F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
-                       F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
-                       F.coalesce("n_cur", F.lit(0)).cast("long").alias("n_cur"),
-                       (n == 1).alias("constant_feature")))
-        # One row per feature with at most 11 edges: collected once so the
-        # histogram pass does not recompute the quantile jobs.
-        return spark.createDataFrame(out.collect(), out.schema)
+            F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur"),
+            F.count_if(F.col("cb") > 0).alias("distinct_base")).collect()}
+        base = vc.select(F.col("feature").alias("g"), F.col("x").alias("v"), F.col("cb").alias("c"))
+        widest = max((r["distinct_base"] for r in stats.values()), default=0)
+        if widest == 0:
+            qs = {}
+        elif method == "exact":
+            qrows = quantiles_of_counts(base, PROBS, widest=widest).collect()
+            qs = {}
+            for r in qrows:
+                qs.setdefault(r["g"], []).append(r["q"])
+        else:
+            qrows = (base.where(F.col("c") > 0).groupBy("g")
+                         .agg(F.percentile_approx("v", PROBS, 100_000).alias("qs")).collect())
+            qs = {r["g"]: list(r["qs"]) for r in qrows}
     finally:
         vc.unpersist()
+    rows = []
+    for c in cols:
+        st = stats.get(c)
+        rows.append((c, qs.get(c), st["bmin"] if st else None, st["bmax"] if st else None,
+                     st["cmin"] if st else None, st["cmax"] if st else None,
+                     int(st["n_base"]) if st else 0, int(st["n_cur"]) if st else 0))
+    lit = spark.createDataFrame(rows, "feature string, q array<double>, bmin double, bmax double, "
+                                      "cmin double, cmax double, n_base long, n_cur long")
+    # Rounding, de-duplication and the outer-edge fix-up as Spark expressions
+    # (same rounding as the values) over the one-row-per-feature table.
+    e = F.array_sort(F.array_distinct(F.transform("q", lambda v: F.round(v, DIGITS))))
+    lit = lit.withColumn("e", e)
+    e, n = F.col("e"), F.size(F.col("e"))
+    lo = F.least(e[0], F.col("bmin"), F.col("cmin")) - PAD
+    hi = F.greatest(F.element_at(e, -1), F.col("bmax"), F.col("cmax")) + PAD
+    fixed = F.when(n == 1, F.array(e[0] - SINGLE_PAD, e[0] + SINGLE_PAD)).otherwise(
+        F.concat(F.array(lo), F.slice(e, 2, F.greatest(n - 2, F.lit(0))), F.array(hi)))
+    return lit.select("feature", F.transform(fixed, lambda v: F.round(v, DIGITS)).alias("edges"),
+                      "n_base", "n_cur", (n == 1).alias("constant_feature"))
 
 
 def _bins(both: DataFrame, cols, edges: DataFrame) -> DataFrame:

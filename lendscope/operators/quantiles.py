@@ -51,16 +51,23 @@ def exact_quantiles(long: DataFrame, group: str, value: str, probs,
 
 
 def quantiles_of_counts(vc: DataFrame, probs, partitions: int | None = None,
-                        max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
-    """Same as :func:`exact_quantiles` over a pre-counted (g, v, c) table."""
+                        max_group_distinct: int = MAX_GROUP_DISTINCT,
+                        widest: int | None = None) -> DataFrame:
+    """Same as :func:`exact_quantiles` over a pre-counted (g, v, c) table.
+
+    ``widest`` -- the largest number of distinct values in a group, when the
+    caller already knows it -- saves the counting job."""
     spark = vc.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = "g"
     gtype = dict(vc.dtypes)["g"]
-    vc = vc.where(F.col("c") > 0).persist(StorageLevel.MEMORY_AND_DISK)
+    vc = vc.where(F.col("c") > 0)
+    if widest is None:
+        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        widest = vc.groupBy("g").count().agg(F.max("count")).first()[0]
+        if widest is None:
+            widest = vc.groupBy("g").count().agg(F.max("count")).first()[0]
         if widest is None:
             return spark.createDataFrame([], f"{group} {gtype}, pi int, p double, q double")
         if widest <= max_group_distinct:
