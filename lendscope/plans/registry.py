@@ -932,3 +932,24 @@ def q_test_evaluation(spark, d):
     m.write().overwrite().save(path)
     e = rf_ops.evaluate_version(path, _split_view(spark, d, "test"), "logistic_regression")
     return e.select(*_EVAL_COLS[:5], *[r6(c).alias(c) for c in _EVAL_COLS[5:]])
+
+
+# ---------------------------------------------------------------- delimited source
+
+from ..sources import files as fl  # noqa: E402
+from ..sources.tables import loans_raw  # noqa: E402
+from ..operators.clean import clean_loans  # noqa: E402
+
+
+@register("csv_clean", O.with_front(select="SELECT row_id, " + ", ".join(
+    f"{O.d6(c)} AS {c}" for c in NUMERIC) + ", " + ", ".join(FEATURE_CAT) + ", loan_status, issue_year FROM clean"))
+def q_csv_clean(spark, d):
+    """Raw loans written as gzip-compressed delimited text (every field as
+    text), discovered recursively by name pattern, read with the explicit
+    raw schema and cleaned."""
+    path = shared_dir(spark, "raw-csv")
+    raw = loans_raw(spark, d)
+    fl.write_table(raw.select([F.col(c).cast("string").alias(c) if c != "row_id" else F.col(c)
+                               for c in raw.columns]), path + "/accepted", fmt="csv", compression="gzip")
+    c = clean_loans(fl.read_loans(spark, path, glob="part-*.csv*"))
+    return c.select("row_id", *[r6(x).alias(x) for x in NUMERIC], *FEATURE_CAT, "loan_status", "issue_year")
