@@ -953,3 +953,13 @@ def q_csv_clean(spark, d):
                                for c in raw.columns]), path + "/accepted", fmt="csv", compression="gzip")
     c = clean_loans(fl.read_loans(spark, path, glob="part-*.csv*"))
     return c.select("row_id", *[r6(x).alias(x) for x in NUMERIC], *FEATURE_CAT, "loan_status", "issue_year")
+
+
+@register("drift_report_no_month", O.with_front(*_DRIFT_CTES, select=f"""
+SELECT feature, feature_type, {O.d6('metric')} AS metric, drift_status FROM report WHERE feature <> 'issue_d'"""))
+def q_drift_report_no_month(spark, d):
+    """The drift report with the month column excluded: as a category it is
+    disjoint between any two periods and always reads 2.0 (T4)."""
+    tr, pr = _train_prod(spark, d)
+    r = drift_ops.drift_report(tr, pr, exclude=("issue_d",))
+    return r.select("feature", "feature_type", r6("metric").alias("metric"), "drift_status")

@@ -1,8 +1,7 @@
 """Session construction and shared-storage helpers.
 
-Everything the jobs need from the session is set here once: UTC time zone,
-adaptive execution with skew-join splitting, and a window group-limit
-threshold large enough for the per-stratum caps. Tests and the bench build
+Everything the jobs need from the session is set here once: UTC time zone
+and adaptive execution with skew-join splitting. Tests and the bench build
 their session through :func:`get_session`; library functions never create a
 session themselves.
 """
@@ -15,10 +14,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Largest literal per-group cap the sampling jobs use; rank filters up to this
-# bound are pruned per task before the shuffle (WindowGroupLimit).
-GROUP_LIMIT_THRESHOLD = 100_000
-
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app: str = "lendscope", extra: dict | None = None) -> SparkSession:
@@ -31,7 +26,6 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.optimizer.windowGroupLimitThreshold": str(GROUP_LIMIT_THRESHOLD),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
