@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import exact_quantiles
+from .small import known
 
 
 class _Stats(Params):
@@ -190,13 +191,16 @@ def category_slots(model) -> DataFrame:
 
 
 def one_hot_long(model, df: DataFrame, cat, key: str = "row_id") -> DataFrame:
+    from pyspark.ml.feature import StringIndexerModel
     """(key, slot, name) for every categorical value seen at fit time --
     the non-zero entries of the one-hot block, as a long table."""
     mode = _stage(model, ModeImputerModel)
     imputed = mode.transform(df.select(key, *cat))
     long = imputed.unpivot([key], list(cat), "feature", "value")
     slots = category_slots(model)
-    return (long.join(F.broadcast(slots), ["feature", "value"])  # bounded by categories
+    n_slots = sum(len(x) for x in (_stage(model, StringIndexerModel).labelsArray
+                                   if _stage(model, StringIndexerModel) else []))
+    return (long.join(known(slots, n_slots), ["feature", "value"])  # fitted categories, size known
                 .select(key, "slot", F.concat(F.lit("cat__"), F.col("feature"), F.lit("_"),
                                               F.col("value")).alias("name")))
 
@@ -217,7 +221,3 @@ def pos_weight(df: DataFrame, label: str = "loan_status") -> DataFrame:
                                                   F.lit(1.0)))
 
 
-def with_weights(df: DataFrame, label: str = "loan_status", out: str = "weight") -> DataFrame:
-    """Attach balanced class weights as a column (broadcast: one row per class)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .small import bounded
+
 SEED = 42
 BUCKET_HEX = 4  # 16 bits
 
@@ -54,8 +56,9 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
              seed: int = SEED, quota_col: str = "quota") -> DataFrame:
     """Rows of ``df`` with the ``quota`` smallest hashes of ``key`` per stratum.
 
-    ``quotas`` has one row per stratum (bounded by the number of strata) and
-    is broadcast.
+    ``quotas`` and the cut table have one row per stratum; they are
+    broadcast when that count is within the broadcast bound, joined by
+    shuffle otherwise.
     """
     strata = list(strata)
     h = order_key(key, seed)
@@ -64,7 +67,7 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
     cnt = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cum = (cnt.withColumn("_cum", F.sum("_c").over(w))
-              .join(F.broadcast(quotas.select(*strata, F.col(quota_col).alias("_q"))), strata))
+              .join(bounded(quotas.select(*strata, F.col(quota_col).alias("_q"))), strata))
     # Boundary bucket per stratum: first bucket whose running count reaches q.
     cut = (cum.where((F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0))
               .groupBy(*strata)
@@ -76,7 +79,7 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
                 .where(F.col("_n") <= F.col("_q")).select(*strata))
     lim = (cut.join(whole.withColumn("_all", F.lit(True)), strata, "full")
               .select(*strata, "_cut", "_need", F.coalesce("_all", F.lit(False)).alias("_all")))
-    tagged = keyed.join(F.broadcast(lim), strata)  # one row per stratum
+    tagged = keyed.join(bounded(lim), strata)  # one row per stratum, size-checked
     below = tagged.where(F.col("_all") | (F.col("_b") < F.col("_cut")))
     edge = tagged.where(~F.col("_all") & (F.col("_b") == F.col("_cut")))
     rk = Window.partitionBy(*strata, "_b").orderBy("_h")

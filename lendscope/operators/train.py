@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import class_weights, feature_pipeline, feature_names, pos_weight
+from .small import bounded
 
 LABEL = "loan_status"
 # Learner settings of the reference.
@@ -27,7 +28,7 @@ GBT_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
 def balanced(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
     """Attach balanced class weights n / (k * n_c) (broadcast: one row per class)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(bounded(w), label)  # one row per class, size-checked
 
 
 def positive_weighted(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:

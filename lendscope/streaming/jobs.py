@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantiles
+from ..operators.small import MAX_BROADCAST_ROWS
 from ..session import shared_dir
 
 DIGITS = 9
@@ -49,7 +50,8 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     inner = F.slice("e", 2, F.greatest(n - 2, F.lit(0)))
     # One row per group: collected (bounded) so the stream joins a literal table.
     rows = e.select(group, inner.alias("inner")).collect()
-    return baseline.sparkSession.createDataFrame(rows, f"{group} string, inner array<double>")
+    return baseline.sparkSession.createDataFrame(rows, f"{group} string, inner array<double>").hint(
+        "broadcast" if len(rows) <= MAX_BROADCAST_ROWS else "shuffle_hash")
 
 
 def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts: str,
@@ -66,7 +68,7 @@ def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts
     tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     s = (stream.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz))
                .withWatermark(ts, watermark)
-               .join(F.broadcast(edges), group)  # one row per group
+               .join(edges, group)  # one row per group; hinted by baseline_edges
                .select(ts, group, bin_.alias("bin")))
     return (s.groupBy(F.window(ts, window).alias("w"), group, "bin")
              .agg(F.count(F.lit(1)).alias("n"))
