@@ -963,3 +963,19 @@ def q_drift_report_no_month(spark, d):
     tr, pr = _train_prod(spark, d)
     r = drift_ops.drift_report(tr, pr, exclude=("issue_d",))
     return r.select("feature", "feature_type", r6("metric").alias("metric"), "drift_status")
+
+
+@register("score_stream_model")
+def q_score_stream_model(spark, d):
+    """Arriving applications (the prod rows of the stored table, read as a
+    file stream) scored by the fitted logistic-regression version."""
+    m = fitted(spark, d, "logistic_regression")
+    path = stored_path(spark, d)
+    schema = spark.read.parquet(path).schema
+    lo, hi = FIXTURE_SPLITS["prod"]
+    src = (spark.readStream.schema(schema).parquet(path)
+           .where(F.col("issue_year").between(lo, hi))
+           .withColumn("issue_d", F.col("issue_d").cast("string")))
+    out = sj.run_to_parquet(sj.score_stream_model(src, m), spark, "score-stream-model")
+    return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"),
+                      "risk_score")

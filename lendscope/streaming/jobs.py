@@ -40,6 +40,15 @@ def score_stream(stream: DataFrame, score: Column, key: str = "row_id") -> DataF
                               F.when(F.col("y_pred") == 1, "High Risk").otherwise("Low Risk")))
 
 
+def score_stream_model(stream: DataFrame, model, key: str = "row_id") -> DataFrame:
+    """Streaming scoring with a fitted version (transform + learner): the
+    pipeline is stateless per row, so it runs unchanged on micro-batches."""
+    from ..operators.score import risk_bands, positive_prob
+    out = model.transform(stream).select(key, positive_prob().alias("y_prob"),
+                                         F.col("prediction").cast("int").alias("y_pred"))
+    return risk_bands(out)
+
+
 def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     """Frozen decile edges per group from a batch baseline: (group, inner)
     where ``inner`` are the distinct interior edges (rounded to 9)."""
