@@ -75,12 +75,26 @@ def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
     return Pipeline(stages=feature_pipeline(num, cat).getStages() + [est])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Learners run one task per input partition and pass; a small stored
-    table can be a single partition, so spread it over the cluster's cores
-    (no-op when the input already has that many partitions)."""
+# Rows per training task: a logistic-regression pass is cheap per row, so
+# small inputs use few tasks (fewer tree-aggregation levels per iteration);
+# tree learners do far more work per row and use every core.
+ROWS_PER_TASK = {"logistic": 20_000, "trees": 1_000}
+
+
+def spread(df: DataFrame, n_rows: int | None = None, rows_per_task: int = 1_000) -> DataFrame:
+    """Size the learner input: about ``rows_per_task`` rows per partition, at
+    most the cluster's default parallelism. A stored table can be one
+    partition (too few tasks) or many tiny ones (too many per-iteration
+    tasks); large inputs are left as they are."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    n_rows = df.count() if n_rows is None else n_rows
+    target = max(1, min(par, -(-n_rows // rows_per_task)))
+    cur = df.rdd.getNumPartitions()
+    if cur < target:
+        return df.repartition(target)
+    if cur > target and n_rows < par * rows_per_task:
+        return df.coalesce(target)
+    return df
 
 
 def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
@@ -88,9 +102,10 @@ def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
 
     ``features_model`` -- a feature pipeline already fitted on the same
     training rows -- is reused instead of fitting the statistics again."""
-    train = spread(train)
+    n = train.count()
+    family = "logistic" if "logistic" in key else "trees"
+    train = spread(train, n, ROWS_PER_TASK[family])
     weighted = positive_weighted(train) if ("xgboost" in key or "boost" in key) else balanced(train)
-    n = train.count() if "logistic" in key else 1
     if features_model is None:
         return learner(key, num, cat, n_rows=n, **params).fit(weighted)
     est = learner(key, num, cat, n_rows=n, **params).getStages()[-1]
