@@ -178,6 +178,16 @@ def promotion_reason(decision: DataFrame) -> Column:
         _f4("dep_f1"), F.lit(")."))
 
 
+def append_version(versions: DataFrame, record: DataFrame) -> DataFrame:
+    """Append a record as the next version: version = current + 1 and
+    previous_version = current (an empty table starts at 1). The version
+    table is append-only; the current record is the highest version."""
+    cur = versions.agg(F.max(F.coalesce("version", F.lit(1)))).first()[0] or 0  # one number
+    nxt = (record.withColumn("version", F.lit(cur + 1).cast("int"))
+                 .withColumn("previous_version", F.lit(cur if cur > 0 else None).cast("int")))
+    return versions.unionByName(nxt.select(*versions.columns))
+
+
 def current_version(versions: DataFrame) -> DataFrame:
     """The record with the highest version (missing version counts as 1),
     with reason and date defaults and a display name."""

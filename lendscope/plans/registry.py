@@ -708,13 +708,16 @@ def model_versions(spark, d):
     key = rk.model_key("model_name")
     champ = rk.selection_reason(_ranked(spark, d)).select(
         "model_name", key.alias("key"), rk.model_path(key).alias("path"), "reason").first()
-    rows = [(1, champ["key"], champ["path"], champ["reason"], as_of, None, champ["model_name"])]
+    empty = spark.createDataFrame([], VERSION_SCHEMA)
+    versions = rk.append_version(empty, spark.createDataFrame(
+        [(None, champ["key"], champ["path"], champ["reason"], as_of, None, champ["model_name"])], VERSION_SCHEMA))
     dec = _decision(spark, d)
     dec = dec.select("promoted", rk.promotion_reason(dec).alias("reason")).first()
     if dec is not None and dec["promoted"]:
-        rows.append((2, champ["key"], f"artifacts/models/{champ['key']}_latest.joblib", dec["reason"],
-                     as_of, 1, champ["model_name"]))
-    return spark.createDataFrame(rows, VERSION_SCHEMA)
+        versions = rk.append_version(versions, spark.createDataFrame(
+            [(None, champ["key"], f"artifacts/models/{champ['key']}_latest.joblib", dec["reason"],
+              as_of, None, champ["model_name"])], VERSION_SCHEMA))
+    return versions
 
 
 _SQL_VERSIONS = f"""as_of_d AS (SELECT strftime(MAX(issue_d), '%Y-%m-%d') AS date FROM splits),
@@ -979,3 +982,16 @@ def q_score_stream_model(spark, d):
     out = sj.run_to_parquet(sj.score_stream_model(src, m), spark, "score-stream-model")
     return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"),
                       "risk_score")
+
+
+@register("missing_after_transform", O.with_front(_SQL_MED, _SQL_MODE, select=" UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE COALESCE({c}, (SELECT median FROM med WHERE feature = '{c}')) IS NULL) AS missing FROM feat"
+     for c in NUMERIC]
+    + [f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE COALESCE({c}, (SELECT mode FROM mode WHERE feature = '{c}')) IS NULL) AS missing FROM feat"
+       for c in FEATURE_CAT])))
+def q_missing_after_transform(spark, d):
+    """Missing values per feature column after the fitted imputation, over
+    every split (PRF-3, after the transform)."""
+    s = stored_splits(spark, d)
+    out = fitted_features(spark, d).transform(feature_view(s, drop=("loan_status", "issue_year")))
+    return prof.missing_by_column(out, NUMERIC + FEATURE_CAT)

@@ -179,3 +179,19 @@ def test_metric_records_reader_skips_files(spark, tmp_path):
     r = {x["model_name"]: x for x in rank.read_metric_records(spark, str(tmp_path)).collect()}
     assert set(r) == {"A", "B"}
     assert r["A"]["training_time"] == 0.0 and r["B"]["training_time"] == 2.5
+
+
+def test_append_and_current_version(spark):
+    schema = "version int, selected_model string, model_path string, reason string, date string, previous_version int"
+    empty = spark.createDataFrame([], schema)
+    rec = spark.createDataFrame([(None, "logistic_regression", "p1", "first", "2024-01-01", None)], schema)
+    v = rank.append_version(empty, rec)
+    assert [(r["version"], r["previous_version"]) for r in v.collect()] == [(1, None)]
+    v = rank.append_version(v, rec.withColumn("reason", F.lit("second")))
+    cur = rank.current_version(v).first()
+    assert (cur["version"], cur["previous_version"], cur["reason"]) == (2, 1, "second")
+    assert cur["display_name"] == "Logistic Regression"
+    # a record without version or reason counts as version 1 with defaults
+    legacy = spark.createDataFrame([(None, "random_forest", "p", None, None, None)], schema)
+    cur = rank.current_version(legacy).first()
+    assert (cur["version"], cur["reason"], cur["date"]) == (1, "No reason recorded", "N/A")
