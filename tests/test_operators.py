@@ -195,3 +195,32 @@ def test_append_and_current_version(spark):
     legacy = spark.createDataFrame([(None, "random_forest", "p", None, None, None)], schema)
     cur = rank.current_version(legacy).first()
     assert (cur["version"], cur["reason"], cur["date"]) == (1, "No reason recorded", "N/A")
+
+
+def test_classification_report_golden(spark):
+    # The reference's held-out confusion counts and its report
+    # printed at 2 decimals (label: precision, recall, f1, support).
+    tn, fp, fn, tp = 8870, 6503, 1328, 3299
+    rows = ([("lr", 0, 0, 0.1)] * tn + [("lr", 0, 1, 0.9)] * fp
+            + [("lr", 1, 0, 0.1)] * fn + [("lr", 1, 1, 0.9)] * tp)
+    df = spark.createDataFrame(rows, "model_name string, y_true int, y_pred int, y_prob double")
+    got = {r["label"]: r for r in evaluate.classification_report(df).collect()}
+    expected = {"0": (0.87, 0.58, 0.69, 15373), "1": (0.34, 0.71, 0.46, 4627),
+                "accuracy": (None, None, 0.61, 20000), "macro avg": (0.60, 0.64, 0.58, 20000),
+                "weighted avg": (0.75, 0.61, 0.64, 20000)}
+    for label, (p, r, f, n) in expected.items():
+        g = got[label]
+        assert (None if g["precision"] is None else round(g["precision"], 2)) == p
+        assert (None if g["recall"] is None else round(g["recall"], 2)) == r
+        assert round(g["f1_score"], 2) == f and g["support"] == n
+    m = evaluate.binary_metrics(df).first()
+    assert m["f1_score"] == pytest.approx(0.45727354633030703, abs=1e-15)
+
+
+def test_column_roles_boolean_is_categorical():
+    from pyspark.sql import types as T
+    from lendscope.operators.clean import column_roles
+    schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.BooleanType()),
+                           T.StructField("c", T.StringType()), T.StructField("loan_status", T.IntegerType()),
+                           T.StructField("n", T.LongType())])
+    assert column_roles(schema) == (["a", "n"], ["b", "c"])
