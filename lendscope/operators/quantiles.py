@@ -123,3 +123,42 @@ def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, parti
         (r_lo, v_lo), (_, v_hi) = a[0], a[1]
         rows.append((g, i, a["p"], v_lo + (v_hi - v_lo) * (a["pos"] - r_lo)))
     return spark.createDataFrame(rows, f"{group} {gtype}, pi int, p double, q double")
+
+
+def prefix_before(df: DataFrame, by, order: str, value: str, out: str = "before",
+                  partitions: int | None = None) -> DataFrame:
+    """Adds ``out`` = sum of ``value`` over the rows of the same ``by`` group
+    whose ``order`` is smaller (``order`` unique within a group).
+
+    Distributed: rows are range-partitioned on (by, order), summed inside
+    each partition, and shifted by the totals of earlier partitions (at most
+    partitions x groups numbers, collected and broadcast). Eager: the result
+    is computed and persisted; call ``unpersist`` on it when done.
+    """
+    spark = df.sparkSession
+    by = list(by)
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(partitions, *by, order)
+                .withColumn("_pid", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        part = ranged.groupBy("_pid", *by).agg(F.sum(value).alias("_pc")).collect()
+        run, offsets = {}, []
+        for r in sorted(part, key=lambda r: (tuple(str(r[b]) for b in by), r["_pid"])):
+            k = tuple(r[b] for b in by)
+            offsets.append((r["_pid"], *k, run.get(k, 0)))
+            run[k] = run.get(k, 0) + r["_pc"]
+        types = dict(df.dtypes)
+        off_schema = ", ".join(["_pid int"] + [f"{b} {types[b]}" for b in by] + ["_off long"])
+        off_df = spark.createDataFrame(offsets, off_schema)
+        w = Window.partitionBy("_pid", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        res = (ranged.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
+                     .join(F.broadcast(off_df), ["_pid", *by])  # partitions x groups rows
+                     .withColumn(out, F.col("_off") + F.col("_in"))
+                     .drop("_pid", "_in", "_off")
+                     .persist(StorageLevel.MEMORY_AND_DISK))
+        res.count()
+        return res
+    finally:
+        ranged.unpersist()

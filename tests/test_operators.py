@@ -130,6 +130,13 @@ def test_roc_auc_exact_and_invariant(spark):
     df = spark.createDataFrame([("m", int(a), float(b)) for a, b in zip(y, s)], "model_name string, y_true int, y_prob double")
     auc = evaluate.roc_auc(df, digits=None).first()["roc_auc"]
     assert auc == pytest.approx(_auc_brute(y, s), abs=1e-12)
+    # the distributed prefix-sum path (no per-group bound) gives the same value
+    dist = evaluate.roc_auc(df, max_group_distinct=0).first()["roc_auc"]
+    assert dist == pytest.approx(auc, abs=1e-12)
+    raw = (rng.random(300) + 0.2 * y)  # unrounded scores: exact, no ties introduced
+    df2 = spark.createDataFrame([("m", int(a), float(b)) for a, b in zip(y, raw)], "model_name string, y_true int, y_prob double")
+    assert evaluate.roc_auc(df2).first()["roc_auc"] == pytest.approx(_auc_brute(y, raw), abs=1e-12)
+    assert evaluate.roc_auc(df2, max_group_distinct=0).first()["roc_auc"] == pytest.approx(_auc_brute(y, raw), abs=1e-12)
     neg = evaluate.roc_auc(df.withColumn("y_prob", -F.col("y_prob")), digits=None).first()["roc_auc"]
     assert neg == pytest.approx(1 - auc, abs=1e-12)
     mono = evaluate.roc_auc(df.withColumn("y_prob", F.exp("y_prob")), digits=None).first()["roc_auc"]
