@@ -533,8 +533,22 @@ auc_{split} AS (SELECT model_name, CAST(SUM(pos) AS BIGINT) AS positives, CAST(S
 ev_{split} AS (SELECT b.*, a.roc_auc FROM bm_{split} b LEFT JOIN auc_{split} a ON a.model_name = b.model_name)"""
 
 
+_EVALS: dict = {}
+
+
+def _evaluation(spark, d, split):
+    """Per-model evaluation of the rule scores on a split (one row per model),
+    computed once per session and input."""
+    key = (spark.sparkContext.applicationId, d, split)
+    if key not in _EVALS:
+        e = ev.evaluation(scored(spark, d, split))
+        _EVALS[key] = (e.collect(), e.schema)
+    rows, schema = _EVALS[key]
+    return spark.createDataFrame(rows, schema)
+
+
 def _records(spark, d, split="val"):
-    e = ev.evaluation(scored(spark, d, split))
+    e = _evaluation(spark, d, split)
     return e.withColumn("training_time", F.lit(0.0)) \
             .withColumn("file_name", F.concat(rk.model_key("model_name"), F.lit("_metrics.json")))
 
@@ -671,8 +685,8 @@ def q_model_keys(spark, d):
 
 def _champion_on(spark, d, split):
     champ = _ranked(spark, d).where(F.col("rank") == 1).select("segment", "model_name")
-    e = ev.evaluation(scored(spark, d, split))
-    return e.join(F.broadcast(champ), "model_name")  # one row
+    e = _evaluation(spark, d, split)
+    return e.join(F.broadcast(champ), "model_name")  # one row per model on each side
 
 
 def _decision(spark, d):
