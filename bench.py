@@ -35,13 +35,20 @@ def main():
     t0 = time.time()
     pipeline.stored_path(spark, sf_dir)
     times["prepare_splits"] = round(time.time() - t0, 3)
+    errors = {}
     for name in names:
         t = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.time() - t, 3)
+        except Exception as e:  # noqa: BLE001 -- report, keep the one-line contract
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "headline_total", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
