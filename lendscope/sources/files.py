@@ -38,3 +38,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     if fmt == "csv":
         w = w.options(**_CSV_TEXT)
     w.format(fmt).save(path)
+
+
+def read_applications(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Application records (JSON lines or delimited) under the input contract:
+    every field is read as text, so numbers that do not parse reach the
+    score-time coercion instead of failing the read."""
+    from ..operators.score import APPLICATION_SCHEMA
+    r = spark.read.schema(APPLICATION_SCHEMA).option("mode", "PERMISSIVE")
+    if fmt == "json":
+        return r.option("primitivesAsString", "true").json(path)
+    return r.options(**_CSV_TEXT).csv(path)

@@ -34,3 +34,42 @@ def test_read_and_clean_delimited_loans(spark, tmp_path):
     assert clean[1]["loan_status"] == 0 and clean[2]["loan_status"] == 1
     assert clean[1]["issue_year"] == 2016 and str(clean[2]["issue_d"]) == "2015-12-01"
     assert clean[1]["term"] == "36 months"
+
+
+def test_applications_contract_and_coercion(spark, tmp_path):
+    import json
+    from pyspark.sql import functions as F
+    from lendscope.operators import score as sc
+    from lendscope.sources.files import read_applications
+    # The documented example request, plus a bad number, an
+    # untrimmed term and a request missing a required field.
+    example = {"annual_inc": 78000.0, "emp_length": "10+ years", "home_ownership": "MORTGAGE", "addr_state": "CA",
+               "loan_amnt": 15000.0, "term": " 36 months", "int_rate": 11.49, "installment": 356.48,
+               "purpose": "debt_consolidation", "issue_d": "2018-01-01", "fico_range_low": 710.0,
+               "fico_range_high": 714.0, "open_acc": 12.0, "revol_util": 38.5, "dti": 14.2, "grade": "B",
+               "sub_grade": "B2", "verification_status": "Source Verified"}
+    bad = dict(example, row_id=2, dti="fourteen")
+    missing = {k: v for k, v in example.items() if k != "grade"} | {"row_id": 3}
+    lines = [json.dumps(dict(example, row_id=1)), json.dumps(bad), json.dumps(missing)]
+    (tmp_path / "apps.json").write_text("\n".join(lines) + "\n")
+    apps = read_applications(spark, str(tmp_path / "apps.json"))
+    ok, rejected = sc.split_rejects(apps)
+    assert [r["row_id"] for r in rejected.collect()] == [3]
+    x = {r["row_id"]: r for r in sc.coerce_applications(ok).collect()}
+    assert x[1]["dti"] == 14.2 and x[2]["dti"] == 0.0  # bad number -> 0.0 (T11)
+    assert x[1]["term"] == "36 months"  # trimmed at scoring (T10)
+    bands = sc.risk_bands(spark.createDataFrame([(0.46500, 0), (0.5, 0), (0.99995, 1)], "y_prob double, y_pred int"))
+    got = [(r["prediction_label"], float(r["probability"]), r["risk_score"]) for r in bands.collect()]
+    assert got == [("Low Risk", 0.465, 46), ("Low Risk", 0.5, 50), ("High Risk", 1.0, 100)]  # half-even
+
+
+def test_compare_rule_column_matches_python(spark):
+    from lendscope.operators import rank
+    recs = [(0.700, 0.50, 0.4, 1.0), (0.704, 0.45, 0.5, 2.0), (0.708, 0.40, 0.6, 3.0), (0.7001, 0.50, 0.4, 0.5)]
+    f = ["roc_auc", "f1_score", "recall", "training_time"]
+    pairs = [(dict(zip(f, a)), dict(zip(f, b))) for a in recs for b in recs if a != b]
+    df = spark.createDataFrame([(a, b) for a, b in pairs],
+                               "a struct<roc_auc double, f1_score double, recall double, training_time double>, "
+                               "b struct<roc_auc double, f1_score double, recall double, training_time double>")
+    got = [r[0] for r in df.select(rank.compare_col("a", "b")).collect()]
+    assert got == [rank.compare(a, b) for a, b in pairs]
