@@ -37,13 +37,14 @@ def positive_weighted(df: DataFrame, label: str = LABEL, out: str = "weight") ->
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(pw))).otherwise(F.lit(1.0)))
 
 
-def lr(n_rows: int, C: float = 1.0, maxIter: int = 1000, **kw) -> LogisticRegression:
+def lr(n_rows: int, C: float = 1.0, maxIter: int = 1000, tol: float = 1e-10,
+       **kw) -> LogisticRegression:
     """L2 logistic regression matching ``C * sum(w_i * loss_i) + ||b||^2 / 2``:
     Spark minimises ``sum(w_i * loss_i) / sum(w_i) + regParam * ||b||^2 / 2``
     and balanced weights sum to n, so regParam = 1 / (C * n)."""
     return LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight",
                               regParam=1.0 / (C * max(n_rows, 1)), elasticNetParam=0.0,
-                              standardization=False, maxIter=maxIter, tol=1e-10, **kw)
+                              standardization=False, maxIter=maxIter, tol=tol, **kw)
 
 
 def rf(**p) -> RandomForestClassifier:

@@ -15,21 +15,39 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "lendscope", extra: dict | None = None) -> SparkSession:
+    """Build (or reuse) a session with the settings the jobs rely on.
+
+    Shuffle sizing: in local mode a small fixed partition count (default 8)
+    keeps per-task overhead low. On a cluster the cluster's own
+    ``spark.sql.shuffle.partitions`` is kept unless given explicitly, and AQE
+    coalesces shuffle output to ``advisoryPartitionSizeInBytes`` from a large
+    initial partition count, so a 100 TB shuffle is split into tasks of a
+    bounded size instead of a fixed handful. Without ``master`` (a submitted
+    job) only the partition count given here is applied.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    local = bool(master) and master.startswith("local")
     conf = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        "spark.driver.memory": "16g",
     }
+    if local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+        conf["spark.driver.memory"] = "16g"
+    else:
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        if master:  # an explicit cluster master; without one the submitter's settings stand
+            conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "20000"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
