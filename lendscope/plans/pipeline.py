@@ -29,7 +29,9 @@ def scan_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_loans(scan_loans(spark, sf_dir))
+    # Undecided loans are dropped at the orders scan (see ``loans_raw``);
+    # ``clean_loans`` applies the same status rule again on the label.
+    return clean_loans(apply_null_tokens(loans_raw(spark, sf_dir, decided_only=True)))
 
 
 def splits(spark: SparkSession, sf_dir: str, ranges=FIXTURE_SPLITS) -> DataFrame:
