@@ -73,3 +73,54 @@ def test_compare_rule_column_matches_python(spark):
                                "b struct<roc_auc double, f1_score double, recall double, training_time double>")
     got = [r[0] for r in df.select(rank.compare_col("a", "b")).collect()]
     assert got == [rank.compare(a, b) for a, b in pairs]
+
+
+def test_decided_only_scan_pushes_status_and_keeps_rows(spark, small):
+    """Dropping undecided loans at the orders scan gives the same cleaned rows
+    as the status filter on the label, and the predicate reaches the reader."""
+    from pyspark.sql import functions as F
+
+    from lendscope.operators.clean import apply_null_tokens
+    from lendscope.sources.tables import loans_raw
+
+    early = clean_loans(apply_null_tokens(loans_raw(spark, small, decided_only=True)))
+    late = clean_loans(apply_null_tokens(loans_raw(spark, small)))
+    assert early.count() == late.count() > 0
+    assert early.exceptAll(late).count() == 0 and late.exceptAll(early).count() == 0
+    raw = loans_raw(spark, small, decided_only=True)
+    assert raw.where(F.col("loan_status") == "Current").count() == 0
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderstatus" in plan and "PushedFilters: [Or(IsNull(o_orderstatus)" in plan
+
+
+def test_session_shuffle_sizing_by_master():
+    """A cluster master keeps the cluster's shuffle count and gets AQE's large
+    initial count; a local master gets a small fixed count (conf only, no JVM)."""
+    from unittest import mock
+
+    from lendscope import session as S
+
+    seen = {}
+
+    class B:
+        def appName(self, _):
+            return self
+
+        def master(self, m):
+            seen["master"] = m
+            return self
+
+        def config(self, k, v):
+            seen[k] = v
+            return self
+
+        def getOrCreate(self):
+            return mock.MagicMock()
+
+    for master, want_parts, want_initial in (("local[4]", "8", None),
+                                             ("spark://h:7077", None, "20000")):
+        seen.clear()
+        with mock.patch.object(S.SparkSession, "builder", B()):
+            S.get_session(master)
+        assert seen.get("spark.sql.shuffle.partitions") == want_parts
+        assert seen.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == want_initial
