@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import prefix_before
 from .small import bounded
 
 SEED = 42
@@ -98,3 +99,18 @@ def stratified_cap(df: DataFrame, n: int, by: str = "issue_year", label: str = "
 def seeded_order(df: DataFrame, key: str = "row_id", seed: int = SEED) -> DataFrame:
     """Global seeded shuffle: a range-partitioned sort on the hash key."""
     return df.withColumn("shuffle_key", order_key(key, seed)).orderBy("shuffle_key", key)
+
+
+def seeded_positions(df: DataFrame, key: str = "row_id", seed: int = SEED) -> DataFrame:
+    """Every row with ``shuffle_key`` and its 0-based ``shuffle_pos`` in the
+    seeded global order (hash, then key).
+
+    A global ``row_number`` would put the whole table in one task; instead the
+    rows are range-partitioned on the order and each position is the count
+    of rows before it (``prefix_before``: running counts per partition plus
+    the totals of earlier partitions). Eager and persisted, like
+    ``prefix_before``."""
+    o = (df.withColumn("shuffle_key", order_key(key, seed))
+           .withColumn("_ord", F.struct("shuffle_key", F.col(key)))
+           .withColumn("_one", F.lit(1).cast("long")))
+    return prefix_before(o, [], "_ord", "_one", out="shuffle_pos").drop("_ord", "_one")

@@ -275,6 +275,14 @@ def q_shuffle_head(spark, d):
     return smp.seeded_order(_capped(spark, d)).select("row_id", "shuffle_key").limit(SHUFFLE_HEAD)
 
 
+@register("shuffle_order", O.with_front(_SQL_QUOTA, _SQL_CAP, select="""
+SELECT row_id, shuffle_key, ROW_NUMBER() OVER (ORDER BY shuffle_key, row_id) - 1 AS shuffle_pos
+FROM (SELECT row_id, md5(concat_ws('_', '42', CAST(row_id AS VARCHAR))) AS shuffle_key FROM capped)"""))
+def q_shuffle_order(spark, d):
+    """The whole capped sample in its seeded global order, with positions."""
+    return smp.seeded_positions(_capped(spark, d)).select("row_id", "shuffle_key", "shuffle_pos")
+
+
 @register("year_counts", O.with_front(_SQL_QUOTA, _SQL_CAP, select="""
 SELECT a.issue_year, a.available, COALESCE(s.sampled, 0) AS sampled
 FROM (SELECT issue_year, COUNT(*) AS available FROM clean GROUP BY issue_year) a
