@@ -9,14 +9,19 @@ Cap: inside each stratum the rows with the smallest
 stratum (possibly a third of the table) into one task, so the cut is located
 from counts instead:
 
-1. every row gets a bucket = the first 16 bits of its hash; counts per
-   (stratum, bucket) are aggregated map-side (at most strata x 65,536 rows);
+1. every row gets a bucket = the first ``b`` bits of its hash; counts per
+   (stratum, bucket) are aggregated map-side (at most strata x 2^b rows);
 2. a running sum over those counts finds, per stratum, the bucket in which
    the quota is reached and how many rows of it are still needed;
 3. rows in earlier buckets are kept by a plain broadcast filter; only the
-   rows of that one boundary bucket (about 1/65,536 of the stratum) are
+   rows of that one boundary bucket (about 2^-b of the stratum) are
    ranked exactly by the full hash.
 
+``b`` is 16 up to strata of 2^32 rows and grows with the largest stratum
+beyond that (about half its bit length, in steps of 4), so the per-stratum
+count table and the boundary bucket -- each ranked in one task -- both stay
+near the square root of the stratum size.
+
 The result is exactly the ``quota`` smallest hashes of each stratum.
 """
 
@@ -29,7 +34,15 @@ from .quantiles import prefix_before
 from .small import bounded
 
 SEED = 42
-BUCKET_HEX = 4  # 16 bits
+MIN_BUCKET_HEX, MAX_BUCKET_HEX = 4, 7  # 16 to 28 bits of the hash
+
+
+def bucket_hex(largest: int | None) -> int:
+    """Hex digits of the bucket prefix for a largest stratum of ``largest`` rows."""
+    if not largest or largest <= 1:
+        return MIN_BUCKET_HEX
+    half_bits = (int(largest - 1).bit_length() + 1) // 2
+    return max(MIN_BUCKET_HEX, min(MAX_BUCKET_HEX, -(-half_bits // 4)))
 
 
 def order_key(key, seed: int = SEED):
@@ -62,13 +75,21 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
     shuffle otherwise.
     """
     strata = list(strata)
+    has_avail = "available" in quotas.columns
+    sel = quotas.select(*strata, F.col(quota_col).alias("_q"),
+                        *(["available"] if has_avail else []))
+    q = bounded(sel)
+    # Largest stratum from the collected quota table (no pass over the data);
+    # a quota table too large to collect keeps the narrowest buckets.
+    largest = q.agg(F.max("available")).first()[0] if has_avail and q is not sel else None
+    digits = bucket_hex(largest)
     h = order_key(key, seed)
     keyed = df.withColumn("_h", h).withColumn(
-        "_b", F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int"))
+        "_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
     cnt = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cum = (cnt.withColumn("_cum", F.sum("_c").over(w))
-              .join(bounded(quotas.select(*strata, F.col(quota_col).alias("_q"))), strata))
+              .join(q.select(*strata, "_q"), strata))
     # Boundary bucket per stratum: first bucket whose running count reaches q.
     cut = (cum.where((F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0))
               .groupBy(*strata)

@@ -231,3 +231,18 @@ def test_column_roles_boolean_is_categorical():
                            T.StructField("c", T.StringType()), T.StructField("loan_status", T.IntegerType()),
                            T.StructField("n", T.LongType())])
     assert column_roles(schema) == (["a", "n"], ["b", "c"])
+
+
+def test_bucket_width_grows_with_largest_stratum():
+    assert sample.bucket_hex(None) == sample.bucket_hex(10_000) == 4
+    assert sample.bucket_hex(2 ** 32) == 4
+    assert sample.bucket_hex(3 * 10 ** 11) == 5   # 2^20 buckets, ~3e5 rows in the boundary one
+    assert sample.bucket_hex(10 ** 14) == 6
+    assert sample.bucket_hex(2 ** 62) == 7
+
+
+def test_hash_cap_same_rows_at_any_bucket_width(spark, small, monkeypatch):
+    clean = pipeline.clean(spark, small)
+    base = {r["row_id"] for r in sample.stratified_cap(clean, 40).collect()}
+    monkeypatch.setattr(sample, "bucket_hex", lambda largest: 1)  # 16 buckets: wide boundary
+    assert {r["row_id"] for r in sample.stratified_cap(clean, 40).collect()} == base
