@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantiles
-from ..operators.small import MAX_BROADCAST_ROWS
+from ..operators.small import MAX_BROADCAST_ROWS, bounded
 from ..session import shared_dir
 
 DIGITS = 9
@@ -57,10 +57,18 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     e = q.groupBy(group).agg(F.array_sort(F.collect_set(F.round("q", DIGITS))).alias("e"))
     n = F.size("e")
     inner = F.slice("e", 2, F.greatest(n - 2, F.lit(0)))
-    # One row per group: collected (bounded) so the stream joins a literal table.
-    rows = e.select(group, inner.alias("inner")).collect()
-    return baseline.sparkSession.createDataFrame(rows, f"{group} string, inner array<double>").hint(
-        "broadcast" if len(rows) <= MAX_BROADCAST_ROWS else "shuffle_hash")
+    # One row per group. Within the broadcast bound it is collected and the
+    # stream joins a broadcast literal table; beyond it the table is written
+    # once to the shared folder (no driver pass, lineage cut) and joined by
+    # shuffle.
+    table = e.select(F.col(group).cast("string").alias(group), inner.alias("inner"))
+    small = bounded(table, MAX_BROADCAST_ROWS)
+    if small is not table:
+        return small
+    spark = baseline.sparkSession
+    path = shared_dir(spark, "stream-edges")
+    table.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).hint("shuffle_hash")
 
 
 def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts: str,

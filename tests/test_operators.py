@@ -246,3 +246,15 @@ def test_hash_cap_same_rows_at_any_bucket_width(spark, small, monkeypatch):
     base = {r["row_id"] for r in sample.stratified_cap(clean, 40).collect()}
     monkeypatch.setattr(sample, "bucket_hex", lambda largest: 1)  # 16 buckets: wide boundary
     assert {r["row_id"] for r in sample.stratified_cap(clean, 40).collect()} == base
+
+
+def test_stream_edges_beyond_broadcast_bound_stay_distributed(spark, monkeypatch):
+    from lendscope.streaming import jobs as sj
+
+    df = spark.createDataFrame([(g, float(v)) for g in ("a", "b", "c") for v in range(20)], "g string, x double")
+    small = {r["g"]: list(r["inner"]) for r in sj.baseline_edges(df, "g", "x").collect()}
+    monkeypatch.setattr(sj, "MAX_BROADCAST_ROWS", 2)  # three groups: over the bound
+    wide = sj.baseline_edges(df, "g", "x")
+    assert "LocalRelation" not in wide._jdf.queryExecution().analyzed().toString()
+    assert {r["g"]: list(r["inner"]) for r in wide.collect()} == small
+    assert len(small) == 3 and all(len(v) == 9 for v in small.values())
