@@ -198,29 +198,33 @@ def drift_report(train: DataFrame, prod: DataFrame, exclude=(), method: str = "e
     """(feature, feature_type, metric, drift_status) for every column, sorted
     by metric descending (feature name breaks ties).
 
-    Eager: both sides are read once into a persisted frame that the edge,
-    histogram and categorical passes share; the report (one row per column)
-    is returned as a small table.
+    Eager: the report (one row per column) is returned as a small table.
+    The sides are not cached: the numeric passes (edge counts, histograms)
+    and the categorical pass read disjoint columns, so each one scans only
+    its own columns of the columnar input (pruned, with partition filters)
+    instead of all of them being written to and read back from a cache. The
+    (feature, value) count table that two edge jobs share is persisted.
     """
     num, cat = column_roles(train.schema, drop=tuple(exclude))
     num = numeric if numeric is not None else num
     cat = categorical if categorical is not None else cat
     spark = train.sparkSession
-    both = _sides(train, prod, num, cat).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        parts = []
-        if num:
-            parts.append(_psi(both, num, method).withColumn("feature_type", F.lit("Numerical")))
-        if cat:
-            parts.append(_categorical(both, cat).withColumn("feature_type", F.lit("Categorical")))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out = out.select("feature", "feature_type", "metric",
-                         drift_status(F.col("metric")).alias("drift_status"))
-        rows = out.collect()
-    finally:
-        both.unpersist()
+    schema = "feature string, feature_type string, metric double, drift_status string"
+    parts = []
+    if num:
+        parts.append(_psi(_sides(train, prod, num, []), num, method)
+                     .withColumn("feature_type", F.lit("Numerical")))
+    if cat:
+        parts.append(_categorical(_sides(train, prod, [], cat), cat)
+                     .withColumn("feature_type", F.lit("Categorical")))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = out.select("feature", "feature_type", "metric",
+                     drift_status(F.col("metric")).alias("drift_status"))
+    rows = out.collect()
     return spark.createDataFrame(rows, out.schema).orderBy(F.desc("metric"), "feature")
 
 

@@ -258,3 +258,11 @@ def test_stream_edges_beyond_broadcast_bound_stay_distributed(spark, monkeypatch
     assert "LocalRelation" not in wide._jdf.queryExecution().analyzed().toString()
     assert {r["g"]: list(r["inner"]) for r in wide.collect()} == small
     assert len(small) == 3 and all(len(v) == 9 for v in small.values())
+
+
+def test_drift_report_without_columns_is_empty(spark):
+    df = spark.createDataFrame([(1, 2.0)], "row_id long, x double")
+    rep = drift.drift_report(df, df, numeric=[], categorical=[])
+    assert rep.count() == 0 and rep.columns == ["feature", "feature_type", "metric", "drift_status"]
+    s = drift.drift_summary(rep).first()
+    assert s["total_features"] == 0 and s["moderate_or_above_ratio"] is None
