@@ -191,9 +191,11 @@ def category_slots(model) -> DataFrame:
 
 
 def one_hot_long(model, df: DataFrame, cat, key: str = "row_id") -> DataFrame:
-    from pyspark.ml.feature import StringIndexerModel
     """(key, slot, name) for every categorical value seen at fit time --
-    the non-zero entries of the one-hot block, as a long table."""
+    the non-zero entries of the one-hot block, as a long table. The slot
+    table (one row per fitted category) is broadcast within the bound,
+    joined by shuffle beyond it."""
+    from pyspark.ml.feature import StringIndexerModel
     mode = _stage(model, ModeImputerModel)
     imputed = mode.transform(df.select(key, *cat))
     long = imputed.unpivot([key], list(cat), "feature", "value")
