@@ -146,13 +146,19 @@ def _bins(both: DataFrame, cols, edges: DataFrame) -> DataFrame:
 
 
 def _psi(both: DataFrame, cols, method: str = "exact") -> DataFrame:
-    b = _bins(both, cols, _edges(both, cols, method))
+    """(feature, metric, constant_feature); the flag marks a baseline with a
+    single edge, whose PSI is 0 whatever the current side does (T3)."""
+    edges = _edges(both, cols, method)  # small literal table, one row per feature
+    b = _bins(both, cols, edges)
     term = (F.col("cur_prop") - F.col("base_prop")) * F.ln(F.col("cur_prop") / F.col("base_prop"))
     psi = b.groupBy("feature").agg(F.sum(term).alias("psi"),
                                    F.min(F.least("n_base", "n_cur")).alias("nmin"))
+    const = edges.select("feature", F.coalesce("constant_feature", F.lit(False)).alias("constant_feature"))
     return (_feature_table(both.sparkSession, cols).join(psi, "feature", "left")
+            .join(F.broadcast(const), "feature", "left")
             .select("feature", F.when(F.col("nmin") > 0, F.col("psi"))
-                                .otherwise(F.lit(0.0)).alias("metric")))
+                                .otherwise(F.lit(0.0)).alias("metric"),
+                    F.coalesce("constant_feature", F.lit(False)).alias("constant_feature")))
 
 
 def _categorical(both: DataFrame, cols) -> DataFrame:
@@ -184,7 +190,8 @@ def psi_bins(train: DataFrame, prod: DataFrame, cols, method: str = "exact") ->
 
 
 def numeric_psi(train: DataFrame, prod: DataFrame, cols, method: str = "exact") -> DataFrame:
-    """(feature, metric): PSI per numeric column; 0 when a side is empty."""
+    """(feature, metric, constant_feature): PSI per numeric column; 0 when a
+    side is empty."""
     return _psi(_sides(train, prod, cols, []), cols, method)
 
 
@@ -195,8 +202,10 @@ def categorical_drift(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
 
 def drift_report(train: DataFrame, prod: DataFrame, exclude=(), method: str = "exact",
                  numeric=None, categorical=None) -> DataFrame:
-    """(feature, feature_type, metric, drift_status) for every column, sorted
-    by metric descending (feature name breaks ties).
+    """(feature, feature_type, metric, constant_feature, drift_status) for
+    every column, sorted by metric descending (feature name breaks ties).
+    ``constant_feature`` is true for a numeric column whose baseline has one
+    distinct value (its PSI is 0 by the reference rule, T3).
 
     Eager: the report (one row per column) is returned as a small table.
     The sides are not cached: the numeric passes (edge counts, histograms)
@@ -209,20 +218,22 @@ def drift_report(train: DataFrame, prod: DataFrame, exclude=(), method: str = "e
     num = numeric if numeric is not None else num
     cat = categorical if categorical is not None else cat
     spark = train.sparkSession
-    schema = "feature string, feature_type string, metric double, drift_status string"
+    schema = ("feature string, feature_type string, metric double, constant_feature boolean, "
+              "drift_status string")
     parts = []
     if num:
         parts.append(_psi(_sides(train, prod, num, []), num, method)
                      .withColumn("feature_type", F.lit("Numerical")))
     if cat:
         parts.append(_categorical(_sides(train, prod, [], cat), cat)
-                     .withColumn("feature_type", F.lit("Categorical")))
+                     .withColumn("feature_type", F.lit("Categorical"))
+                     .withColumn("constant_feature", F.lit(False)))
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = out.select("feature", "feature_type", "metric",
+    out = out.select("feature", "feature_type", "metric", "constant_feature",
                      drift_status(F.col("metric")).alias("drift_status"))
     rows = out.collect()
     return spark.createDataFrame(rows, out.schema).orderBy(F.desc("metric"), "feature")

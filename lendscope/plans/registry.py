@@ -145,9 +145,10 @@ cat AS (SELECT v.feature, CASE WHEN MIN(LEAST(nb, nc)) > 0
   FROM vc v JOIN tot t ON v.feature = t.feature GROUP BY v.feature)"""
 _SQL_STATUS = """CASE WHEN metric < 0.1 THEN 'No Drift' WHEN metric < 0.25 THEN 'Moderate Drift'
   ELSE 'Significant Drift' END"""
-_SQL_REPORT = f"""rep AS (SELECT feature, 'Numerical' AS feature_type, metric FROM psi
-  UNION ALL SELECT feature, 'Categorical' AS feature_type, metric FROM cat),
-report AS (SELECT feature, feature_type, metric, {_SQL_STATUS} AS drift_status FROM rep)"""
+_SQL_REPORT = f"""rep AS (SELECT p.feature, 'Numerical' AS feature_type, p.metric,
+  COALESCE(len(r.e) = 1, FALSE) AS constant_feature FROM psi p LEFT JOIN raw_e r ON p.feature = r.feature
+  UNION ALL SELECT feature, 'Categorical' AS feature_type, metric, FALSE AS constant_feature FROM cat),
+report AS (SELECT feature, feature_type, metric, constant_feature, {_SQL_STATUS} AS drift_status FROM rep)"""
 
 
 @register("psi_edges", O.with_front(_SQL_LONG, _SQL_EDGES, select=f"""
@@ -204,11 +205,12 @@ _DRIFT_CTES = (_SQL_LONG, _SQL_EDGES, _SQL_BINS, _SQL_PSI, _SQL_CAT, _SQL_REPORT
 
 
 @register("drift_report", O.with_front(*_DRIFT_CTES, select=f"""
-SELECT feature, feature_type, {O.d6('metric')} AS metric, drift_status FROM report
+SELECT feature, feature_type, {O.d6('metric')} AS metric, constant_feature, drift_status FROM report
 ORDER BY metric DESC, feature"""))
 def q_drift_report(spark, d):
     r = drift_report_df(spark, d)
-    return r.select("feature", "feature_type", r6("metric").alias("metric"), "drift_status")
+    return r.select("feature", "feature_type", r6("metric").alias("metric"), "constant_feature",
+                    "drift_status")
 
 
 @register("drift_summary", O.with_front(*_DRIFT_CTES, select=f"""

@@ -263,6 +263,20 @@ def test_stream_edges_beyond_broadcast_bound_stay_distributed(spark, monkeypatch
 def test_drift_report_without_columns_is_empty(spark):
     df = spark.createDataFrame([(1, 2.0)], "row_id long, x double")
     rep = drift.drift_report(df, df, numeric=[], categorical=[])
-    assert rep.count() == 0 and rep.columns == ["feature", "feature_type", "metric", "drift_status"]
+    assert rep.count() == 0 and rep.columns == ["feature", "feature_type", "metric", "constant_feature", "drift_status"]
     s = drift.drift_summary(rep).first()
     assert s["total_features"] == 0 and s["moderate_or_above_ratio"] is None
+
+
+def test_constant_baseline_reads_zero_psi_and_is_flagged(spark):
+    """T3: one distinct baseline value -> bins [v - 0.001, v + 0.001]; current
+    values outside are not counted, so PSI is 0 even after a full move; the
+    report flags the column instead."""
+    base = spark.createDataFrame([(i, 5.0, "a") for i in range(50)], "row_id long, x double, c string")
+    cur = spark.createDataFrame([(i, 9.0, "a") for i in range(50)], "row_id long, x double, c string")
+    rep = {r["feature"]: r for r in drift.drift_report(base, cur, exclude=("row_id",)).collect()}
+    assert rep["x"]["metric"] == 0.0 and rep["x"]["constant_feature"] is True
+    assert rep["c"]["constant_feature"] is False
+    moved = spark.createDataFrame([(i, float(i % 7), "a") for i in range(50)], "row_id long, x double, c string")
+    rep2 = {r["feature"]: r for r in drift.drift_report(moved, cur, exclude=("row_id",)).collect()}
+    assert rep2["x"]["constant_feature"] is False and rep2["x"]["metric"] > 0.25
