@@ -983,13 +983,15 @@ def q_csv_clean(spark, d):
 
 
 @register("drift_report_no_month", O.with_front(*_DRIFT_CTES, select=f"""
-SELECT feature, feature_type, {O.d6('metric')} AS metric, drift_status FROM report WHERE feature <> 'issue_d'"""))
+SELECT feature, feature_type, {O.d6('metric')} AS metric, constant_feature, drift_status FROM report
+WHERE feature <> 'issue_d'"""))
 def q_drift_report_no_month(spark, d):
     """The drift report with the month column excluded: as a category it is
     disjoint between any two periods and always reads 2.0 (T4)."""
     tr, pr = _train_prod(spark, d)
     r = drift_ops.drift_report(tr, pr, exclude=("issue_d",))
-    return r.select("feature", "feature_type", r6("metric").alias("metric"), "drift_status")
+    return r.select("feature", "feature_type", r6("metric").alias("metric"), "constant_feature",
+                    "drift_status")
 
 
 @register("score_stream_model")
