@@ -193,3 +193,8 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def remainder(column: str, modulus: int):
+    """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(modulus))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, warc
+from . import ann, dedup, language, mixing, packing, pii, pivots, toxicity, warc
 
 QUERIES = {
+    "op1_posting_list_neighbours": ann.query,
     "op3_weighted_fair_mixing": mixing.query,
     "op4_best_fit_packing": packing.query,
+    "op5_superminhash_dedup": dedup.query,
+    "op6_subword_toxicity": toxicity.query,
     "op7_warc_archives": warc.query,
+    "op8_pivot_inner_products": pivots.query,
+    "op9_disguised_pii": pii.query,
+    "op10_segmentation_language": language.query,
 }
 ORACLE: dict[str, str] = {}
