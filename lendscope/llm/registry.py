@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import ann, dedup, language, mixing, packing, pii, pivots, toxicity, warc
+from . import ann, dedup, language, mixing, packing, pii, pitmanyor, pivots, toxicity, warc
 
 QUERIES = {
     "op1_posting_list_neighbours": ann.query,
+    "op2_pitman_yor_scoring": pitmanyor.query,
     "op3_weighted_fair_mixing": mixing.query,
     "op4_best_fit_packing": packing.query,
     "op5_superminhash_dedup": dedup.query,
