@@ -8,11 +8,11 @@ handed out level by level, and a set stops at the first level that can no
 longer lower a slot. Slots are cut into bands; classes that agree in a band
 are candidates, and a candidate pair counts once its full sets are compared.
 
-A band value shared by b classes never yields all b * b pairs at once. Rounds
-compare each class with one partner (the first takes the least class of the
-bucket, the next ones a varying member of the bucket's least component), and
-classes that have come into one component drop out; what is still apart after
-the rounds is then compared exhaustively, without a cap.
+A band value shared by b classes never yields b * b pairs. Rounds compare each
+class with one partner, a varying member of its bucket's least component, and
+classes that have come into one component drop out. What is still apart after
+the rounds goes through an exact prefix filter: similar sets share one of
+their rarest shingles, so only classes that do are compared, without a cap.
 
 Defined results: words are A-Z-lowered runs of non-space bytes; fewer words
 than ``width`` give one shingle of them all; null, empty and blank texts have
@@ -153,6 +153,24 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").withColumn("_c", common).where(100 * F.col("_c") >= percent * union).select("a", "b")
 
 
+def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, nx, y, ny) of the (name, n_shingles, root) rows whose roots differ
+    and whose sets may be similar, by prefix filtering: with the shingles in
+    order of rarity, sets that share enough share one of their first
+    n - ceil(n * percent / 100) + 1."""
+    held = sets.join(open_, "name").select("name", "n_shingles", "root", "shingles")
+    often = held.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # a shingle that only one set holds comes first and needs no partner
+    shared = held.select("name", "n_shingles", "root", F.explode("shingles").alias("shingle")).join(often, "shingle")
+    listed = shared.groupBy("name", "n_shingles", "root").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("s"))  # one set's shingles
+    reach = F.expr(f"n_shingles - int(({percent} * n_shingles + 99) / 100) + 1 - (n_shingles - size(s))")
+    first = listed.withColumn("_p", reach).where("_p > 0").select("name", "n_shingles", "root", F.explode(F.slice("s", F.lit(1), F.col("_p").cast("int"))).alias("_s"))
+    first = materialised(first.select("name", "n_shingles", "root", F.col("_s.shingle").alias("shingle")), "prefixes")
+    left = first.select("shingle", F.col("name").alias("x"), F.col("n_shingles").alias("nx"), F.col("root").alias("rx"))
+    right = first.select("shingle", F.col("name").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("ry"))
+    return left.join(right, "shingle").where("rx < ry")
+
+
 def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (a, b) between class names that connect exactly the
     classes that all links connect."""
@@ -179,8 +197,7 @@ def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
             other = apart.where("root = low").groupBy("key").agg(F.min(pick).alias("p")).select("key", F.col("p.name").alias("y"), F.col("p.n_shingles").alias("ny"))
             met = mine.join(other, "key")
         else:
-            other = apart.select("key", F.col("name").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("_r"))
-            met = mine.join(other, "key").where("_r < root")
+            met = rare_partners(materialised(apart.select("name", "n_shingles", "root").distinct(), "open"), sets, percent)
         pairs = met.where(fits(F.col("nx"), F.col("ny"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         pairs = materialised(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty() and turn < ROUNDS:
