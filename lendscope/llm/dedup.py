@@ -163,12 +163,18 @@ def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # a shingle that only one set holds comes first and needs no partner
     shared = held.select("name", "n_shingles", "root", F.explode("shingles").alias("shingle")).join(often, "shingle")
     listed = shared.groupBy("name", "n_shingles", "root").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("s"))  # one set's shingles
-    reach = F.expr(f"n_shingles - int(({percent} * n_shingles + 99) / 100) + 1 - (n_shingles - size(s))")
-    first = listed.withColumn("_p", reach).where("_p > 0").select("name", "n_shingles", "root", F.explode(F.slice("s", F.lit(1), F.col("_p").cast("int"))).alias("_s"))
-    first = materialised(first.select("name", "n_shingles", "root", F.col("_s.shingle").alias("shingle")), "prefixes")
-    left = first.select("shingle", F.col("name").alias("x"), F.col("n_shingles").alias("nx"), F.col("root").alias("rx"))
-    right = first.select("shingle", F.col("name").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("ry"))
-    return left.join(right, "shingle").where("rx < ry")
+    listed = listed.select("name", "n_shingles", "root", F.size("s").alias("m"), F.col("s.shingle").alias("s"))
+    reach = F.expr(f"n_shingles - int(({percent} * n_shingles + 99) / 100) + 1 - (n_shingles - m)")
+    enough = f"{100 + percent} * m >= {percent} * (n_shingles + int(({percent} * n_shingles + 99) / 100))"  # with a partner of the least size
+    first = listed.withColumn("_p", reach).where(f"_p > 0 AND {enough}").withColumn("s", F.slice("s", F.lit(1), F.col("_p").cast("int")))
+    first = materialised(first.select("name", "n_shingles", "root", "m", "s", F.posexplode("s").alias("at", "shingle")), "prefixes")
+    side = lambda end: first.select("shingle", *[F.col(c).alias(c + end) for c in ("name", "n_shingles", "root", "m", "s", "at")])
+    # a pair is taken at its first common shingle, and only if what follows there can be common enough
+    left = F.least(F.col("m1") - F.col("at1"), F.col("m2") - F.col("at2"))
+    can = (100 + percent) * left >= percent * (F.col("n_shingles1") + F.col("n_shingles2"))
+    once = F.element_at(F.array_intersect("s1", "s2"), 1) == F.col("shingle")
+    met = side("1").join(side("2"), "shingle").where((F.col("root1") < F.col("root2")) & can & once)
+    return met.select(F.col("name1").alias("x"), F.col("n_shingles1").alias("nx"), F.col("name2").alias("y"), F.col("n_shingles2").alias("ny"))
 
 
 def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
