@@ -26,7 +26,8 @@ from .common import small_batches, table
 WINDOW = 4096
 END_ID = 2
 GROUP_DOCS = 50_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
+MARK = "\x01"
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -39,23 +40,41 @@ class WordTokenizer:
     """Ids of whole texts, each distinct space-separated word encoded once.
 
     Exact for tokenizers that never let a piece span white space: neither
-    normalisation nor merges then reach across a space.
+    normalisation nor merges then reach across a space. New words are encoded
+    many at a time with a mark between them, which is one id of its own.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {"": b""}
+        mark = self.encode(MARK)
+        self.mark = int(mark[0]) if len(mark) == 1 else None
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), 2000):
+            some = words[at:at + 2000]
+            joined = f" {MARK} ".join(some)
+            if self.mark is not None and joined.count(MARK) == len(some) - 1:
+                ids = self.encode(joined)
+                cuts = np.flatnonzero(ids == self.mark)
+                if len(cuts) == len(some) - 1:
+                    raw = ids.tobytes()
+                    edges = [-1, *cuts.tolist(), len(ids)]
+                    self.ids.update((w, raw[4 * (lo + 1):4 * hi]) for w, lo, hi in zip(some, edges, edges[1:]))
+                    continue
+            self.ids.update((w, self.encode(w).tobytes()) for w in some)
 
     def __call__(self, texts: list) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (None: no ids)."""
         words = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
-        new = list({w for ws in words for w in ws if w not in self.ids})
-        for w, enc in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[w] = np.asarray(enc.ids, dtype="<u4").tobytes()
+            self.ids = {"": b""}
+        self.learn(list({w for ws in words for w in ws}.difference(self.ids)))
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
