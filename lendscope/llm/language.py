@@ -30,6 +30,7 @@ SMOOTH = 0.05
 UNKNOWN = 1e-7  # of a byte that no piece covers
 LONGEST = 48
 NODES = 2_000_000
+KNOWN_VALUES = 4_000_000
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 MARK = 0x20  # stands for the vocabulary's word-start sign
 
@@ -154,8 +155,9 @@ def letters(texts: pa.Array) -> pa.Array:
 
 
 def distinct_words(data: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray):
-    """((bytes, sizes) of the distinct words, each with the start mark, and
-    which of them each word is); long runs come as stretches."""
+    """(bytes and sizes of the distinct words, each with the start mark; their
+    fingerprints; which of them each word is; each one's place in the input).
+    Long runs come as stretches."""
     if len(s) and (e - s).max() > LONGEST:
         parts = -(-(e - s) // LONGEST)
         back = np.repeat(np.arange(len(s)), parts)
@@ -166,13 +168,13 @@ def distinct_words(data: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray
         s = s2
     else:
         back = np.arange(len(s))
-    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    code, first, which = np.unique(h, return_index=True, return_inverse=True)
     size = (e - s)[first] + 1
     begin = np.cumsum(size) - size
     word = np.repeat(np.arange(len(first)), size)
     inside = np.arange(len(word)) - begin[word]
     raw = np.where(inside == 0, MARK, data[np.maximum(s[first][word] + inside - 1, 0)]).astype(np.uint8)
-    return (raw, size), which, back
+    return (raw, size), code, which, back
 
 
 def blocks(words, languages: int):
@@ -188,22 +190,63 @@ def blocks(words, languages: int):
         lo = hi
 
 
+class Known:
+    """Word log probabilities by fingerprint, kept from batch to batch."""
+
+    def __init__(self, languages: int):
+        self.codes, self.logs = np.zeros(0, np.uint64), np.zeros((0, languages))
+        self.room = KNOWN_VALUES // max(1, languages)
+
+    def missing(self, codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.ones(len(codes), dtype=bool) if not len(self.codes) else self.codes[at] != codes
+
+    def add(self, codes: np.ndarray, logs: np.ndarray) -> None:
+        codes, logs = np.concatenate([self.codes, codes]), np.concatenate([self.logs, logs])
+        by = np.argsort(codes, kind="stable")
+        self.codes, self.logs = codes[by], logs[by]
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        return self.logs[np.searchsorted(self.codes, codes)]
+
+    def trim(self) -> None:
+        if len(self.codes) > self.room:
+            self.codes, self.logs = self.codes[:0], self.logs[:0]
+
+
 class Model:
     """Languages, pieces and piece probabilities (pieces x languages)."""
 
     def __init__(self, languages: list[str], pieces: list[bytes], probability: np.ndarray):
         self.languages, self.pieces, self.probability = languages, pieces, probability
 
-    def score(self, lattice: Lattice, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, lattice: Lattice, known: Known, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(log probabilities texts x languages, words of each text)."""
-        out, words = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        known.trim()
+        rows, codes, count = [], [], np.zeros(len(texts), np.int64)
+        new_codes, new_sizes, new_raw = [], [], []
         for row, s, e, h, data in word_windows(letters(texts)):
-            own, which, back = distinct_words(data, s, e, h)
-            logs = np.concatenate([lattice.sweep(w, self.probability) for _, _, w in blocks(own, len(self.languages))])
-            for j in range(len(self.languages)):
-                out[:, j] += np.bincount(row[back], logs[which, j], minlength=len(texts))
-            words += np.bincount(row, minlength=len(texts))
-        return out, words
+            (raw, size), code, which, back = distinct_words(data, s, e, h)
+            rows.append(row[back])
+            codes.append(code[which])
+            count += np.bincount(row, minlength=len(texts))
+            new = known.missing(code)
+            new_codes.append(code[new])
+            new_sizes.append(size[new])
+            new_raw.append(raw[np.repeat(new, size)])
+        out = np.zeros((len(texts), len(self.languages)))
+        if not rows:
+            return out, count
+        code, first = np.unique(np.concatenate(new_codes), return_index=True)
+        if len(code):
+            size, raw = np.concatenate(new_sizes), np.concatenate(new_raw)
+            begin, size = (np.cumsum(size) - size)[first], size[first]
+            raw = raw[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            known.add(code, np.concatenate([lattice.sweep(w, self.probability) for _, _, w in blocks((raw, size), len(self.languages))]))
+        row, logs = np.concatenate(rows), known.find(np.concatenate(codes))
+        for j in range(len(self.languages)):
+            out[:, j] = np.bincount(row, logs[:, j], minlength=len(texts))
+        return out, count
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -214,7 +257,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 codes = b.column("lang").dictionary_encode()
                 lang = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 for row, s, e, h, data in word_windows(letters(b.column("text"))):
-                    (raw, size), which, back = distinct_words(data, s, e, h)
+                    (raw, size), _, which, back = distinct_words(data, s, e, h)
                     pair, n = np.unique(lang[row[back]] * len(size) + which, return_counts=True)
                     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                     words = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
@@ -278,13 +321,13 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        lattice = Lattice(m.pieces)
+        lattice, known = Lattice(m.pieces), Known(len(m.languages))
         names = np.array([*m.languages, "und"], dtype=object)
         for whole in batches:
             for b in small_batches(whole, hidden):
                 best, share = np.full(b.num_rows, len(m.languages)), np.zeros(b.num_rows)
                 if m.languages:
-                    logs, words = m.score(lattice, b.column(hidden))
+                    logs, words = m.score(lattice, known, b.column(hidden))
                     top = logs.max(axis=1)
                     share = np.where(words > 0, 1.0 / np.exp(logs - top[:, None]).sum(axis=1), 0.0)
                     best = np.where(words > 0, logs.argmax(axis=1), len(m.languages))

@@ -14,6 +14,7 @@ sequence follow each other from offset 0 without gaps.
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ WINDOW = 4096
 END_ID = 2
 GROUP_DOCS = 50_000
 CACHE_WORDS = 1_000_000
-MARK = "\x01"
+ENDS = ".,;:!?"
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -39,9 +40,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class WordTokenizer:
     """Ids of whole texts, each distinct space-separated word encoded once.
 
-    Exact for tokenizers that never let a piece span white space: neither
-    normalisation nor merges then reach across a space. New words are encoded
-    many at a time with a mark between them, which is one id of its own.
+    Exact for tokenizers that lower case and never let a piece span white
+    space, or letters and the punctuation after them: neither normalisation
+    nor merges then reach across. New words are encoded many at a time, and
+    the ids told apart by their offsets.
     """
 
     def __init__(self, path: str):
@@ -49,32 +51,39 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {"": b""}
-        mark = self.encode(MARK)
-        self.mark = int(mark[0]) if len(mark) == 1 else None
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2000):
-            some = words[at:at + 2000]
-            joined = f" {MARK} ".join(some)
-            if self.mark is not None and joined.count(MARK) == len(some) - 1:
-                ids = self.encode(joined)
-                cuts = np.flatnonzero(ids == self.mark)
-                if len(cuts) == len(some) - 1:
-                    raw = ids.tobytes()
-                    edges = [-1, *cuts.tolist(), len(ids)]
-                    self.ids.update((w, raw[4 * (lo + 1):4 * hi]) for w, lo, hi in zip(some, edges, edges[1:]))
-                    continue
-            self.ids.update((w, self.encode(w).tobytes()) for w in some)
+    def learn(self, words: set[str]) -> None:
+        ended = {}
+        for w in words:
+            stem = w.rstrip(ENDS)
+            if stem != w and stem and stem.lower()[-1].isalpha():
+                ended[w] = stem
+        self._encode_all([w for w in (words - ended.keys()).union(ended.values()).union(w[len(s):] for w, s in ended.items()) if w not in self.ids])
+        self.ids.update((w, self.ids[s] + self.ids[w[len(s):]]) for w, s in ended.items())
+
+    def _encode_all(self, words: list[str]) -> None:
+        plain = lambda w: w.isascii() or (unicodedata.is_normalized("NFC", w) and not unicodedata.combining(w[0]))
+        self.ids.update((w, self.encode(w).tobytes()) for w in words if not plain(w))  # offsets are not theirs
+        words = [w for w in words if plain(w)]
+        groups = [words[at:at + 500] for at in range(0, len(words), 500)]
+        for some, enc in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            size = np.array([len(w) + 1 for w in some])
+            begin = np.cumsum(size) - size
+            at = np.fromiter((o[0] for o in enc.offsets), np.int64, len(enc))
+            edges = (4 * np.searchsorted(at, np.append(begin, begin[-1] + size[-1]))).tolist()
+            raw = np.array(enc.ids, dtype="<u4").tobytes()
+            self.ids.update((w, raw[lo:hi]) for w, lo, hi in zip(some, edges, edges[1:]))
 
     def __call__(self, texts: list) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (None: no ids)."""
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        texts = [t.lower() if t and t.isascii() else t or "" for t in texts]  # as the tokenizer does
+        words = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.ids) > CACHE_WORDS:
             self.ids = {"": b""}
-        self.learn(list({w for ws in words for w in ws}.difference(self.ids)))
+        self.learn(set().union(*words).difference(self.ids))
         get = self.ids.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
