@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -88,9 +89,10 @@ class WordTokenizer:
         return [b"".join(map(get, ws)) for ws in words]
 
 
-def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> DataFrame:
+def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str = VOCABULARY, digest: bool = False) -> DataFrame:
     """doc_id, start, length, doc_tokens, ids (binary, little-endian unsigned
-    32-bit): the full windows and the rest of every document."""
+    32-bit): the full windows and the rest of every document. With ``digest``,
+    the CRC-32 of the ids as ids_crc32 in their place."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -108,11 +110,12 @@ def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabula
                         ids.append(own[at:at + 4 * window])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(total, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "start", "length", "doc_tokens", "ids"])
+                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(total, pa.int64()),
+                     pa.array([crc32(x) for x in ids], pa.int64()) if digest else pa.array(ids, pa.binary())],
+                    names=["doc_id", "start", "length", "doc_tokens", "ids_crc32" if digest else "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut, f"doc_id {id_type}, start long, length long, doc_tokens long, ids binary")
+        cut, f"doc_id {id_type}, start long, length long, doc_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
 
 
 class RoomTree:
@@ -207,7 +210,7 @@ def sequences(placed: DataFrame) -> DataFrame:
 def digested(docs: DataFrame) -> DataFrame:
     """The packed pieces with a CRC-32 in place of the ids, so that only
     narrow rows are shuffled."""
-    cut = pieces(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    cut = pieces(docs, digest=True).select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     return pack(cut, group_count(docs))
 
 
