@@ -31,7 +31,7 @@ WORDS = 8
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 16
 DIM = 8
-SAMPLE_CHARS = 4_000_000  # of each class's labelled texts, in expectation
+SAMPLE_CHARS = 2_000_000  # of each class's labelled texts, in expectation
 PASSES = 5
 BATCH = 256
 RATE = 0.5
@@ -117,7 +117,10 @@ def train(texts: pa.Array, toxic: np.ndarray, passes: int = PASSES, seed: int =
     for turn in range(passes):
         use = np.arange(len(text))
         if turn:
-            logit = np.add.reduceat(embed[ids] @ (soft[:, 1] - soft[:, 0]), at[:-1]) / np.diff(at)
+            weight, logit = embed @ (soft[:, 1] - soft[:, 0]), np.empty(len(text))
+            for lo in range(0, len(text), 4096):
+                own = at[lo:lo + 4097]
+                logit[lo:lo + 4096] = np.add.reduceat(weight[ids[own[0]:own[-1]]], own[:-1] - own[0]) / np.diff(own)
             top = np.lexsort((-logit, text))
             lead = top[np.diff(text[top], prepend=-1) != 0]  # the most toxic window of each text
             use = np.concatenate([np.flatnonzero(label == 0), lead[label[lead] == 1]])
