@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import materialised, table
 from .mixing import running
-from .vectors import best_ids, bisected, distinct_vectors, queries_of, ranked, stacked, usable
+from .vectors import bisected, distinct_vectors, queries_of, ranked, stacked, usable
 
 SCALE = 256
 SAMPLE = 16_384
@@ -109,44 +109,48 @@ def search(df: DataFrame, every: int, k: int = 5, scale: int = SCALE) -> DataFra
         .select("node", "pivot", "annulus", ((F.col("sq") + longest - gap * gap) / 2 + slack).alias("bound"))
     order = Window.partitionBy("node").orderBy(F.desc("bound"), "pivot", "annulus")
     best = spark.createDataFrame([], "node long, vec_id long, score long")
-    left = materialised(bounds, "bounds")
+    left = bounds
     for opened in (*OPENED, None):
+        floors = _floors(best, k)
+        # an annulus whose bound is below the floor cannot hold a better score
+        left = left.join(floors, "node", "left").withColumn("floor", F.coalesce("floor", F.lit(-(2**63)))).where("bound >= floor")
+        left = materialised(left, "left")
+        turn = left
         if opened:
-            first = left.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= opened).drop("_r")
-            turn = materialised(first, "turn")
-        else:
-            turn = left
+            turn = materialised(left.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= opened).drop("_r"), "turn")
+            left = left.join(turn.select("node", "pivot", "annulus"), ["node", "pivot", "annulus"], "left_anti").drop("floor")
         best = materialised(best.union(_scanned(keyed, turn, asked, parts, k)), "best")
-        if opened:
-            left = left.join(turn.select("node", "pivot", "annulus"), ["node", "pivot", "annulus"], "left_anti")
-            left = materialised(_open(left, best, k), "left")
     return ranked(best, queries, k, F.desc("score"))
 
 
-def _open(left: DataFrame, best: DataFrame, k: int) -> DataFrame:
-    """The annuli whose bound reaches the query's (k + 1)-th best so far; one
-    more than ``k``, as the query itself is among its best."""
+def _floors(best: DataFrame, k: int) -> DataFrame:
+    """(node, floor): the (k + 1)-th best score so far; one more than ``k``, as
+    the query itself is among its best."""
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "vec_id"))
-    floor = best.withColumn("_r", rank).where(F.col("_r") <= k + 1).where(F.col("_r") == k + 1).select("node", F.col("score").alias("_floor"))
-    return left.join(floor, "node", "left").where("_floor IS NULL OR bound >= _floor").drop("_floor")
+    return best.withColumn("_r", rank).where(F.col("_r") <= k + 1).where(F.col("_r") == k + 1).select("node", F.col("score").alias("floor"))
 
 
 def _scanned(keyed: DataFrame, turn: DataFrame, asked: DataFrame, parts: int, k: int) -> DataFrame:
-    """(node, vec_id, score): of every opened annulus its k + 1 best for the query."""
-    opened = turn.select("node", "pivot", "annulus").join(asked, "node").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(parts)))
+    """(node, vec_id, score): of every opened annulus what is among its k + 1
+    best for the query (ties included) and reaches the query's floor."""
+    opened = turn.select("node", "pivot", "annulus", "floor").join(asked, "node").withColumn("part", F.pmod(F.xxhash64("node"), F.lit(parts)))
     spread = keyed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
     def scan(_, own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"node": [], "vec_id": [], "score": []}).astype("int64")]
-        if len(own) and len(queries):
-            v, ids = stacked(own["raw"], np.int64), list(own["ids"])
-            q = np.stack(queries["v"]).astype(np.int64)
-            # float products are exact while every partial sum stays below 2^53
-            exact = v.shape[1] * float(np.abs(v).max()) * float(np.abs(q).max()) < 2 ** 53
-            score = (v.astype(float) @ q.T.astype(float)).astype(np.int64) if exact else v @ q.T
-            for j, node in enumerate(queries["node"]):
-                out.append(best_ids(node, ids, score[:, j], k, True))
-        return pd.concat(out)
+        if not len(own) or not len(queries):
+            return pd.DataFrame({"node": [], "vec_id": [], "score": []}).astype("int64")
+        v, q = stacked(own["raw"], np.int64), np.stack(queries["v"]).astype(np.int64)
+        # float products are exact while every partial sum stays below 2^53
+        exact = v.shape[1] * float(np.abs(v).max()) * float(np.abs(q).max()) < 2 ** 53
+        score = (q.astype(float) @ v.T.astype(float)).astype(np.int64) if exact else q @ v.T
+        floor = queries["floor"].to_numpy(np.int64)
+        if len(v) > k + 1:
+            floor = np.maximum(floor, np.partition(score, len(v) - k - 1, axis=1)[:, len(v) - k - 1])
+        at, who = np.nonzero(score >= floor[:, None])
+        ids, size = np.concatenate(list(own["ids"])), own["ids"].map(len).to_numpy()
+        first, n = (np.cumsum(size) - size)[who], size[who]
+        place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return pd.DataFrame({"node": np.repeat(queries["node"].to_numpy()[at], n), "vec_id": ids[place], "score": np.repeat(score[at, who], n)})
 
     key = ["pivot", "annulus", "part"]
     return spread.groupBy(*key).cogroup(opened.groupBy(*key)).applyInPandas(scan, "node long, vec_id long, score long")
