@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables materialised inside are deleted at the end, unless kept."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for path in paths:
+            drop_folder(spark, path)
+
+
+def materialised(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and
-    a lost executor costs a re-read instead of a recomputation."""
+    a lost executor costs a re-read instead of a recomputation. With ``keep``
+    the table outlives the innermost :func:`scratch` around it."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
+    scopes = _SCOPES[:-1] if keep else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -177,8 +198,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     e = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = materialised(e, "links")
     mark = None
+    e = materialised(e, "links")
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialised, mix, small_batches, table, word_hashes
+from .common import components, materialised, mix, scratch, small_batches, table, word_hashes
 
 BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
@@ -177,10 +177,27 @@ def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("name1").alias("x"), F.col("n_shingles1").alias("nx"), F.col("name2").alias("y"), F.col("n_shingles2").alias("ny"))
 
 
+def _pairs(turn: int, member: DataFrame, root: DataFrame, sets: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of a round that were not compared before."""
+    now = member.join(root, "name")
+    ends = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "low")
+    apart = materialised(now.join(ends, "key"), "apart")
+    if turn < ROUNDS:
+        # every class outside the bucket's least component meets one member of that component
+        mine = apart.where("root <> low").select("key", F.col("name").alias("x"), F.col("n_shingles").alias("nx"))
+        pick = F.struct(F.xxhash64("name", F.lit(turn)), "name", "n_shingles")
+        other = apart.where("root = low").groupBy("key").agg(F.min(pick).alias("p")).select("key", F.col("p.name").alias("y"), F.col("p.n_shingles").alias("ny"))
+        met = mine.join(other, "key")
+    else:
+        met = rare_partners(materialised(apart.select("name", "n_shingles", "root").distinct(), "open"), sets, percent)
+    # sizes too far apart cannot be similar
+    fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    return met.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
+
+
 def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (a, b) between class names that connect exactly the
     classes that all links connect."""
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sizes too far apart cannot be similar
     member = classes.select(F.explode("bands").alias("key"), "name", "n_shingles")
     shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     member = materialised(member.join(shared, "key"), "members")
@@ -193,26 +210,15 @@ def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     asked = spark.createDataFrame([], "a binary, b binary")
     root = held.select("name", F.col("name").alias("root"))
     for turn in range(ROUNDS + 1):
-        now = member.join(root, "name")
-        ends = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "low")
-        apart = materialised(now.join(ends, "key"), "apart")
-        mine = apart.where("root <> low").select("key", F.col("name").alias("x"), F.col("n_shingles").alias("nx"), "root")
-        if turn < ROUNDS:
-            # Every class outside the bucket's least component meets one member of that component.
-            pick = F.struct(F.xxhash64("name", F.lit(turn)), "name", "n_shingles")
-            other = apart.where("root = low").groupBy("key").agg(F.min(pick).alias("p")).select("key", F.col("p.name").alias("y"), F.col("p.n_shingles").alias("ny"))
-            met = mine.join(other, "key")
-        else:
-            met = rare_partners(materialised(apart.select("name", "n_shingles", "root").distinct(), "open"), sets, percent)
-        pairs = met.where(fits(F.col("nx"), F.col("ny"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = materialised(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty() and turn < ROUNDS:
-            continue
-        new = materialised(similar(pairs, sets, percent), "links")
-        asked, found = asked.union(pairs), found.union(new)
-        if turn < ROUNDS and not new.isEmpty():
-            roots = components(found).select(F.col("node").alias("name"), "root")
-            root = materialised(held.join(roots, "name", "left").select("name", F.coalesce("root", "name").alias("root")), "roots")
+        with scratch(spark):
+            pairs = materialised(_pairs(turn, member, root, sets, asked, percent), "pairs", keep=True)
+            if pairs.isEmpty():
+                continue
+            new = materialised(similar(pairs, sets, percent), "links", keep=True)
+            asked, found = asked.union(pairs), found.union(new)
+            if turn < ROUNDS and not new.isEmpty():
+                roots = components(found).select(F.col("node").alias("name"), "root")
+                root = materialised(held.join(roots, "name", "left").select("name", F.coalesce("root", "name").alias("root")), "roots", keep=True)
     return found
 
 
@@ -239,7 +245,8 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     """The rows of ``docs`` less all but one of every near-duplicate group: the
     smallest doc_id stays (null is the largest; among equal ids the text with
     the smaller fingerprint; of equal rows one). Documents without shingles stay."""
-    found = materialised(groups(docs, width, percent).where("n_shingles > 0"), "grouped")
+    with scratch(docs.sparkSession):
+        found = materialised(groups(docs, width, percent).where("n_shingles > 0"), "grouped", keep=True)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
     first = found.groupBy("root").agg(F.min(rank).alias("_first"))
     rest = found.join(first, "root").where(~rank.eqNullSafe(F.col("_first"))).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t")).distinct()

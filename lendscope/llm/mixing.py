@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialised
+from .common import WORD, materialised, scratch
 
 SEED = 20240229
 
@@ -104,10 +104,17 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     Rows that agree in every column are told apart by count alone.
     """
     row = F.xxhash64(*[F.col(c) for c in docs.columns])
-    picked = mix(docs, key=row, **settings).groupBy("doc_id", "key").agg(F.sum("copies").alias("_copies"))
-    picked = materialised(picked.where("_copies > 0").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "_copies"), "picked")
-    once = docs.withColumn("_k", row).dropDuplicates(["doc_id", "_k"])
-    took = once.join(picked, once["doc_id"].eqNullSafe(picked["_d"]) & (once["_k"] == picked["_k"]))
+    spark = docs.sparkSession
+    with scratch(spark):
+        picked = mix(docs, key=row, **settings).groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k"))
+        picked = materialised(picked.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")), "picked", keep=True)
+    keyed = docs.withColumn("_key", row)
+    same = lambda t: keyed["doc_id"].eqNullSafe(t["_d"]) & (keyed["_key"] == t["_k"])
+    once, often = picked.where("_rows = 1 AND _copies > 0"), picked.where("_rows > 1 AND _copies > 0")
+    took = keyed.join(once, same(once)).select(*docs.columns, "_copies")
+    if not often.isEmpty():  # equal rows: one stands for all of them
+        alike = keyed.join(often, same(often)).dropDuplicates(["_d", "_key"])
+        took = took.union(alike.select(*docs.columns, "_copies"))
     return took.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
 
 
