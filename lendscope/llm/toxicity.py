@@ -152,11 +152,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) ->
     """Fit on the texts of ``docs`` that ``labels`` (doc_id, toxic) marks 0 or
     1; each class is thinned by a hash to about ``sample_chars`` characters."""
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("_toxic")).where("_toxic IN (0, 1)")
-    rows = docs.select("doc_id", "text").join(marks, "doc_id").where("text IS NOT NULL")
-    chars = {r["_toxic"]: r["n"] for r in rows.groupBy("_toxic").agg(F.sum(F.length("text")).alias("n")).collect()}
+    rows = docs.select("doc_id", F.length("text").alias("_n")).where("_n > 0").join(marks, "doc_id")
+    chars = {r["_toxic"]: r["n"] for r in rows.groupBy("_toxic").agg(F.sum("_n").alias("n")).collect()}
     rate = F.when(F.col("_toxic") == 1, min(1.0, sample_chars / max(1, chars.get(1, 0)))).otherwise(min(1.0, sample_chars / max(1, chars.get(0, 0))))
-    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    sample = rows.where(chance < rate).orderBy("doc_id", "text", "_toxic").toArrow()  # bounded by sample_chars
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    chosen = rows.where(chance < rate).select("doc_id", "_toxic").distinct()
+    # about sample_chars rows a class at most, so small enough to be sent to every task: no text is shuffled
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("length(text) > 0").orderBy("doc_id", "text", "_toxic").toArrow()
     return train(sample.column("text"), np.asarray(sample.column("_toxic").to_numpy(), dtype=np.int64))
 
 
