@@ -62,17 +62,19 @@ def gbt(**p) -> GBTClassifier:
                          maxMemoryInMB=1024, **q)
 
 
+def family(key: str) -> str:
+    """The learner family a registry key names, in any case."""
+    k = key.lower()
+    for kind, parts in (("logistic", ("logistic",)), ("forest", ("random", "forest")), ("boosted", ("xgboost", "gbt", "boost"))):
+        if any(p in k for p in parts):
+            return kind
+    raise ValueError(f"unknown learner key: {key}")
+
+
 def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
     """Unfitted feature pipeline + learner for a registry key."""
-    k = key.lower()
-    if "logistic" in k:
-        est = lr(n_rows, **params)
-    elif "random" in k or "forest" in k:
-        est = rf(**params)
-    elif "xgboost" in k or "gbt" in k or "boost" in k:
-        est = gbt(**params)
-    else:
-        raise ValueError(f"unknown learner key: {key}")
+    kind = family(key)
+    est = lr(n_rows, **params) if kind == "logistic" else rf(**params) if kind == "forest" else gbt(**params)
     return Pipeline(stages=feature_pipeline(num, cat).getStages() + [est])
 
 
@@ -104,9 +106,9 @@ def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
     ``features_model`` -- a feature pipeline already fitted on the same
     training rows -- is reused instead of fitting the statistics again."""
     n = train.count()
-    family = "logistic" if "logistic" in key else "trees"
-    train = spread(train, n, ROWS_PER_TASK[family])
-    weighted = positive_weighted(train) if ("xgboost" in key or "boost" in key) else balanced(train)
+    kind = family(key)
+    train = spread(train, n, ROWS_PER_TASK["logistic" if kind == "logistic" else "trees"])
+    weighted = positive_weighted(train) if kind == "boosted" else balanced(train)
     if features_model is None:
         return learner(key, num, cat, n_rows=n, **params).fit(weighted)
     est = learner(key, num, cat, n_rows=n, **params).getStages()[-1]

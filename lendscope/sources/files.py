@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.columns import NA_TOKENS
 from ..operators.clean import RAW_SCHEMA, apply_null_tokens
@@ -15,16 +16,30 @@ _CSV_TEXT = {"header": "true", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false", "nullValue": "", "emptyValue": ""}
 
 
+def _by_name(spark: SparkSession, path: str, names, options: dict) -> DataFrame:
+    """The named text columns of delimited files, wherever they stand in the
+    files and whatever stands beside them; an absent one is an error, and so is
+    a file whose header differs from the first file's."""
+    df = (spark.read.options(**_CSV_TEXT, **options).option("escape", '"')
+          .option("enforceSchema", "false").option("mode", "PERMISSIVE").csv(path))
+    absent = [n for n in names if n not in df.columns]
+    if absent:
+        raise ValueError(f"columns not in the header of {path}: {', '.join(absent)}")
+    return df
+
+
 def read_loans(spark: SparkSession, path: str, glob: str = LOAN_GLOB,
                na_tokens=NA_TOKENS, schema=RAW_SCHEMA) -> DataFrame:
     """Delimited loan files under ``path`` (searched recursively, names
-    matching ``glob``; gzip/bzip2 are decoded by the reader), read with an
-    explicit schema -- only the named columns, all text but the key -- and
-    with the missing-value tokens turned into NULL."""
-    df = (spark.read.schema(schema).options(**_CSV_TEXT)
-          .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-          .option("mode", "PERMISSIVE").csv(path))
-    return apply_null_tokens(df, na_tokens)
+    matching ``glob``; gzip/bzip2 are decoded by the reader), the columns of
+    ``schema`` taken by their name in the header, all text but the key, with
+    the missing-value tokens turned into NULL. Files without a ``row_id`` get
+    one from the file's name and the row's content (equal rows of a file share it)."""
+    names = [f.name for f in schema]
+    df = _by_name(spark, path, [n for n in names if n != "row_id"], {"recursiveFileLookup": "true", "pathGlobFilter": glob})
+    if "row_id" in names and "row_id" not in df.columns:
+        df = df.withColumn("row_id", F.xxhash64(F.input_file_name(), *df.columns))
+    return apply_null_tokens(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]), na_tokens)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
@@ -45,7 +60,7 @@ def read_applications(spark: SparkSession, path: str, fmt: str = "json") -> Data
     every field is read as text, so numbers that do not parse reach the
     score-time coercion instead of failing the read."""
     from ..operators.score import APPLICATION_SCHEMA
-    r = spark.read.schema(APPLICATION_SCHEMA).option("mode", "PERMISSIVE")
     if fmt == "json":
-        return r.option("primitivesAsString", "true").json(path)
-    return r.options(**_CSV_TEXT).csv(path)
+        return spark.read.schema(APPLICATION_SCHEMA).option("mode", "PERMISSIVE").option("primitivesAsString", "true").json(path)
+    names = [f.name for f in APPLICATION_SCHEMA]
+    return _by_name(spark, path, names, {}).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in APPLICATION_SCHEMA])

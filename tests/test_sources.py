@@ -1,3 +1,4 @@
+import pytest
 """Delimited loan files: discovery, schema, NA tokens, then cleaning."""
 
 import gzip
@@ -124,3 +125,21 @@ def test_session_shuffle_sizing_by_master():
             S.get_session(master)
         assert seen.get("spark.sql.shuffle.partitions") == want_parts
         assert seen.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == want_initial
+
+
+def test_loans_are_read_by_column_name(spark, tmp_path):
+    from lendscope.operators.clean import RAW_SCHEMA
+    names = [f.name for f in RAW_SCHEMA if f.name != "row_id"]
+    header = ["extra", *reversed(names), "more"]
+    row = {n: f"v_{n}" for n in names} | {"extra": "1", "more": 'say ""hi"", x', names[0]: "a, b"}
+    (tmp_path / "accepted_x.csv").write_text(",".join(header) + "\n" + ",".join(f'"{row[h]}"' for h in header) + "\n")
+    got = read_loans(spark, str(tmp_path)).collect()[0]
+    assert {n: got[n] for n in names} == {n: row[n] for n in names} and got["row_id"] is not None
+    (tmp_path / "accepted_x.csv").write_text(",".join(header[:-2]) + "\n")
+    with pytest.raises(ValueError, match=names[0]):
+        read_loans(spark, str(tmp_path))
+
+
+def test_learner_family_ignores_case():
+    from lendscope.operators.train import family
+    assert [family(k) for k in ("XGBoost", "gbt", "Logistic Regression", "random_forest")] == ["boosted", "boosted", "logistic", "forest"]
