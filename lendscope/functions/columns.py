@@ -33,9 +33,16 @@ def null_tokens(c, tokens=NA_TOKENS) -> Column:
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
+#: Text that counts as a number: decimal notation, or an infinity (the cast
+#: alone would also take type suffixes and hexadecimal floats).
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_double(c) -> Column:
     """Lenient numeric coercion: unparsable text or NaN becomes NULL."""
-    v = _c(c).try_cast("double")
+    c = _c(c)
+    number = (F.typeof(c) != "string") | c.cast("string").rlike(NUMBER)
+    v = F.when(number, c.try_cast("double"))
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 

@@ -55,10 +55,6 @@ def _long(both: DataFrame, cols) -> DataFrame:
     return long.where(x.isNotNull() & ~F.isnan(x)).withColumn("x", F.round(x, DIGITS))
 
 
-def numeric_long(train: DataFrame, prod: DataFrame, cols) -> DataFrame:
-    return _long(_sides(train, prod, cols, []), cols)
-
-
 def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
     """(feature, edges, n_base, n_cur, constant_feature) -- one row per
     feature, as a small literal table. One (feature, value) counting pass is
@@ -87,9 +83,9 @@ def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
             for r in qrows:
                 qs.setdefault(r["g"], []).append(r["q"])
         else:
-            qrows = (base.where(F.col("c") > 0).groupBy("g")
-                         .agg(F.percentile_approx("v", PROBS, 100_000).alias("qs")).collect())
-            qs = {r["g"]: list(r["qs"]) for r in qrows}
+            qrows = (long.where(is_b).groupBy("feature")  # rows, not distinct values
+                         .agg(F.percentile_approx("x", PROBS, 100_000).alias("qs")).collect())
+            qs = {r["feature"]: list(r["qs"]) for r in qrows}
     finally:
         vc.unpersist()
     rows = []

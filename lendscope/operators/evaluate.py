@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import MAX_GROUP_DISTINCT, prefix_before
+from .small import null_safe_join
 
 THRESHOLD = 0.5
 
@@ -120,4 +121,4 @@ def evaluation(df: DataFrame, by=("model_name",)) -> DataFrame:
     """Confusion counts, the four threshold metrics and ROC-AUC per group."""
     m = binary_metrics(df, by)
     a = roc_auc(df, by).select(*by, "roc_auc")
-    return m.join(a, list(by), "left")
+    return null_safe_join(m, a, list(by), "left")

@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -66,7 +66,7 @@ class MedianImputerModel(Model, HasInputCols, _Stats, DefaultParamsReadable, Def
         med = self._stats()
         keep = [c for c in self.getInputCols() if c in med]
         dropped = [c for c in self.getInputCols() if c not in med]
-        out = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(med[c])))
+        out = df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(float(med[c]))), F.lit(float(med[c])))
                               for c in keep})
         return out.drop(*dropped)
 
@@ -136,21 +136,52 @@ class PopulationScalerModel(Model, HasInputCols, _Stats, DefaultParamsReadable,
         return df.withColumns(out)
 
 
+class OnPresent(Estimator):
+    """A stage made at fit time for those columns that are left: the imputers
+    drop a column without any value. ``make`` gets the columns and returns the
+    stage (None: nothing to do); only the fitted stage is saved."""
+
+    def __init__(self, columns, make):
+        super().__init__()
+        self.columns, self.make = list(columns), make
+
+    def _fit(self, df: DataFrame):
+        present = [c for c in self.columns if c in df.columns]
+        stage = self.make(present) if present else SQLTransformer(statement="SELECT * FROM __THIS__")
+        return stage.fit(df) if isinstance(stage, Estimator) else stage
+
+
 def feature_pipeline(num, cat, output: str = "features") -> Pipeline:
-    """Median+scale the numeric columns, mode+one-hot the categorical ones."""
+    """Median+scale the numeric columns, mode+one-hot the categorical ones.
+    Columns without any value are dropped (see ``dropped_columns``)."""
     idx = [f"{c}__idx" for c in cat]
     ohe = [f"{c}__ohe" for c in cat]
+
+    def index(cols):
+        return StringIndexer(inputCols=cols, outputCols=[f"{c}__idx" for c in cols],
+                             stringOrderType="alphabetAsc", handleInvalid="keep")
+
+    def encode(cols):
+        return OneHotEncoder(inputCols=cols, outputCols=[c.removesuffix("idx") + "ohe" for c in cols], dropLast=True)
+
+    def assemble(cols):
+        return VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep")
+
     stages = [MedianImputer(inputCols=list(num)), PopulationScaler(inputCols=list(num)),
               ModeImputer(inputCols=list(cat))]
     if cat:
-        stages += [StringIndexer(inputCols=list(cat), outputCols=idx,
-                                 stringOrderType="alphabetAsc", handleInvalid="keep"),
-                   OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True)]
-    stages.append(VectorAssembler(inputCols=list(num) + ohe, outputCol=output,
-                                  handleInvalid="keep"))
+        stages += [OnPresent(cat, index), OnPresent(idx, encode)]
+    stages.append(OnPresent(list(num) + ohe, assemble))
     return Pipeline(stages=stages)
 
 
+def dropped_columns(model, spark) -> DataFrame:
+    """(column_name): the columns a fitted pipeline leaves out, having no value."""
+    rows = [(c,) for s in model.stages if isinstance(s, (MedianImputerModel, ModeImputerModel))
+            for c in s.getInputCols() if c not in s._stats()]
+    return spark.createDataFrame(rows, "column_name string")  # bounded by the schema
+
+
 def _stage(model, cls):
     for s in model.stages:
         if isinstance(s, cls):

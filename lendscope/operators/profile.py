@@ -24,10 +24,16 @@ def year_counts(clean: DataFrame, sampled: DataFrame) -> DataFrame:
              .select(YEAR, "available", F.coalesce("sampled", F.lit(0)).alias("sampled")))
 
 
+def _missing(df: DataFrame, c: str):
+    """NULL, or NaN in a floating column."""
+    x = F.col(c)
+    return x.isNull() | F.isnan(x) if dict(df.dtypes)[c] in ("double", "float") else x.isNull()
+
+
 def missing_by_column(df: DataFrame, cols=None) -> DataFrame:
     """(column_name, missing) for every column, from one wide aggregate."""
     cols = cols or df.columns
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    wide = df.agg(*[F.count_if(_missing(df, c)).alias(c) for c in cols])
     return wide.unpivot([], cols, "column_name", "missing")
 
 
@@ -41,7 +47,7 @@ def class_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
 def split_report(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Per split: rows, feature count, default rate, year range, missing cells."""
     feats = [c for c in df.columns if c not in HELPERS]
-    missing = sum(F.count_if(F.col(c).isNull()) for c in feats)
+    missing = sum(F.count_if(_missing(df, c)) for c in feats)
     return (df.groupBy(SPLIT)
               .agg(F.count(F.lit(1)).alias("rows"),
                    F.lit(len(feats)).alias("features"),

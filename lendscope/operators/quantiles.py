@@ -25,6 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .small import null_safe_join
 
 # Largest number of distinct values per group for which one task may hold a
 # group's value->count map (the built-in exact ``percentile`` with counts).
@@ -58,8 +59,6 @@ def quantiles_of_counts(vc: DataFrame, probs, partitions: int | None = None,
     ``widest`` -- the largest number of distinct values in a group, when the
     caller already knows it -- saves the counting job."""
     spark = vc.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = "g"
     gtype = dict(vc.dtypes)["g"]
     vc = vc.where(F.col("c") > 0)
@@ -81,8 +80,13 @@ def quantiles_of_counts(vc: DataFrame, probs, partitions: int | None = None,
         vc.unpersist()
 
 
-def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, partitions: int) -> DataFrame:
-    ranged = (vc.repartitionByRange(partitions, "g", "v")
+def _by_range(df: DataFrame, partitions: int | None, *keys) -> DataFrame:
+    """Range partitions; without a number adaptive execution sizes them."""
+    return df.repartitionByRange(*keys) if partitions is None else df.repartitionByRange(partitions, *keys)
+
+
+def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, partitions: int | None) -> DataFrame:
+    ranged = (_by_range(vc, partitions, "g", "v")
                 .withColumn("pid", F.spark_partition_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -104,12 +108,11 @@ def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, parti
         off_df = spark.createDataFrame(offsets, f"pid int, g {gtype}, off long")
         tg_df = spark.createDataFrame(targets, f"tg {gtype}, pi int, p double, pos double, side int, r long")
         w_in = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (ranged.withColumn("run", F.sum("c").over(w_in))
-                        .join(F.broadcast(off_df), ["pid", "g"])
+        ranked = (null_safe_join(ranged.withColumn("run", F.sum("c").over(w_in)), F.broadcast(off_df), ["pid", "g"])
                         .select("g", "v", (F.col("off") + F.col("run") - F.col("c")).alias("lo_rank"),
                                 (F.col("off") + F.col("run")).alias("hi_rank")))
         hit = (ranked.join(F.broadcast(tg_df),
-                           (F.col("g") == F.col("tg")) & (F.col("r") >= F.col("lo_rank"))
+                           F.col("g").eqNullSafe(F.col("tg")) & (F.col("r") >= F.col("lo_rank"))
                            & (F.col("r") < F.col("hi_rank")))
                      .select("g", "pi", "p", "pos", "side", "r", "v").collect())
     finally:
@@ -137,9 +140,7 @@ def prefix_before(df: DataFrame, by, order: str, value: str, out: str = "before"
     """
     spark = df.sparkSession
     by = list(by)
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(partitions, *by, order)
+    ranged = (_by_range(df, partitions, *by, order)
                 .withColumn("_pid", F.spark_partition_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -153,8 +154,8 @@ def prefix_before(df: DataFrame, by, order: str, value: str, out: str = "before"
         off_schema = ", ".join(["_pid int"] + [f"{b} {types[b]}" for b in by] + ["_off long"])
         off_df = spark.createDataFrame(offsets, off_schema)
         w = Window.partitionBy("_pid", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        res = (ranged.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
-                     .join(F.broadcast(off_df), ["_pid", *by])  # partitions x groups rows
+        summed = ranged.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
+        res = (null_safe_join(summed, F.broadcast(off_df), ["_pid", *by])  # partitions x groups rows
                      .withColumn(out, F.col("_off") + F.col("_in"))
                      .drop("_pid", "_in", "_off")
                      .persist(StorageLevel.MEMORY_AND_DISK))

@@ -2,16 +2,12 @@
 
 Records: one row per (segment, model) with accuracy, precision, recall,
 f1_score, roc_auc, training_time. The comparison rule is a column
-expression over two records; ranking applies it as a comparison sort inside
-each segment (``applyInPandas``: a segment holds one row per model, so a
-group is a handful of rows), never as an all-pairs join.
+expression over two records; ranking counts a record's wins by it inside the
+array of its segment's records, never as an all-pairs join.
 """
 
 from __future__ import annotations
 
-import functools
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +33,8 @@ METRIC_SCHEMA = T.StructType([
 
 def read_metric_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All metric documents under ``path`` except archived ``*_v1.json``,
-    the registry and comparison files; records without a name or metrics are
-    skipped, a missing training time is 0.0."""
+    the registry and comparison files; records without a name or any of the
+    five metrics are skipped, a missing training time is 0.0."""
     df = (spark.read.schema(METRIC_SCHEMA).option("multiLine", multi_line)
           .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(path))
     # Logical file name: the document's own name, or for records written by
@@ -46,7 +42,9 @@ def read_metric_records(spark: SparkSession, path: str, multi_line: bool = True)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "file_name=([^/]+)/[^/]*$", 1)
     fname = F.coalesce(F.nullif(folder, F.lit("")), F.col("_metadata.file_name"))
     keep = (~fname.endswith(SKIP_SUFFIX) & (fname != SKIP_NAME) & ~fname.contains(SKIP_PART)
-            & F.col("model_name").isNotNull() & F.col("metrics").isNotNull())
+            & F.col("model_name").isNotNull())
+    for m in METRIC_SCHEMA["metrics"].dataType.names:
+        keep = keep & F.col(f"metrics.{m}").isNotNull()
     return df.where(keep).select(
         fname.alias("file_name"), "model_name",
         *[F.col(f"metrics.{m}").alias(m) for m in ("accuracy", "precision", "recall", "f1_score", "roc_auc")],
@@ -64,26 +62,14 @@ def write_metric_files(records: DataFrame, path: str) -> None:
         .json(path))
 
 
-def compare(a: dict, b: dict) -> int:
-    """-1 if ``a`` ranks above ``b``, 1 if below, 0 if tied."""
+def compare_col(a, b) -> Column:
+    """-1 if record ``a`` ranks above ``b``, 1 if below, 0 if tied; records are
+    struct columns or their names."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
     d = a["roc_auc"] - b["roc_auc"]
-    if abs(d) >= AUC_GAP:
-        return -1 if d > 0 else 1
-    for k, sign in (("f1_score", 1), ("recall", 1), ("training_time", -1)):
-        d = (a[k] - b[k]) * sign
-        if abs(d) > TIE_EPS:
-            return -1 if d > 0 else 1
-    return 0
-
-
-def compare_col(a: str, b: str) -> Column:
-    """The same rule as a column expression over two aliased records."""
-    A = lambda m: F.col(f"{a}.{m}")
-    B = lambda m: F.col(f"{b}.{m}")
-    d = A("roc_auc") - B("roc_auc")
     out = F.when(F.abs(d) >= AUC_GAP, F.when(d > 0, -1).otherwise(1))
     for k, sign in (("f1_score", 1), ("recall", 1), ("training_time", -1)):
-        dk = (A(k) - B(k)) * sign
+        dk = (a[k] - b[k]) * sign
         out = out.when(F.abs(dk) > TIE_EPS, F.when(dk > 0, -1).otherwise(1))
     return out.otherwise(0)
 
@@ -92,23 +78,26 @@ RANK_FIELDS = ["segment", "model_name", "accuracy", "precision", "recall",
                "f1_score", "roc_auc", "training_time"]
 
 
-def _rank_segment(pdf: pd.DataFrame) -> pd.DataFrame:
-    recs = pdf.sort_values("model_name").to_dict("records")
-    ranked = sorted(recs, key=functools.cmp_to_key(compare))
-    out = pd.DataFrame(ranked, columns=RANK_FIELDS)
-    out["rank"] = range(1, len(out) + 1)
-    return out
-
-
 def rank_models(records: DataFrame, segment: str | None = None) -> DataFrame:
-    """Adds ``rank`` (1 = champion) inside each segment."""
+    """Adds ``rank`` (1 = champion) inside each segment: most pairwise wins
+    first, then the higher ROC-AUC, then the name. The rule is not transitive,
+    so wins are counted instead of sorting by it.
+
+    A segment's records (one per model: their number is that of the learners
+    tried, not of the data) meet in one array, where wins are counted."""
     seg = F.col(segment) if segment else F.lit("all")
     r = records.select(seg.cast("string").alias("segment"),
-                       *[F.col(c).cast("double" if c != "model_name" else "string").alias(c)
-                         for c in RANK_FIELDS[1:]])
-    schema = ", ".join(f"{c} {'string' if c in ('segment', 'model_name') else 'double'}"
-                       for c in RANK_FIELDS) + ", rank long"
-    return r.groupBy("segment").applyInPandas(_rank_segment, schema)
+                       F.struct(*[F.col(c).cast("double" if c != "model_name" else "string").alias(c)
+                                  for c in RANK_FIELDS[1:]]).alias("rec"))
+
+    def placed(a):
+        wins = F.size(F.filter("recs", lambda b: compare_col(a, b) == -1))
+        return F.struct((-wins).alias("minus_wins"), (-a["roc_auc"]).alias("auc"),
+                        a["model_name"].alias("name"), a.alias("rec"))
+
+    ranked = (r.groupBy("segment").agg(F.collect_list("rec").alias("recs"))
+               .select("segment", F.posexplode(F.array_sort(F.transform("recs", placed))).alias("pos", "p")))
+    return ranked.select("segment", "p.rec.*", (F.col("pos") + 1).cast("long").alias("rank"))
 
 
 def model_key(name) -> Column:
@@ -189,12 +178,17 @@ def append_version(versions: DataFrame, record: DataFrame) -> DataFrame:
 
 
 def current_version(versions: DataFrame) -> DataFrame:
-    """The record with the highest version (missing version counts as 1),
-    with reason and date defaults and a display name."""
+    """The record with the highest version (missing version counts as 1), with
+    a display name. Reason and date come from the promotion's field, else the
+    record's own, else the selection's, else a default."""
     v = versions.withColumn("version", F.coalesce("version", F.lit(1)))
     best = v.agg(F.max_by(F.struct(*v.columns), F.col("version")).alias("r")).select("r.*")
+
+    def first_of(name, default):
+        there = [c for c in (f"promotion_{name}", name, f"selection_{name}") if c in v.columns]
+        return F.coalesce(*there, F.lit(default)).alias(name)
+
     return best.select(
         "version", "selected_model",
         F.initcap(F.replace(F.col("selected_model"), F.lit("_"), F.lit(" "))).alias("display_name"),
-        F.coalesce("reason", F.lit("No reason recorded")).alias("reason"),
-        F.coalesce("date", F.lit("N/A")).alias("date"), "model_path", "previous_version")
+        first_of("reason", "Champion model selected."), first_of("date", "N/A"), "model_path", "previous_version")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import prefix_before
-from .small import bounded
+from .small import bounded, null_safe_join
 
 SEED = 42
 MIN_BUCKET_HEX, MAX_BUCKET_HEX = 4, 7  # 16 to 28 bits of the hash
@@ -88,20 +88,15 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
         "_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
     cnt = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (cnt.withColumn("_cum", F.sum("_c").over(w))
-              .join(q.select(*strata, "_q"), strata))
+    cum = null_safe_join(cnt.withColumn("_cum", F.sum("_c").over(w)), q.select(*strata, "_q"), strata)
     # Boundary bucket per stratum: first bucket whose running count reaches q.
-    cut = (cum.where((F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0))
-              .groupBy(*strata)
-              .agg(F.min(F.struct("_b", (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_need")))
-                   .alias("m"))
-              .select(*strata, F.col("m._b").alias("_cut"), F.col("m._need").alias("_need")))
-    # Strata whose quota exceeds their rows keep everything.
-    whole = (cum.groupBy(*strata).agg(F.max("_cum").alias("_n"), F.max("_q").alias("_q"))
-                .where(F.col("_n") <= F.col("_q")).select(*strata))
-    lim = (cut.join(whole.withColumn("_all", F.lit(True)), strata, "full")
-              .select(*strata, "_cut", "_need", F.coalesce("_all", F.lit(False)).alias("_all")))
-    tagged = keyed.join(bounded(lim), strata)  # one row per stratum, size-checked
+    # Strata whose quota is not below their rows keep everything.
+    reached = (F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0)
+    need = F.struct("_b", (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_need"))
+    lim = (cum.groupBy(*strata)
+              .agg(F.min(F.when(reached, need)).alias("m"), (F.max("_cum") <= F.max("_q")).alias("_all"))
+              .select(*strata, F.col("m._b").alias("_cut"), F.col("m._need").alias("_need"), "_all"))
+    tagged = null_safe_join(keyed, bounded(lim), strata)  # one row per stratum, size-checked
     below = tagged.where(F.col("_all") | (F.col("_b") < F.col("_cut")))
     edge = tagged.where(~F.col("_all") & (F.col("_b") == F.col("_cut")))
     rk = Window.partitionBy(*strata, "_b").orderBy("_h")

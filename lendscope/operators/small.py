@@ -8,6 +8,8 @@ uses a shuffle join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +26,10 @@ def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
 def known(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a table whose row count is already known."""
     return F.broadcast(df) if n_rows <= max_rows else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL meets NULL; the left side's keys are kept."""
+    r = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(r, on, how).drop(*[f"_right_{k}" for k in keys])

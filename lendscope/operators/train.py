@@ -48,7 +48,7 @@ def lr(n_rows: int, C: float = 1.0, maxIter: int = 1000, tol: float = 1e-10,
 
 
 def rf(**p) -> RandomForestClassifier:
-    q = dict(RF_V1_PARAMS)
+    q = dict(RF_PARAMS)
     q.update(p)
     return RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
                                   featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
@@ -78,26 +78,16 @@ def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
     return Pipeline(stages=feature_pipeline(num, cat).getStages() + [est])
 
 
-# Rows per training task: a logistic-regression pass is cheap per row, so
-# small inputs use few tasks (fewer tree-aggregation levels per iteration);
-# tree learners do far more work per row and use every core.
-ROWS_PER_TASK = {"logistic": 20_000, "trees": 1_000}
+#: Partitions of a tree learner's input. Spark seeds the row sampling of forests
+#: and boosting per partition, so the count is a parameter of the fit, never
+#: taken from the rows or the cluster; raise it with the training table.
+FIT_PARTITIONS = 64
 
 
-def spread(df: DataFrame, n_rows: int | None = None, rows_per_task: int = 1_000) -> DataFrame:
-    """Size the learner input: about ``rows_per_task`` rows per partition, at
-    most the cluster's default parallelism. A stored table can be one
-    partition (too few tasks) or many tiny ones (too many per-iteration
-    tasks); large inputs are left as they are."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    n_rows = df.count() if n_rows is None else n_rows
-    target = max(1, min(par, -(-n_rows // rows_per_task)))
-    cur = df.rdd.getNumPartitions()
-    if cur < target:
-        return df.repartition(target)
-    if cur > target and n_rows < par * rows_per_task:
-        return df.coalesce(target)
-    return df
+def spread(df: DataFrame, key: str = "row_id", partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by the hash of their unique ``key`` and sorted by it, so that
+    a seeded fit sees the same rows in the same places wherever it runs."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
@@ -107,8 +97,9 @@ def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
     training rows -- is reused instead of fitting the statistics again."""
     n = train.count()
     kind = family(key)
-    train = spread(train, n, ROWS_PER_TASK["logistic" if kind == "logistic" else "trees"])
     weighted = positive_weighted(train) if kind == "boosted" else balanced(train)
+    if kind != "logistic":
+        weighted = spread(weighted)
     if features_model is None:
         return learner(key, num, cat, n_rows=n, **params).fit(weighted)
     est = learner(key, num, cat, n_rows=n, **params).getStages()[-1]

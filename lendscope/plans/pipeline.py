@@ -48,7 +48,7 @@ def stored_path(spark: SparkSession, sf_dir: str) -> str:
     path = _STORED.get(key)
     if path is None:
         path = shared_dir(spark, "clean")
-        clean(spark, sf_dir).write.mode("overwrite").partitionBy(YEAR).parquet(path)
+        clean(spark, sf_dir).hint("rebalance", YEAR).write.mode("overwrite").partitionBy(YEAR).parquet(path)
         _STORED[key] = path
     return path
 

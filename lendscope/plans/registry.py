@@ -241,7 +241,6 @@ from ..session import shared_dir  # noqa: E402
 from .pipeline import split_rows, stored_clean, stored_splits  # noqa: E402
 
 CAP = 500  # per-year cap used with the driver tables (20,000 in the reference)
-SHUFFLE_HEAD = 1000
 
 _SQL_QUOTA = f"""qc AS (SELECT issue_year, loan_status, COUNT(*) AS available FROM clean GROUP BY issue_year, loan_status),
 qc2 AS (SELECT *, SUM(available) OVER (PARTITION BY issue_year) AS total FROM qc),
@@ -270,13 +269,6 @@ def q_stratified_cap(spark, d):
     return _capped(spark, d).select("row_id", "issue_year", "loan_status")
 
 
-@register("shuffle_head", O.with_front(_SQL_QUOTA, _SQL_CAP, select=f"""
-SELECT row_id, md5(concat_ws('_', '42', CAST(row_id AS VARCHAR))) AS shuffle_key FROM capped
-ORDER BY shuffle_key, row_id LIMIT {SHUFFLE_HEAD}"""))
-def q_shuffle_head(spark, d):
-    return smp.seeded_order(_capped(spark, d)).select("row_id", "shuffle_key").limit(SHUFFLE_HEAD)
-
-
 @register("shuffle_order", O.with_front(_SQL_QUOTA, _SQL_CAP, select="""
 SELECT row_id, shuffle_key, ROW_NUMBER() OVER (ORDER BY shuffle_key, row_id) - 1 AS shuffle_pos
 FROM (SELECT row_id, md5(concat_ws('_', '42', CAST(row_id AS VARCHAR))) AS shuffle_key FROM capped)"""))
@@ -368,10 +360,9 @@ def q_parquet_roundtrip(spark, d):
 
 
 @register("split_roundtrip", O.with_front(select="""
-SELECT row_id, issue_year, loan_status, term FROM splits WHERE split = 'val'"""))
+SELECT row_id, split, issue_year, loan_status, term FROM splits"""))
 def q_split_roundtrip(spark, d):
-    return split_rows(spark, d, "val") \
-        .select("row_id", "issue_year", "loan_status", "term")
+    return stored_splits(spark, d).select("row_id", "split", "issue_year", "loan_status", "term")
 
 
 # ---------------------------------------------------------------- step 3: feature statistics
@@ -642,7 +633,7 @@ cmp AS (SELECT a.model_name, b.model_name AS other,
        WHEN ABS(a.training_time - b.training_time) > 1e-6 THEN CASE WHEN a.training_time < b.training_time THEN -1 ELSE 1 END
        ELSE 0 END AS c FROM recs a JOIN recs b ON a.model_name <> b.model_name),
 wins AS (SELECT model_name, COUNT(*) FILTER (WHERE c = -1) AS w FROM cmp GROUP BY model_name),
-ranked AS (SELECT r.*, ROW_NUMBER() OVER (ORDER BY COALESCE(w.w, 0) DESC, r.model_name) AS rank
+ranked AS (SELECT r.*, ROW_NUMBER() OVER (ORDER BY COALESCE(w.w, 0) DESC, r.roc_auc DESC, r.model_name) AS rank
   FROM recs r LEFT JOIN wins w ON r.model_name = w.model_name),
 runner AS (SELECT r.*, LEAD(model_name) OVER (ORDER BY rank) AS ru_name, LEAD(roc_auc) OVER (ORDER BY rank) AS ru_auc,
   LEAD(f1_score) OVER (ORDER BY rank) AS ru_f1, LEAD(recall) OVER (ORDER BY rank) AS ru_recall FROM ranked r)"""
@@ -759,7 +750,7 @@ versions AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2)"""
 @register("current_version", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, _SQL_VERSIONS, select="""
 SELECT version, selected_model, list_reduce(list_transform(string_split(replace(selected_model, '_', ' '), ' '),
   lambda w: upper(w[1]) || lower(w[2:])), lambda a, b: a || ' ' || b) AS display_name,
- COALESCE(reason, 'No reason recorded') AS reason, COALESCE(date, 'N/A') AS date, model_path, previous_version
+ COALESCE(reason, 'Champion model selected.') AS reason, COALESCE(date, 'N/A') AS date, model_path, previous_version
 FROM versions ORDER BY version DESC LIMIT 1"""))
 def q_current_version(spark, d):
     return rk.current_version(model_versions(spark, d))
@@ -885,19 +876,17 @@ def q_score_batch(spark, d):
 from ..streaming import jobs as sj  # noqa: E402
 from ..sources.tables import table as _table  # noqa: E402
 from .pipeline import stored_path  # noqa: E402
-from ..operators.clean import FIXTURE_SPLITS  # noqa: E402
 
 
 @register("score_stream", O.with_front(select=f"""
 SELECT row_id, {O.d6(f'ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6)')} AS y_prob,
  CAST(ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6) > 0.5 AS INTEGER) AS y_pred,
  CASE WHEN ROUND(1.0 / (1.0 + EXP(-({RULES[0][1]}))), 6) > 0.5 THEN 'High Risk' ELSE 'Low Risk' END AS prediction_label
-FROM splits WHERE split = 'prod'"""))
+FROM clean"""))
 def q_score_stream(spark, d):
     path = stored_path(spark, d)
     schema = spark.read.parquet(path).schema
-    lo, hi = FIXTURE_SPLITS["prod"]
-    src = spark.readStream.schema(schema).parquet(path).where(F.col("issue_year").between(lo, hi))
+    src = spark.readStream.schema(schema).parquet(path)
     z = F.round(1.0 / (1.0 + F.exp(-F.expr(RULES[0][1]))), 6)
     out = sj.run_to_parquet(sj.score_stream(src, z), spark, "score-stream")
     return out.select("row_id", r6("y_prob").alias("y_prob"), "y_pred", "prediction_label")
@@ -996,14 +985,11 @@ def q_drift_report_no_month(spark, d):
 
 @register("score_stream_model")
 def q_score_stream_model(spark, d):
-    """Arriving applications (the prod rows of the stored table, read as a
-    file stream) scored by the fitted logistic-regression version."""
+    """Arriving applications (the stored table, read as a file stream) scored by the fitted logistic-regression version."""
     m = fitted(spark, d, "logistic_regression")
     path = stored_path(spark, d)
     schema = spark.read.parquet(path).schema
-    lo, hi = FIXTURE_SPLITS["prod"]
     src = (spark.readStream.schema(schema).parquet(path)
-           .where(F.col("issue_year").between(lo, hi))
            .withColumn("issue_d", F.col("issue_d").cast("string")))
     out = sj.run_to_parquet(sj.score_stream_model(src, m), spark, "score-stream-model")
     return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"),

@@ -49,9 +49,9 @@ def loans_raw(spark: SparkSession, sf_dir: str, decided_only: bool = False) -> D
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
           .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
-          # Both sides are order-sized at any scale: a shuffle join on the order
+          # Both sides are order-sized at any scale: a sort-merge join on the order
           # key, which the per-order aggregate of lineitem is already hashed by.
-          .join(li.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+          .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
     k, ck = F.col("o_orderkey"), F.col("c_custkey")
     months = F.when(k % 3 == 0, 60).otherwise(36)
     grade = F.substr(F.lit("ABCDE"), F.substr("o_orderpriority", F.lit(1), F.lit(1)).cast("int"), F.lit(1))

@@ -68,16 +68,17 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     spark = baseline.sparkSession
     path = shared_dir(spark, "stream-edges")
     table.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).hint("shuffle_hash")
+    return spark.read.parquet(path)
 
 
 def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts: str,
                  window: str = "7 days", watermark: str = "1 day") -> DataFrame:
     """Counts per (tumbling window, group, bin) of arriving values against
     frozen edges; windows are emitted once the watermark closes them.
-    Window bounds are epoch seconds (UTC), independent of the session zone."""
+    A group the baseline does not have is counted in bin 0, as is a missing
+    value. Window bounds are epoch seconds (UTC), independent of the session zone."""
     x = F.round(F.col(value).cast("double"), DIGITS)
-    inner = F.col("inner")
+    inner = F.coalesce("inner", F.array().cast("array<double>"))
     bin_ = sum(F.when((F.size(inner) >= k) & (x >= F.try_element_at(inner, F.lit(k))), 1).otherwise(0)
                for k in range(1, len(DECILES) - 1))
     # Event times are wall-clock (timestamp_ntz) in UTC: read them as UTC
@@ -85,7 +86,7 @@ def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts
     tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     s = (stream.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz))
                .withWatermark(ts, watermark)
-               .join(edges, group)  # one row per group; hinted by baseline_edges
+               .join(edges, group, "left")  # one row per group; hinted by baseline_edges
                .select(ts, group, bin_.alias("bin")))
     return (s.groupBy(F.window(ts, window).alias("w"), group, "bin")
              .agg(F.count(F.lit(1)).alias("n"))

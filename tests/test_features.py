@@ -93,3 +93,32 @@ def test_scaler_zero_sigma_divides_by_one(spark):
     df = spark.createDataFrame([(1, 3.0), (2, 3.0)], "row_id long, x double")
     m = fe.PopulationScaler(inputCols=["x"]).fit(df)
     assert [r["x"] for r in m.transform(df).collect()] == [0.0, 0.0]
+
+
+def test_pipeline_drops_columns_without_values(spark, tmp_path):
+    rows = [(i, None, float(i), None, "ab"[i % 2]) for i in range(6)]
+    df = spark.createDataFrame(rows, "row_id long, e double, x double, n string, c string")
+    m = fe.feature_pipeline(["e", "x"], ["n", "c"]).fit(df)
+    assert [r["name"] for r in fe.feature_names(m, spark).orderBy("idx").collect()] == ["num__x", "cat__c_a", "cat__c_b"]
+    assert sorted(r[0] for r in fe.dropped_columns(m, spark).collect()) == ["e", "n"]
+    m.write().overwrite().save(str(tmp_path / "m"))
+    from pyspark.ml import PipelineModel
+    assert PipelineModel.load(str(tmp_path / "m")).transform(df).first()["features"].size == 3
+    assert fe.feature_pipeline(["x"], ["n"]).fit(df).transform(df).first()["features"].size == 1
+
+
+def test_nan_is_missing(spark):
+    from lendscope.operators.profile import missing_by_column
+    df = spark.createDataFrame([(1, float("nan")), (2, 1.0), (3, 3.0), (4, None)], "row_id long, x double")
+    m = fe.feature_pipeline(["x"], []).fit(df)
+    got = [r["features"][0] for r in m.transform(df).orderBy("row_id").collect()]
+    assert got[0] == got[3] == 0.0 and got[2] == -got[1] > 0
+    assert {r["column_name"]: r["missing"] for r in missing_by_column(df).collect()} == {"row_id": 0, "x": 2}
+
+
+def test_forest_is_the_same_from_any_partitioning(spark, train):
+    def weights(df):
+        m = tr.fit("Random Forest", df, NUMERIC, [], numTrees=5, maxDepth=4)
+        return m.stages[-1].featureImportances.toArray().tolist()
+    assert weights(train.repartition(1)) == pytest.approx(weights(train.repartition(7)), abs=1e-12)
+    assert tr.rf().getNumTrees() == tr.RF_PARAMS["numTrees"]

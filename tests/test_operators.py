@@ -1,6 +1,5 @@
 """Properties and goldens of the operators (brute force on small inputs)."""
 
-import functools
 import math
 
 import numpy as np
@@ -146,6 +145,7 @@ def test_roc_auc_exact_and_invariant(spark):
 
 
 def test_ranking_matches_comparator_sort(spark):
+    from rules import by_wins
     # The reference's three committed model records.
     recs = [("Logistic Regression Baseline", 0.63665, 0.3528748590755355, 0.6721065063345502, 0.46277814740888595, 0.7038439504950649, 3.7257513999938965),
             ("XGBoost Baseline", 0.65965, 0.3656585853536616, 0.6283014816405411, 0.46227980093214316, 0.7059027420945182, 7.180715560913086),
@@ -155,8 +155,7 @@ def test_ranking_matches_comparator_sort(spark):
     got = [r["model_name"] for r in rank.rank_models(df).orderBy("rank").collect()]
     assert got == ["Logistic Regression Baseline", "XGBoost Baseline", "Random Forest Baseline"]
     fields = ["model_name", "accuracy", "precision", "recall", "f1_score", "roc_auc", "training_time"]
-    by_cmp = sorted([dict(zip(fields, r)) for r in recs], key=functools.cmp_to_key(rank.compare))
-    assert [r["model_name"] for r in by_cmp] == got
+    assert by_wins([dict(zip(fields, r)) for r in recs]) == got
     reason = rank.selection_reason(rank.rank_models(df)).first()["reason"]
     assert reason.startswith("Statistically similar ROC-AUC to XGBoost Baseline (difference of 0.0021")
     keys = {r[0]: r[1] for r in df.select("model_name", rank.model_key("model_name")).collect()}
@@ -179,7 +178,8 @@ def test_metric_records_reader_skips_files(spark, tmp_path):
             "a_metrics_v1.json": {"model_name": "A1", "metrics": {"roc_auc": 0.1}},
             "model_registry.json": {"model_name": "R", "metrics": {"roc_auc": 0.1}},
             "model_comparison.json": {"model_name": "C", "metrics": {"roc_auc": 0.1}},
-            "b_metrics.json": {"model_name": "B", "training_time_seconds": 2.5, "metrics": {"roc_auc": 0.6}},
+            "b_metrics.json": {"model_name": "B", "training_time_seconds": 2.5, "metrics": {"accuracy": 1, "precision": 1, "recall": 1, "f1_score": 1, "roc_auc": 0.6}},
+            "incomplete_metrics.json": {"model_name": "I", "metrics": {"roc_auc": 0.6}},
             "notes.json": {"comment": "no model"}}
     for n, d in docs.items():
         (tmp_path / n).write_text(json.dumps(d, indent=4))
@@ -201,7 +201,10 @@ def test_append_and_current_version(spark):
     # a record without version or reason counts as version 1 with defaults
     legacy = spark.createDataFrame([(None, "random_forest", "p", None, None, None)], schema)
     cur = rank.current_version(legacy).first()
-    assert (cur["version"], cur["reason"], cur["date"]) == (1, "No reason recorded", "N/A")
+    assert (cur["version"], cur["reason"], cur["date"]) == (1, "Champion model selected.", "N/A")
+    older = legacy.withColumns({"selection_reason": F.lit("chosen"), "promotion_date": F.lit("2024-02-02")})
+    cur = rank.current_version(older).first()
+    assert (cur["reason"], cur["date"]) == ("chosen", "2024-02-02")
 
 
 def test_classification_report_golden(spark):
@@ -280,3 +283,47 @@ def test_constant_baseline_reads_zero_psi_and_is_flagged(spark):
     moved = spark.createDataFrame([(i, float(i % 7), "a") for i in range(50)], "row_id long, x double, c string")
     rep2 = {r["feature"]: r for r in drift.drift_report(moved, cur, exclude=("row_id",)).collect()}
     assert rep2["x"]["constant_feature"] is False and rep2["x"]["metric"] > 0.25
+
+
+def test_ranking_cycle_counts_wins(spark):
+    from rules import by_wins
+    recs = [("a", 0.700, 0.50), ("b", 0.704, 0.45), ("c", 0.708, 0.40), ("d", 0.703, 0.47)]
+    rows = [(n, 0.5, 0.5, 0.5, f1, auc, 1.0) for n, auc, f1 in recs]
+    df = spark.createDataFrame(rows, "model_name string, accuracy double, precision double, recall double, "
+                                     "f1_score double, roc_auc double, training_time double")
+    got = [r["model_name"] for r in rank.rank_models(df).orderBy("rank").collect()]
+    assert got == by_wins([r.asDict() for r in df.collect()]) == ["c", "a", "b", "d"]
+    assert rank.rank_models(df.limit(0)).count() == 0
+
+
+def test_null_strata_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i < 5 else 2016, i % 2) for i in range(10)],
+                               "row_id long, issue_year int, loan_status int")
+    assert sample.stratified_cap(df, 500).count() == 10
+    capped = sample.stratified_cap(df, 2).collect()
+    assert sorted(str(r["issue_year"]) for r in capped) == ["2016", "2016", "None", "None"]
+
+
+def test_null_groups_agree_on_both_paths(spark):
+    from lendscope.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([("m" if i % 2 else None, int(i % 3 == 0), i / 20) for i in range(20)],
+                               "model_name string, y_true int, y_prob double")
+    key = lambda rows: sorted(map(str, rows))
+    narrow, wide = (evaluate.roc_auc(df, max_group_distinct=n).collect() for n in (10**6, 1))
+    assert key(narrow) == key(wide) and len(narrow) == 2
+    narrow, wide = ([(r["model_name"], r["p"], round(r["q"], 9)) for r in exact_quantiles(
+        df, "model_name", "y_prob", [0.25, 0.5], max_group_distinct=n).collect()] for n in (10**6, 1))
+    assert key(narrow) == key(wide) and len(narrow) == 4
+
+
+def test_approximate_edges_count_rows(spark):
+    from lendscope.operators import drift
+    df = spark.createDataFrame([(0.0,)] * 900 + [(float(i),) for i in range(1, 101)], "x double")
+    inner = {m: drift.psi_edges(df, df, ["x"], method=m).first()["edges"][1:-1] for m in ("exact", "approx")}
+    assert len(inner["approx"]) <= 1 and all(e <= 1.0 for e in inner["exact"] + inner["approx"])
+
+
+def test_numbers_with_suffixes_are_missing(spark):
+    from lendscope.functions.columns import to_double
+    df = spark.createDataFrame([("1d",), ("2f",), ("0x1p3",), (" 1.5 ",), ("-2e3",), (".5",), ("nan",), (None,)], "x string")
+    assert [r[0] for r in df.select(to_double("x")).collect()] == [None, None, None, 1.5, -2000.0, 0.5, None, None]

@@ -65,6 +65,7 @@ def test_applications_contract_and_coercion(spark, tmp_path):
 
 
 def test_compare_rule_column_matches_python(spark):
+    from rules import compare
     from lendscope.operators import rank
     recs = [(0.700, 0.50, 0.4, 1.0), (0.704, 0.45, 0.5, 2.0), (0.708, 0.40, 0.6, 3.0), (0.7001, 0.50, 0.4, 0.5)]
     f = ["roc_auc", "f1_score", "recall", "training_time"]
@@ -73,7 +74,7 @@ def test_compare_rule_column_matches_python(spark):
                                "a struct<roc_auc double, f1_score double, recall double, training_time double>, "
                                "b struct<roc_auc double, f1_score double, recall double, training_time double>")
     got = [r[0] for r in df.select(rank.compare_col("a", "b")).collect()]
-    assert got == [rank.compare(a, b) for a, b in pairs]
+    assert got == [compare(a, b) for a, b in pairs]
 
 
 def test_decided_only_scan_pushes_status_and_keeps_rows(spark, small):
