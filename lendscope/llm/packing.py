@@ -14,6 +14,7 @@ sequence follow each other from offset 0 without gaps.
 from __future__ import annotations
 
 import os
+import sys
 import unicodedata
 from zlib import crc32
 
@@ -89,6 +90,19 @@ class WordTokenizer:
         return [b"".join(map(get, ws)) for ws in words]
 
 
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this process for ``path``.
+
+    Spark's Python workers outlive their tasks, and functions shipped by value
+    bring their globals anew each time; kept with the interpreter, the words
+    learned in one task serve the next. A new worker starts without them.
+    """
+    kept = sys.__dict__.setdefault("_word_tokenizers", {})
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabulary: str = VOCABULARY, digest: bool = False) -> DataFrame:
     """doc_id, start, length, doc_tokens, ids (binary, little-endian unsigned
     32-bit): the full windows and the rest of every document. With ``digest``,
@@ -97,7 +111,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabula
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches):
-        encode = WordTokenizer(vocabulary_path(vocabulary))
+        encode = worker_tokenizer(vocabulary_path(vocabulary))
         for whole in batches:
             for batch in small_batches(whole, "text", 4 << 20):
                 row, start, total, ids = [], [], [], []
