@@ -56,6 +56,13 @@ def split_report(df: DataFrame, label: str = LABEL) -> DataFrame:
                    missing.alias("missing_cells")))
 
 
+def split_missing(df: DataFrame) -> DataFrame:
+    """(split, column_name, missing) for every feature column of every split."""
+    feats = [c for c in df.columns if c not in HELPERS]
+    wide = df.groupBy(SPLIT).agg(*[F.count_if(_missing(df, c)).alias(c) for c in feats])
+    return wide.unpivot([SPLIT], feats, "column_name", "missing")
+
+
 def split_violations(stored: DataFrame, clean: DataFrame, ranges=FIXTURE_SPLITS) -> DataFrame:
     """Audit of (split, issue_year): rows and whether the year belongs to it.
 

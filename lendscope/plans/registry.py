@@ -320,6 +320,13 @@ def q_split_report(spark, d):
     return prof.split_report(stored_splits(spark, d)).withColumn("default_rate", r6("default_rate"))
 
 
+@register("split_missing", O.with_front(select=" UNION ALL ".join(
+    f"SELECT split, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing FROM splits GROUP BY split"
+    for c in NUMERIC + CATEGORICAL + ["issue_d"])))
+def q_split_missing(spark, d):
+    return prof.split_missing(stored_splits(spark, d))
+
+
 @register("split_violations", O.with_front(select="""
 SELECT split, issue_year, COUNT(*) AS rows,
  CASE split WHEN 'train' THEN issue_year BETWEEN 1995 AND 1998 WHEN 'val' THEN issue_year = 1999
@@ -892,26 +899,53 @@ def q_score_stream(spark, d):
     return out.select("row_id", r6("y_prob").alias("y_prob"), "y_pred", "prediction_label")
 
 
-@register("drift_stream", O.with_front(f"""
+_SQL_EVENTS = f"""
 ev AS (SELECT event_type, ROUND(value, 9) AS x, ts FROM events),
 qe AS (SELECT event_type, list_sort(list_distinct(list(ROUND(q, 9)))) AS e FROM (
   SELECT event_type, UNNEST(quantile_cont(x, {sj.DECILES})) AS q FROM ev GROUP BY event_type) GROUP BY event_type),
 inn AS (SELECT event_type, e[2:len(e) - 1] AS inner_e FROM qe),
 eb AS (SELECT ev.ts, ev.event_type, len(list_filter(inner_e, lambda v: ev.x >= v)) AS bin
   FROM ev JOIN inn ON ev.event_type = inn.event_type),
-ew AS (SELECT CAST(to_timestamp(floor(epoch(ts) / 604800) * 604800) AS TIMESTAMP) AS ws, event_type, bin FROM eb)""",
-    select="""
-SELECT CAST(epoch(ws) AS BIGINT) AS window_start, CAST(epoch(ws + INTERVAL 7 DAY) AS BIGINT) AS window_end,
+ew AS (SELECT CAST(to_timestamp(floor(epoch(ts) / 604800) * 604800) AS TIMESTAMP) AS ws, event_type, bin FROM eb),
+cw AS (SELECT CAST(epoch(ws) AS BIGINT) AS window_start, CAST(epoch(ws + INTERVAL 7 DAY) AS BIGINT) AS window_end,
  event_type, CAST(bin AS INTEGER) AS bin, COUNT(*) AS n FROM ew
 WHERE ws + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY
-GROUP BY ws, event_type, bin"""))
+GROUP BY ws, event_type, bin)"""
+
+
+@register("drift_stream", O.with_front(_SQL_EVENTS, select="SELECT * FROM cw"))
 def q_drift_stream(spark, d):
+    return _drift_counts(spark, d)[0]
+
+
+def _drift_counts(spark, d):
+    """Counts of the closed windows, the events and their frozen edges."""
     ev = _table(spark, d, "events")
     edges = sj.baseline_edges(ev, "event_type", "value")
     src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
            .parquet(d.rstrip("/")))
     out = sj.run_to_parquet(sj.drift_stream(src, edges, "event_type", "value", "ts"), spark, "drift-stream")
-    return out.select("window_start", "window_end", "event_type", "bin", "n")
+    return out.select("window_start", "window_end", "event_type", "bin", "n"), ev, edges
+
+
+@register("drift_stream_psi", O.with_front(_SQL_EVENTS, """
+sg AS (SELECT event_type, UNNEST(range(0, len(inner_e) + 1)) AS bin FROM inn),
+sb AS (SELECT sg.event_type, sg.bin, COUNT(eb.bin) AS base FROM sg
+  LEFT JOIN eb ON sg.event_type = eb.event_type AND sg.bin = eb.bin GROUP BY sg.event_type, sg.bin),
+sn AS (SELECT event_type, SUM(base) AS n_base FROM sb GROUP BY event_type),
+st AS (SELECT window_start, window_end, event_type, CAST(SUM(n) AS BIGINT) AS n_cur FROM cw GROUP BY ALL),
+sp AS (SELECT st.*, CASE WHEN base = 0 THEN 0.0001::DOUBLE ELSE base::DOUBLE / n_base END AS tp,
+  CASE WHEN COALESCE(n, 0) = 0 THEN 0.0001::DOUBLE ELSE n::DOUBLE / n_cur END AS cp
+  FROM st JOIN sb USING (event_type) JOIN sn USING (event_type)
+  LEFT JOIN cw ON cw.window_start = st.window_start AND cw.event_type = st.event_type AND cw.bin = sb.bin),
+sq AS (SELECT *, tp / SUM(tp) OVER (PARTITION BY window_start, event_type) AS b,
+  cp / SUM(cp) OVER (PARTITION BY window_start, event_type) AS c FROM sp),
+sm AS (SELECT window_start, window_end, event_type, n_cur, SUM((c - b) * LN(c / b)) AS metric FROM sq GROUP BY ALL)""",
+    select=f"""
+SELECT window_start, window_end, event_type, n_cur, {O.d6('metric')} AS psi, {_SQL_STATUS} AS drift_status FROM sm"""))
+def q_drift_stream_psi(spark, d):
+    counts, ev, edges = _drift_counts(spark, d)
+    return sj.window_psi(counts, ev, edges, "event_type", "value").withColumn("psi", r6("psi"))
 
 
 # ---------------------------------------------------------------- step 7: gated refit, held-out evaluation

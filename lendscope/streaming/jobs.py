@@ -1,6 +1,6 @@
-"""Structured Streaming jobs: continuous scoring and windowed drift counts.
+"""Structured Streaming jobs: continuous scoring, windowed drift counts and their PSI.
 
-Both run with ``trigger(availableNow=True)`` into a parquet sink whose
+The streams run with ``trigger(availableNow=True)`` into a parquet sink whose
 checkpoint lives next to it in the shared checkpoint folder, so a restarted
 query resumes exactly where it stopped. The result is read back as a batch
 DataFrame.
@@ -8,15 +8,18 @@ DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import drift_status
+from ..operators.drift import EPS
 from ..operators.quantiles import exact_quantiles
 from ..operators.small import MAX_BROADCAST_ROWS, bounded
 from ..session import shared_dir
 
 DIGITS = 9
 DECILES = [i / 10 for i in range(11)]
+NO_BASELINE = "No Baseline"
 
 
 def run_to_parquet(stream: DataFrame, spark: SparkSession, name: str,
@@ -71,24 +74,57 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _bin(value: str) -> Column:
+    """Number of inner edges not above the value; 0 without edges or value."""
+    x = F.round(F.col(value).cast("double"), DIGITS)
+    inner = F.coalesce("inner", F.array().cast("array<double>"))
+    return sum(F.when((F.size(inner) >= k) & (x >= F.try_element_at(inner, F.lit(k))), 1).otherwise(0)
+               for k in range(1, len(DECILES) - 1))
+
+
 def drift_stream(stream: DataFrame, edges: DataFrame, group: str, value: str, ts: str,
                  window: str = "7 days", watermark: str = "1 day") -> DataFrame:
     """Counts per (tumbling window, group, bin) of arriving values against
     frozen edges; windows are emitted once the watermark closes them.
     A group the baseline does not have is counted in bin 0, as is a missing
     value. Window bounds are epoch seconds (UTC), independent of the session zone."""
-    x = F.round(F.col(value).cast("double"), DIGITS)
-    inner = F.coalesce("inner", F.array().cast("array<double>"))
-    bin_ = sum(F.when((F.size(inner) >= k) & (x >= F.try_element_at(inner, F.lit(k))), 1).otherwise(0)
-               for k in range(1, len(DECILES) - 1))
     # Event times are wall-clock (timestamp_ntz) in UTC: read them as UTC
     # instants whatever the session time zone is.
     tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
     s = (stream.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), tz))
                .withWatermark(ts, watermark)
                .join(edges, group, "left")  # one row per group; hinted by baseline_edges
-               .select(ts, group, bin_.alias("bin")))
+               .select(ts, group, _bin(value).alias("bin")))
     return (s.groupBy(F.window(ts, window).alias("w"), group, "bin")
              .agg(F.count(F.lit(1)).alias("n"))
              .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
                      F.unix_seconds(F.col("w.end")).alias("window_end"), group, "bin", "n"))
+
+
+def window_psi(counts: DataFrame, baseline: DataFrame, edges: DataFrame, group: str, value: str) -> DataFrame:
+    """(window_start, window_end, group, n_cur, psi, drift_status) of the closed
+    windows that :func:`drift_stream` emitted, against the baseline behind
+    ``edges``.
+
+    Missing values count in bin 0 on both sides; an empty bin gets ``EPS``. A
+    group without a baseline (a null group has none) has no PSI and the status
+    ``No Baseline``. The baseline shrinks to ten counts a group by partial
+    aggregation before any join.
+    """
+    had = (baseline.select(group, value).join(edges, group).select(group, _bin(value).alias("bin"))
+                   .groupBy(group, "bin").agg(F.count(F.lit(1)).alias("base")))
+    grid = edges.select(group, F.explode(F.sequence(F.lit(0), F.size("inner"))).alias("bin"))
+    grid = grid.join(had, [group, "bin"], "left").withColumn("base", F.coalesce("base", F.lit(0)))
+    grid = grid.withColumn("tp", F.col("base") / F.sum("base").over(Window.partitionBy(group)))  # at most 10 rows
+    at = ["window_start", "window_end"]
+    total = counts.groupBy(*at, group).agg(F.sum("n").alias("n_cur"))
+    now = counts.select(*at, group, "bin", "n")
+    full = total.join(grid, group, "left").join(now, [*at, group, "bin"], "left")
+    cp = F.coalesce("n", F.lit(0)) / F.col("n_cur")
+    full = full.select(*at, group, "n_cur", F.when(F.col("tp") == 0, EPS).otherwise(F.col("tp")).alias("tp"),
+                       F.when(cp == 0, EPS).otherwise(cp).alias("cp"))
+    w = Window.partitionBy(*at, group)  # at most 10 rows
+    share = full.select(*at, group, "n_cur", (F.col("tp") / F.sum("tp").over(w)).alias("b"),
+                        (F.col("cp") / F.sum("cp").over(w)).alias("c"))
+    psi = share.groupBy(*at, group, "n_cur").agg(F.sum((F.col("c") - F.col("b")) * F.ln(F.col("c") / F.col("b"))).alias("psi"))
+    return psi.withColumn("drift_status", F.when(F.col("psi").isNull(), NO_BASELINE).otherwise(drift_status("psi")))

@@ -263,6 +263,25 @@ def test_stream_edges_beyond_broadcast_bound_stay_distributed(spark, monkeypatch
     assert len(small) == 3 and all(len(v) == 9 for v in small.values())
 
 
+def test_window_psi_against_frozen_edges_and_unseen_groups(spark):
+    import math
+
+    from lendscope.streaming import jobs as sj
+
+    base = spark.createDataFrame([("a", float(v)) for v in range(20)], "g string, x double")
+    edges = sj.baseline_edges(base, "g", "x")
+    rows = [(0, 7, "a", b, 2) for b in range(10)] + [(7, 14, "a", 0, 20), (7, 14, "new", 0, 3), (7, 14, None, 0, 1)]
+    counts = spark.createDataFrame(rows, "window_start long, window_end long, g string, bin int, n long")
+    got = {(r["window_start"], r["g"]): r for r in sj.window_psi(counts, base, edges, "g", "x").collect()}
+    assert len(got) == 4 and got[0, "a"]["n_cur"] == 20
+    assert abs(got[0, "a"]["psi"]) < 1e-12 and got[0, "a"]["drift_status"] == "No Drift"
+    total = 1 + 9e-4
+    want = (1 / total - .1) * math.log(1 / total / .1) + 9 * (1e-4 / total - .1) * math.log(1e-4 / total / .1)
+    assert abs(got[7, "a"]["psi"] - want) < 1e-9 and got[7, "a"]["drift_status"] == "Significant Drift"
+    assert all(got[7, g]["psi"] is None and got[7, g]["drift_status"] == "No Baseline" for g in ("new", None))
+    assert sj.window_psi(counts.limit(0), base, edges, "g", "x").count() == 0
+
+
 def test_drift_report_without_columns_is_empty(spark):
     df = spark.createDataFrame([(1, 2.0)], "row_id long, x double")
     rep = drift.drift_report(df, df, numeric=[], categorical=[])
