@@ -29,6 +29,7 @@ ROUNDS = 3
 SMOOTH = 0.05
 UNKNOWN = 1e-7  # of a byte that no piece covers
 LONGEST = 48
+SCALE = 4096.0  # put on each byte in the lattice, near UNKNOWN ** -0.5: paths of LONGEST + 1 bytes stay within 1e-166 and 1e177
 NODES = 2_000_000
 KNOWN_VALUES = 4_000_000
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -67,6 +68,7 @@ class Lattice:
         self.codes = codes[self.order]
         self.prefixes = np.sort(np.array(list(prefixes), dtype=np.uint64))
         self.longest = max(map(len, pieces), default=1)
+        self.scale = SCALE ** np.minimum([len(p) for p in pieces], LONGEST + 1)[:, None]
 
     @staticmethod
     def _fingerprints(p: bytes) -> list[int]:
@@ -104,8 +106,10 @@ class Lattice:
 
     def sweep(self, words: list[np.ndarray] | tuple[np.ndarray, np.ndarray], probability: np.ndarray, weight=None):
         """Log probabilities (words x languages); with ``weight`` (words x
-        languages) also the expected piece counts (pieces x languages)."""
+        languages) also the expected piece counts (pieces x languages). Inside,
+        a path's weight is its probability times ``SCALE`` for each byte."""
         data, size = words
+        probability, unknown = probability * self.scale, UNKNOWN * SCALE
         begin = np.cumsum(size) - size
         word = np.repeat(np.arange(len(size)), size)
         inside = np.arange(len(data)) - begin[word]
@@ -121,7 +125,7 @@ class Lattice:
         alpha[begin + np.arange(len(size))] = 1.0
         g = 0
         for t, at in enumerate(steps):
-            alpha[node[at] + 1] += alpha[node[at]] * UNKNOWN
+            alpha[node[at] + 1] += alpha[node[at]] * unknown
             while g < len(groups) and groups[g][2] == t:
                 lo, hi, _ = groups[g]
                 src = node[start[lo:hi]]
@@ -129,15 +133,16 @@ class Lattice:
                 g += 1
         last = begin + np.arange(len(size)) + size
         total = alpha[last]
+        logs = np.log(total) - size[:, None] * np.log(SCALE)
         if weight is None:
-            return np.log(total)
+            return logs
         beta = np.zeros_like(alpha)
         beta[last] = weight / total
         counts = np.zeros_like(probability)
         g = len(groups) - 1
         for t in range(len(steps) - 1, -1, -1):
             at = steps[t]
-            beta[node[at]] += beta[node[at] + 1] * UNKNOWN
+            beta[node[at]] += beta[node[at] + 1] * unknown
             while g >= 0 and groups[g][2] == t:
                 lo, hi, _ = groups[g]
                 src = node[start[lo:hi]]
@@ -147,7 +152,7 @@ class Lattice:
                 for j in range(probability.shape[1]):
                     counts[:, j] += np.bincount(piece[lo:hi], flow[:, j], minlength=len(counts))
                 g -= 1
-        return np.log(total), counts
+        return logs, counts
 
 
 def letters(texts: pa.Array) -> pa.Array:
