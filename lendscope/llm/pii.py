@@ -5,8 +5,8 @@ disguises: look-alike and full-width characters become ASCII and invisible
 ones go, spelled digits become digits, bracketed or spelled "at" and "dot"
 become signs. Each step keeps, for every piece of its output, where it came
 from, so an identifier found in the rewritten text is reported by its place in
-the original. Only finds that touch a rewritten piece and no plain find of
-their kind are added.
+the original. Only finds that touch a rewritten piece and that no plain find
+of their kind covers are added, beside the plain finds that they overlap.
 
 Defined results: null and empty texts have no spans; ids may be null or
 repeat; rows are independent of each other, other columns are ignored.
@@ -233,13 +233,14 @@ def disguised_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def spans(text: str | None) -> list[dict]:
-    """All spans by start, then kind: plain ones, and disguised ones clear of them."""
+    """All spans by start, then kind: plain ones, and disguised ones that no
+    plain or earlier one of their kind covers."""
     if not text:
         return []
     plain = plain_spans(text)
     extra = []
     for s, e, k in disguised_spans(text):
-        if all(e <= a or b <= s for a, b, kind in plain + extra if kind == k):
+        if not any(a <= s and e <= b for a, b, kind in plain + extra if kind == k):
             extra.append((s, e, k))
     found = [(s, KINDS.index(k), e, k, True) for s, e, k in plain] + [(s, KINDS.index(k), e, k, False) for s, e, k in extra]
     return [{"kind": k, "start": s, "end": e, "plain": p} for s, _, e, k, p in sorted(found)]

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lendscope.llm import language
+from lendscope.llm import language, pii
 
 UNCOVERED = ["".join(chr(0x1D4D2 + i % 20) for i in range(12)), "a" + "́" * 60, "\U00010400" * 300]
 
@@ -29,3 +29,30 @@ def test_language_uncovered_letters_in_training_and_scoring(spark, odd):
     asked = spark.createDataFrame([(0, said["fr"]), (1, said["en"]), (2, f"{said['fr']} {odd} {said['fr']}"), (3, odd)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in language.identify(asked, model, ["doc_id"]).collect()}
     assert [got[i]["_lang_pred"] for i in range(3)] == ["fr", "en", "fr"] and all(0 < got[i]["_score"] <= 1 for i in range(4))
+
+
+def shown(text):
+    return [text[s["start"]:s["end"]] for s in pii.spans(text)]
+
+
+@pytest.mark.parametrize("address", ["john@example.com", "10.20.30.40", "4111 1111 1111 1111", "+1 415 555 0123"])
+def test_pii_one_odd_character_anywhere(address):
+    alike = {plain: odd for odd, plain in pii._ALIKE.items()}
+    forms = [address[:i] + alike[c] + address[i + 1:] for i, c in enumerate(address) if c in alike]
+    forms += [address[:i] + "​" + address[i:] for i in range(1, len(address))]
+    assert len(forms) > len(address)
+    for form in forms:
+        text = f"write: {form}; thanks"
+        assert form in shown(text)
+        kind = pii.spans(address)[0]["kind"].upper()
+        assert pii.masked_text(text) == f"write: [{kind}]; thanks"
+        # the plain finds of the text stay
+        plain = [(s["start"], s["end"], s["kind"]) for s in pii.spans(text) if s["plain"]]
+        assert sorted(plain) == sorted(pii.plain_spans(text))
+
+
+def test_pii_disguise_with_a_plain_remainder():
+    assert shown("bob@mail.example [dot] com") == ["bob@mail.example", "bob@mail.example [dot] com"]
+    assert pii.masked_text("bob@mail.example [dot] com") == "[EMAIL]"
+    # a disguised find inside a plain one is no further span
+    assert all(s["plain"] for s in pii.spans("a.b@c.example.com, +1 (555) 010-2030, 10.0.0.1"))
