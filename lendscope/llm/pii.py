@@ -151,24 +151,26 @@ _HAS_ODD = re.compile("[\xad\u0370-\U0010ffff]")
 _SPELLED = dict(zip("zero oh one two three four five six seven eight nine".split(), "00123456789"))
 _NUMBER_WORD = rf"(?:{'|'.join(_SPELLED)})"
 _SAID = rf"(?:(?:double|triple)[\s-]+)?(?:{_NUMBER_WORD}|[0-9]+)"
-_JOIN = r"(?:[\s,]*[\s,-][\s,]*)"
+_JOIN = r"(?:[\s,]+(?:-[\s,]*)?|-[\s,]*)"  # signs with at most one hyphen, matched in one way only
 _SPELLED_RUN = re.compile(
     rf"(?<!\w)(?:plus{_JOIN}|\+\s*)?{_SAID}(?:{_JOIN}(?:{_SAID}|(?:dot|point)(?={_JOIN}{_SAID}))){{3,}}(?!\w)", re.I)
 _SPELLED_TOKEN = re.compile(r"plus|\+|double|triple|dot|point|[0-9]+|[a-z]+", re.I)
-_HAS_SPELLED = re.compile(rf"(?<!\w){_NUMBER_WORD}{_JOIN}(?:double[\s-]+|triple[\s-]+)?(?:{_NUMBER_WORD}|dot|point)(?!\w)", re.I)
+# A run has four items or more, so each word of it has another item right after or right before it.
+_ITEM_WORD = rf"(?:{_NUMBER_WORD}|double|triple|dot|point)"
+_HAS_SPELLED = re.compile(rf"(?<!\w)(?:{_ITEM_WORD}|plus)[\s,-]+(?:{_ITEM_WORD}|[0-9])|[0-9][\s,-]+{_ITEM_WORD}(?!\w)", re.I)
 
 
 def spelled_digits(m: re.Match) -> str | None:
+    """The run in digits and signs; one without words spells nothing and stays."""
     out, times, words = [], 1, 0
     for t in _SPELLED_TOKEN.findall(m.group().lower()):
+        words += t.isalpha()
         if t in ("double", "triple"):
             times = 2 if t == "double" else 3
             continue
-        if t in _SPELLED:
-            words += 1
         out.append({"plus": "+", "dot": ".", "point": "."}.get(t, _SPELLED.get(t, t)) * times)
         times = 1
-    return "".join(out) if words >= 4 else None
+    return "".join(out) if words else None
 
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
@@ -177,7 +179,7 @@ _HAS_BRACKETED = re.compile(rf"{_OPEN}\s*(?:at|dot|@|\.)\s*{_CLOSE}", re.I)
 _WORD_FORM = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*(\s+at\s+|\s*@\s*)[A-Za-z0-9-]+"
                         r"(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?!\w)"
                         r"|(?<![\w.%+-])[A-Za-z0-9._%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*\s+at\s+[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.I)
-_HAS_WORD_FORM = re.compile(r"\sdot\s|\sat\s+[A-Za-z0-9-]+\.[A-Za-z]", re.I)
+_HAS_WORD_FORM = re.compile(r"\sdot\s|\sat\s+[A-Za-z0-9-]+\.[A-Za-z0-9-]", re.I)
 _SPOKEN_SIGN = re.compile(r"\s+(at|dot)\s+|\s*@\s*", re.I)
 
 
@@ -205,31 +207,30 @@ def steps(text: str):
 
 def disguised_spans(text: str) -> list[tuple[int, int, str]]:
     """Source spans of identifiers that only the rewritten text shows."""
-    layers, now = [], text
+    layers, now, out = [], text, {}
     gates = {_SPELLED_RUN: _HAS_SPELLED, _BRACKETED: _HAS_BRACKETED, _WORD_FORM: _HAS_WORD_FORM}
     for pattern, put in steps(text):
         gate = gates.get(pattern)
         if gate is not None and not gate.search(now):
             continue
         layer = rewrite(now, pattern, put)
-        if layer is not None:
-            layers.append(layer)
-            now = layer.text
-    if not layers:
-        return []
-    out = []
-    for s, e, kind in plain_spans(now):
-        touched = False
-        for layer in reversed(layers):
-            s, e, put_in = layer.source(s, e)
-            touched |= put_in
-        if touched:
-            while s < e and text[s].isspace():
-                s += 1
-            while e > s and text[e - 1].isspace():
-                e -= 1
-            out.append((s, e, kind))
-    return out
+        if layer is None:
+            continue
+        layers.append(layer)
+        now = layer.text
+        # after each step: what one step shows, the next may join to its neighbours
+        for s, e, kind in plain_spans(now):
+            touched = False
+            for layer in reversed(layers):
+                s, e, put_in = layer.source(s, e)
+                touched |= put_in
+            if touched:
+                while s < e and text[s].isspace():
+                    s += 1
+                while e > s and text[e - 1].isspace():
+                    e -= 1
+                out[s, e, kind] = None
+    return list(out)
 
 
 def spans(text: str | None) -> list[dict]:

@@ -56,3 +56,36 @@ def test_pii_disguise_with_a_plain_remainder():
     assert pii.masked_text("bob@mail.example [dot] com") == "[EMAIL]"
     # a disguised find inside a plain one is no further span
     assert all(s["plain"] for s in pii.spans("a.b@c.example.com, +1 (555) 010-2030, 10.0.0.1"))
+
+
+@pytest.mark.parametrize("said", [
+    "plus 4 one 5 five 0 seven 1 two 3 four 9", "192 dot 168 dot 1 dot 10", "192 point 168 dot 1 point seven",
+    "+1 four one five 555 0123", "plus 1 415 555 0123", "4111 1111 1111 one one 1 1", "+1 double four 5 555 0123",
+    "john1 at mail.1host.example", "４１１１ １１１１ １１１１ １１１１"])
+def test_pii_mixed_spelling(said):
+    assert said in shown(f"say: {said}; thanks")
+    assert said not in pii.masked_text(f"say: {said}; thanks")
+
+
+def test_pii_gates_never_refuse_a_match():
+    rng = np.random.default_rng(3)
+    items = ["one", "Five", "oh", "7", "42", "dot", "point", "double", "triple", "plus", "+", "x", "at"]
+    seen = 0
+    for _ in range(6000):
+        text = "".join(rng.choice(items) + rng.choice([" ", "  ", "-", ", ", " - ", "", "."], p=[.5, .1, .1, .1, .1, .05, .05]) for _ in range(rng.integers(4, 10)))
+        for m in pii._SPELLED_RUN.finditer(text):
+            put = pii.spelled_digits(m)
+            assert (put is None) == (not any(c.isalpha() for c in m.group()))
+            assert put is None or pii._HAS_SPELLED.search(text), text
+            seen += put is not None
+    assert seen > 500
+
+
+def test_pii_find_stays_where_a_later_step_joins_it():
+    card = "４１１１ １１１１ １１１１ １１１１"  # with the next word a number of 17 digits
+    assert card in shown(f"card {card} one")
+
+
+def test_pii_numbers_and_long_gaps_stay():
+    for text in ("in 2019, 2020, 2021, 2022, 2023", "one" + " " * 200_000 + "x two", "1, 2 - 3 - 4" + "," * 200_000 + "a four 4"):
+        assert shown(text) == []
