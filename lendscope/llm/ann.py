@@ -4,8 +4,13 @@ Centroids come from a balanced clustering of a bounded sample; a navigable
 graph over them lives in every task's memory. Each vector is listed under its
 nearest centroid and, near a border, under further ones (within a distance
 ratio, and not hidden behind one already chosen). A query searches the graph
-and opens the lists whose centroid is within a ratio of the nearest one;
-distances are then computed exactly in double precision.
+and opens the nearest lists within a ratio of the nearest one; distances are
+then computed exactly in double precision.
+
+How many lists a query opens is measured, not fixed: the neighbours of a sample
+of rows are found by brute force over the whole table, and as many lists are
+opened as reach ``TARGET`` of them. So it grows with the number of lists where
+the vectors call for it, up to all of them.
 
 A long list is cut into blocks, and the queries of a list into blocks too, so
 that no task holds a whole hot list.
@@ -22,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialised, table
@@ -33,8 +38,10 @@ LIST_ROWS = 128
 MOST_LISTS = 16_384
 DEGREE = 16
 ENTRIES = 32
-COPIES, COPY_RATIO = 6, 1.25
-PROBES, PROBE_RATIO = 64, 1.6
+# A list is hidden by one chosen whose centroid is nearer to its own than HIDE_RATIO times the vector is.
+COPIES, COPY_RATIO, HIDE_RATIO = 6, 1.25, 0.3
+PROBES, PROBE_RATIO = 64, 1.6  # the least of each
+TARGET, CALIBRATING = 0.99, 256
 BLOCK_ROWS = 4096
 
 
@@ -44,6 +51,7 @@ class CentroidGraph:
     def __init__(self, centroids: np.ndarray):
         self.c = centroids
         self.sq = (centroids ** 2).sum(axis=1)
+        self.probes, self.ratio = len(centroids), np.inf
         self.links = self._connected(self._neighbours())
         step = max(1, len(centroids) // ENTRIES)
         self.entries = np.arange(0, len(centroids), step)[:ENTRIES]
@@ -100,8 +108,11 @@ class CentroidGraph:
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) of the ``width`` nearest found, nearest first,
         for a block of vectors at once: each step opens every vector's nearest
-        centroid that is not open yet."""
+        centroid that is not open yet. Where that would look at as many
+        centroids as there are, all are compared."""
         width = min(width, len(self.c))
+        if width * DEGREE >= len(self.c):
+            return self.ordered(x, width)
         rows = np.arange(len(x))[:, None]
         near = np.repeat(self.entries[None], len(x), axis=0)
         seen = np.zeros((len(x), len(self.c)), dtype=bool)
@@ -129,6 +140,12 @@ class CentroidGraph:
             d[twice] = np.inf
             near, dist, fresh = np.hstack([near, more]), np.hstack([dist, d]), np.hstack([fresh, np.isfinite(d)])
 
+    def ordered(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(centroids, distances) of the ``width`` nearest, by comparing all."""
+        d = np.sqrt(np.maximum((x ** 2).sum(axis=1)[:, None] + self.sq[None] - 2 * x @ self.c.T, 0))
+        near = np.argsort(d, axis=1, kind="stable")[:, :width]
+        return near, np.take_along_axis(d, near, axis=1)
+
     def lists_of(self, x: np.ndarray) -> list[np.ndarray]:
         """The lists that each vector belongs to."""
         near, dist = self.search(x, 4 * COPIES)
@@ -138,15 +155,74 @@ class CentroidGraph:
             for j in range(1, len(own)):
                 if len(chosen) == COPIES or not d[j] <= COPY_RATIO * d[0]:
                     break
-                if (((self.c[own[chosen]] - self.c[own[j]]) ** 2).sum(axis=1) > d[j] ** 2).all():
+                if (((self.c[own[chosen]] - self.c[own[j]]) ** 2).sum(axis=1) > (HIDE_RATIO * d[j]) ** 2).all():
                     chosen.append(j)
             out.append(own[chosen])
         return out
 
     def probes_of(self, x: np.ndarray) -> list[np.ndarray]:
         """The lists that each query opens."""
-        near, dist = self.search(x, PROBES)
-        return [own[np.isfinite(d) & (d <= PROBE_RATIO * d[0] + 1e-12)] for own, d in zip(near, dist)]
+        near, dist = self.search(x, self.probes)
+        limit = np.where(dist[:, 0] > 0, self.ratio * dist[:, 0], np.inf)  # on its centroid a query has no scale
+        return [own[np.isfinite(d) & (d <= most + 1e-12)] for own, d, most in zip(near, dist, limit)]
+
+    def calibrate(self, x: np.ndarray, query: np.ndarray, neighbours: np.ndarray) -> float:
+        """Set how many lists a query opens and within which ratio, so that the
+        queries ``x`` reach ``TARGET`` of their true ``neighbours`` (``query``
+        tells whose each is); the share that they reach."""
+        if not len(query):
+            return 1.0
+        n = len(self.c)
+        lists = [own for lo in range(0, len(neighbours), 256) for own in self.lists_of(neighbours[lo:lo + 256])]
+        order, dist = self.ordered(x, n)
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.broadcast_to(np.arange(n), order.shape), axis=1)
+        need = np.array([rank[q, own].min() for q, own in zip(query, lists)])
+        self.probes = min(n, max(PROBES, int(np.quantile(need, TARGET, method="higher")) + 1))
+        within = need < self.probes
+        first = np.where(dist[:, 0] > 0, dist[:, 0], np.inf)
+        self.ratio = max(PROBE_RATIO, float((dist[query, need] / first[query])[within].max(initial=0.0)))
+        while True:  # the graph may miss near centroids; then open more
+            opened = [set(own.tolist()) for own in self.probes_of(x)]
+            share = float(np.mean([not opened[q].isdisjoint(own.tolist()) for q, own in zip(query, lists)]))
+            if share >= TARGET or self.probes == n:
+                return share
+            self.probes = min(n, self.probes + max(1, self.probes // 4))
+
+
+def true_neighbours(nodes: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vectors of a sample of nodes, which of them each neighbour is of, the
+    neighbours' vectors): the ``k`` nearest other nodes, by brute force over all."""
+    picked = nodes.orderBy(F.xxhash64(F.lit("calibrating"), "node"), "node").limit(CALIBRATING).select("node", "v").toPandas()
+    x, own_node = np.stack(picked["v"]).astype(float), picked["node"].to_numpy(np.int64)
+    shared = nodes.sparkSession.sparkContext.broadcast((x, own_node))  # CALIBRATING rows
+
+    def nearest(batches):
+        q, self_node = shared.value
+        best = None  # (distances, nodes, vectors), k a query
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                b = whole.slice(at, 4096)
+                v, node = np.array(b.column("v").flatten()).reshape(b.num_rows, -1), b.column("node").to_numpy()
+                d = np.maximum((q ** 2).sum(axis=1)[:, None] + (v ** 2).sum(axis=1)[None] - 2 * q @ v.T, 0)
+                d[self_node[:, None] == node[None]] = np.inf
+                top = np.argsort(d, axis=1)[:, :k]
+                new = np.take_along_axis(d, top, axis=1), node[top], v[top]
+                if best is not None:
+                    new = tuple(np.concatenate(pair, axis=1) for pair in zip(best, new))
+                    top = np.argsort(new[0], axis=1)[:, :k]
+                    new = np.take_along_axis(new[0], top, axis=1), np.take_along_axis(new[1], top, axis=1), np.take_along_axis(new[2], top[:, :, None], axis=1)
+                best = new
+        if best is not None:
+            i, j = np.nonzero(np.isfinite(best[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(best[0][i, j]), pa.array(best[1][i, j]), pa.array([r.tobytes() for r in best[2][i, j]], pa.binary())],
+                                             names=["query", "d", "node", "raw"])
+
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
+    found = nodes.select("node", "v").mapInArrow(nearest, "query long, d double, node long, raw binary")
+    found = found.withColumn("_r", rank).where(F.col("_r") <= k).select("query", "raw").toPandas()
+    shared.unpersist()
+    return x, found["query"].to_numpy(np.int64), stacked(found["raw"])
 
 
 def _placed(rows: DataFrame, graph, pick: str, extra: str, kind: str) -> DataFrame:
@@ -184,7 +260,9 @@ def search(df: DataFrame, every: int, k: int = 10) -> DataFrame:
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = np.stack(nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").toPandas()["v"])
-    graph = spark.sparkContext.broadcast(CentroidGraph(bisected(sample, max(1, min(MOST_LISTS, len(sample) // 4, -(-total // LIST_ROWS))))))
+    centroids = CentroidGraph(bisected(sample, max(1, min(MOST_LISTS, len(sample) // 4, -(-total // LIST_ROWS)))))
+    centroids.calibrate(*true_neighbours(nodes, k))
+    graph = spark.sparkContext.broadcast(centroids)
     postings = materialised(_placed(nodes.select("node", "ids", "v"), graph, "lists_of", "ids", "array<long>"), "postings")
     asked = nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v")
     probes = materialised(_placed(asked, graph, "probes_of", "", ""), "probes")

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lendscope.llm import language, pii
+from lendscope.llm import ann, language, pii
 
 UNCOVERED = ["".join(chr(0x1D4D2 + i % 20) for i in range(12)), "a" + "́" * 60, "\U00010400" * 300]
 
@@ -89,3 +89,34 @@ def test_pii_find_stays_where_a_later_step_joins_it():
 def test_pii_numbers_and_long_gaps_stay():
     for text in ("in 2019, 2020, 2021, 2022, 2023", "one" + " " * 200_000 + "x two", "1, 2 - 3 - 4" + "," * 200_000 + "a four 4"):
         assert shown(text) == []
+
+
+def unit_vectors(n, d=64):
+    v = np.random.default_rng(0).normal(size=(n, d))
+    return (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32)
+
+
+def test_ann_recall_where_a_query_cannot_open_every_list(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 8)
+    v = unit_vectors(6000)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {(r["query_id"], r["vec_id"]) for r in ann.search(df, every=100).collect()}
+    x, hits = v.astype(float), 0
+    for q in range(0, len(v), 100):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += sum((q, int(i)) in got for i in np.argsort(d)[:10])
+    assert hits >= 0.97 * 10 * len(range(0, len(v), 100))
+
+
+def test_ann_opened_lists_grow_with_the_lists():
+    x, opened = unit_vectors(8000).astype(float), []
+    for n in (2000, 8000):
+        own, graph = x[:n], ann.CentroidGraph(ann.bisected(x[:n], n // 8))
+        d = ((own[:64, None] - own[None]) ** 2).sum(axis=2)
+        d[np.arange(64), np.arange(64)] = np.inf
+        near = np.argsort(d, axis=1)[:, :10]
+        assert graph.calibrate(own[:64], np.repeat(np.arange(64), 10), own[near.ravel()]) >= ann.TARGET
+        assert 1.5 < np.mean([len(c) for c in graph.lists_of(own[:200])]) <= ann.COPIES
+        opened.append(graph.probes)
+    assert ann.PROBES <= opened[0] < opened[1] < 1000
