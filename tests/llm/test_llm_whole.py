@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lendscope.llm import ann, language, pii
+from lendscope.llm import ann, language, pii, toxicity
 
 UNCOVERED = ["".join(chr(0x1D4D2 + i % 20) for i in range(12)), "a" + "́" * 60, "\U00010400" * 300]
 
@@ -120,3 +120,11 @@ def test_ann_opened_lists_grow_with_the_lists():
         assert 1.5 < np.mean([len(c) for c in graph.lists_of(own[:200])]) <= ann.COPIES
         opened.append(graph.probes)
     assert ann.PROBES <= opened[0] < opened[1] < 1000
+
+
+def test_toxicity_learns_from_four_million_characters(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: taken.append(len(texts)))
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('word ', 2000) AS text")
+    toxicity.fit(docs, spark.range(300).selectExpr("id AS doc_id", "0 AS toxic"))
+    assert taken == [300]  # 3 million characters of one class
