@@ -1,8 +1,8 @@
 """Packing token sequences by best-fit decreasing.
 
 Documents are tokenised, ended with one id, and cut into full windows plus a
-rest. The pieces are dealt into groups of bounded size; each group sorts its
-pieces by length, longest first, and puts each into the open window with the
+rest. A full window is a sequence of its own. The rests are dealt into groups
+of bounded size; each group sorts its pieces by length, longest first, and puts each into the open window with the
 least room that still holds it, found in a segment tree over remaining room.
 
 Defined results: a null or empty text is the end id alone; a null doc_id is
@@ -24,11 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import materialised, small_batches, table
 
 WINDOW = 4096
 END_ID = 2
 GROUP_DOCS = 50_000
+# Smaller tables are dealt to up to SMALL_GROUPS groups of SMALL_DOCS.
+SMALL_GROUPS, SMALL_DOCS = 32, 1000
+FULL = 1 << 62  # sequence ids of full windows start here
 CACHE_WORDS = 1_000_000
 ENDS = ".,;:!?"
 VOCABULARY = "word_bpe_49k.json"
@@ -185,13 +188,16 @@ def best_fit_decreasing(lengths, window: int) -> tuple[list[int], list[int]]:
     return number, offset
 
 
-def pack(cut: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
+def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     """Adds sequence_id and offset to piece rows (any columns besides length).
 
-    Rows are dealt to ``groups`` by a salted hash, so rows that agree in every
-    column spread too; a group is one task's unit and holds a bounded share.
+    A full window is a sequence of its own. The other pieces, at most one a
+    document, are dealt to groups by a salted hash, so rows that agree in every
+    column spread too; a group is one task's unit, of about ``GROUP_DOCS`` at most.
     """
-    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    cut = materialised(cut, "pieces")
+    full, rest = cut.where(F.col("length") == window), cut.where(F.col("length") < window)
+    group = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(group_count(rest.count())))
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("length", ascending=False, kind="stable").reset_index(drop=True)
@@ -200,17 +206,18 @@ def pack(cut: DataFrame, groups: int, window: int = WINDOW) -> DataFrame:
         return pdf.drop(columns="_group").assign(sequence_id=[first + n for n in number], offset=offset)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
-    return cut.withColumn("_group", group).groupBy("_group").applyInPandas(fill, schema)
+    filled = rest.withColumn("_group", group).groupBy("_group").applyInPandas(fill, schema)
+    return filled.unionByName(full.withColumn("sequence_id", F.lit(FULL) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")))
 
 
-def group_count(docs: DataFrame, group_docs: int = GROUP_DOCS) -> int:
-    return max(1, -(-docs.count() // group_docs))
+def group_count(rows: int, group_docs: int = GROUP_DOCS) -> int:
+    return max(1, -(-rows // group_docs), min(SMALL_GROUPS, rows // SMALL_DOCS))
 
 
 def packed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The packed pieces with their ids: doc_id, start, length, doc_tokens,
     ids, sequence_id, offset."""
-    return pack(pieces(docs, window), group_count(docs), window)
+    return pack(pieces(docs, window), window)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
@@ -225,7 +232,7 @@ def digested(docs: DataFrame) -> DataFrame:
     """The packed pieces with a CRC-32 in place of the ids, so that only
     narrow rows are shuffled."""
     cut = pieces(docs, digest=True).select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-    return pack(cut, group_count(docs))
+    return pack(cut)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

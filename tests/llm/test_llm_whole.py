@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lendscope.llm import ann, language, pii, toxicity
+from lendscope.llm import ann, language, packing, pii, toxicity
 
 UNCOVERED = ["".join(chr(0x1D4D2 + i % 20) for i in range(12)), "a" + "́" * 60, "\U00010400" * 300]
 
@@ -128,3 +128,15 @@ def test_toxicity_learns_from_four_million_characters(spark, monkeypatch):
     docs = spark.range(300).selectExpr("id AS doc_id", "repeat('word ', 2000) AS text")
     toxicity.fit(docs, spark.range(300).selectExpr("id AS doc_id", "0 AS toxic"))
     assert taken == [300]  # 3 million characters of one class
+
+
+def test_packing_full_windows_stand_alone_and_small_tables_are_dealt(spark):
+    docs = spark.range(2500).selectExpr("id AS doc_id", "CASE WHEN id % 500 = 0 THEN repeat('long words ', 6000) ELSE 'a few words' END AS text")
+    got = packing.digested(docs).toPandas()
+    size = got.groupby("sequence_id")["length"].sum()
+    assert len(got[got["start"] == 0]) == 2500 and size.max() <= packing.WINDOW
+    full = got[got["length"] == packing.WINDOW]
+    assert len(full) >= 10 and full["sequence_id"].is_unique and (full["sequence_id"] >= packing.FULL).all()
+    rest = got[got["length"] < packing.WINDOW]
+    assert (rest["sequence_id"] < packing.FULL).all() and (rest["sequence_id"] // 2**32).nunique() == 2
+    assert packing.group_count(10) == 1 and packing.group_count(50_001) == 32 and packing.group_count(10_000_000) == 200
