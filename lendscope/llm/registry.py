@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, dedup, language, mixing, packing, pii, pitmanyor, pivots, toxicity, warc
+from . import ann, chat, dedup, language, mixing, oracles, packing, pii, pitmanyor, pivots, repair, toxicity, trie, warc
 
 QUERIES = {
     "op1_posting_list_neighbours": ann.query,
@@ -15,5 +15,12 @@ QUERIES = {
     "op8_pivot_inner_products": pivots.query,
     "op9_disguised_pii": pii.query,
     "op10_segmentation_language": language.query,
+    "op11_grammar_round_trip": chat.query,
+    "op12_parentheses_trie": trie.query,
+    "op13_generalised_repair": repair.query,
+}
+ORACLE: dict[str, str] = {
+    "op11_grammar_round_trip": oracles.CHAT,
+    "op12_parentheses_trie": oracles.TRIE,
+    "op13_generalised_repair": oracles.REPAIR,
 }
-ORACLE: dict[str, str] = {}
