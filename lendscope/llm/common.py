@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import pickle
+import sys
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +74,62 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def unused(columns, *stems: str) -> list[str]:
+    """A column name from each stem that none of ``columns`` has, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem = f"_{stem}"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
+class Shipped:
+    """A broadcast of an object of this subpackage: its classes travel with it,
+    so workers need no copy of the package. ``value`` unpickles it anew."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.raw = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self.raw.value)
+
+
+# --- Python workers -----------------------------------------------------------
+
+def worker_cache(owner: str) -> dict:
+    """What ``owner``'s tasks keep in this Python worker from task to task.
+
+    Spark's Python workers outlive their tasks, while functions shipped by value
+    bring their globals anew each time; so it hangs on the interpreter. The first
+    task of another owner drops it (see :func:`tidy`)."""
+    return sys.__dict__.setdefault("_kept_by_tasks", {}).setdefault(owner, {})
+
+
+def tidy(owner: str):
+    """Wraps a function over batches: at its start the worker lets go of what other
+    operators' tasks kept, at its end freed memory goes back to the system, so
+    that a worker that serves one stage after the other does not add up."""
+    def wrap(run):
+        @functools.wraps(run)
+        def tidied(batches):
+            kept = sys.__dict__.setdefault("_kept_by_tasks", {})
+            for other in [k for k in kept if k != owner]:
+                del kept[other]
+            try:
+                yield from run(batches)
+            finally:
+                pa.default_memory_pool().release_unused()
+                try:
+                    ctypes.CDLL(None).malloc_trim(0)
+                except (AttributeError, OSError):  # a C library without it
+                    pass
+        return tidied
+    return wrap
+
+
 # --- word fingerprints ------------------------------------------------------
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialised, scratch
+from .common import WORD, materialised, scratch, unused
 
 SEED = 20240229
 
@@ -63,7 +63,9 @@ def source_targets(sizes: DataFrame, weights=(3, 1, 2), share: float = 1.5, max_
     all_words, all_weights = filled.agg(F.sum("source_size"), F.sum("_w")).first()
     budget = share * (all_words or 0)
     level = (F.lit(budget) - F.col("_caps")) / (F.lit(all_weights or 0.0) - F.col("_weights"))
-    lam = filled.select(level.alias("level"), "_full").where("level <= _full").agg(F.min("_full"), F.min_by("level", "_full")).first()[1]
+    # sources that tie in _full all qualify or none does; the first of them, whose level is right, has the highest
+    first = filled.select("_full", (-level).alias("level")).where("-level <= _full").agg(F.min(F.struct("_full", "level")).alias("m")).first()["m"]
+    lam = None if first is None else -first["level"]
     target = F.col("_cap") if lam is None else F.least(F.col("_cap"), F.lit(lam) * F.col("_w"))
     return filled.select("source", "source_size", target.alias("target"))
 
@@ -104,18 +106,20 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     Rows that agree in every column are told apart by count alone.
     """
     row = F.xxhash64(*[F.col(c) for c in docs.columns])
+    d, k, own, copies, rows = unused(docs.columns, "_d", "_k", "_key", "_copies", "_rows")
     spark = docs.sparkSession
     with scratch(spark):
-        picked = mix(docs, key=row, **settings).groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k"))
-        picked = materialised(picked.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")), "picked", keep=True)
-    keyed = docs.withColumn("_key", row)
-    same = lambda t: keyed["doc_id"].eqNullSafe(t["_d"]) & (keyed["_key"] == t["_k"])
-    once, often = picked.where("_rows = 1 AND _copies > 0"), picked.where("_rows > 1 AND _copies > 0")
-    took = keyed.join(once, same(once)).select(*docs.columns, "_copies")
+        picked = mix(docs, key=row, **settings).groupBy(F.col("doc_id").alias(d), F.col("key").alias(k))
+        picked = materialised(picked.agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(rows)), "picked", keep=True)
+    keyed = docs.withColumn(own, row)
+    same = lambda t: keyed["doc_id"].eqNullSafe(t[d]) & (keyed[own] == t[k])
+    took_any = F.col(copies) > 0
+    once, often = picked.where((F.col(rows) == 1) & took_any), picked.where((F.col(rows) > 1) & took_any)
+    took = keyed.join(once, same(once)).select(*docs.columns, copies)
     if not often.isEmpty():  # equal rows: one stands for all of them
-        alike = keyed.join(often, same(often)).dropDuplicates(["_d", "_key"])
-        took = took.union(alike.select(*docs.columns, "_copies"))
-    return took.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+        alike = keyed.join(often, same(often)).dropDuplicates([d, own])
+        took = took.union(alike.select(*docs.columns, copies))
+    return took.withColumn(k, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
