@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE, materialised, mix, remainder, small_batches, table, word_windows
+from .common import _BYTE, Shipped, materialised, mix, remainder, small_batches, table, tidy, unused, word_windows
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_CHARS = 6_000_000  # of a language's labelled texts, in expectation
@@ -156,7 +156,9 @@ class Lattice:
 
 
 def letters(texts: pa.Array) -> pa.Array:
-    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\pM]+", " ")
+    """Words of letters and their marks, lower-cased; marks without a letter are no word."""
+    words = pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\pM]+", " ")
+    return pc.replace_substring_regex(words, r"(?:^| )(?:\pM+(?: |$))+", " ")
 
 
 def distinct_words(data: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray):
@@ -256,6 +258,7 @@ class Model:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over all words of (lang, text) rows; a word comes with its start mark."""
+    @tidy("language")
     def count(batches):
         for whole in batches:
             for b in small_batches(whole, "text"):
@@ -293,6 +296,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample_chars: int = SAMP
     for _ in range(rounds):
         shared = counts.sparkSession.sparkContext.broadcast(probability)  # pieces x languages
 
+        @tidy("language")
         def expect(batches):
             lattice, table_, total = Lattice(pieces), shared.value, np.zeros((len(pieces), len(languages)))
             for b in batches:
@@ -316,18 +320,19 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample_chars: int = SAMP
     return Model(languages, pieces, probability)
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of ``docs`` with _lang_pred and _score (the best
-    language's share of the total probability, languages equally likely)."""
+def identify(docs: DataFrame, model: Model, keep: list[str], names=("_lang_pred", "_score")) -> DataFrame:
+    """The ``keep`` columns of ``docs`` with two more by the given names: the
+    language and its share of the total probability (languages equally likely)."""
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # pieces x languages
+    shared = Shipped(spark, model)  # pieces x languages
     kept = [docs.schema[c] for c in keep]
-    hidden = "text" if "text" in keep else "_text"
+    hidden = "text" if "text" in keep else unused([*keep, *names], "_text")[0]
 
+    @tidy("language")
     def run(batches):
         m = shared.value
         lattice, known = Lattice(m.pieces), Known(len(m.languages))
-        names = np.array([*m.languages, "und"], dtype=object)
+        spoken = np.array([*m.languages, "und"], dtype=object)
         for whole in batches:
             for b in small_batches(whole, hidden):
                 best, share = np.full(b.num_rows, len(m.languages)), np.zeros(b.num_rows)
@@ -336,10 +341,10 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                     top = logs.max(axis=1)
                     share = np.where(words > 0, 1.0 / np.exp(logs - top[:, None]).sum(axis=1), 0.0)
                     best = np.where(words > 0, logs.argmax(axis=1), len(m.languages))
-                yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + [pa.array(names[best], pa.string()), pa.array(share)],
-                                                 names=[f.name for f in kept] + ["_lang_pred", "_score"])
+                yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + [pa.array(spoken[best], pa.string()), pa.array(share)],
+                                                 names=[f.name for f in kept] + list(names))
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["_lang_pred string", "_score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{names[0]}` string", f"`{names[1]}` double"])
     text = [] if hidden in keep else [F.col("text").alias(hidden)]
     return docs.select(*[F.col(f"`{f.name}`") for f in kept], *text).mapInArrow(run, schema)
 
