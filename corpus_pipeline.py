@@ -4,6 +4,11 @@ personal data, mixing of sources, packing.
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps,
 with the columns of ``documents``; the last returns the packed pieces. Stages
 are written as Parquet and read back, so a failure repeats one stage.
+
+Defined results: a null or letterless text goes in the language stage; repeated
+rows are near duplicates of each other, one stays; null doc_ids, langs and
+sources are kept like others; an empty table gives no pieces; further columns
+pass through every stage but the last, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm import dedup, language, mixing, packing, pii
-from lendscope.llm.common import materialised, table
+from lendscope.llm.common import materialised, table, unused
 
 #: A document stays if some language explains at least this share of its probability.
 LEAST_SHARE = 0.5
@@ -20,8 +25,9 @@ LEAST_SHARE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; texts without letters go."""
-    told = language.identify(docs, language.fit(language.learning_rows(docs)), docs.columns)
-    return told.where((F.col("_lang_pred") != "und") & (F.col("_score") >= LEAST_SHARE)).select(docs.columns)
+    lang, share = unused(docs.columns, "_lang_pred", "_score")
+    told = language.identify(docs, language.fit(language.learning_rows(docs)), docs.columns, (lang, share))
+    return told.where((F.col(lang) != "und") & (F.col(share) >= LEAST_SHARE)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialised, mix, scratch, small_batches, table, word_hashes
+from .common import components, materialised, mix, scratch, small_batches, table, tidy, unused, word_hashes
 
 BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
@@ -116,6 +116,7 @@ def set_names(row: np.ndarray, shingle: np.ndarray, rows: int) -> list[bytes]:
 
 def described(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, tag (of its text), name (of its set), n_shingles, bands."""
+    @tidy("dedup")
     def run(batches):
         for whole in batches:
             for b in small_batches(whole, "text", 4 << 20):
@@ -133,6 +134,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
 
 def named_sets(docs: DataFrame, width: int) -> DataFrame:
     """name, shingles of every document that has any."""
+    @tidy("dedup")
     def run(batches):
         for whole in batches:
             for b in small_batches(whole, "text", 2 << 20):
@@ -167,13 +169,13 @@ def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     reach = F.expr(f"n_shingles - int(({percent} * n_shingles + 99) / 100) + 1 - (n_shingles - m)")
     enough = f"{100 + percent} * m >= {percent} * (n_shingles + int(({percent} * n_shingles + 99) / 100))"  # with a partner of the least size
     first = listed.withColumn("_p", reach).where(f"_p > 0 AND {enough}").withColumn("s", F.slice("s", F.lit(1), F.col("_p").cast("int")))
-    first = materialised(first.select("name", "n_shingles", "root", "m", "s", F.posexplode("s").alias("at", "shingle")), "prefixes")
-    side = lambda end: first.select("shingle", *[F.col(c).alias(c + end) for c in ("name", "n_shingles", "root", "m", "s", "at")])
-    # a pair is taken at its first common shingle, and only if what follows there can be common enough
+    first = materialised(first.select("name", "n_shingles", "root", "m", F.posexplode("s").alias("at", "shingle")), "prefixes")
+    side = lambda end: first.select("shingle", *[F.col(c).alias(c + end) for c in ("name", "n_shingles", "root", "m", "at")])
+    # what follows a common shingle can be common enough; if that holds for any, it does for the first, so pairs
+    # may come once a common shingle and are told apart by the caller's distinct
     left = F.least(F.col("m1") - F.col("at1"), F.col("m2") - F.col("at2"))
     can = (100 + percent) * left >= percent * (F.col("n_shingles1") + F.col("n_shingles2"))
-    once = F.element_at(F.array_intersect("s1", "s2"), 1) == F.col("shingle")
-    met = side("1").join(side("2"), "shingle").where((F.col("root1") < F.col("root2")) & can & once)
+    met = side("1").join(side("2"), "shingle").where((F.col("root1") < F.col("root2")) & can)
     return met.select(F.col("name1").alias("x"), F.col("n_shingles1").alias("nx"), F.col("name2").alias("y"), F.col("n_shingles2").alias("ny"))
 
 
@@ -249,16 +251,17 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         found = materialised(groups(docs, width, percent).where("n_shingles > 0"), "grouped", keep=True)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
     first = found.groupBy("root").agg(F.min(rank).alias("_first"))
-    rest = found.join(first, "root").where(~rank.eqNullSafe(F.col("_first"))).select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t")).distinct()
+    d, t, own = unused(docs.columns, "_d", "_t", "_tag")
+    rest = found.join(first, "root").where(~rank.eqNullSafe(F.col("_first"))).select(F.col("doc_id").alias(d), F.col("tag").alias(t)).distinct()
     rest = materialised(rest, "rest")
-    again = found.groupBy("doc_id", "tag").count().where("count > 1").select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"))
+    again = found.groupBy("doc_id", "tag").count().where("count > 1").select(F.col("doc_id").alias(d), F.col("tag").alias(t))
     again = materialised(again, "again")
-    tagged = docs.withColumn("_tag", F.xxhash64("text"))
-    same = lambda t: tagged["doc_id"].eqNullSafe(t["_d"]) & (tagged["_tag"] == t["_t"])
+    tagged = docs.withColumn(own, F.xxhash64("text"))
+    same = lambda x: tagged["doc_id"].eqNullSafe(x[d]) & (tagged[own] == x[t])
     out = tagged.join(rest, same(rest), "left_anti")
     if not again.isEmpty():
         tagged = out
-        out = tagged.join(again, same(again), "left_anti").union(tagged.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "_tag"]))
+        out = tagged.join(again, same(again), "left_anti").union(tagged.join(again, same(again), "left_semi").dropDuplicates(["doc_id", own]))
     return out.select(docs.columns)
 
 

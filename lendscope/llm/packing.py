@@ -14,7 +14,6 @@ sequence follow each other from offset 0 without gaps.
 from __future__ import annotations
 
 import os
-import sys
 import unicodedata
 from zlib import crc32
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised, small_batches, table
+from .common import materialised, small_batches, table, tidy, worker_cache
 
 WINDOW = 4096
 END_ID = 2
@@ -94,13 +93,9 @@ class WordTokenizer:
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer of this process for ``path``.
-
-    Spark's Python workers outlive their tasks, and functions shipped by value
-    bring their globals anew each time; kept with the interpreter, the words
-    learned in one task serve the next. A new worker starts without them.
-    """
-    kept = sys.__dict__.setdefault("_word_tokenizers", {})
+    """The tokenizer of this process for ``path``: the words learned in one task
+    serve the worker's next one, until it turns to another operator."""
+    kept = worker_cache("packing")
     if path not in kept:
         kept[path] = WordTokenizer(path)
     return kept[path]
@@ -113,6 +108,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, vocabula
     id_type = docs.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
+    @tidy("packing")
     def cut(batches):
         encode = worker_tokenizer(vocabulary_path(vocabulary))
         for whole in batches:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lendscope.llm import ann, language, packing, pii, toxicity
+from lendscope.llm import ann, language, mixing, packing, pii, toxicity
 
 UNCOVERED = ["".join(chr(0x1D4D2 + i % 20) for i in range(12)), "a" + "́" * 60, "\U00010400" * 300]
 
@@ -140,3 +140,87 @@ def test_packing_full_windows_stand_alone_and_small_tables_are_dealt(spark):
     rest = got[got["length"] < packing.WINDOW]
     assert (rest["sequence_id"] < packing.FULL).all() and (rest["sequence_id"] // 2**32).nunique() == 2
     assert packing.group_count(10) == 1 and packing.group_count(50_001) == 32 and packing.group_count(10_000_000) == 200
+
+
+# --- ties, marks, names, workers -------------------------------------------------
+
+@pytest.mark.parametrize("sizes,weights", [({"a": 300, "b": 100, "c": 200}, (3, 1, 2)), ({"a": 50, "b": 50, "c": 50}, (1, 1, 1)),
+                                           ({"a": 70}, (3, 1, 2)), ({"a": 300, "b": 100, "c": 200, "d": 10}, (3, 1, 2)), ({"a": 0, "b": 0}, (3, 1, 2))])
+def test_targets_of_tied_sources(spark, sizes, weights):
+    names = sorted(sizes)
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, budget = dict.fromkeys(names, 0.0), set(names), 1.5 * sum(sizes.values())
+    while left:  # deal out, stop the full ones, deal again
+        level = budget / sum(w[s] for s in left)
+        full = {s for s in left if level * w[s] > 2 * sizes[s]}
+        if not full:
+            target.update({s: level * w[s] for s in left})
+            break
+        for s in full:
+            target[s] = 2.0 * sizes[s]
+            budget -= target[s]
+        left -= full
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(rows, weights).collect()}
+    assert got == pytest.approx(target)
+
+
+def test_marks_without_letters_are_no_words(spark):
+    said = {"en": "the house and the water of the people", "fr": "la maison et les eaux de la ville"}
+    docs = spark.createDataFrame([(i, lang, t) for i, (lang, t) in enumerate(sorted(said.items()) * 4)], "doc_id long, lang string, text string")
+    model = language.fit(docs)
+    texts = ["❤️ 123", "́", " ́  ́ ̈́ 7", "", None, "1́ la maison et les eaux", "été les eaux"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["_lang_pred"], r["_score"]) for r in language.identify(asked, model, ["doc_id"]).collect()}
+    assert [got[i][0] for i in range(5)] == ["und"] * 5 and got[0][1] == 0.0
+    assert got[5][0] == got[6][0] == "fr"
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    import corpus_pipeline as cp
+    words = "the house and the water of the people was near a long river in that old town".split()
+    rows = [(i, " ".join(words[i % 5:] + [f"w{chr(97 + i)}{chr(97 + j)}" for j in range(9)]), "en" if i % 2 else "fr", "s", 1, 7.5, "keep", 4, 5, "t")
+            for i in range(12)]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, lang string, source string, n_chars int, "
+                                 "_score double, _LANG_pred string, _d long, _key long, _tag string")
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        got = out.select("_score", "_LANG_pred", "_d", "_key", "_tag").distinct().collect()
+        assert [tuple(r) for r in got] == [(7.5, "keep", 4, 5, "t")]
+        assert stage(spark, docs.limit(0), "").collect() == []
+    assert cp.STAGES[-1][1](spark, docs.limit(0), "").collect() == []
+
+
+def test_cut_prefixes_find_what_brute_force_finds(spark):
+    import random
+    from lendscope.llm import dedup
+    rnd = random.Random(2)
+    base = [[f"w{rnd.randrange(60)}" for _ in range(rnd.randint(4, 40))] for _ in range(30)]
+    texts = []
+    for b in base:
+        for _ in range(4):
+            t = list(b)
+            for _ in range(rnd.randint(0, 3)):
+                t[rnd.randrange(len(t))] = f"w{rnd.randrange(60)}"
+            texts.append(" ".join(t))
+    sets = [{tuple(t.split()[i:i + 2]) for i in range(len(t.split()) - 1)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in dedup.groups(docs, width=2).collect()}
+    assert got == dict(enumerate(root))
+    # the prefix filter alone finds every similar pair
+    named = dedup.named_sets(docs, 2).dropDuplicates(["name"])
+    apart = named.select("name", named["name"].alias("root"), (__import__("pyspark").sql.functions.size("shingles")).alias("n_shingles"))
+    pairs = dedup.rare_partners(apart, named, 80).select("x", "y").distinct()
+    kept = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in dedup.similar(pairs.toDF("a", "b"), named, 80).collect()}
+    by_name = {bytes(r["name"]): set(r["shingles"]) for r in named.collect()}
+    names = sorted(by_name)
+    exp = {frozenset((a, b)) for a in names for b in names if a < b
+           and 100 * len(by_name[a] & by_name[b]) >= 80 * len(by_name[a] | by_name[b])}
+    assert kept == exp
