@@ -1,28 +1,29 @@
-"""Learners on Spark ML: logistic regression, random forest, boosted trees.
+"""Learners: logistic regression (Spark ML), random forest and boosted trees
+(``trees``).
 
-Each learner is returned as an unfitted ``Pipeline`` (feature pipeline +
-estimator), so a fitted version is one ``PipelineModel`` directory that
-holds transform and model together.
+A fitted version is one ``PipelineModel`` directory that holds transform and
+model together.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import class_weights, feature_pipeline, feature_names, pos_weight
 from .small import bounded
+from .trees import bin_table, fit_boosted, fit_forest
 
 LABEL = "loan_status"
 # Learner settings of the reference.
 LR_PARAMS = dict(C=1.0, maxIter=1000)
-RF_PARAMS = dict(numTrees=300, maxDepth=30, minInstancesPerNode=1, seed=42)   # depth "unlimited" -> Spark max
-RF_V1_PARAMS = dict(numTrees=100, maxDepth=12, minInstancesPerNode=1, seed=42)
-GBT_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8", seed=42)
+RF_PARAMS = dict(numTrees=300, maxDepth=None, seed=42)
+RF_V1_PARAMS = dict(numTrees=100, maxDepth=12, seed=42)
+GBT_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, columnRate=0.8, leafPenalty=1.0, seed=42)
 
 
 def balanced(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
@@ -47,21 +48,6 @@ def lr(n_rows: int, C: float = 1.0, maxIter: int = 1000, tol: float = 1e-10,
                               standardization=False, maxIter=maxIter, tol=tol, **kw)
 
 
-def rf(**p) -> RandomForestClassifier:
-    q = dict(RF_PARAMS)
-    q.update(p)
-    return RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
-                                  featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
-                                  cacheNodeIds=True, **q)
-
-
-def gbt(**p) -> GBTClassifier:
-    q = dict(GBT_PARAMS)
-    q.update(p)
-    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
-                         maxMemoryInMB=1024, **q)
-
-
 def family(key: str) -> str:
     """The learner family a registry key names, in any case."""
     k = key.lower()
@@ -71,39 +57,31 @@ def family(key: str) -> str:
     raise ValueError(f"unknown learner key: {key}")
 
 
-def learner(key: str, num, cat, n_rows: int = 1, **params) -> Pipeline:
-    """Unfitted feature pipeline + learner for a registry key."""
-    kind = family(key)
-    est = lr(n_rows, **params) if kind == "logistic" else rf(**params) if kind == "forest" else gbt(**params)
-    return Pipeline(stages=feature_pipeline(num, cat).getStages() + [est])
-
-
-#: Partitions of a tree learner's input. Spark seeds the row sampling of forests
-#: and boosting per partition, so the count is a parameter of the fit, never
-#: taken from the rows or the cluster; raise it with the training table.
-FIT_PARTITIONS = 64
-
-
-def spread(df: DataFrame, key: str = "row_id", partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt by the hash of their unique ``key`` and sorted by it, so that
-    a seeded fit sees the same rows in the same places wherever it runs."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
-
-
 def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
     """Fit a learner with the weighting its family uses.
 
     ``features_model`` -- a feature pipeline already fitted on the same
-    training rows -- is reused instead of fitting the statistics again."""
-    n = train.count()
+    training rows -- is reused instead of fitting the statistics again. The
+    transformed rows are persisted once; counts, bin edges and the learner read
+    them from there."""
     kind = family(key)
-    weighted = positive_weighted(train) if kind == "boosted" else balanced(train)
-    if kind != "logistic":
-        weighted = spread(weighted)
     if features_model is None:
-        return learner(key, num, cat, n_rows=n, **params).fit(weighted)
-    est = learner(key, num, cat, n_rows=n, **params).getStages()[-1]
-    model = est.fit(features_model.transform(weighted))
+        features_model = feature_pipeline(num, cat).fit(train)
+    rows = features_model.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rows.count()
+        if kind == "logistic":
+            model = lr(n, **params).fit(balanced(rows))
+        else:
+            size = rows.select(F.size(vector_to_array("features")).alias("n")).first()["n"] if n else 0
+            present = [c for c in num if c in rows.columns]  # columns without any value are dropped
+            edges = bin_table(rows, present, size)
+            if kind == "forest":
+                model = fit_forest(balanced(rows), edges, n, LABEL, "weight", **{**RF_PARAMS, **params})
+            else:
+                model = fit_boosted(positive_weighted(rows), edges, n, LABEL, "weight", **{**GBT_PARAMS, **params})
+    finally:
+        rows.unpersist()
     return PipelineModel(stages=list(features_model.stages) + [model])
 
 

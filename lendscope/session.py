@@ -80,3 +80,9 @@ def shared_dir(spark: SparkSession, name: str = "") -> str:
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, through Spark's file system layer."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)

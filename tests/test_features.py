@@ -76,7 +76,7 @@ def test_small_forest_and_boosting_fit(spark, train):
     gb = tr.fit("xgboost", train, NUMERIC, FEATURE_CAT, maxIter=3, maxDepth=3)
     assert len(tr.importances(gb, spark).collect()) == len(imp)
     with pytest.raises(ValueError):
-        tr.learner("svm", NUMERIC, FEATURE_CAT)
+        tr.fit("svm", train, NUMERIC, FEATURE_CAT)
 
 
 def test_all_missing_column_dropped_and_mode_ties(spark):
@@ -121,4 +121,3 @@ def test_forest_is_the_same_from_any_partitioning(spark, train):
         m = tr.fit("Random Forest", df, NUMERIC, [], numTrees=5, maxDepth=4)
         return m.stages[-1].featureImportances.toArray().tolist()
     assert weights(train.repartition(1)) == pytest.approx(weights(train.repartition(7)), abs=1e-12)
-    assert tr.rf().getNumTrees() == tr.RF_PARAMS["numTrees"]
