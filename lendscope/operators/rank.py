@@ -112,8 +112,9 @@ def model_key(name) -> Column:
 
 
 def model_path(key) -> Column:
+    """Folder of a learner's saved model, relative to the store."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit("artifacts/models/"), k, F.lit(".joblib"))
+    return F.concat(F.lit("models/"), k)
 
 
 def _f4(c) -> Column:

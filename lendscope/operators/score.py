@@ -57,10 +57,15 @@ def positive_prob(col: str = "probability") -> Column:
     return vector_to_array(F.col(col))[1]
 
 
+def scores(out: DataFrame) -> tuple[Column, Column]:
+    """(probability of class 1, class) of a transformed table: from a learner's
+    ``probability`` vector, or from the ``y_prob`` column of a fixed rule."""
+    if "y_prob" in out.columns:
+        return F.col("y_prob"), (F.col("y_prob") > 0.5).cast("int")
+    return positive_prob(), F.col("prediction").cast("int")
+
+
 def score(model, apps: DataFrame) -> DataFrame:
     """Coerce -> fitted transform + learner -> risk output, per row."""
-    x = coerce_applications(apps)
-    out = model.transform(x)
-    out = out.select("row_id", positive_prob().alias("y_prob"),
-                     F.col("prediction").cast("int").alias("y_pred"))
-    return risk_bands(out)
+    prob, pred = scores(out := model.transform(coerce_applications(apps)))
+    return risk_bands(out.select("row_id", prob.alias("y_prob"), pred.alias("y_pred")))

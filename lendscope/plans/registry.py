@@ -495,6 +495,8 @@ def q_training_checks(spark, d):
 
 from ..operators import evaluate as ev  # noqa: E402
 from ..operators import rank as rk  # noqa: E402
+from ..operators import refit as refit_ops  # noqa: E402
+from ..operators import versions as vs  # noqa: E402
 
 # Fixed scoring rules used as "models" over the driver tables: a linear score
 # of cleaned columns (NULL -> 0) through a logistic, rounded to 6 decimals.
@@ -684,7 +686,7 @@ def q_selection_reason(spark, d):
 
 
 @register("model_keys", O.with_front(_sql_eval(), select=f"""
-SELECT model_name, {_SQL_KEY} AS model_key, 'artifacts/models/' || {_SQL_KEY} || '.joblib' AS model_path FROM ev_val"""))
+SELECT model_name, {_SQL_KEY} AS model_key, 'models/' || {_SQL_KEY} AS model_path FROM ev_val"""))
 def q_model_keys(spark, d):
     r = _records(spark, d)
     return r.select("model_name", rk.model_key("model_name").alias("model_key"),
@@ -717,36 +719,49 @@ def q_promotion_decision(spark, d):
                     "roc_pass", "f1_pass", "promoted")
 
 
-VERSION_SCHEMA = ("version int, selected_model string, model_path string, reason string, date string, "
-                  "previous_version int, model_name string")
+_VERSION_COLUMNS = ["version", "selected_model", "model_path", "reason", "date", "previous_version", "model_name"]
+_STORES: dict = {}
+
+
+def rule_model(name: str):
+    """A scoring rule as a model that is saved and loaded like a fitted one."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    z = dict(RULES)[name]
+    return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, ROUND(1.0 / (1.0 + EXP(-({z}))), 6) AS y_prob FROM __THIS__")])
+
+
+def version_store(spark, d) -> str:
+    """A version store derived from the data: version 1 is the champion, version
+    2 is added when the promotion rule accepts its second evaluation. Both hold
+    the champion rule as a saved model, with its metrics. Built once per
+    session, input and state of the input."""
+    key = (spark.sparkContext.applicationId, d, stored_path(spark, d))
+    if key not in _STORES:
+        store = shared_dir(spark, "versions")
+        as_of = stored_splits(spark, d).agg(F.date_format(F.max("issue_d"), "yyyy-MM-dd").alias("date")).first()["date"]
+        champ = rk.selection_reason(_ranked(spark, d)).select("model_name", rk.model_key("model_name").alias("key"), "reason").first()
+        if champ is not None:
+            model = rule_model(champ["model_name"])
+            metrics = lambda split: _evaluation(spark, d, split).where(F.col("model_name") == champ["model_name"]).first().asDict()
+            vs.commit(spark, store, model, champ["key"], champ["model_name"], champ["reason"], as_of, metrics("val"), expected=0)
+            dec = _decision(spark, d)
+            dec = dec.select("promoted", rk.promotion_reason(dec).alias("reason")).first()
+            if dec is not None and dec["promoted"]:
+                vs.commit(spark, store, model, champ["key"], champ["model_name"], dec["reason"], as_of, metrics("val"), expected=1)
+        _STORES[key] = store
+    return _STORES[key]
 
 
 def model_versions(spark, d):
-    """Version table derived from the data: v1 = selected champion, v2 =
-    appended when the promotion rule accepts the re-evaluated champion.
-    Each input is a one-row result, so it is collected and the (tiny) version
-    table is rebuilt from it."""
-    as_of = stored_splits(spark, d).agg(F.date_format(F.max("issue_d"), "yyyy-MM-dd").alias("date")).first()["date"]
-    key = rk.model_key("model_name")
-    champ = rk.selection_reason(_ranked(spark, d)).select(
-        "model_name", key.alias("key"), rk.model_path(key).alias("path"), "reason").first()
-    empty = spark.createDataFrame([], VERSION_SCHEMA)
-    versions = rk.append_version(empty, spark.createDataFrame(
-        [(None, champ["key"], champ["path"], champ["reason"], as_of, None, champ["model_name"])], VERSION_SCHEMA))
-    dec = _decision(spark, d)
-    dec = dec.select("promoted", rk.promotion_reason(dec).alias("reason")).first()
-    if dec is not None and dec["promoted"]:
-        versions = rk.append_version(versions, spark.createDataFrame(
-            [(None, champ["key"], f"artifacts/models/{champ['key']}_latest.joblib", dec["reason"],
-              as_of, None, champ["model_name"])], VERSION_SCHEMA))
-    return versions
+    return vs.versions(spark, version_store(spark, d))
 
 
 _SQL_VERSIONS = f"""as_of_d AS (SELECT strftime(MAX(issue_d), '%Y-%m-%d') AS date FROM splits),
-v1 AS (SELECT 1 AS version, {_SQL_KEY} AS selected_model, 'artifacts/models/' || {_SQL_KEY} || '.joblib' AS model_path,
+v1 AS (SELECT 1 AS version, {_SQL_KEY} AS selected_model, 'version-000001/model' AS model_path,
   {_SQL_REASON} AS reason, (SELECT date FROM as_of_d) AS date, CAST(NULL AS INTEGER) AS previous_version, model_name
   FROM runner WHERE rank = 1),
-v2 AS (SELECT 2 AS version, selected_model, 'artifacts/models/' || selected_model || '_latest.joblib' AS model_path,
+v2 AS (SELECT 2 AS version, selected_model, 'version-000002/model' AS model_path,
   'Retrained model satisfied promotion criteria: ROC-AUC (' || {_P4('cand_roc_auc')} || ') >= Deployed Test ROC-AUC ('
   || {_P4('dep_roc_auc')} || '), and F1 Score (' || {_P4('cand_f1')} || ') did not decrease by more than 1% compared to deployed F1 ('
   || {_P4('dep_f1')} || ').' AS reason, date, 1 AS previous_version, model_name
@@ -766,7 +781,24 @@ def q_current_version(spark, d):
 @register("next_version", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, _SQL_VERSIONS, select="""
 SELECT version, selected_model, model_path, reason, date, previous_version, model_name FROM versions"""))
 def q_next_version(spark, d):
-    return model_versions(spark, d)
+    return model_versions(spark, d).select(_VERSION_COLUMNS)
+
+
+@register("version_metrics", O.with_front(_sql_eval(), _SQL_RANK, _SQL_DECISION, _SQL_VERSIONS, select="""
+SELECT v.version, v.model_name, """ + ", ".join(f"{O.d6('e.' + m)} AS {m}" for m in _R6) + """
+FROM versions v JOIN ev_val e ON e.model_name = v.model_name"""))
+def q_version_metrics(spark, d):
+    """The metrics stored with each version."""
+    return model_versions(spark, d).select("version", "model_name", *[r6(f"metrics.{m}").alias(m) for m in _R6])
+
+
+@register("version_evaluation", O.with_front(_sql_eval(), _SQL_RANK, _sql_eval("test"), select="""
+SELECT model_name, tn, fp, fn, tp, """ + ", ".join(f"{O.d6(m)} AS {m}" for m in _R6) + """
+FROM ev_test WHERE model_name = (SELECT model_name FROM ranked WHERE rank = 1)"""))
+def q_version_evaluation(spark, d):
+    """The current version, loaded through the version table, on the test split."""
+    e = refit_ops.evaluate_current(spark, version_store(spark, d), split_rows(spark, d, "test"))
+    return e.select("model_name", "tn", "fp", "fn", "tp", *[r6(c).alias(c) for c in _R6])
 
 
 @register("top_features", O.with_front(*_DRIFT_CTES, select=f"""
@@ -973,17 +1005,48 @@ def q_refit_candidate(spark, d):
     return m.select(*_EVAL_COLS[:5], *[r6(c).alias(c) for c in _EVAL_COLS[5:]])
 
 
+def _fitted_store(spark, d) -> str:
+    """A version store whose first version is the fitted logistic regression."""
+    store = shared_dir(spark, "fitted-versions")
+    m = fitted(spark, d, "logistic_regression")
+    metrics = ev.evaluation(rf_ops.scored_by(m, _split_view(spark, d, "val"), "logistic_regression")).first().asDict()
+    vs.commit(spark, store, m, "logistic_regression", "logistic_regression", "First fitted version.", "N/A", metrics, expected=0)
+    return store
+
+
 @register("test_evaluation")
 def q_test_evaluation(spark, d):
-    """The current version saved as a directory, loaded back and evaluated on
-    the held-out test split."""
-    m = fitted(spark, d, "logistic_regression")
-    path = shared_dir(spark, "version")
-    m.write().overwrite().save(path)
-    e = rf_ops.evaluate_version(path, _split_view(spark, d, "test"), "logistic_regression")
+    """The fitted version, committed to a version store, loaded through its
+    table and evaluated on the held-out test split."""
+    e = rf_ops.evaluate_current(spark, _fitted_store(spark, d), _split_view(spark, d, "test"))
     return e.select(*_EVAL_COLS[:5], *[r6(c).alias(c) for c in _EVAL_COLS[5:]])
 
 
+@register("refit_promotion")
+def q_refit_promotion(spark, d):
+    """The refit chain: gate on the drift summary, candidate from the current
+    version's learner, decision, commit."""
+    summary = drift_ops.drift_summary(drift_report_df(spark, d))
+    views = [_split_view(spark, d, s) for s in ("train", "prod", "val", "test")]
+    out = rf_ops.refit_chain(spark, _fitted_store(spark, d), summary, *views, NUMERIC, FEATURE_CAT, "N/A", "refit")
+    return out.select("outcome", *[r6(c).alias(c) for c in ("candidate_roc_auc", "candidate_f1", "deployed_roc_auc", "deployed_f1")],
+                      "roc_pass", "f1_pass", "version")
+
+
+@register("score_current", O.with_front(_sql_eval(), _SQL_RANK, "sc AS (SELECT row_id, CASE (SELECT model_name FROM ranked WHERE rank = 1) " + " ".join(
+    f"WHEN '{n}' THEN ROUND(1.0 / (1.0 + EXP(-({z}))), 6)" for n, z in RULES) + " END AS p FROM (SELECT row_id, " + ", ".join(
+    f"{_sql_num(c)} AS {c}" for c in NUMERIC) + " FROM scan WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC + FEATURE_CAT) + "))",
+    select=f"""
+SELECT row_id, CASE WHEN p > 0.5 THEN 'High Default Risk' ELSE 'Loan Likely to be Repaid' END AS prediction,
+ CASE WHEN p > 0.5 THEN 'High Risk' ELSE 'Low Risk' END AS prediction_label,
+ {O.d6('ROUND_EVEN(p, 4)')} AS probability, CAST(ROUND_EVEN(p * 100, 0) AS INTEGER) AS risk_score FROM sc"""))
+def q_score_current(spark, d):
+    """Applications scored by the current version, loaded through the table."""
+    ok, _ = sc.split_rejects(applications(spark, d))
+    out = sc.score(vs.load_model(spark, version_store(spark, d)), ok)
+    return out.select("row_id", "prediction", "prediction_label", r6("probability").alias("probability"), "risk_score")
+
+
 # ---------------------------------------------------------------- delimited source
 
 from ..sources import files as fl  # noqa: E402
