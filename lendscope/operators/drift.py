@@ -18,13 +18,12 @@ interpolated edge falls in the same bin in every engine.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import drift_status
 from .clean import column_roles
-from .quantiles import quantiles_of_counts
+from .quantiles import exact_quantiles
 
 EPS = 1e-4          # Fixed value: proportion given to an empty bin.
 PAD = 1e-5          # Fixed value: widening of the outer edges.
@@ -57,37 +56,22 @@ def _long(both: DataFrame, cols) -> DataFrame:
 
 def _edges(both: DataFrame, cols, method: str = "exact") -> DataFrame:
     """(feature, edges, n_base, n_cur, constant_feature) -- one row per
-    feature, as a small literal table. One (feature, value) counting pass is
-    persisted; from it one job collects per-feature extremes, side counts and
-    distinct-value counts, and one job computes the baseline quantiles."""
+    feature, as a small literal table: extremes and side counts from one
+    aggregate, the baseline's quantiles from brackets (see ``quantiles``)."""
     spark = both.sparkSession
     long = _long(both, cols)
-    is_b = F.col("side") == SIDE_BASE
-    vc = (long.groupBy("feature", "x")
-              .agg(F.count_if(is_b).alias("cb"), F.count_if(~is_b).alias("cc"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        x = F.col("x")
-        stats = {r["feature"]: r for r in vc.groupBy("feature").agg(
-            F.min(F.when(F.col("cb") > 0, x)).alias("bmin"), F.max(F.when(F.col("cb") > 0, x)).alias("bmax"),
-            F.min(F.when(F.col("cc") > 0, x)).alias("cmin"), F.max(F.when(F.col("cc") > 0, x)).alias("cmax"),
-            F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur"),
-            F.count_if(F.col("cb") > 0).alias("distinct_base")).collect()}
-        base = vc.select(F.col("feature").alias("g"), F.col("x").alias("v"), F.col("cb").alias("c"))
-        widest = max((r["distinct_base"] for r in stats.values()), default=0)
-        if widest == 0:
-            qs = {}
-        elif method == "exact":
-            qrows = quantiles_of_counts(base, PROBS, widest=widest).collect()
-            qs = {}
-            for r in qrows:
-                qs.setdefault(r["g"], []).append(r["q"])
-        else:
-            qrows = (long.where(is_b).groupBy("feature")  # rows, not distinct values
-                         .agg(F.percentile_approx("x", PROBS, 100_000).alias("qs")).collect())
-            qs = {r["feature"]: list(r["qs"]) for r in qrows}
-    finally:
-        vc.unpersist()
+    is_b, x = F.col("side") == SIDE_BASE, F.col("x")
+    stats = {r["feature"]: r for r in long.groupBy("feature").agg(
+        F.min(F.when(is_b, x)).alias("bmin"), F.max(F.when(is_b, x)).alias("bmax"),
+        F.min(F.when(~is_b, x)).alias("cmin"), F.max(F.when(~is_b, x)).alias("cmax"),
+        F.count_if(is_b).alias("n_base"), F.count_if(~is_b).alias("n_cur")).collect()}  # a row per column
+    base, qs = long.where(is_b), {}
+    if method == "exact":
+        for r in exact_quantiles(base, "feature", "x", PROBS).orderBy("feature", "pi").collect():
+            qs.setdefault(r["feature"], []).append(r["q"])
+    else:
+        for r in base.groupBy("feature").agg(F.percentile_approx("x", PROBS, 100_000).alias("qs")).collect():
+            qs[r["feature"]] = list(r["qs"])
     rows = []
     for c in cols:
         st = stats.get(c)
@@ -207,8 +191,7 @@ def drift_report(train: DataFrame, prod: DataFrame, exclude=(), method: str = "e
     The sides are not cached: the numeric passes (edge counts, histograms)
     and the categorical pass read disjoint columns, so each one scans only
     its own columns of the columnar input (pruned, with partition filters)
-    instead of all of them being written to and read back from a cache. The
-    (feature, value) count table that two edge jobs share is persisted.
+    instead of all of them being written to and read back from a cache.
     """
     num, cat = column_roles(train.schema, drop=tuple(exclude))
     num = numeric if numeric is not None else num

@@ -7,11 +7,10 @@ is evaluated in one pass.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import MAX_GROUP_DISTINCT, prefix_before
+from .quantiles import prefix_before
 from .small import null_safe_join
 
 THRESHOLD = 0.5
@@ -48,48 +47,24 @@ def binary_metrics(df: DataFrame, by=("model_name",)) -> DataFrame:
     return metrics_from_counts(confusion(df, by))
 
 
-def roc_auc(df: DataFrame, by=("model_name",), y="y_true", score="y_prob",
-            digits: int | None = None, max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
+def roc_auc(df: DataFrame, by=("model_name",), y="y_true", score="y_prob", digits: int | None = None) -> DataFrame:
     """Exact ROC-AUC (ties count 1/2) per group; NULL with one class only.
 
     Positives and negatives are counted per distinct score (map-side partial
-    aggregation). For each score the negatives ranked below it come from a
-    running sum over the sorted distinct scores of its group: a window per
-    group when every group has at most ``max_group_distinct`` distinct scores
-    (bounded by that check), otherwise a range-partitioned prefix sum with no
-    per-group bound. ``digits`` optionally rounds scores first. Eager: one
-    row per group.
+    aggregation). The negatives ranked below each score are a prefix sum over
+    range partitions, so a group spans many tasks. ``digits`` optionally rounds
+    scores first.
     """
-    spark = df.sparkSession
-    s = F.col(score)
-    if digits is not None:
-        s = F.round(s, digits)
+    s = F.col(score) if digits is None else F.round(F.col(score), digits)
     by = list(by)
     g = (df.select(*by, s.alias("_s"), F.col(y).alias("_y"))
            .groupBy(*by, "_s")
-           .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        widest = g.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        if widest <= max_group_distinct:
-            w = Window.partitionBy(*by).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-            gb = g.withColumn("_below", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
-            pre = None
-        else:
-            pre = prefix_before(g, by, "_s", "_neg", out="_below")
-            gb = pre
-        agg = gb.groupBy(*by).agg(
-            F.sum(F.col("_pos") * (F.col("_below") + 0.5 * F.col("_neg"))).alias("_num"),
-            F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
-        auc = F.col("_num") / (F.col("positives") * F.col("negatives"))
-        out = agg.select(*by, "positives", "negatives",
-                         F.when((F.col("positives") > 0) & (F.col("negatives") > 0), auc).alias("roc_auc"))
-        rows = out.collect()
-        if pre is not None:
-            pre.unpersist()
-    finally:
-        g.unpersist()
-    return spark.createDataFrame(rows, out.schema)
+           .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg")))
+    agg = prefix_before(g, by, "_s", "_neg", out="_below").groupBy(*by).agg(
+        F.sum(F.col("_pos") * (F.col("_below") + 0.5 * F.col("_neg"))).alias("_num"),
+        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
+    auc = F.col("_num") / (F.col("positives") * F.col("negatives"))
+    return agg.select(*by, "positives", "negatives", F.when((F.col("positives") > 0) & (F.col("negatives") > 0), auc).alias("roc_auc"))
 
 
 def classification_report(df: DataFrame, by=("model_name",)) -> DataFrame:

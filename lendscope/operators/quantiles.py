@@ -1,165 +1,79 @@
-"""Exact, distributed quantiles over a long (group, value) table.
-
-Spark's ``percentile``/``median`` aggregates merge a value->count map for a
-whole group on one reducer; with a few wide groups (one per feature) and
-many distinct values that map does not fit. Here the work is split instead:
-
-1. ``groupBy(group, value).count()`` (map-side partial aggregation);
-2. range-partition the distinct values by (group, value) so every partition
-   holds a contiguous slice of each group's sorted values;
-3. running counts inside each partition, plus the offsets of earlier
-   partitions from the per-(partition, group) totals -- at most partitions x
-   groups numbers, so they are collected and broadcast;
-4. pick the rows whose rank interval contains the floor/ceil ranks of each
-   requested probability (a bounded broadcast target table) and interpolate
-   linearly (the "linear" method of NumPy / ``quantile_cont``).
-
-No task ever holds more than one range partition.
+"""Exact quantiles and prefix sums of tables of any size.
+
+*Quantiles.* A mergeable sketch per group (``percentile_approx``, partial sums per
+task) names for every asked probability a bracket of two values that the exact
+rank lies between: the sketch errs by at most 1 / ``ACCURACY`` of the rows, the
+bracket reaches twice as far on both sides, and in groups too small for that
+it is the whole group. Then the rows below each bracket are counted (a few
+numbers per task) and only the rows inside one are shuffled, counted per value
+and ranked. A rank is looked up exactly and interpolated linearly (NumPy's
+"linear" method). A group's values never meet in one task, only those of a
+bracket: about 4 / ``ACCURACY`` of the rows, or a group of fewer than 4 *
+``ACCURACY`` rows.
+
+*Prefix sums.* Rows are range-partitioned and written once; a partition's
+totals are shifted by those of the partitions before it, which are a table,
+too.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored_table
 from .small import null_safe_join
 
-# Largest number of distinct values per group for which one task may hold a
-# group's value->count map (the built-in exact ``percentile`` with counts).
-MAX_GROUP_DISTINCT = 1_000_000
-
-
-def exact_quantiles(long: DataFrame, group: str, value: str, probs,
-                    partitions: int | None = None,
-                    max_group_distinct: int = MAX_GROUP_DISTINCT) -> DataFrame:
-    """Returns (group, pi, p, q) for every group with at least one non-NULL
-    value; ``q`` is the linear-interpolated quantile.
-
-    Eager; the result (groups x probabilities rows) is returned as a small
-    table. The distinct-value counts per group are checked first: when every
-    group has at most ``max_group_distinct`` distinct values, the built-in
-    exact ``percentile`` with a frequency column runs over the (group, value,
-    count) table -- memory per task is bounded by that check. Otherwise the
-    range-partitioned rank lookup below is used, which has no per-group bound.
-    """
-    vals = long.select(F.col(group).alias("g"), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
-    out = quantiles_of_counts(vc, probs, partitions, max_group_distinct)
-    return out.withColumnRenamed("g", group)
-
-
-def quantiles_of_counts(vc: DataFrame, probs, partitions: int | None = None,
-                        max_group_distinct: int = MAX_GROUP_DISTINCT,
-                        widest: int | None = None) -> DataFrame:
-    """Same as :func:`exact_quantiles` over a pre-counted (g, v, c) table.
-
-    ``widest`` -- the largest number of distinct values in a group, when the
-    caller already knows it -- saves the counting job."""
-    spark = vc.sparkSession
-    group = "g"
-    gtype = dict(vc.dtypes)["g"]
-    vc = vc.where(F.col("c") > 0)
-    if widest is None:
-        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if widest is None:
-            widest = vc.groupBy("g").count().agg(F.max("count")).first()[0]
-        if widest is None:
-            return spark.createDataFrame([], f"{group} {gtype}, pi int, p double, q double")
-        if widest <= max_group_distinct:
-            probs = [float(p) for p in probs]
-            rows = (vc.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]), F.col("c")).alias("qs"))
-                      .select("g", F.posexplode("qs").alias("pi", "q")).collect())
-            return spark.createDataFrame([(r["g"], r["pi"], probs[r["pi"]], r["q"]) for r in rows],
-                                         f"{group} {gtype}, pi int, p double, q double")
-        return _ranked_quantiles(spark, vc, group, gtype, probs, partitions)
-    finally:
-        vc.unpersist()
-
-
-def _by_range(df: DataFrame, partitions: int | None, *keys) -> DataFrame:
-    """Range partitions; without a number adaptive execution sizes them."""
-    return df.repartitionByRange(*keys) if partitions is None else df.repartitionByRange(partitions, *keys)
-
-
-def _ranked_quantiles(spark, vc: DataFrame, group: str, gtype: str, probs, partitions: int | None) -> DataFrame:
-    ranged = (_by_range(vc, partitions, "g", "v")
-                .withColumn("pid", F.spark_partition_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        # Totals per (partition, group): at most partitions x groups rows.
-        part = ranged.groupBy("pid", "g").agg(F.sum("c").alias("pc")).collect()
-        totals, offsets = {}, []
-        for r in sorted(part, key=lambda r: (str(r["g"]), r["pid"])):
-            offsets.append((r["pid"], r["g"], totals.get(r["g"], 0)))
-            totals[r["g"]] = totals.get(r["g"], 0) + r["pc"]
-        if not offsets:
-            return spark.createDataFrame([], f"{group} string, pi int, p double, q double")
-        probs = [float(p) for p in probs]
-        targets = []
-        for g, n in totals.items():
-            for i, p in enumerate(probs):
-                pos = p * (n - 1)
-                for side, r in ((0, math.floor(pos)), (1, math.ceil(pos))):
-                    targets.append((g, i, p, pos, side, r))
-        off_df = spark.createDataFrame(offsets, f"pid int, g {gtype}, off long")
-        tg_df = spark.createDataFrame(targets, f"tg {gtype}, pi int, p double, pos double, side int, r long")
-        w_in = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (null_safe_join(ranged.withColumn("run", F.sum("c").over(w_in)), F.broadcast(off_df), ["pid", "g"])
-                        .select("g", "v", (F.col("off") + F.col("run") - F.col("c")).alias("lo_rank"),
-                                (F.col("off") + F.col("run")).alias("hi_rank")))
-        hit = (ranked.join(F.broadcast(tg_df),
-                           F.col("g").eqNullSafe(F.col("tg")) & (F.col("r") >= F.col("lo_rank"))
-                           & (F.col("r") < F.col("hi_rank")))
-                     .select("g", "pi", "p", "pos", "side", "r", "v").collect())
-    finally:
-        ranged.unpersist()
-    acc = {}
-    for h in hit:
-        a = acc.setdefault((h["g"], h["pi"]), {"p": h["p"], "pos": h["pos"]})
-        a[h["side"]] = (h["r"], h["v"])
-    rows = []
-    for (g, i), a in acc.items():
-        (r_lo, v_lo), (_, v_hi) = a[0], a[1]
-        rows.append((g, i, a["p"], v_lo + (v_hi - v_lo) * (a["pos"] - r_lo)))
-    return spark.createDataFrame(rows, f"{group} {gtype}, pi int, p double, q double")
-
-
-def prefix_before(df: DataFrame, by, order: str, value: str, out: str = "before",
-                  partitions: int | None = None) -> DataFrame:
+#: Accuracy of the sketch: it errs by at most one row in so many.
+ACCURACY = 10_000
+
+
+def exact_quantiles(long: DataFrame, group: str, value: str, probs, accuracy: int = ACCURACY) -> DataFrame:
+    """(group, pi, p, q) for every group with at least one value (NULL and NaN
+    are none); ``q`` is the linear-interpolated quantile of probability ``p``.
+    Eager up to the brackets, which are written once."""
+    probs = [float(p) for p in probs]
+    v, slack = F.col("v"), 2.0 / accuracy
+    x = long.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).where(v.isNotNull() & ~F.isnan(v))
+    sketch = lambda ps: F.percentile_approx("v", ps, accuracy)
+    told = x.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
+                              sketch([max(0.0, p - slack) for p in probs]).alias("lo"),
+                              sketch([min(1.0, p + slack) for p in probs]).alias("hi"))
+    small = F.col("n") < 4 * accuracy
+    told = stored_table(told.select(
+        "g", "n", F.when(small, F.array_repeat("least", len(probs))).otherwise(F.col("lo")).alias("lo"),
+        F.when(small, F.array_repeat("most", len(probs))).otherwise(F.col("hi")).alias("hi")), "brackets")
+    placed = null_safe_join(x, told, ["g"])
+    lo, hi = F.col("lo"), F.col("hi")
+    below = placed.groupBy("g").agg(F.array(*[F.count_if(v < lo[i]) for i in range(len(probs))]).alias("below"))
+    inside = F.filter(F.sequence(F.lit(0), F.lit(len(probs) - 1)), lambda i: (v >= lo[i]) & (v <= hi[i]))
+    held = placed.select("g", "v", F.explode(inside).alias("pi")).groupBy("g", "pi", "v").agg(F.count(F.lit(1)).alias("c"))
+    run = F.sum("c").over(Window.partitionBy("g", "pi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = null_safe_join(null_safe_join(held.withColumn("run", run), told.select("g", "n"), ["g"]), below, ["g"])
+    ranked = (ranked.withColumn("p", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("pi") + 1))
+                    .withColumn("pos", F.col("p") * (F.col("n") - 1))
+                    .withColumn("end", F.element_at("below", F.col("pi") + 1) + F.col("run")))
+    at = lambda rank: F.max(F.when((F.col("end") - F.col("c") <= rank) & (rank < F.col("end")), F.col("v")))
+    found = ranked.groupBy("g", "pi", "p", "pos").agg(at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("b"))
+    q = F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))
+    q = F.when(F.col("a").isNull() | F.col("b").isNull(), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).otherwise(q)
+    return found.select(F.col("g").alias(group), "pi", "p", q.alias("q"))
+
+
+def prefix_before(df: DataFrame, by, order: str, value: str, out: str = "before", partitions: int | None = None) -> DataFrame:
     """Adds ``out`` = sum of ``value`` over the rows of the same ``by`` group
     whose ``order`` is smaller (``order`` unique within a group).
 
-    Distributed: rows are range-partitioned on (by, order), summed inside
-    each partition, and shifted by the totals of earlier partitions (at most
-    partitions x groups numbers, collected and broadcast). Eager: the result
-    is computed and persisted; call ``unpersist`` on it when done.
-    """
-    spark = df.sparkSession
+    The rows are range-partitioned on (by, order) and written once with their
+    partition number. A partition covers a stretch of the order, so the totals
+    per (partition, group) are at most partitions + groups rows; their running
+    sums are joined back."""
     by = list(by)
-    ranged = (_by_range(df, partitions, *by, order)
-                .withColumn("_pid", F.spark_partition_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        part = ranged.groupBy("_pid", *by).agg(F.sum(value).alias("_pc")).collect()
-        run, offsets = {}, []
-        for r in sorted(part, key=lambda r: (tuple(str(r[b]) for b in by), r["_pid"])):
-            k = tuple(r[b] for b in by)
-            offsets.append((r["_pid"], *k, run.get(k, 0)))
-            run[k] = run.get(k, 0) + r["_pc"]
-        types = dict(df.dtypes)
-        off_schema = ", ".join(["_pid int"] + [f"{b} {types[b]}" for b in by] + ["_off long"])
-        off_df = spark.createDataFrame(offsets, off_schema)
-        w = Window.partitionBy("_pid", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        summed = ranged.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
-        res = (null_safe_join(summed, F.broadcast(off_df), ["_pid", *by])  # partitions x groups rows
-                     .withColumn(out, F.col("_off") + F.col("_in"))
-                     .drop("_pid", "_in", "_off")
-                     .persist(StorageLevel.MEMORY_AND_DISK))
-        res.count()
-        return res
-    finally:
-        ranged.unpersist()
+    ranged = df.repartitionByRange(*by, order) if partitions is None else df.repartitionByRange(partitions, *by, order)
+    ranged = stored_table(ranged.withColumn("_pid", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy("_pid", *by).agg(F.sum(value).alias("_pc"))
+    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a group's partitions
+    offsets = totals.select("_pid", *by, F.coalesce(F.sum("_pc").over(earlier), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_pid", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return null_safe_join(summed, offsets, ["_pid", *by]).withColumn(out, F.col("_off") + F.col("_in")).drop("_pid", "_in", "_off")

@@ -30,8 +30,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored_table
 from .quantiles import prefix_before
-from .small import bounded, null_safe_join
+from .small import null_safe_join
 
 SEED = 42
 MIN_BUCKET_HEX, MAX_BUCKET_HEX = 4, 7  # 16 to 28 bits of the hash
@@ -70,18 +71,16 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
              seed: int = SEED, quota_col: str = "quota") -> DataFrame:
     """Rows of ``df`` with the ``quota`` smallest hashes of ``key`` per stratum.
 
-    ``quotas`` and the cut table have one row per stratum; they are
-    broadcast when that count is within the broadcast bound, joined by
-    shuffle otherwise.
+    ``quotas`` and the cut table have one row per stratum and are written once,
+    so the joins know their sizes.
     """
     strata = list(strata)
     has_avail = "available" in quotas.columns
     sel = quotas.select(*strata, F.col(quota_col).alias("_q"),
                         *(["available"] if has_avail else []))
-    q = bounded(sel)
-    # Largest stratum from the collected quota table (no pass over the data);
-    # a quota table too large to collect keeps the narrowest buckets.
-    largest = q.agg(F.max("available")).first()[0] if has_avail and q is not sel else None
+    q = stored_table(sel, "quotas")
+    # Largest stratum from the written quota table (no pass over the data).
+    largest = q.agg(F.max("available")).first()[0] if has_avail else None
     digits = bucket_hex(largest)
     h = order_key(key, seed)
     keyed = df.withColumn("_h", h).withColumn(
@@ -96,7 +95,7 @@ def hash_cap(df: DataFrame, quotas: DataFrame, strata, key: str,
     lim = (cum.groupBy(*strata)
               .agg(F.min(F.when(reached, need)).alias("m"), (F.max("_cum") <= F.max("_q")).alias("_all"))
               .select(*strata, F.col("m._b").alias("_cut"), F.col("m._need").alias("_need"), "_all"))
-    tagged = null_safe_join(keyed, bounded(lim), strata)  # one row per stratum, size-checked
+    tagged = null_safe_join(keyed, stored_table(lim, "cuts"), strata)  # one row per stratum
     below = tagged.where(F.col("_all") | (F.col("_b") < F.col("_cut")))
     edge = tagged.where(~F.col("_all") & (F.col("_b") == F.col("_cut")))
     rk = Window.partitionBy(*strata, "_b").orderBy("_h")
@@ -124,8 +123,7 @@ def seeded_positions(df: DataFrame, key: str = "row_id", seed: int = SEED) -> Da
     A global ``row_number`` would put the whole table in one task; instead the
     rows are range-partitioned on the order and each position is the count
     of rows before it (``prefix_before``: running counts per partition plus
-    the totals of earlier partitions). Eager and persisted, like
-    ``prefix_before``."""
+    the totals of earlier partitions)."""
     o = (df.withColumn("shuffle_key", order_key(key, seed))
            .withColumn("_ord", F.struct("shuffle_key", F.col(key)))
            .withColumn("_one", F.lit(1).cast("long")))

@@ -1,9 +1,7 @@
-"""Broadcast only behind a size check.
+"""Joins with small sides.
 
-A side that should be small (one row per stratum, class, category or
-group) is materialised with at most ``max_rows + 1`` rows; if it fits it is
-returned as a broadcast literal table, otherwise unchanged so the planner
-uses a shuffle join.
+A side whose size is not known beforehand carries no hint: adaptive execution
+looks at its size at run time and broadcasts or shuffles it.
 """
 
 from __future__ import annotations
@@ -16,13 +14,6 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return df
-
-
 def known(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a table whose row count is already known."""
     return F.broadcast(df) if n_rows <= max_rows else df

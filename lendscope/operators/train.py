@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import class_weights, feature_pipeline, feature_names, pos_weight
-from .small import bounded
 from .trees import bin_table, fit_boosted, fit_forest
 
 LABEL = "loan_status"
@@ -27,9 +26,13 @@ GBT_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, c
 
 
 def balanced(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
-    """Attach balanced class weights n / (k * n_c) (broadcast: one row per class)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(bounded(w), label)  # one row per class, size-checked
+    """Attach balanced class weights n / (k * n_c); a binary label has two."""
+    weight = None
+    for r in class_weights(df.where(F.col(label).isin(0, 1)), label).collect():
+        case = (F.col(label) == r[label], F.lit(float(r["weight"])))
+        weight = F.when(*case) if weight is None else weight.when(*case)
+    weight = F.lit(None).cast("double") if weight is None else weight
+    return df.where(F.col(label).isin(0, 1)).withColumn(out, weight)
 
 
 def positive_weighted(df: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:

@@ -86,3 +86,12 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote, through Spark's file system layer."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def stored_table(df, name: str):
+    """``df`` written to the shared folder and read back: computed once, its
+    lineage cut, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

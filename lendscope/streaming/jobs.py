@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import drift_status
 from ..operators.drift import EPS
 from ..operators.quantiles import exact_quantiles
-from ..operators.small import MAX_BROADCAST_ROWS, bounded
-from ..session import shared_dir
+from ..session import shared_dir, stored_table
 
 DIGITS = 9
 DECILES = [i / 10 for i in range(11)]
@@ -60,18 +59,8 @@ def baseline_edges(baseline: DataFrame, group: str, value: str) -> DataFrame:
     e = q.groupBy(group).agg(F.array_sort(F.collect_set(F.round("q", DIGITS))).alias("e"))
     n = F.size("e")
     inner = F.slice("e", 2, F.greatest(n - 2, F.lit(0)))
-    # One row per group. Within the broadcast bound it is collected and the
-    # stream joins a broadcast literal table; beyond it the table is written
-    # once to the shared folder (no driver pass, lineage cut) and joined by
-    # shuffle.
-    table = e.select(F.col(group).cast("string").alias(group), inner.alias("inner"))
-    small = bounded(table, MAX_BROADCAST_ROWS)
-    if small is not table:
-        return small
-    spark = baseline.sparkSession
-    path = shared_dir(spark, "stream-edges")
-    table.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # One row per group, written once: its size is known to the stream's join.
+    return stored_table(e.select(F.col(group).cast("string").alias(group), inner.alias("inner")), "stream-edges")
 
 
 def _bin(value: str) -> Column:

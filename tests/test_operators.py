@@ -11,19 +11,33 @@ from lendscope.operators.quantiles import exact_quantiles
 from lendscope.plans import pipeline
 
 
-@pytest.mark.parametrize("bound", [0, 10**6])  # ranked path, bounded built-in path
-def test_exact_quantiles_match_numpy(spark, bound):
+@pytest.mark.parametrize("accuracy", [10, 50, 10_000])  # narrow brackets, or the whole group
+def test_exact_quantiles_match_numpy(spark, accuracy):
     rng = np.random.default_rng(1)
-    vals = {"a": rng.normal(size=500).round(3), "b": rng.integers(0, 7, size=301).astype(float),
-            "c": np.array([4.0])}
-    rows = [(g, float(v)) for g, arr in vals.items() for v in arr]
-    df = spark.createDataFrame(rows, "g string, x double")
-    probs = [0, 0.1, 0.25, 0.5, 0.9, 1]
-    got = {(r["g"], r["pi"]): r["q"] for r in exact_quantiles(df, "g", "x", probs, partitions=5,
-                                                                      max_group_distinct=bound).collect()}
+    vals = {"a": rng.normal(size=3000).round(3), "b": rng.integers(0, 7, size=2001).astype(float),
+            "c": np.array([4.0]), None: rng.random(40), "hot": np.repeat([1.0, 2.0, 3.0], [5, 2000, 5])}
+    rows = [(g, float(v)) for g, arr in vals.items() for v in arr] + [("a", None), ("a", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    probs = [0, 0.001, 0.1, 0.25, 0.5, 0.9, 0.999, 1]
+    got = {(r["g"], r["pi"]): r["q"] for r in exact_quantiles(df, "g", "x", probs, accuracy=accuracy).collect()}
+    assert len(got) == len(vals) * len(probs)
     for g, arr in vals.items():
         for i, p in enumerate(probs):
-            assert got[(g, i)] == pytest.approx(np.percentile(arr, p * 100), abs=1e-12)
+            assert got[(g, i)] == pytest.approx(np.percentile(arr, p * 100), abs=1e-9)
+
+
+def test_only_bracket_rows_are_ranked(spark):
+    n, accuracy = 200_000, 1000
+    df = spark.range(n).select(F.lit("g").alias("g"), (F.col("id") * 7919 % n).cast("double").alias("x"))
+    got = [r["q"] for r in exact_quantiles(df, "g", "x", [0.1, 0.5], accuracy=accuracy).orderBy("pi").collect()]
+    assert got == pytest.approx([0.1 * (n - 1), 0.5 * (n - 1)])
+
+
+def test_prefix_before_over_partitions(spark):
+    from lendscope.operators.quantiles import prefix_before
+    df = spark.createDataFrame([(g, i, i % 5) for g in ("a", "b", None) for i in range(200)], "g string, o int, v long").repartition(5)
+    got = {(r["g"], r["o"]): r["before"] for r in prefix_before(df, ["g"], "o", "v", partitions=7).collect()}
+    assert got == {(g, i): sum(j % 5 for j in range(i)) for g in ("a", "b", None) for i in range(200)}
 
 
 def test_hash_cap_equals_window_rank(spark, small):
@@ -129,13 +143,9 @@ def test_roc_auc_exact_and_invariant(spark):
     df = spark.createDataFrame([("m", int(a), float(b)) for a, b in zip(y, s)], "model_name string, y_true int, y_prob double")
     auc = evaluate.roc_auc(df, digits=None).first()["roc_auc"]
     assert auc == pytest.approx(_auc_brute(y, s), abs=1e-12)
-    # the distributed prefix-sum path (no per-group bound) gives the same value
-    dist = evaluate.roc_auc(df, max_group_distinct=0).first()["roc_auc"]
-    assert dist == pytest.approx(auc, abs=1e-12)
     raw = (rng.random(300) + 0.2 * y)  # unrounded scores: exact, no ties introduced
     df2 = spark.createDataFrame([("m", int(a), float(b)) for a, b in zip(y, raw)], "model_name string, y_true int, y_prob double")
     assert evaluate.roc_auc(df2).first()["roc_auc"] == pytest.approx(_auc_brute(y, raw), abs=1e-12)
-    assert evaluate.roc_auc(df2, max_group_distinct=0).first()["roc_auc"] == pytest.approx(_auc_brute(y, raw), abs=1e-12)
     neg = evaluate.roc_auc(df.withColumn("y_prob", -F.col("y_prob")), digits=None).first()["roc_auc"]
     assert neg == pytest.approx(1 - auc, abs=1e-12)
     mono = evaluate.roc_auc(df.withColumn("y_prob", F.exp("y_prob")), digits=None).first()["roc_auc"]
@@ -251,16 +261,14 @@ def test_hash_cap_same_rows_at_any_bucket_width(spark, small, monkeypatch):
     assert {r["row_id"] for r in sample.stratified_cap(clean, 40).collect()} == base
 
 
-def test_stream_edges_beyond_broadcast_bound_stay_distributed(spark, monkeypatch):
+def test_stream_edges_are_a_table(spark):
     from lendscope.streaming import jobs as sj
 
     df = spark.createDataFrame([(g, float(v)) for g in ("a", "b", "c") for v in range(20)], "g string, x double")
-    small = {r["g"]: list(r["inner"]) for r in sj.baseline_edges(df, "g", "x").collect()}
-    monkeypatch.setattr(sj, "MAX_BROADCAST_ROWS", 2)  # three groups: over the bound
-    wide = sj.baseline_edges(df, "g", "x")
-    assert "LocalRelation" not in wide._jdf.queryExecution().analyzed().toString()
-    assert {r["g"]: list(r["inner"]) for r in wide.collect()} == small
-    assert len(small) == 3 and all(len(v) == 9 for v in small.values())
+    edges = sj.baseline_edges(df, "g", "x")
+    assert "LocalRelation" not in edges._jdf.queryExecution().analyzed().toString()
+    got = {r["g"]: list(r["inner"]) for r in edges.collect()}
+    assert len(got) == 3 and all(len(v) == 9 for v in got.values())
 
 
 def test_window_psi_against_frozen_edges_and_unseen_groups(spark):
@@ -323,16 +331,13 @@ def test_null_strata_are_kept(spark):
     assert sorted(str(r["issue_year"]) for r in capped) == ["2016", "2016", "None", "None"]
 
 
-def test_null_groups_agree_on_both_paths(spark):
-    from lendscope.operators.quantiles import exact_quantiles
+def test_null_groups_are_groups(spark):
     df = spark.createDataFrame([("m" if i % 2 else None, int(i % 3 == 0), i / 20) for i in range(20)],
                                "model_name string, y_true int, y_prob double")
-    key = lambda rows: sorted(map(str, rows))
-    narrow, wide = (evaluate.roc_auc(df, max_group_distinct=n).collect() for n in (10**6, 1))
-    assert key(narrow) == key(wide) and len(narrow) == 2
-    narrow, wide = ([(r["model_name"], r["p"], round(r["q"], 9)) for r in exact_quantiles(
-        df, "model_name", "y_prob", [0.25, 0.5], max_group_distinct=n).collect()] for n in (10**6, 1))
-    assert key(narrow) == key(wide) and len(narrow) == 4
+    got = {r["model_name"]: r["roc_auc"] for r in evaluate.roc_auc(df).collect()}
+    for name in ("m", None):
+        rows = [r for r in df.collect() if r["model_name"] == name]
+        assert got[name] == pytest.approx(_auc_brute(np.array([r["y_true"] for r in rows]), np.array([r["y_prob"] for r in rows])))
 
 
 def test_approximate_edges_count_rows(spark):
