@@ -23,7 +23,7 @@ from lendscope.session import get_session  # noqa: E402
 
 HEADLINE = ["drift_report", "drift_summary", "stratified_cap", "split_report", "roc_auc",
             "classification_report", "one_hot_long", "transform_splits",
-            "lr_coefficients", "score_batch", "drift_stream"]
+            "lr_coefficients", "score_batch", "drift_stream", "rf_v1_importance"]
 
 
 def main():

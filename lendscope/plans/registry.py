@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import drift as drift_ops
 from ..operators.clean import CATEGORICAL, NUMERIC, PLAIN_NUMERIC
 from . import oracle as O
-from .pipeline import clean, r6, scan_loans, split_features, splits
+from .pipeline import FIXTURE_SPLITS, clean, r6, scan_loans, split_features, splits
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -369,7 +369,18 @@ def q_parquet_roundtrip(spark, d):
 @register("split_roundtrip", O.with_front(select="""
 SELECT row_id, split, issue_year, loan_status, term FROM splits"""))
 def q_split_roundtrip(spark, d):
-    return stored_splits(spark, d).select("row_id", "split", "issue_year", "loan_status", "term")
+    """X and y written per split, the validation split written again, every
+    split read back by itself and its X and y joined by key."""
+    from ..sources.files import read_split, write_splits
+    path, s = shared_dir(spark, "splits"), stored_splits(spark, d)
+    write_splits(s, path)
+    write_splits(s.where("split = 'val'"), path)
+    out = None
+    for name in FIXTURE_SPLITS:
+        x, y = read_split(spark, path, name)
+        part = prof.join_labels(x, y.drop("split")).select("row_id", "split", "issue_year", "loan_status", "term")
+        out = part if out is None else out.union(part)
+    return out
 
 
 # ---------------------------------------------------------------- step 3: feature statistics

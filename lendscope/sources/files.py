@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import NA_TOKENS
-from ..operators.clean import RAW_SCHEMA, apply_null_tokens
+from ..operators.clean import KEY, LABEL, RAW_SCHEMA, SPLIT, apply_null_tokens
 
 # Fixed value: file-name pattern of the raw loan files (plain or compressed).
 LOAN_GLOB = "accepted*.csv*"
@@ -34,14 +34,38 @@ def read_loans(spark: SparkSession, path: str, glob: str = LOAN_GLOB,
     matching ``glob``; gzip/bzip2 are decoded by the reader), the columns of
     ``schema`` taken by their name in the header, all text but the key, with
     the missing-value tokens turned into NULL. Files without a ``row_id`` get
-    one from the file's name and the row's content (equal rows of a file share it)."""
+    one by :func:`numbered`."""
     names = [f.name for f in schema]
     df = _by_name(spark, path, [n for n in names if n != "row_id"], {"recursiveFileLookup": "true", "pathGlobFilter": glob})
     if "row_id" in names and "row_id" not in df.columns:
-        df = df.withColumn("row_id", F.xxhash64(F.input_file_name(), *df.columns))
+        df = numbered(df)
     return apply_null_tokens(df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]), na_tokens)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` read from files, with ``row_id``: a 64-bit hash of the file, the
+    row's content and, among equal rows of a file, its number. The same on every
+    read, however the files are cut into tasks. Equal rows are counted by partial
+    aggregation and dealt out again, so many of them make no hot key."""
+    cols = df.columns
+    counted = df.withColumn("_file", F.input_file_name()).groupBy("_file", *[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_rows"))
+    each = counted.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
+    return each.select(F.xxhash64("_file", *[F.col(f"`{c}`") for c in cols], "_nth").alias("row_id"), *[F.col(f"`{c}`") for c in cols])
+
+
+def write_splits(df: DataFrame, path: str, label: str = LABEL, key: str = KEY, split: str = SPLIT) -> None:
+    """X (all columns but the label) and y (key, label) per split, as
+    ``<path>/X/split=...`` and ``<path>/y/split=...``. Only the splits that
+    ``df`` has are replaced; the others stay."""
+    for name, part in (("X", df.drop(label)), ("y", df.select(key, label, split))):
+        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(split).parquet(f"{path}/{name}"))
+
+
+def read_split(spark: SparkSession, path: str, name: str, split: str = SPLIT) -> tuple[DataFrame, DataFrame]:
+    """(X, y) of one split; only its folders are read."""
+    return tuple(spark.read.parquet(f"{path}/{part}").where(F.col(split) == name) for part in ("X", "y"))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
                 compression: str | None = None, mode: str = "overwrite") -> None:
     """Write a result table (parquet, json or csv) to ``path``."""

@@ -1,9 +1,10 @@
 """Structured Streaming jobs: continuous scoring, windowed drift counts and their PSI.
 
-The streams run with ``trigger(availableNow=True)`` into a parquet sink whose
-checkpoint lives next to it in the shared checkpoint folder, so a restarted
-query resumes exactly where it stopped. The result is read back as a batch
-DataFrame.
+The streams run with ``trigger(availableNow=True)`` into a parquet sink with a
+checkpoint next to it. A caller that names the folder (``base``) can run the
+stream again there: it resumes after the last committed batch, and the result
+is read through the sink's commit log, so every row is there once, whatever
+was lost in between. Without a name each run is one of its own.
 """
 
 from __future__ import annotations
@@ -22,9 +23,12 @@ NO_BASELINE = "No Baseline"
 
 
 def run_to_parquet(stream: DataFrame, spark: SparkSession, name: str,
-                   mode: str = "append") -> DataFrame:
-    """Drain a stream once (availableNow) into a parquet sink; read it back."""
-    base = shared_dir(spark, name)
+                   mode: str = "append", base: str | None = None) -> DataFrame:
+    """Drain a stream (availableNow) into a parquet sink; read it back.
+
+    ``base`` is the job's folder in shared storage, to be given again after a
+    restart; the default is a fresh one."""
+    base = base or shared_dir(spark, name)
     out, ckpt = base + "/out", base + "/_checkpoint"
     q = (stream.writeStream.format("parquet").outputMode(mode)
          .option("path", out).option("checkpointLocation", ckpt)
