@@ -1,24 +1,33 @@
-"""Hierarchical Pitman-Yor language model over words and their spelling.
+"""Hierarchical Pitman-Yor language model over words, their contexts and spelling.
 
-The top restaurant serves words; a new table there is a new spelling, drawn
+A restaurant of each previous word serves the words that follow it; a new table
+there is a customer of the word restaurant, which all previous words share as
+their parent. A new table of the word restaurant is a new spelling, drawn
 from restaurants of bytes whose context is the two bytes before: a context of
 two bytes shares its parent (the last byte) with all that end alike, those
 share the empty context, and its parent is uniform over the byte alphabet.
-So the model gives every possible word a probability, and those of all words
-sum to one. Words that training never saw are one unknown word, which has what
-the model leaves to all of them together; known words and the unknown one sum
-to one. The end of a text is the empty word.
+So the model gives every possible word a probability after every word, and
+those of all words sum to one. Words that training never saw are one unknown
+word, which has what the model leaves to all of them together. The end of a
+text is the empty word, and also what stands before its first word.
 
 Seating is sampled by Gibbs sweeps. In a sweep all customers of a dish leave
 and are seated anew one after another, given the parent's probabilities and
-the restaurant's number of tables of the sweep before: blocks of dishes are
-independent, so the words are a distributed table however many there are, and
-the tables they open are counted into the byte restaurants, whose size is
-bounded by the alphabet (258 * 258 * 257 cells). Predictive probabilities are
-averaged over the sweeps after burn-in.
-
-A word's seating is a function of the seed, the sweep and the word, so the
-states of the sweeps need not be stored, and a lost task seats alike.
+the restaurant's number of tables of the sweep before. A pair of words that
+occurs once has one table and needs no draw, so only repeated pairs are seated;
+how many single pairs a word has is its count less that of its repeated pairs.
+Predictive probabilities are averaged over the sweeps after burn-in.
+
+A dish's seating is a function of the seed, the sweep and the dish, so the
+states of the sweeps need not be stored, and a lost task seats alike: the chunk
+of texts that asks for a pair gets its count and seats it again.
+
+How it scales: texts become chunks of word codes, written once. Each distinct
+pair of a chunk is sent once to the range of pair fingerprints that counts it,
+and its count comes back to the chunk; words go the same way. So a frequent
+pair is one entry a chunk, ranges are even (fingerprints are mixed) and their
+number grows with the entries. Words are known by 64-bit fingerprints; two of
+the same fingerprint would be taken for one word.
 
 Defined results: null and empty texts are one end token; a null doc_id counts
 as an empty id when training texts are chosen; repeated rows are separate
@@ -35,12 +44,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _FOLD, materialised, mix, remainder, small_batches, table, word_windows
+from .common import _FOLD, Shipped, materialised, mix, remainder, scratch, small_batches, table, word_windows
 
-BURN_IN, SAMPLES = 2, 3
+BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0  # of every restaurant
 BYTE_DISCOUNT = 0.5
 CHUNK_BYTES = 20 << 20
+RANGE_ENTRIES = 1 << 20
 SEED = 41
 END, START = 256, 257
 CONTEXTS, SYMBOLS = 258, 257
@@ -58,10 +68,10 @@ def _binary(size: np.ndarray, raw: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))])
 
 
-def chunk_words(texts: pa.Array):
-    """(sizes, bytes) of the distinct words of a chunk, the empty word first,
-    and (word, row, count) incidences sorted by word."""
-    rows, codes, own, sizes, raws = [np.arange(len(texts))], [np.zeros(len(texts), np.uint64)], [np.zeros(1, np.uint64)], [np.zeros(1, np.int64)], []
+def chunk_tokens(texts: pa.Array):
+    """The distinct words of a chunk by fingerprint, the end token (0) first, as
+    (fingerprints, sizes, bytes); its tokens as their codes; where each text ends."""
+    rows, codes, own, sizes, raws = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(1, np.uint64)], [np.zeros(1, np.int64)], []
     for row, s, e, h, data in word_windows(texts):
         rows.append(row)
         codes.append(np.maximum(h, np.uint64(1)))  # 0 is the end token
@@ -70,21 +80,40 @@ def chunk_words(texts: pa.Array):
         sizes.append((e - s)[first])
         raws.append(_ASCII_LOWER[gathered(data, s[first], sizes[-1])])
     raw, size = np.concatenate(raws) if raws else np.zeros(0, np.uint8), np.concatenate(sizes)
-    distinct, first = np.unique(np.concatenate(own), return_index=True)
+    ids, first = np.unique(np.concatenate(own), return_index=True)
     raw = gathered(raw, (np.cumsum(size) - size)[first], size[first])
-    pair, count = np.unique(np.searchsorted(distinct, np.concatenate(codes)) * len(texts) + np.concatenate(rows), return_counts=True)
-    return size[first], raw, pair // len(texts), pair % len(texts), count
+    row, word = np.concatenate(rows).astype(np.int64), np.concatenate(codes)
+    out = np.zeros(len(word) + len(texts), np.int32)
+    out[np.arange(len(word)) + row] = np.searchsorted(ids, word)
+    ends = np.cumsum(np.bincount(row, minlength=len(texts)) + 1)
+    return ids, size[first], raw, out, ends
+
+
+def pair_id(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(mix(before) + word)
 
 
-OCCURRENCES = "word binary, trained long, rows array<int>, counts array<int>, chunk long, doc_id {}, held_out boolean"
+def chunk_pairs(ids: np.ndarray, codes: np.ndarray):
+    """(pair, previous code, code, place of each token's pair): a chunk's distinct
+    pairs by pair fingerprint."""
+    before = np.concatenate([np.zeros(1, codes.dtype), codes[:-1]])[:len(codes)]
+    both, place = np.unique(before.astype(np.int64) << 32 | codes, return_inverse=True)
+    before, word = both >> 32, both & 0xFFFFFFFF
+    pair = pair_id(ids[before], ids[word])
+    order = np.argsort(pair, kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return pair[order], before[order], word[order], back[place]
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: (word, trained, rows, counts, chunk), the rows of a
-    chunk of texts that hold a word and how often, with its count in training
-    texts; and for each text a row without word, (rows = [row], chunk, doc_id,
-    held_out)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+CODED = "id long, word binary, trained long, chunk long, ids binary, codes binary, ends array<long>, doc_id array<{}>, held_out array<boolean>, pairs long"
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """Two kinds of rows: (id, word, trained), a word of a chunk of texts and its
+    count in training texts; and for each chunk a row without word."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
@@ -93,21 +122,96 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 chunk = (task << 32) + number
                 number += 1
                 held = b.column("held_out").to_numpy(zero_copy_only=False)
-                size, raw, word, row, count = chunk_words(b.column("text"))
-                trained = np.bincount(word, np.where(held[row], 0, count), minlength=len(size)).astype(np.int64)
-                ends = np.searchsorted(word, np.arange(len(size) + 1)).astype(np.int32)
-                ints = lambda x: pa.array(x.astype(np.int32))
-                lists = lambda x: pa.ListArray.from_arrays(pa.array(ends), ints(x))
-                n, none = len(size), b.num_rows
+                ids, size, raw, codes, ends = chunk_tokens(b.column("text"))
+                trained = np.bincount(codes, np.repeat(~held.astype(bool), np.diff(ends, prepend=0)), minlength=len(ids)).astype(np.int64)
+                n, docs_ = len(ids), pa.array([0, b.num_rows], pa.int32())
+                none = lambda t: pa.nulls(n, t)
                 yield pa.RecordBatch.from_arrays(
-                    [_binary(size, raw), pa.array(trained), lists(row), lists(count), pa.array(np.full(n, chunk)),
-                     pa.nulls(n, b.column("doc_id").type), pa.nulls(n, pa.bool_())], names=["word", "trained", "rows", "counts", "chunk", "doc_id", "held_out"])
-                single = pa.ListArray.from_arrays(pa.array(np.arange(none + 1, dtype=np.int32)), ints(np.arange(none)))
+                    [pa.array(ids.view(np.int64)), _binary(size, raw), pa.array(trained), none(pa.int64()), none(pa.binary()), none(pa.binary()), none(pa.list_(pa.int64())),
+                     none(pa.list_(b.column("doc_id").type)), none(pa.list_(pa.bool_())), none(pa.int64())], names=names)
+                lists = lambda x: pa.ListArray.from_arrays(docs_, x)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(none, pa.binary()), pa.nulls(none, pa.int64()), single, pa.nulls(none, pa.list_(pa.int32())), pa.array(np.full(none, chunk)),
-                     b.column("doc_id"), b.column("held_out")], names=["word", "trained", "rows", "counts", "chunk", "doc_id", "held_out"])
+                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([chunk]), pa.array([ids.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()),
+                     lists(pa.array(ends.astype(np.int64))), lists(b.column("doc_id")), lists(pa.array(held.astype(bool))), pa.array([len(chunk_pairs(ids, codes)[0])])], names=names)
+
+    names = [part.split()[0] for part in CODED.split(", ")]
+    return docs.select("doc_id", "text", "held_out").mapInArrow(run, CODED.format(kind))
+
+
+# --- questions and answers ----------------------------------------------------
+
+def range_of(ids: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each mixed fingerprint, in the order of the fingerprints."""
+    return (((ids >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+
+
+def _mixed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed word fingerprints in order, and the order."""
+    key = mix(ids)
+    order = np.argsort(key)
+    return key[order], order
+
+
+def _cut(where: np.ndarray):
+    """(range, start, end) of each run of equal values."""
+    begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
+    return [(int(where[s]), int(s), int(e)) for s, e in zip(begin, np.append(begin[1:], len(where)))]
+
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(run, OCCURRENCES.format(id_type))
+def _chunk_row(b, i: int):
+    read = lambda name, t: np.frombuffer(b.column(name)[i].as_py(), t)
+    return int(b.column("chunk")[i].as_py()), read("ids", np.uint64), read("codes", np.int32), np.array(b.column("ends")[i].as_py()), np.array(b.column("held_out")[i].as_py(), dtype=bool)
+
+
+def pair_questions(chunks: DataFrame, ranges: int) -> DataFrame:
+    """(part, chunk, u, w, n): a chunk's distinct pairs of a range, as arrays."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                chunk, ids, codes, ends, held = _chunk_row(b, i)
+                pair, u, w, place = chunk_pairs(ids, codes)
+                n = np.bincount(place, np.repeat(~held, np.diff(ends, prepend=0)), minlength=len(pair)).astype(np.int64)
+                cuts = _cut(range_of(pair, ranges))
+                raw = lambda x: pa.array([x[s:e].tobytes() for _, s, e in cuts], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in cuts], pa.int64()), pa.array([chunk] * len(cuts), pa.int64()), raw(ids[u]), raw(ids[w]), raw(n)], names=["part", "chunk", "u", "w", "n"])
+
+    return chunks.mapInArrow(run, "part long, chunk long, u binary, w binary, n binary")
+
+
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+ANSWERS = "chunk long, part long, counts binary, u binary, w binary, c binary"
+
+
+def count_pairs(asked: DataFrame) -> DataFrame:
+    """For each question a row (chunk, part, counts), and for each range one row
+    (u, w, c) of its pairs that occur twice or more in training."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        u, w, n = _joined(rows["u"], np.uint64), _joined(rows["w"], np.uint64), _joined(rows["n"], np.int64)
+        _, first, place = np.unique(pair_id(u, w), return_index=True, return_inverse=True)
+        c = np.bincount(place, n, minlength=len(first)).astype(np.int64)
+        back = c[place]
+        ends = np.cumsum([len(x) // 8 for x in rows["u"].to_pylist()])
+        counts = [back[s:e].tobytes() for s, e in zip(np.append(0, ends[:-1]), ends)]
+        many = np.flatnonzero(c > 1)
+        one = lambda x: pa.array([None] * len(counts) + [x.tobytes()], pa.binary())
+        return pa.table([pa.array(rows["chunk"].to_pylist() + [None], pa.int64()), pa.array(rows["part"].to_pylist() + [None], pa.int64()), pa.array(counts + [None], pa.binary()),
+                         one(u[first[many]]), one(w[first[many]]), one(c[many])], names=["chunk", "part", "counts", "u", "w", "c"])
+
+    return asked.groupBy("part").applyInArrow(run, ANSWERS)
+
+
+def repeated_pairs(answers: DataFrame) -> DataFrame:
+    """(u, w, c) of the pairs that occur twice or more in training."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b.column(name)[i].as_py(), np.int64)) for name in "uwc"], names=["u", "w", "c"])
+
+    return answers.where("counts IS NULL").select("u", "w", "c").mapInArrow(run, "u long, w long, c long")
 
 
 # --- restaurants -------------------------------------------------------------
@@ -245,12 +349,19 @@ def word_states(size: np.ndarray, raw: np.ndarray, sweep: int) -> np.ndarray:
 
 
 class Words:
-    """The word restaurant: customers in all, and its discount, estimated from
-    the numbers of words that occur once and twice."""
+    """The word restaurant and the discounts of words and of pairs, estimated from
+    the numbers of dishes with one and with two customers."""
 
-    def __init__(self, customers: int, once: int, twice: int):
-        self.customers = customers
-        self.discount = float(np.clip(once / max(1, once + 2 * twice), 0.1, 0.95))
+    def __init__(self, words: tuple[int, int], pairs: tuple[int, int]):
+        self.customers = 0
+        self.discount, self.pair_discount = (float(np.clip(once / max(1, once + 2 * twice), 0.1, 0.95)) for once, twice in (words, pairs))
+
+    def pair_tables(self, u, w, c: np.ndarray, opened: np.ndarray, lp: np.ndarray, sweep: int) -> np.ndarray:
+        """Tables of pairs, given those of the previous word's restaurant and the
+        log probability of the word in the sweep before."""
+        weight = (STRENGTH + self.pair_discount * opened.astype(np.float32).astype(float)) * np.exp(lp.astype(np.float32).astype(float))
+        with np.errstate(over="ignore"):
+            return seat(c, weight, self.pair_discount, mix(pair_id(u, w) + np.uint64(SEED * 1000 + sweep)))
 
     def tables(self, n: np.ndarray, log_spelling: np.ndarray, opened: float, state: np.ndarray) -> np.ndarray:
         return seat(n, (STRENGTH + self.discount * opened) * np.exp(log_spelling), self.discount, state)
@@ -266,101 +377,218 @@ def _columns(batch):
     words = batch.column("word").cast(pa.large_binary())
     off = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] is not None else np.zeros(0, np.uint8)
-    return np.diff(off), data[off[0]:off[-1]], batch.column("c").to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def fit(vocabulary: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES):
-    """(word restaurant, states): the Gibbs states from the last of burn-in on,
-    each (spelling, tables of the word restaurant). ``vocabulary`` holds (word,
-    c); words with c = 0 take no seat."""
-    context = vocabulary.sparkSession.sparkContext
-    seen = vocabulary.where("c > 0")
-    sizes = seen.agg(F.sum("c"), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
-    words = Words(*[int(x or 0) for x in sizes])
-    spelling, opened, byte_tables, states = Spelling.uniform(), 0, {}, []
-    for sweep in range(burn_in + samples):
-        shared = context.broadcast((words, spelling, opened, sweep))  # bounded by the byte alphabet
-
-        def run(batches):
-            restaurant, spell, tables, turn = shared.value
-            cells, total = {}, 0
-            for b in batches:
-                size, raw, n = _columns(b)
-                t = restaurant.tables(n, spell.logs(size, raw), tables, word_states(size, raw, turn)) if turn else np.minimum(n, 1)
-                ctx, symbol, _ = spell.symbols(size, raw)
-                cell, where = np.unique(ctx * SYMBOLS + symbol, return_inverse=True)
-                for c, k in zip(cell.tolist(), np.bincount(where, np.repeat(t, size + 1)).astype(np.int64).tolist()):
-                    cells[c] = cells.get(c, 0) + k
-                total += int(t.sum())
-            cells[-1] = total
-            yield pa.RecordBatch.from_arrays([pa.array(list(cells), pa.int64()), pa.array(list(cells.values()), pa.int64())], names=["cell", "n"])
-
-        counts = seen.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
-        cell, n = counts["cell"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
-        opened = int(n[cell == -1].sum())
-        spelling, byte_tables = Spelling.sampled(cell[cell >= 0], n[cell >= 0], spelling, byte_tables, SEED + sweep)
-        shared.unpersist()
-        if sweep >= burn_in - 1:
-            states.append((spelling, opened))
-    return words, states
+    return np.diff(off), data[off[0]:off[-1]], batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
-    """For each state, the share of the spelling's probability that is left to
-    words with c = 0."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(states)
+def _word_tables(words: DataFrame, restaurant: Words, spelling: Spelling, opened: int, sweep: int):
+    """(cell, n): tables of the word restaurant by byte cell, their number under -1."""
+    shared = Shipped(words.sparkSession, (restaurant, spelling, opened, sweep))  # bounded by the byte alphabet
 
     def run(batches):
-        total = np.zeros(len(shared.value))
+        own, spell, tables, turn = shared.value
+        cells, counts, total = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         for b in batches:
-            size, raw, _ = _columns(b)
-            total += [np.exp(spell.logs(size, raw)).sum() for spell, _ in shared.value]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["state", "p"])
+            size, raw, n = _columns(b)
+            t = own.tables(n, spell.logs(size, raw), tables, word_states(size, raw, turn)) if turn else np.minimum(n, 1)
+            ctx, symbol, _ = spell.symbols(size, raw)
+            cell, where = np.unique(np.concatenate([cells, ctx * SYMBOLS + symbol]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([counts, np.repeat(t, size + 1)]), minlength=len(cell)).astype(np.int64)
+            cells, total = cell, total + int(t.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(cells, -1)), pa.array(np.append(counts, total))], names=["cell", "n"])
 
-    known = vocabulary.where("c > 0").mapInArrow(run, "state long, p double").groupBy("state").agg(F.sum("p").alias("p")).toPandas()
-    return np.maximum(1.0 - np.bincount(known["state"], known["p"], minlength=len(states)), 1e-12)
+    got = words.where("c > 0").select("word", "n").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
+    return got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 
-def word_scores(vocabulary: DataFrame, words: Words, states: list, first_sweep: int) -> DataFrame:
-    """(word, c, lp): the log10 of each word's predictive probability averaged
-    over the sampled states; with c = 0, that of the unknown word."""
-    left = unknown_mass(vocabulary, states)
-    shared = vocabulary.sparkSession.sparkContext.broadcast((words, states))
+def _with_probability(words: DataFrame, restaurant: Words, before: tuple, now: tuple, sweep: int) -> DataFrame:
+    """Words with the log probability ``p`` that the word restaurant's state gives them."""
+    shared = Shipped(words.sparkSession, (restaurant, before, now, sweep))
 
     def run(batches):
-        restaurant, kept = shared.value
+        own, (spell0, opened0), (spell, opened), turn = shared.value
         for b in batches:
             size, raw, n = _columns(b)
-            logs = [spell.logs(size, raw) for spell, _ in kept]
-            total = None
-            for i in range(1, len(kept)):  # a state's seats come from the spelling of the state before
-                t = restaurant.tables(n, logs[i - 1], kept[i - 1][1], word_states(size, raw, first_sweep + i))
-                one = restaurant.log_probability(n, t, np.where(n > 0, logs[i], np.log(left[i])), kept[i][1])
-                total = one if total is None else np.logaddexp(total, one)
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array((total - np.log(len(kept) - 1)) / np.log(10))], names=["word", "c", "lp"])
+            t = own.tables(n, spell0.logs(size, raw), opened0, word_states(size, raw, turn)) if turn else np.minimum(n, 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.log_probability(n, t, spell.logs(size, raw), opened).astype(np.float32))], names=[*b.schema.names, "p"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
+    return words.mapInArrow(run, f"{kinds}, p float")
+
 
-    return vocabulary.mapInArrow(run, "word binary, c long, lp double")
+def _seated(repeated: DataFrame, words: DataFrame, restaurant: Words, sweep: int) -> DataFrame:
+    """(id, tu, tw): tables of the repeated pairs, by previous word and by word."""
+    shared = Shipped(words.sparkSession, restaurant)
+
+    def run(batches):
+        own = shared.value
+        for b in batches:
+            u, w, c, t, p = (b.column(x).to_numpy() for x in ("u", "w", "c", "t", "p"))
+            seats = own.pair_tables(u.view(np.uint64), w.view(np.uint64), c, t, p, sweep)
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("w"), pa.array(seats)], names=["u", "w", "seats"])
+
+    at = lambda side, name: words.select(F.col("id").alias(side), F.element_at(name + "s", -1).alias(name))
+    seats = repeated.join(at("u", "t"), "u").join(at("w", "p"), "w").mapInArrow(run, "u long, w long, seats long")
+    return _by_word(seats, F.col("seats"))
+
+
+def _by_word(pairs: DataFrame, amount) -> DataFrame:
+    """(id, tu, tw): sums of an amount of pairs by previous word and by word."""
+    sides = F.explode(F.array(F.struct(F.col("u").alias("id"), amount.alias("tu"), F.lit(0).cast("long").alias("tw")),
+                              F.struct(F.col("w").alias("id"), F.lit(0).cast("long").alias("tu"), amount.alias("tw"))))
+    return pairs.select(sides.alias("x")).groupBy("x.id").agg(F.sum("x.tu").alias("tu"), F.sum("x.tw").alias("tw"))
+
+
+def fit(vocabulary: DataFrame, repeated: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES):
+    """(restaurants, words, log probability of the unknown word in each state).
+
+    ``vocabulary`` holds (id, word, c), ``repeated`` (u, w, c) of the pairs of two
+    or more. ``words`` holds (id, c, ts, ps): in each state the tables of the
+    word's own restaurant (as the previous word) and its log probability.
+    State 0 has one table a pair; a sweep leads from each state to the next."""
+    one = lambda x: F.when(x, 1).otherwise(0)
+    total = vocabulary.agg(F.sum("c")).first()[0] or 0
+    inside, twice = repeated.agg(F.sum("c"), F.sum(one(F.col("c") == 2))).first()
+    pairs = (int(total) - int(inside or 0), int(twice or 0))
+    more = _by_word(repeated, F.col("c")).select("id", F.col("tu").alias("cu"), F.col("tw").alias("cw"))
+    zero = F.lit(0).cast("long")
+    words = vocabulary.join(more, "id", "left").select("id", "word", "c", (F.col("c") - F.coalesce("cu", zero)).alias("single_u"), (F.col("c") - F.coalesce("cw", zero)).alias("single_w"),
+                                                       F.array().cast("array<long>").alias("ts"), F.array().cast("array<float>").alias("ps"))
+    words = materialised(words, "words")
+    restaurant, state, byte_tables, states = None, (Spelling.uniform(), 0), {}, []
+    for sweep in range(1 + burn_in + samples):
+        sums = _by_word(repeated, F.lit(1).cast("long")) if sweep == 0 else _seated(repeated, words, restaurant, sweep)
+        t, n = F.col("single_u") + F.coalesce("tu", zero), F.col("single_w") + F.coalesce("tw", zero)
+        now = materialised(words.join(sums, "id", "left").select("id", "word", "c", "single_u", "single_w", F.concat("ts", F.array(t)).alias("ts"), "ps", n.alias("n")), "seated")
+        once, twos, customers = now.where("c > 0").agg(F.sum(one(F.col("n") == 1)), F.sum(one(F.col("n") == 2)), F.sum("n")).first()
+        restaurant = restaurant or Words((int(once or 0), int(twos or 0)), pairs)
+        restaurant.customers = int(customers or 0)
+        cell, count = _word_tables(now, restaurant, *state, sweep)
+        opened = int(count[cell == -1].sum())
+        spelling, byte_tables = Spelling.sampled(cell[cell >= 0], count[cell >= 0], state[0], byte_tables, SEED + sweep)
+        told = _with_probability(now, restaurant, state, (spelling, opened), sweep)
+        words = materialised(told.select("id", "word", "c", "single_u", "single_w", "ts", F.concat("ps", F.array("p")).alias("ps")), "words")
+        state = (spelling, opened)
+        states.append((spelling, opened, restaurant.customers))
+    left = unknown_mass(vocabulary, [s for s, _, _ in states])
+    unknown = []
+    for share, (_, opened, customers) in zip(left, states):
+        restaurant.customers = customers
+        unknown.append(float(restaurant.log_probability(np.zeros(1), np.zeros(1), np.log([share]), opened)[0]))
+    return restaurant, words.select("id", "c", "ts", "ps"), unknown
 
 
-def score(docs: DataFrame) -> DataFrame:
+def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
+    """For each state, the share of the spelling's probability that is left to
+    words with c = 0."""
+    shared = Shipped(vocabulary.sparkSession, states)
+
+    def run(batches):
+        spells = shared.value
+        total = np.zeros(len(spells))
+        for b in batches:
+            size, raw, _ = _columns(b)
+            total += [np.exp(spell.logs(size, raw)).sum() for spell in spells]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["state", "p"])
+
+    known = vocabulary.where("c > 0").select("word", F.col("c").alias("n")).mapInArrow(run, "state long, p double").groupBy("state").agg(F.sum("p").alias("p")).toPandas()
+    return np.maximum(1.0 - np.bincount(known["state"], known["p"], minlength=len(states)), 1e-12)
+
+
+def word_answers(chunks: DataFrame, words: DataFrame, ranges: int, states: int) -> DataFrame:
+    """(chunk, part, values): for the words of a chunk in a range of mixed
+    fingerprints, their counts, tables and log probabilities as 32-bit floats
+    (counts: 64-bit integers first)."""
+    def ask(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                key, order = _mixed(np.frombuffer(b.column("ids")[i].as_py(), np.uint64))
+                own = np.frombuffer(b.column("ids")[i].as_py(), np.uint64)[order]
+                cuts = _cut(range_of(key, ranges))
+                yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in cuts], pa.int64()), pa.array([b.column("chunk")[i].as_py()] * len(cuts), pa.int64()),
+                                                  pa.array([own[s:e].tobytes() for _, s, e in cuts], pa.binary())], names=["part", "chunk", "ids"])
+
+    def deal(batches):
+        for b in batches:
+            key = mix(b.column("id").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(range_of(key, ranges)), *[b.column(c) for c in ("id", "c", "ts", "ps")]], names=["part", "id", "c", "ts", "ps"])
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        asked, known = asked.combine_chunks(), known.combine_chunks()
+        ids = known["id"].to_numpy().view(np.uint64)
+        order = np.argsort(ids)
+        flat = lambda name: known[name].combine_chunks().flatten().to_numpy().reshape(-1, states)[order].astype(np.float32)
+        ids, c = ids[order], known["c"].to_numpy()[order]
+        if len(ids):
+            t, p = flat("ts"), flat("ps")
+        values = []
+        for raw in asked["ids"].to_pylist():
+            at = np.searchsorted(ids, np.frombuffer(raw, np.uint64))
+            values.append(c[at].tobytes() + np.hstack([t[at], p[at]]).tobytes())
+        return pa.table([asked["chunk"], asked["part"], pa.array(values, pa.binary())], names=["chunk", "part", "values"])
+
+    asked = chunks.select("chunk", "ids").mapInArrow(ask, "part long, chunk long, ids binary")
+    dealt = words.mapInArrow(deal, "part long, id long, c long, ts array<long>, ps array<float>")
+    return asked.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(answer, "chunk long, part long, values binary")
+
+
+def pair_log10(restaurant: Words, unknown: list, samples: int, u, w, c, cu, cw, tu, pu_w) -> np.ndarray:
+    """log10 of P(w | u), averaged over the last ``samples`` states, of pairs of
+    count ``c``, words of counts ``cu`` and ``cw``, tables ``tu`` and log
+    probabilities ``pu_w`` (rows: pairs, columns: states)."""
+    states = tu.shape[1]
+    total, d = np.zeros(len(c)), restaurant.pair_discount
+    for k in range(states - samples, states):
+        t = restaurant.pair_tables(u, w, c, tu[:, k - 1], pu_w[:, k - 1], k)
+        p = np.exp(np.where(cw > 0, pu_w[:, k].astype(float), unknown[k]))
+        total += (np.where(c > 0, c - d * t, 0.0) + (STRENGTH + d * tu[:, k].astype(float)) * p) / (STRENGTH + cu)
+    return np.log10(total / samples)
+
+
+def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     (doc_id, text, held_out) rows; those not held out train the model."""
-    seen = materialised(occurrences(docs), "occurrences")
-    words = seen.where("word IS NOT NULL")
-    vocabulary = materialised(words.groupBy("word").agg(F.sum("trained").alias("c")), "vocabulary")
-    n, v = vocabulary.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    restaurant, states = fit(vocabulary)
-    scored = word_scores(vocabulary, restaurant, states, BURN_IN - 1)
-    base = F.log10((F.col("c") + 1) / F.lit(float(n + v + 1)))
-    values = scored.select("word", (F.col("c") > 0).alias("known"), base.alias("base"), "lp")
-    at = words.select("word", "chunk", "rows", "counts").join(values, "word") \
-              .select("chunk", "known", "base", "lp", F.explode(F.arrays_zip("rows", "counts")).alias("x"))
-    times = F.col("x.counts").cast("long")
-    sums = at.groupBy("chunk", F.col("x.rows").alias("row")).agg(
-        F.sum(times).alias("n_tokens"), F.sum(F.when(F.col("known"), times).otherwise(0)).alias("n_known"),
-        F.sum(times * F.col("base")).alias("base_score"), F.sum(times * F.col("lp")).alias("score"))
-    texts = seen.where("word IS NULL").select("chunk", F.element_at("rows", 1).alias("row"), "doc_id", "held_out")
-    return texts.join(sums, ["chunk", "row"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    with scratch(spark):
+        seen = materialised(coded(docs), "coded")
+        chunks = seen.where("word IS NULL").drop("id", "word", "trained")
+        vocabulary = materialised(seen.where("word IS NOT NULL").groupBy("id").agg(F.min("word").alias("word"), F.sum("trained").alias("c")), "vocabulary")
+        n, v, words_in = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count(F.lit(1))).first()
+        entries, ids = chunks.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
+        answers = materialised(count_pairs(pair_questions(chunks, -(-entries // RANGE_ENTRIES) or 1)), "answers")
+        restaurant, words, unknown = fit(vocabulary, materialised(repeated_pairs(answers), "repeated"), burn_in, samples)
+        states = 1 + burn_in + samples
+        told = word_answers(chunks, words, -(-(ids // 8 + words_in) // RANGE_ENTRIES) or 1, states)
+        shared = Shipped(spark, (restaurant, unknown))
+
+        def run(own: pa.Table, got: pa.Table) -> pa.Table:
+            model, none = shared.value
+            out, got = [], got.combine_chunks().sort_by("part")
+            counts = b"".join(x for x in got["counts"].to_pylist() if x is not None)
+            parts = [x for x in got["values"].to_pylist() if x is not None]
+            for i in range(own.num_rows):  # one
+                _, fingers, codes, ends, held = _chunk_row(own, i)
+                pair, before, word, place = chunk_pairs(fingers, codes)
+                c = np.frombuffer(counts, np.int64)
+                _, order = _mixed(fingers)
+                width = 8 + 8 * states
+                cut = [8 * (len(x) // width) for x in parts]
+                cw, values = np.empty(len(fingers), np.int64), np.empty((len(fingers), 2 * states), np.float32)
+                cw[order] = np.frombuffer(b"".join(x[:k] for x, k in zip(parts, cut)), np.int64)
+                values[order] = np.frombuffer(b"".join(x[k:] for x, k in zip(parts, cut)), np.float32).reshape(-1, 2 * states)
+                lp = pair_log10(model, none, samples, fingers[before], fingers[word], c, cw[before], cw[word], values[before, :states], values[word, states:])
+                start = np.append(0, ends[:-1])
+                sums = lambda x: pa.array(np.add.reduceat(x, start))
+                base = np.log10((cw + 1) / float(n + v + 1))
+                out.append(pa.table([own["doc_id"].combine_chunks().flatten(), pa.array(held), pa.array(np.diff(ends, prepend=0)), sums((cw[codes] > 0).astype(np.int64)),
+                                     pa.array(np.full(len(ends), n, np.int64)), sums(base[codes]), sums(lp[place])], names=names))
+            return pa.concat_tables(out)
+
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        back = answers.where("counts IS NOT NULL").select("chunk", "part", "counts", F.lit(None).cast("binary").alias("values")) \
+                      .unionByName(told.select("chunk", "part", F.lit(None).cast("binary").alias("counts"), "values"))
+        scored = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, schema)
+        return materialised(scored, "scores", keep=True)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -320,6 +320,55 @@ def test_pitman_yor_spelling_is_a_distribution():
     assert seats[0] == 1 and 1 <= seats[1] <= 2 and 1 < seats[2] < 500 and seats[2] < seats[3] < 10**6 and seats[4] == 0
 
 
+def test_pitman_yor_follows_its_predictive_rule(spark, tmp_path):
+    """Counts, tables and scores against dictionaries; every context's words sum to one."""
+    texts = ["a b a b c", "a b b", "c a b", "b", "", None, "A b x", "b a b a b a"] * 3 + ["b a", "a b", "zzz a", "a zzz", "q b a b"]
+    rows = [(i, t, i >= 24 or i % 5 == 4) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    tokens = {i: words(t) + [""] for i, t, _ in rows}
+    c, pairs = collections.Counter(), collections.Counter()
+    for i, _, held in rows:
+        if not held:
+            c.update(tokens[i])
+            pairs.update(zip([""] + tokens[i], tokens[i]))
+    finger = {w: int(word_hashes(pa.array([w]))[1][0]) if w else 0 for t in tokens.values() for w in t}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    vocabulary = spark.createDataFrame([(signed(h), w.encode(), c[w]) for w, h in finger.items()], "id long, word binary, c long")
+    repeated = spark.createDataFrame([(signed(finger[u]), signed(finger[w]), n) for (u, w), n in pairs.items() if n > 1], "u long, w long, c long")
+    model, table, unknown = pitmanyor.fit(vocabulary, repeated)
+    name = {signed(h): w for w, h in finger.items()}
+    state = {name[r["id"]]: r for r in table.collect()}
+    for w, r in state.items():
+        assert r["ts"][0] == sum(u == w for u, _ in pairs)
+    known = [w for w in finger if c[w]]
+    d = model.pair_discount
+    p = {}
+    for k in range(4):
+        if k:
+            asked = list(pairs)
+            fingers = lambda at: np.array([finger[x[at]] for x in asked], np.uint64)
+            seats = model.pair_tables(fingers(0), fingers(1), np.array([pairs[x] for x in asked]), np.array([state[u]["ts"][k - 1] for u, _ in asked]),
+                                      np.array([state[w]["ps"][k - 1] for _, w in asked]), k)
+            t = dict(zip(asked, seats.tolist()))
+            for u in known:
+                assert state[u]["ts"][k] == sum(n for (x, _), n in t.items() if x == u)
+        prior = {w: math.exp(state[w]["ps"][k]) for w in known} | {None: math.exp(unknown[k])}
+        assert math.isclose(sum(prior.values()), 1, rel_tol=1e-5)
+        if k < 2:
+            continue
+        for u in [*known, None]:
+            n, opened = (c[u], state[u]["ts"][k]) if u is not None else (0, 0)
+            p[k, u] = {w: ((pairs[u, w] - d * t[u, w] if (u, w) in pairs else 0) + (1 + d * opened) * q) / (1 + n) for w, q in prior.items()}
+            assert math.isclose(sum(p[k, u].values()), 1, rel_tol=1e-5)
+    got = {r["doc_id"]: r["score"] for r in pitmanyor.score(docs).collect()}
+    assert set(got) == set(tokens)
+    unk = lambda w: w if c[w] else None
+    for i, own in tokens.items():
+        exp = sum(math.log10((p[2, unk(u)][unk(w)] + p[3, unk(u)][unk(w)]) / 2) for u, w in zip([""] + own, own))
+        assert math.isclose(got[i], exp, rel_tol=1e-5), (i, got[i], exp)
+    assert got[25] > got[24] and got[26] != got[27]  # the order of words counts
+
+
 def test_pipeline_stages_on_odd_rows(spark, docs):
     import corpus_pipeline
     now = docs
