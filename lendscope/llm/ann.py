@@ -30,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialised, table
+from .common import Shipped, materialised, table
 from .vectors import best_ids, bisected, distinct_vectors, queries_of, ranked, stacked, usable
 
 SAMPLE = 65_536
 LIST_ROWS = 128
 MOST_LISTS = 16_384
 DEGREE = 16
-ENTRIES = 32
+ENTRIES, OPENED = 32, 4
 # A list is hidden by one chosen whose centroid is nearer to its own than HIDE_RATIO times the vector is.
 COPIES, COPY_RATIO, HIDE_RATIO = 6, 1.25, 0.3
 PROBES, PROBE_RATIO = 64, 1.6  # the least of each
@@ -106,13 +106,12 @@ class CentroidGraph:
         return table_
 
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances) of the ``width`` nearest found, nearest first,
-        for a block of vectors at once: each step opens every vector's nearest
-        centroid that is not open yet. Where that would look at as many
-        centroids as there are, all are compared."""
+        """(centroids, distances) of the ``width`` nearest found by walking the
+        graph, nearest first, for a block of vectors at once: each step opens
+        every vector's ``OPENED`` nearest centroids that are not open yet, until
+        all that are kept are open."""
         width = min(width, len(self.c))
-        if width * DEGREE >= len(self.c):
-            return self.ordered(x, width)
+        keep = min(len(self.c), max(width, ENTRIES))  # a narrow walk ends in the first hollow
         rows = np.arange(len(x))[:, None]
         near = np.repeat(self.entries[None], len(x), axis=0)
         seen = np.zeros((len(x), len(self.c)), dtype=bool)
@@ -120,28 +119,30 @@ class CentroidGraph:
         dist = ((x[:, None] - self.c[near]) ** 2).sum(axis=2)
         fresh = np.ones(near.shape, dtype=bool)
         while True:
-            order = np.argsort(dist, axis=1, kind="stable")[:, :width]
+            order = np.argsort(dist, axis=1, kind="stable")[:, :keep]
             near, dist, fresh = near[rows, order], dist[rows, order], fresh[rows, order]
             fresh &= np.isfinite(dist)
             live = np.flatnonzero(fresh.any(axis=1))
             if not len(live):
-                return near, np.sqrt(dist)
-            at = fresh[live].argmax(axis=1)
-            fresh[live, at] = False
-            step = self.links[near[live, at]]
-            d = np.full((len(x), step.shape[1]), np.inf)
-            d[live] = np.where(seen[live[:, None], step], np.inf, ((x[live][:, None] - self.c[step]) ** 2).sum(axis=2))
+                return near[:, :width], np.sqrt(dist[:, :width])
+            at = np.argsort(~fresh[live], axis=1, kind="stable")[:, :OPENED]
+            still = fresh[live[:, None], at]
+            fresh[live[:, None], at] = False
+            step = np.where(still[:, :, None], self.links[near[live[:, None], at]], near[live, :1, None]).reshape(len(live), -1)
+            step.sort(axis=1)
+            new = ~seen[live[:, None], step]
+            new[:, 1:] &= step[:, 1:] != step[:, :-1]
             seen[live[:, None], step] = True
-            more = np.zeros((len(x), step.shape[1]), dtype=near.dtype)
-            more[live] = step
-            # the same centroid may stand twice in a padded row of links
-            twice = np.zeros_like(more, dtype=bool)
-            twice[live, 1:] = step[:, 1:] == step[:, :-1]
-            d[twice] = np.inf
-            near, dist, fresh = np.hstack([near, more]), np.hstack([dist, d]), np.hstack([fresh, np.isfinite(d)])
+            a, b = np.nonzero(new)
+            d = np.full(step.shape, np.inf)
+            d[a, b] = ((x[live[a]] - self.c[step[a, b]]) ** 2).sum(axis=1)
+            wide = (len(x), step.shape[1])
+            more, far = np.zeros(wide, dtype=near.dtype), np.full(wide, np.inf)
+            more[live], far[live] = step, d
+            near, dist, fresh = np.hstack([near, more]), np.hstack([dist, far]), np.hstack([fresh, np.isfinite(far)])
 
     def ordered(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances) of the ``width`` nearest, by comparing all."""
+        """(centroids, distances) of the ``width`` nearest, by comparing all (only to calibrate)."""
         d = np.sqrt(np.maximum((x ** 2).sum(axis=1)[:, None] + self.sq[None] - 2 * x @ self.c.T, 0))
         near = np.argsort(d, axis=1, kind="stable")[:, :width]
         return near, np.take_along_axis(d, near, axis=1)
@@ -228,11 +229,12 @@ def true_neighbours(nodes: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, n
 def _placed(rows: DataFrame, graph, pick: str, extra: str, kind: str) -> DataFrame:
     """Rows (node, [extra,] v) exploded to their lists, the vector as binary."""
     def run(batches):
+        walk = getattr(graph.value, pick)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 x = np.array(b.column("v").flatten()).reshape(b.num_rows, -1)
-                lists = getattr(graph.value, pick)(x)
+                lists = walk(x)
                 back = pa.array(np.repeat(np.arange(b.num_rows), [len(p) for p in lists]))
                 raw = pa.array([r.tobytes() for r in x], pa.binary())
                 names = ["node"] + [extra] * bool(extra)
@@ -262,7 +264,7 @@ def search(df: DataFrame, every: int, k: int = 10) -> DataFrame:
     sample = np.stack(nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").toPandas()["v"])
     centroids = CentroidGraph(bisected(sample, max(1, min(MOST_LISTS, len(sample) // 4, -(-total // LIST_ROWS)))))
     centroids.calibrate(*true_neighbours(nodes, k))
-    graph = spark.sparkContext.broadcast(centroids)
+    graph = Shipped(spark, centroids)
     postings = materialised(_placed(nodes.select("node", "ids", "v"), graph, "lists_of", "ids", "array<long>"), "postings")
     asked = nodes.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v")
     probes = materialised(_placed(asked, graph, "probes_of", "", ""), "probes")

@@ -118,6 +118,9 @@ def test_ann_opened_lists_grow_with_the_lists():
         near = np.argsort(d, axis=1)[:, :10]
         assert graph.calibrate(own[:64], np.repeat(np.arange(64), 10), own[near.ravel()]) >= ann.TARGET
         assert 1.5 < np.mean([len(c) for c in graph.lists_of(own[:200])]) <= ann.COPIES
+        near, true = graph.search(own[:200], 64)[0], graph.ordered(own[:200], 64)[0]  # the graph's own recall
+        assert np.mean([len(set(a) & set(b)) / len(b) for a, b in zip(near, true)]) > 0.85
+        assert all(len(set(a)) == len(a) for a in near.tolist())
         opened.append(graph.probes)
     assert ann.PROBES <= opened[0] < opened[1] < 1000
 
