@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _FOLD, mix, remainder, small_batches, table, word_windows
+from .common import _FOLD, Shipped, mix, remainder, small_batches, table, word_windows
 
 WORDS = 8
 SIZES = (3, 4, 5, 6)
@@ -164,12 +164,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_chars: int = SAMPLE_CHARS) ->
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a number per bucket
+    shared = Shipped(docs.sparkSession, model)  # a number per bucket
 
     def run(batches):
+        own = shared.value
         for whole in batches:
             for b in small_batches(whole, "text", 1 << 20):
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(shared.value.score(b.column("text")))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(own.score(b.column("text")))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
