@@ -237,7 +237,7 @@ from ..functions.columns import STATUS_LABEL, parse_month  # noqa: E402
 from ..operators import profile as prof  # noqa: E402
 from ..operators import sample as smp  # noqa: E402
 from ..operators.clean import HELPERS  # noqa: E402
-from ..session import shared_dir  # noqa: E402
+from ..session import shared_dir, stored_table  # noqa: E402
 from .pipeline import split_rows, stored_clean, stored_splits  # noqa: E402
 
 CAP = 500  # per-year cap used with the driver tables (20,000 in the reference)
@@ -386,7 +386,8 @@ def q_split_roundtrip(spark, d):
 # ---------------------------------------------------------------- step 3: feature statistics
 
 from ..operators import features as fe  # noqa: E402
-from ..operators.clean import feature_view  # noqa: E402
+from ..operators.clean import column_roles, feature_view  # noqa: E402
+from ..operators.dictionary import category_dictionary, encoded, slot_names  # noqa: E402
 from ..functions.columns import safe_name  # noqa: E402
 
 _FITTED: dict = {}
@@ -473,6 +474,45 @@ def q_transform_splits(spark, d):
     return out.select("row_id", "split", *[r6(c).alias(c) for c in NUMERIC])
 
 
+def split_dictionary(spark, d):
+    """(numeric columns, categorical columns, dictionary of the training split)."""
+    train = split_features(spark, d, "train")
+    num, cat = column_roles(train.schema, drop=("row_id", "loan_status", "issue_year", "split"))
+    return num, cat, stored_table(category_dictionary(train, cat, len(num)), "dictionary")
+
+
+@register("category_dictionary", O.with_front(_SQL_MODE, _SQL_NAMES, select="""
+SELECT c.feature, c.value, CAST(n.idx AS BIGINT) AS slot, n.name
+FROM cats c JOIN names n ON n.name = 'cat__' || c.feature || '_' || c.value"""))
+def q_category_dictionary(spark, d):
+    return split_dictionary(spark, d)[2]
+
+
+_SQL_SCALED = "scaled AS (" + " UNION ALL ".join(
+    f"SELECT row_id, 'num__{c}' AS name, (COALESCE({c}, (SELECT median FROM med WHERE feature = '{c}')) - (SELECT mean FROM std WHERE feature = '{c}'))"
+    f" / (SELECT CASE WHEN std = 0 THEN 1 ELSE std END FROM std WHERE feature = '{c}') AS value FROM feat" for c in NUMERIC) + ")"
+
+
+@register("vector_roundtrip", O.with_front(_SQL_MED, _SQL_MODE, _SQL_STD, _SQL_NAMES, _SQL_SCALED, f"""
+al AS (SELECT row_id, feature, value FROM (SELECT row_id, {", ".join(f"COALESCE({c}, (SELECT mode FROM mode WHERE feature = '{c}')) AS {c}" for c in FEATURE_CAT)} FROM feat)
+  UNPIVOT (value FOR feature IN ({", ".join(FEATURE_CAT)})))""", select=f"""
+SELECT x.row_id, n.idx AS slot, n.name, {O.d6('x.value')} AS value
+FROM (SELECT * FROM scaled UNION ALL SELECT row_id, 'cat__' || feature || '_' || value, 1.0 FROM al) x JOIN names n ON n.name = x.name"""))
+def q_vector_roundtrip(spark, d):
+    """Vectors of every split written with their slots' names, and their cells
+    read back without the model."""
+    from ..sources.files import read_vectors, write_vectors
+    num, cat, slots = split_dictionary(spark, d)
+    model, path = fitted_features(spark, d), shared_dir(spark, "vectors")
+    view = feature_view(stored_splits(spark, d), drop=("loan_status", "issue_year", "split"))
+    for stage in (fe.MedianImputerModel, fe.PopulationScalerModel):
+        view = fe._stage(model, stage).transform(view)
+    size = len(num) + slots.count()
+    write_vectors(encoded(view, num, slots, fe._stage(model, fe.ModeImputerModel), cat, size), slot_names(num, slots), path)
+    cells, names = read_vectors(spark, path, cells=True)
+    return cells.join(names, "slot").select("row_id", "slot", "name", r6("value").alias("value"))
+
+
 @register("class_weights", O.with_front(select=f"""
 SELECT loan_status, COUNT(*) AS count, {O.d6('SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*))')} AS weight
 FROM splits WHERE split = 'train' GROUP BY loan_status"""))

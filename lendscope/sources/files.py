@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import NA_TOKENS
 from ..operators.clean import KEY, LABEL, RAW_SCHEMA, SPLIT, apply_null_tokens
@@ -66,6 +67,31 @@ def read_split(spark: SparkSession, path: str, name: str, split: str = SPLIT) ->
     return tuple(spark.read.parquet(f"{path}/{part}").where(F.col(split) == name) for part in ("X", "y"))
 
 
+def write_vectors(df: DataFrame, names: DataFrame, path: str) -> None:
+    """Feature vectors (key, features) and the (slot, name) table of their slots,
+    as ``<path>/vectors`` and ``<path>/slots``; vectors may be Spark ML's or
+    their stored form (``operators.dictionary.VECTOR``)."""
+    df.write.mode("overwrite").parquet(f"{path}/vectors")
+    names.write.mode("overwrite").parquet(f"{path}/slots")
+
+
+def read_vectors(spark: SparkSession, path: str, key: str = KEY, cells: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(vectors, names) as written, the vectors as Spark ML's; with ``cells`` as
+    rows (key, slot, value), dense vectors included, by built-in functions."""
+    from pyspark.ml.linalg import VectorUDT
+    raw = spark.read.parquet(f"{path}/vectors")
+    kind, names = raw.schema[key].dataType, spark.read.parquet(f"{path}/slots")
+    stored = VectorUDT.sqlType()
+    form = stored if cells else VectorUDT()
+    vectors = spark.read.schema(T.StructType([T.StructField(key, kind), T.StructField("features", form)])).parquet(f"{path}/vectors")
+    if not cells:
+        return vectors, names
+    dense = F.sequence(F.lit(0), F.size("features.values") - 1)
+    slots = F.when(F.col("features.type") == 0, F.col("features.indices")).when(F.size("features.values") > 0, dense).otherwise(F.array().cast("array<int>"))
+    cell = F.explode(F.arrays_zip(slots.alias("slot"), F.col("features.values").alias("value"))).alias("x")
+    return vectors.select(key, cell).select(key, "x.slot", "x.value"), names
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
                 compression: str | None = None, mode: str = "overwrite") -> None:
     """Write a result table (parquet, json or csv) to ``path``."""

@@ -58,3 +58,30 @@ def test_stopped_stream_resumes_and_gives_each_row_once(spark, tmp_path):
     spark.range(40, 45).selectExpr("id AS row_id", "id / 100.0D AS z").coalesce(1).write.mode("append").parquet(src)
     got = sj.run_to_parquet(stream(), spark, "scores", base=base)
     assert sorted(r["row_id"] for r in got.collect()) == list(range(45))
+
+
+def test_category_dictionary_and_vectors(spark, tmp_path):
+    """Slots by column order and value; unseen and modeless values take none; dense vectors read as cells too."""
+    from pyspark.ml.linalg import Vectors
+    from lendscope.operators import dictionary as di
+    from lendscope.operators import features as fe
+    from lendscope.sources.files import read_vectors, write_vectors
+    fit = spark.createDataFrame([(1, 1.0, "b", True, None), (2, 2.0, "a", None, None), (3, 3.0, "b", False, None)], "row_id long, x double, c string, f boolean, e string")
+    slots = di.category_dictionary(fit, ["f", "c", "e"], 1)
+    exp = [("f", "false", 1, "cat__f_false"), ("f", "true", 2, "cat__f_true"), ("c", "a", 3, "cat__c_a"), ("c", "b", 4, "cat__c_b")]
+    assert [tuple(r) for r in slots.orderBy("slot").collect()] == exp
+    assert di.category_dictionary(fit.limit(0), ["c"]).count() == di.category_dictionary(fit, []).count() == 0
+    modes = fe.ModeImputer(inputCols=["c", "e"]).fit(fit)
+    new = spark.createDataFrame([(7, 5.0, "zzz", None), (8, 6.0, None, "q"), (9, 0.0, "a", None)], "row_id long, x double, c string, e string")
+    vectors = di.encoded(new, ["x"], slots, modes, ["c", "e"], 5)
+    write_vectors(vectors, di.slot_names(["x"], slots), str(tmp_path / "v"))
+    cells, names = read_vectors(spark, str(tmp_path / "v"), cells=True)
+    assert sorted(tuple(r) for r in cells.collect()) == [(7, 0, 5.0), (8, 0, 6.0), (8, 4, 1.0), (9, 0, 0.0), (9, 3, 1.0)]
+    assert names.where("slot = 0").first()["name"] == "num__x" and names.count() == 5
+    back = {r["row_id"]: r["features"] for r in read_vectors(spark, str(tmp_path / "v"))[0].collect()}
+    assert back[8] == Vectors.sparse(5, [0, 4], [6.0, 1.0])
+    dense = spark.createDataFrame([(1, Vectors.dense([3.0, 0.0])), (2, Vectors.sparse(2, [], []))], ["row_id", "features"])
+    write_vectors(dense, di.slot_names(["x", "y"], slots.limit(0)), str(tmp_path / "w"))
+    assert sorted(tuple(r) for r in read_vectors(spark, str(tmp_path / "w"), cells=True)[0].collect()) == [(1, 0, 3.0), (1, 1, 0.0)]
+    write_vectors(vectors.limit(0), di.slot_names([], slots.limit(0)), str(tmp_path / "n"))
+    assert read_vectors(spark, str(tmp_path / "n"), cells=True)[0].count() == 0
