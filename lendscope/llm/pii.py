@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,7 +29,6 @@ SPAN = "array<struct<kind:string,start:long,end:long,plain:boolean>>"
 
 # --- plain identifiers -------------------------------------------------------
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A failing start inside a run of digits fails at the run's first digit too.
@@ -233,15 +232,36 @@ def disguised_spans(text: str) -> list[tuple[int, int, str]]:
     return list(out)
 
 
+class Cover:
+    """Spans that no other covers: starts and ends both ascend."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def add(self, s: int, e: int) -> bool:
+        """Takes the span in unless one before covers it; whether it did."""
+        at = bisect_right(self.starts, s)
+        if at and self.ends[at - 1] >= e:
+            return False
+        at = bisect_left(self.starts, s)
+        stop = at
+        while stop < len(self.ends) and self.ends[stop] <= e:
+            stop += 1
+        self.starts[at:stop], self.ends[at:stop] = [s], [e]
+        return True
+
+
 def spans(text: str | None) -> list[dict]:
     """All spans by start, then kind: plain ones, and disguised ones that no
     plain or earlier one of their kind covers."""
     if not text:
         return []
-    plain = plain_spans(text)
-    extra = []
+    plain, extra = plain_spans(text), []
+    covers = {k: Cover() for k in KINDS}
+    for s, e, k in plain:
+        covers[k].add(s, e)
     for s, e, k in disguised_spans(text):
-        if not any(a <= s and e <= b for a, b, kind in plain + extra if kind == k):
+        if covers[k].add(s, e):
             extra.append((s, e, k))
     found = [(s, KINDS.index(k), e, k, True) for s, e, k in plain] + [(s, KINDS.index(k), e, k, False) for s, e, k in extra]
     return [{"kind": k, "start": s, "end": e, "plain": p} for s, _, e, k, p in sorted(found)]

@@ -292,6 +292,18 @@ def test_pivot_search_is_exact(vectors):
     assert pivots.search(df.limit(0), every=5).count() == 0
 
 
+def test_pii_cover_equals_comparing_all():
+    import random
+    for seed in range(300):
+        r, seen, cover = random.Random(seed), [], pii.Cover()
+        for _ in range(40):
+            s = r.randrange(30)
+            e = s + r.randrange(1, 9)
+            new = not any(a <= s and e <= b for a, b in seen)
+            assert cover.add(s, e) == new
+            seen += [(s, e)] * new
+
+
 def test_pitman_yor_counts_and_scores(spark, small, docs, none):
     rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     held = {r[0]: zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows}
