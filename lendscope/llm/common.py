@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import pickle
 import sys
 import tempfile
@@ -65,7 +66,22 @@ def materialised(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     scopes = _SCOPES[:-1] if keep else _SCOPES
     if scopes:
         scopes[-1].append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table of a DataFrame that :func:`materialised` gave."""
+    drop_folder(df.sparkSession, df.stored_at)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose DataFrames are gone: its
+    cleaner does so when the driver collects garbage, which may otherwise be
+    long after the jobs of a loop have filled the disks."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -24,10 +24,15 @@ of texts that asks for a pair gets its count and seats it again.
 
 How it scales: texts become chunks of word codes, written once. Each distinct
 pair of a chunk is sent once to the range of pair fingerprints that counts it,
-and its count comes back to the chunk; words go the same way. So a frequent
-pair is one entry a chunk, ranges are even (fingerprints are mixed) and their
-number grows with the entries. Words are known by 64-bit fingerprints; two of
-the same fingerprint would be taken for one word.
+and its count comes back to the chunk, with a mark that makes one of the chunks
+of a repeated pair its owner. In a sweep an owner asks the ranges of words for
+the words of its pairs, seats them and sends back sums by word: what travels is
+an entry a word and chunk, never a row a pair. So a frequent pair or word is one
+entry a chunk, ranges are even (fingerprints are mixed) and their number grows
+with the entries. Arrays travel and rest as compressed byte planes. Tables and
+shuffle files that a later step replaces are deleted as soon as it is written.
+Words are known by 64-bit fingerprints; two of the same fingerprint would be
+taken for one word.
 
 Defined results: null and empty texts are one end token; a null doc_id counts
 as an empty id when training texts are chosen; repeated rows are separate
@@ -44,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _FOLD, Shipped, materialised, mix, remainder, scratch, small_batches, table, word_windows
+from .common import _FOLD, Shipped, discard, materialised, mix, release, remainder, scratch, small_batches, table, word_windows
 
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0  # of every restaurant
@@ -107,32 +112,63 @@ def chunk_pairs(ids: np.ndarray, codes: np.ndarray):
     return pair[order], before[order], word[order], back[place]
 
 
-CODED = "id long, word binary, trained long, chunk long, ids binary, codes binary, ends array<long>, doc_id array<{}>, held_out array<boolean>, pairs long"
+# --- compressed arrays -----------------------------------------------------------
+
+def packed(x: np.ndarray) -> bytes:
+    """An array as compressed byte planes, after their length."""
+    x = np.ascontiguousarray(x)
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(x.size, x.itemsize).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+
+
+def unpacked(raw: bytes, kind) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def steps(x: np.ndarray) -> bytes:
+    """Ascending fingerprints, packed as differences."""
+    return packed(np.diff(x, prepend=np.uint64(0)))
+
+
+def restored(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw, np.uint64), dtype=np.uint64)
+
+
+def _all(column, read, kind) -> np.ndarray:
+    """The arrays of a binary column, one after another."""
+    return np.concatenate([np.zeros(0, kind), *[read(x) for x in column.to_pylist() if x is not None]])
+
+
+def _longs(raw: bytes) -> np.ndarray:
+    return unpacked(raw, np.int64)
+
+
+CODED = "chunk long, ids binary, sizes binary, spelled binary, trained binary, codes binary, ends array<long>, doc_id array<{}>, held_out array<boolean>, pairs long, words long"
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: (id, word, trained), a word of a chunk of texts and its
-    count in training texts; and for each chunk a row without word."""
+    """A row for each chunk of texts: its words (fingerprint, size, bytes, count in
+    training texts), its tokens as their codes, its documents and how many
+    distinct pairs and words it has."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
         for whole in batches:
             for b in small_batches(whole, "text", CHUNK_BYTES):
-                chunk = (task << 32) + number
-                number += 1
-                held = b.column("held_out").to_numpy(zero_copy_only=False)
+                held = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
                 ids, size, raw, codes, ends = chunk_tokens(b.column("text"))
-                trained = np.bincount(codes, np.repeat(~held.astype(bool), np.diff(ends, prepend=0)), minlength=len(ids)).astype(np.int64)
-                n, docs_ = len(ids), pa.array([0, b.num_rows], pa.int32())
-                none = lambda t: pa.nulls(n, t)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids.view(np.int64)), _binary(size, raw), pa.array(trained), none(pa.int64()), none(pa.binary()), none(pa.binary()), none(pa.list_(pa.int64())),
-                     none(pa.list_(b.column("doc_id").type)), none(pa.list_(pa.bool_())), none(pa.int64())], names=names)
+                trained = np.bincount(codes, np.repeat(~held, np.diff(ends, prepend=0)), minlength=len(ids)).astype(np.int64)
+                docs_ = pa.array([0, b.num_rows], pa.int32())
+                one = lambda x: pa.array([x], pa.binary())
                 lists = lambda x: pa.ListArray.from_arrays(docs_, x)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([chunk]), pa.array([ids.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()),
-                     lists(pa.array(ends.astype(np.int64))), lists(b.column("doc_id")), lists(pa.array(held.astype(bool))), pa.array([len(chunk_pairs(ids, codes)[0])])], names=names)
+                    [pa.array([(task << 32) + number]), one(steps(ids)), one(packed(size)), one(packed(raw)), one(packed(trained)), one(packed(codes)),
+                     lists(pa.array(ends.astype(np.int64))), lists(b.column("doc_id")), lists(pa.array(held)), pa.array([len(chunk_pairs(ids, codes)[0])]), pa.array([len(ids)])], names=names)
+                number += 1
 
     names = [part.split()[0] for part in CODED.split(", ")]
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, CODED.format(kind))
@@ -145,13 +181,6 @@ def range_of(ids: np.ndarray, ranges: int) -> np.ndarray:
     return (((ids >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
-def _mixed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mixed word fingerprints in order, and the order."""
-    key = mix(ids)
-    order = np.argsort(key)
-    return key[order], order
-
-
 def _cut(where: np.ndarray):
     """(range, start, end) of each run of equal values."""
     begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
@@ -159,59 +188,98 @@ def _cut(where: np.ndarray):
 
 
 def _chunk_row(b, i: int):
-    read = lambda name, t: np.frombuffer(b.column(name)[i].as_py(), t)
-    return int(b.column("chunk")[i].as_py()), read("ids", np.uint64), read("codes", np.int32), np.array(b.column("ends")[i].as_py()), np.array(b.column("held_out")[i].as_py(), dtype=bool)
+    read = lambda name: b.column(name)[i].as_py()
+    return read("chunk"), restored(read("ids")), unpacked(read("codes"), np.int32), np.array(read("ends")), np.array(read("held_out"), dtype=bool)
 
 
-def pair_questions(chunks: DataFrame, ranges: int) -> DataFrame:
-    """(part, chunk, u, w, n): a chunk's distinct pairs of a range, as arrays."""
-    def run(batches):
+def _parts(cuts, chunk: int, columns: dict) -> pa.RecordBatch:
+    """One row (part, chunk, ...) for each range that a chunk has entries in."""
+    data = {"part": pa.array([r for r, _, _ in cuts], pa.int64()), "chunk": pa.array([chunk] * len(cuts), pa.int64())}
+    return pa.RecordBatch.from_pydict(data | {name: pa.array([cut(s, e) for _, s, e in cuts], pa.binary()) for name, cut in columns.items()})
+
+
+def count_words(chunks: DataFrame, ranges: int) -> DataFrame:
+    """(part, id, word, c): the distinct words by range and their counts in training texts."""
+    def ask(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                read = lambda name, kind: unpacked(b.column(name)[i].as_py(), kind)
+                ids, size, raw, trained = restored(b.column("ids")[i].as_py()), read("sizes", np.int64), read("spelled", np.uint8), read("trained", np.int64)
+                at = np.append(0, np.cumsum(size))
+                yield _parts(_cut(range_of(ids, ranges)), b.column("chunk")[i].as_py(),
+                             {"ids": lambda s, e: steps(ids[s:e]), "sizes": lambda s, e: packed(size[s:e]), "spelled": lambda s, e: packed(raw[at[s]:at[e]]), "n": lambda s, e: packed(trained[s:e])})
+
+    def count(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        ids, size, n = _all(rows["ids"], restored, np.uint64), _all(rows["sizes"], _longs, np.int64), _all(rows["n"], _longs, np.int64)
+        raw = _all(rows["spelled"], lambda x: unpacked(x, np.uint8), np.uint8)
+        own, first, place = np.unique(ids, return_index=True, return_inverse=True)
+        return pa.table({"part": pa.array(np.full(len(own), rows["part"][0].as_py())), "id": pa.array(own.view(np.int64)),
+                         "word": _binary(size[first], gathered(raw, (np.cumsum(size) - size)[first], size[first])), "c": pa.array(np.bincount(place, n, minlength=len(own)).astype(np.int64))})
+
+    asked = chunks.select("chunk", "ids", "sizes", "spelled", "trained").mapInArrow(ask, "part long, chunk long, ids binary, sizes binary, spelled binary, n binary")
+    return asked.groupBy("part").applyInArrow(count, "part long, id long, word binary, c long")
+
+
+def count_pairs(chunks: DataFrame, ranges: int) -> DataFrame:
+    """(chunk, part, counts): the training counts of a chunk's distinct pairs of a
+    range, doubled; 1 more where the chunk is the pair's owner."""
+    def ask(batches):
         for b in batches:
             for i in range(b.num_rows):
                 chunk, ids, codes, ends, held = _chunk_row(b, i)
-                pair, u, w, place = chunk_pairs(ids, codes)
+                pair, _, _, place = chunk_pairs(ids, codes)
                 n = np.bincount(place, np.repeat(~held, np.diff(ends, prepend=0)), minlength=len(pair)).astype(np.int64)
-                cuts = _cut(range_of(pair, ranges))
-                raw = lambda x: pa.array([x[s:e].tobytes() for _, s, e in cuts], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in cuts], pa.int64()), pa.array([chunk] * len(cuts), pa.int64()), raw(ids[u]), raw(ids[w]), raw(n)], names=["part", "chunk", "u", "w", "n"])
+                yield _parts(_cut(range_of(pair, ranges)), chunk, {"pairs": lambda s, e: steps(pair[s:e]), "n": lambda s, e: packed(n[s:e])})
 
-    return chunks.mapInArrow(run, "part long, chunk long, u binary, w binary, n binary")
+    def count(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        pairs = [restored(x) for x in rows["pairs"].to_pylist()]
+        ends = np.cumsum([len(x) for x in pairs])
+        _, first, place = np.unique(np.concatenate(pairs), return_index=True, return_inverse=True)
+        counts = 2 * np.bincount(place, _all(rows["n"], _longs, np.int64), minlength=len(first)).astype(np.int64)[place]
+        counts[first] += 1
+        return pa.table({"chunk": rows["chunk"], "part": rows["part"], "counts": pa.array([packed(counts[s:e]) for s, e in zip(np.append(0, ends[:-1]), ends)], pa.binary())})
 
+    return chunks.select("chunk", "ids", "codes", "ends", "held_out").mapInArrow(ask, "part long, chunk long, pairs binary, n binary").groupBy("part").applyInArrow(count, "chunk long, part long, counts binary")
 
-def _joined(column, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
+# Pairs that occur twice or more in training, at their owner: fingerprints of their
+# words, places in these of the previous word and the word, counts; the sum of the
+# counts and how many are 2.
+OWNED = "chunk long, ids binary, u binary, w binary, c binary, inside long, twice long"
 
-ANSWERS = "chunk long, part long, counts binary, u binary, w binary, c binary"
 
+def _owned_row(chunk: int, ids, u, w, c: np.ndarray) -> pa.Table:
+    used, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    u, w = at[:len(u)].astype(np.int32), at[len(u):].astype(np.int32)
+    order = np.lexsort((w, u))
+    return pa.Table.from_pylist([{"chunk": chunk, "ids": steps(ids[used]), "u": packed(u[order]), "w": packed(w[order]), "c": packed(c[order]), "inside": int(c.sum()), "twice": int((c == 2).sum())}],
+                                schema=pa.schema([(n.split()[0], pa.binary() if n.endswith("binary") else pa.int64()) for n in OWNED.split(", ")]))
 
-def count_pairs(asked: DataFrame) -> DataFrame:
-    """For each question a row (chunk, part, counts), and for each range one row
-    (u, w, c) of its pairs that occur twice or more in training."""
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        u, w, n = _joined(rows["u"], np.uint64), _joined(rows["w"], np.uint64), _joined(rows["n"], np.int64)
-        _, first, place = np.unique(pair_id(u, w), return_index=True, return_inverse=True)
-        c = np.bincount(place, n, minlength=len(first)).astype(np.int64)
-        back = c[place]
-        ends = np.cumsum([len(x) // 8 for x in rows["u"].to_pylist()])
-        counts = [back[s:e].tobytes() for s, e in zip(np.append(0, ends[:-1]), ends)]
-        many = np.flatnonzero(c > 1)
-        one = lambda x: pa.array([None] * len(counts) + [x.tobytes()], pa.binary())
-        return pa.table([pa.array(rows["chunk"].to_pylist() + [None], pa.int64()), pa.array(rows["part"].to_pylist() + [None], pa.int64()), pa.array(counts + [None], pa.binary()),
-                         one(u[first[many]]), one(w[first[many]]), one(c[many])], names=["chunk", "part", "counts", "u", "w", "c"])
 
-    return asked.groupBy("part").applyInArrow(run, ANSWERS)
+def owned_pairs(chunks: DataFrame, answers: DataFrame) -> DataFrame:
+    """Each chunk's own repeated pairs."""
+    def run(own: pa.Table, got: pa.Table) -> pa.Table:
+        chunk, ids, codes, _, _ = _chunk_row(own, 0)
+        _, u, w, _ = chunk_pairs(ids, codes)
+        counts = _all(got.sort_by("part")["counts"], _longs, np.int64)
+        at = np.flatnonzero((counts & 1 == 1) & (counts > 3))
+        return _owned_row(chunk, ids, u[at], w[at], counts[at] >> 1)
 
+    return chunks.select("chunk", "ids", "codes", "ends", "held_out").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, OWNED)
 
-def repeated_pairs(answers: DataFrame) -> DataFrame:
-    """(u, w, c) of the pairs that occur twice or more in training."""
+
+def packed_pairs(repeated: DataFrame) -> DataFrame:
+    """Rows (u, w, c) of distinct pairs as tables of owned pairs, one a batch."""
     def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b.column(name)[i].as_py(), np.int64)) for name in "uwc"], names=["u", "w", "c"])
+        task = TaskContext.get().partitionId()
+        for number, b in enumerate(batches):
+            u, w, c = (b.column(x).to_numpy() for x in "uwc")
+            ids, at = np.unique(np.concatenate([u, w]).view(np.uint64), return_inverse=True)
+            yield from _owned_row((task << 32) + number, ids, at[:len(u)], at[len(u):], c).to_batches()
 
-    return answers.where("counts IS NULL").select("u", "w", "c").mapInArrow(run, "u long, w long, c long")
+    return repeated.select("u", "w", "c").mapInArrow(run, OWNED)
 
 
 # --- restaurants -------------------------------------------------------------
@@ -415,50 +483,85 @@ def _with_probability(words: DataFrame, restaurant: Words, before: tuple, now: t
     return words.mapInArrow(run, f"{kinds}, p float")
 
 
-def _seated(repeated: DataFrame, words: DataFrame, restaurant: Words, sweep: int) -> DataFrame:
-    """(id, tu, tw): tables of the repeated pairs, by previous word and by word."""
-    shared = Shipped(words.sparkSession, restaurant)
+SUMS = "part long, chunk long, ids binary, sums binary"
+
+
+def _owned(b, i: int):
+    read = lambda name, kind: unpacked(b.column(name)[i].as_py(), kind)
+    return b.column("chunk")[i].as_py(), restored(b.column("ids")[i].as_py()), read("u", np.int32), read("w", np.int32), read("c", np.int64)
 
+
+def _sums(chunk: int, ids: np.ndarray, ranges: int, sums: list) -> pa.RecordBatch:
+    sums = np.array(sums).astype(np.int64)
+    return _parts(_cut(range_of(ids, ranges)), chunk, {"ids": lambda s, e: steps(ids[s:e]), "sums": lambda s, e: packed(sums[:, s:e])})
+
+
+def pair_sums(owned: DataFrame, ranges: int) -> DataFrame:
+    """By word: the counts and numbers of the repeated pairs that it begins (cu, ou) and ends (cw, ow)."""
     def run(batches):
-        own = shared.value
         for b in batches:
-            u, w, c, t, p = (b.column(x).to_numpy() for x in ("u", "w", "c", "t", "p"))
-            seats = own.pair_tables(u.view(np.uint64), w.view(np.uint64), c, t, p, sweep)
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("w"), pa.array(seats)], names=["u", "w", "seats"])
+            for i in range(b.num_rows):
+                chunk, ids, u, w, c = _owned(b, i)
+                yield _sums(chunk, ids, ranges, [np.bincount(u, c, len(ids)), np.bincount(w, c, len(ids)), np.bincount(u, minlength=len(ids)), np.bincount(w, minlength=len(ids))])
+
+    return owned.mapInArrow(run, SUMS)
+
 
-    at = lambda side, name: words.select(F.col("id").alias(side), F.element_at(name + "s", -1).alias(name))
-    seats = repeated.join(at("u", "t"), "u").join(at("w", "p"), "w").mapInArrow(run, "u long, w long, seats long")
-    return _by_word(seats, F.col("seats"))
+def seated_sums(owned: DataFrame, words: DataFrame, ranges: int, restaurant: Words, sweep: int) -> DataFrame:
+    """By word: the tables of the repeated pairs that it begins (tu) and ends (tw)."""
+    shared = Shipped(words.sparkSession, restaurant)
+    told = word_answers(owned, words.select("part", "id", "c", F.array(F.element_at("ts", -1).cast("float"), F.element_at("ps", -1)).alias("x")), ranges)
+
+    def run(own: pa.Table, got: pa.Table) -> pa.Table:
+        chunk, ids, u, w, c = _owned(own, 0)
+        _, x = _answered(got, 2)
+        seats = shared.value.pair_tables(ids[u], ids[w], c, x[0, u], x[1, w], sweep)
+        return pa.Table.from_batches([_sums(chunk, ids, ranges, [np.bincount(u, seats, len(ids)), np.bincount(w, seats, len(ids))])])
+
+    return owned.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, SUMS)
 
 
-def _by_word(pairs: DataFrame, amount) -> DataFrame:
-    """(id, tu, tw): sums of an amount of pairs by previous word and by word."""
-    sides = F.explode(F.array(F.struct(F.col("u").alias("id"), amount.alias("tu"), F.lit(0).cast("long").alias("tw")),
-                              F.struct(F.col("w").alias("id"), F.lit(0).cast("long").alias("tu"), amount.alias("tw"))))
-    return pairs.select(sides.alias("x")).groupBy("x.id").agg(F.sum("x.tu").alias("tu"), F.sum("x.tw").alias("tw"))
+def added(words: DataFrame, sums: DataFrame, names: list) -> DataFrame:
+    """Words with the sums that the chunks sent for them, by name."""
+    def run(known: pa.Table, got: pa.Table) -> pa.Table:
+        ids = known["id"].to_numpy().view(np.uint64)
+        order = np.argsort(ids)
+        total = np.zeros((len(names), len(ids)), np.int64)
+        for asked, amounts in zip(got["ids"].to_pylist(), got["sums"].to_pylist()):
+            total[:, order[np.searchsorted(ids, restored(asked), sorter=order)]] += _longs(amounts).reshape(len(names), -1)
+        for name, x in zip(names, total):
+            known = known.append_column(name, pa.array(x))
+        return known
+
+    kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in words.schema] + [f"{name} long" for name in names])
+    return words.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(run, kinds)
 
 
-def fit(vocabulary: DataFrame, repeated: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES):
+def fit(vocabulary: DataFrame, owned: DataFrame, ranges: int = 1, burn_in: int = BURN_IN, samples: int = SAMPLES):
     """(restaurants, words, log probability of the unknown word in each state).
 
-    ``vocabulary`` holds (id, word, c), ``repeated`` (u, w, c) of the pairs of two
-    or more. ``words`` holds (id, c, ts, ps): in each state the tables of the
+    ``vocabulary`` holds (id, word, c) and, with more than one range of words,
+    their ``part``; ``owned`` the pairs of two or more (:func:`packed_pairs`).
+    ``words`` holds (part, id, c, ts, ps): in each state the tables of the
     word's own restaurant (as the previous word) and its log probability.
     State 0 has one table a pair; a sweep leads from each state to the next."""
+    spark = vocabulary.sparkSession
     one = lambda x: F.when(x, 1).otherwise(0)
+    if "part" not in vocabulary.columns:
+        vocabulary = vocabulary.withColumn("part", F.lit(0).cast("long"))
     total = vocabulary.agg(F.sum("c")).first()[0] or 0
-    inside, twice = repeated.agg(F.sum("c"), F.sum(one(F.col("c") == 2))).first()
+    inside, twice = owned.agg(F.sum("inside"), F.sum("twice")).first()
     pairs = (int(total) - int(inside or 0), int(twice or 0))
-    more = _by_word(repeated, F.col("c")).select("id", F.col("tu").alias("cu"), F.col("tw").alias("cw"))
-    zero = F.lit(0).cast("long")
-    words = vocabulary.join(more, "id", "left").select("id", "word", "c", (F.col("c") - F.coalesce("cu", zero)).alias("single_u"), (F.col("c") - F.coalesce("cw", zero)).alias("single_w"),
-                                                       F.array().cast("array<long>").alias("ts"), F.array().cast("array<float>").alias("ps"))
-    words = materialised(words, "words")
-    restaurant, state, byte_tables, states = None, (Spelling.uniform(), 0), {}, []
+    words, restaurant, state, byte_tables, states = None, None, (Spelling.uniform(), 0), {}, []
+    held = ["part", "id", "word", "c", "single_u", "single_w"]
     for sweep in range(1 + burn_in + samples):
-        sums = _by_word(repeated, F.lit(1).cast("long")) if sweep == 0 else _seated(repeated, words, restaurant, sweep)
-        t, n = F.col("single_u") + F.coalesce("tu", zero), F.col("single_w") + F.coalesce("tw", zero)
-        now = materialised(words.join(sums, "id", "left").select("id", "word", "c", "single_u", "single_w", F.concat("ts", F.array(t)).alias("ts"), "ps", n.alias("n")), "seated")
+        if sweep == 0:
+            now = added(vocabulary, pair_sums(owned, ranges), ["cu", "cw", "tu", "tw"]).withColumns({"single_u": F.col("c") - F.col("cu"), "single_w": F.col("c") - F.col("cw")})
+            now = now.withColumns({"ts": F.array().cast("array<long>"), "ps": F.array().cast("array<float>")})
+        else:
+            now = added(words, seated_sums(owned, words, ranges, restaurant, sweep), ["tu", "tw"])
+        t, n = F.col("single_u") + F.col("tu"), F.col("single_w") + F.col("tw")
+        now = materialised(now.select(*held, F.concat("ts", F.array(t)).alias("ts"), "ps", n.alias("n")), "seated")
         once, twos, customers = now.where("c > 0").agg(F.sum(one(F.col("n") == 1)), F.sum(one(F.col("n") == 2)), F.sum("n")).first()
         restaurant = restaurant or Words((int(once or 0), int(twos or 0)), pairs)
         restaurant.customers = int(customers or 0)
@@ -466,15 +569,20 @@ def fit(vocabulary: DataFrame, repeated: DataFrame, burn_in: int = BURN_IN, samp
         opened = int(count[cell == -1].sum())
         spelling, byte_tables = Spelling.sampled(cell[cell >= 0], count[cell >= 0], state[0], byte_tables, SEED + sweep)
         told = _with_probability(now, restaurant, state, (spelling, opened), sweep)
-        words = materialised(told.select("id", "word", "c", "single_u", "single_w", "ts", F.concat("ps", F.array("p")).alias("ps")), "words")
+        before, words = words, materialised(told.select(*held, "ts", F.concat("ps", F.array("p")).alias("ps")), "words")
         state = (spelling, opened)
         states.append((spelling, opened, restaurant.customers))
+        for done in (now, before):
+            if done is not None:
+                discard(done)
+        del told, now, before, done
+        release(spark)
     left = unknown_mass(vocabulary, [s for s, _, _ in states])
     unknown = []
     for share, (_, opened, customers) in zip(left, states):
         restaurant.customers = customers
         unknown.append(float(restaurant.log_probability(np.zeros(1), np.zeros(1), np.log([share]), opened)[0]))
-    return restaurant, words.select("id", "c", "ts", "ps"), unknown
+    return restaurant, words.select("part", "id", "c", "ts", "ps"), unknown
 
 
 def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
@@ -494,53 +602,48 @@ def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
     return np.maximum(1.0 - np.bincount(known["state"], known["p"], minlength=len(states)), 1e-12)
 
 
-def word_answers(chunks: DataFrame, words: DataFrame, ranges: int, states: int) -> DataFrame:
-    """(chunk, part, values): for the words of a chunk in a range of mixed
-    fingerprints, their counts, tables and log probabilities as 32-bit floats
-    (counts: 64-bit integers first)."""
+def word_answers(askers: DataFrame, words: DataFrame, ranges: int) -> DataFrame:
+    """(chunk, part, cs, xs): for the words of a chunk in a range their counts
+    ``c`` and their 32-bit floats ``x``."""
     def ask(batches):
         for b in batches:
             for i in range(b.num_rows):
-                key, order = _mixed(np.frombuffer(b.column("ids")[i].as_py(), np.uint64))
-                own = np.frombuffer(b.column("ids")[i].as_py(), np.uint64)[order]
-                cuts = _cut(range_of(key, ranges))
-                yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in cuts], pa.int64()), pa.array([b.column("chunk")[i].as_py()] * len(cuts), pa.int64()),
-                                                  pa.array([own[s:e].tobytes() for _, s, e in cuts], pa.binary())], names=["part", "chunk", "ids"])
-
-    def deal(batches):
-        for b in batches:
-            key = mix(b.column("id").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(range_of(key, ranges)), *[b.column(c) for c in ("id", "c", "ts", "ps")]], names=["part", "id", "c", "ts", "ps"])
+                ids = restored(b.column("ids")[i].as_py())
+                yield _parts(_cut(range_of(ids, ranges)), b.column("chunk")[i].as_py(), {"ids": lambda s, e: steps(ids[s:e])})
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        asked, known = asked.combine_chunks(), known.combine_chunks()
-        ids = known["id"].to_numpy().view(np.uint64)
-        order = np.argsort(ids)
-        flat = lambda name: known[name].combine_chunks().flatten().to_numpy().reshape(-1, states)[order].astype(np.float32)
-        ids, c = ids[order], known["c"].to_numpy()[order]
-        if len(ids):
-            t, p = flat("ts"), flat("ps")
-        values = []
+        known = known.combine_chunks()
+        ids, c = known["id"].to_numpy().view(np.uint64), known["c"].to_numpy()
+        x = known["x"].combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(ids), -1) if len(ids) else np.zeros((0, 1), np.float32)
+        order, cs, xs = np.argsort(ids), [], []
         for raw in asked["ids"].to_pylist():
-            at = np.searchsorted(ids, np.frombuffer(raw, np.uint64))
-            values.append(c[at].tobytes() + np.hstack([t[at], p[at]]).tobytes())
-        return pa.table([asked["chunk"], asked["part"], pa.array(values, pa.binary())], names=["chunk", "part", "values"])
+            at = order[np.searchsorted(ids, restored(raw), sorter=order)]
+            cs.append(packed(c[at]))
+            xs.append(packed(x[at].T))
+        return pa.table({"chunk": asked["chunk"], "part": asked["part"], "cs": pa.array(cs, pa.binary()), "xs": pa.array(xs, pa.binary())})
+
+    asked = askers.select("chunk", "ids").mapInArrow(ask, "part long, chunk long, ids binary")
+    return asked.groupBy("part").cogroup(words.groupBy("part")).applyInArrow(answer, "chunk long, part long, cs binary, xs binary")
+
 
-    asked = chunks.select("chunk", "ids").mapInArrow(ask, "part long, chunk long, ids binary")
-    dealt = words.mapInArrow(deal, "part long, id long, c long, ts array<long>, ps array<float>")
-    return asked.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(answer, "chunk long, part long, values binary")
+def _answered(got: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and floats (a row each float) of a chunk's words, in their order."""
+    got = got.sort_by("part")
+    xs = [unpacked(x, np.float32).reshape(width, -1) for x in got["xs"].to_pylist() if x is not None]
+    return _all(got["cs"], _longs, np.int64), np.hstack([np.zeros((width, 0), np.float32), *xs])
 
 
-def pair_log10(restaurant: Words, unknown: list, samples: int, u, w, c, cu, cw, tu, pu_w) -> np.ndarray:
+def pair_log10(restaurant: Words, unknown: list, samples: int, u, w, c, cu, cw, tu, pw) -> np.ndarray:
     """log10 of P(w | u), averaged over the last ``samples`` states, of pairs of
     count ``c``, words of counts ``cu`` and ``cw``, tables ``tu`` and log
-    probabilities ``pu_w`` (rows: pairs, columns: states)."""
-    states = tu.shape[1]
+    probabilities ``pw`` (rows: those states and the one before; columns: pairs)."""
+    first = len(unknown) - samples
     total, d = np.zeros(len(c)), restaurant.pair_discount
-    for k in range(states - samples, states):
-        t = restaurant.pair_tables(u, w, c, tu[:, k - 1], pu_w[:, k - 1], k)
-        p = np.exp(np.where(cw > 0, pu_w[:, k].astype(float), unknown[k]))
-        total += (np.where(c > 0, c - d * t, 0.0) + (STRENGTH + d * tu[:, k].astype(float)) * p) / (STRENGTH + cu)
+    for i in range(1, samples + 1):
+        k = first + i - 1
+        t = restaurant.pair_tables(u, w, c, tu[i - 1], pw[i - 1], k)
+        p = np.exp(np.where(cw > 0, pw[i].astype(float), unknown[k]))
+        total += (np.where(c > 0, c - d * t, 0.0) + (STRENGTH + d * tu[i].astype(float)) * p) / (STRENGTH + cu)
     return np.log10(total / samples)
 
 
@@ -550,44 +653,39 @@ def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Da
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     with scratch(spark):
-        seen = materialised(coded(docs), "coded")
-        chunks = seen.where("word IS NULL").drop("id", "word", "trained")
-        vocabulary = materialised(seen.where("word IS NOT NULL").groupBy("id").agg(F.min("word").alias("word"), F.sum("trained").alias("c")), "vocabulary")
-        n, v, words_in = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count(F.lit(1))).first()
-        entries, ids = chunks.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
-        answers = materialised(count_pairs(pair_questions(chunks, -(-entries // RANGE_ENTRIES) or 1)), "answers")
-        restaurant, words, unknown = fit(vocabulary, materialised(repeated_pairs(answers), "repeated"), burn_in, samples)
-        states = 1 + burn_in + samples
-        told = word_answers(chunks, words, -(-(ids // 8 + words_in) // RANGE_ENTRIES) or 1, states)
+        chunks = materialised(coded(docs), "coded")
+        entries, asked = chunks.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+        ranges = -(-asked // RANGE_ENTRIES) or 1
+        vocabulary = materialised(count_words(chunks, ranges), "vocabulary")
+        n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+        release(spark)
+        answers = materialised(count_pairs(chunks, -(-entries // RANGE_ENTRIES) or 1), "answers")
+        release(spark)
+        owned = materialised(owned_pairs(chunks, answers), "owned")
+        release(spark)
+        restaurant, words, unknown = fit(vocabulary, owned, ranges, burn_in, samples)
+        last = lambda name: F.slice(name, -(samples + 1), samples + 1)
+        told = word_answers(chunks, words.select("part", "id", "c", F.concat(last("ts").cast("array<float>"), last("ps")).alias("x")), ranges)
         shared = Shipped(spark, (restaurant, unknown))
 
         def run(own: pa.Table, got: pa.Table) -> pa.Table:
             model, none = shared.value
-            out, got = [], got.combine_chunks().sort_by("part")
-            counts = b"".join(x for x in got["counts"].to_pylist() if x is not None)
-            parts = [x for x in got["values"].to_pylist() if x is not None]
-            for i in range(own.num_rows):  # one
-                _, fingers, codes, ends, held = _chunk_row(own, i)
-                pair, before, word, place = chunk_pairs(fingers, codes)
-                c = np.frombuffer(counts, np.int64)
-                _, order = _mixed(fingers)
-                width = 8 + 8 * states
-                cut = [8 * (len(x) // width) for x in parts]
-                cw, values = np.empty(len(fingers), np.int64), np.empty((len(fingers), 2 * states), np.float32)
-                cw[order] = np.frombuffer(b"".join(x[:k] for x, k in zip(parts, cut)), np.int64)
-                values[order] = np.frombuffer(b"".join(x[k:] for x, k in zip(parts, cut)), np.float32).reshape(-1, 2 * states)
-                lp = pair_log10(model, none, samples, fingers[before], fingers[word], c, cw[before], cw[word], values[before, :states], values[word, states:])
-                start = np.append(0, ends[:-1])
-                sums = lambda x: pa.array(np.add.reduceat(x, start))
-                base = np.log10((cw + 1) / float(n + v + 1))
-                out.append(pa.table([own["doc_id"].combine_chunks().flatten(), pa.array(held), pa.array(np.diff(ends, prepend=0)), sums((cw[codes] > 0).astype(np.int64)),
-                                     pa.array(np.full(len(ends), n, np.int64)), sums(base[codes]), sums(lp[place])], names=names))
-            return pa.concat_tables(out)
+            _, fingers, codes, ends, held = _chunk_row(own, 0)
+            _, before, word, place = chunk_pairs(fingers, codes)
+            c = _all(got.sort_by("part")["counts"], _longs, np.int64) >> 1
+            cw, x = _answered(got, 2 * (samples + 1))
+            lp = pair_log10(model, none, samples, fingers[before], fingers[word], c, cw[before], cw[word], x[:samples + 1, before], x[samples + 1:, word])
+            start = np.append(0, ends[:-1])
+            sums = lambda x: pa.array(np.add.reduceat(x, start))
+            base = np.log10((cw + 1) / float(n + v + 1))
+            return pa.table([own["doc_id"].combine_chunks().flatten(), pa.array(held), pa.array(np.diff(ends, prepend=0)), sums((cw[codes] > 0).astype(np.int64)),
+                             pa.array(np.full(len(ends), n, np.int64)), sums(base[codes]), sums(lp[place])], names=names)
 
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        back = answers.where("counts IS NOT NULL").select("chunk", "part", "counts", F.lit(None).cast("binary").alias("values")) \
-                      .unionByName(told.select("chunk", "part", F.lit(None).cast("binary").alias("counts"), "values"))
-        scored = chunks.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, schema)
+        none = F.lit(None).cast("binary")
+        back = answers.withColumns({"cs": none, "xs": none}).unionByName(told.withColumn("counts", none))
+        own = chunks.select("chunk", "ids", "codes", "ends", "doc_id", "held_out")
+        scored = own.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, schema)
         return materialised(scored, "scores", keep=True)
 
 

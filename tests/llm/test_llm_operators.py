@@ -347,7 +347,7 @@ def test_pitman_yor_follows_its_predictive_rule(spark, tmp_path):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     vocabulary = spark.createDataFrame([(signed(h), w.encode(), c[w]) for w, h in finger.items()], "id long, word binary, c long")
     repeated = spark.createDataFrame([(signed(finger[u]), signed(finger[w]), n) for (u, w), n in pairs.items() if n > 1], "u long, w long, c long")
-    model, table, unknown = pitmanyor.fit(vocabulary, repeated)
+    model, table, unknown = pitmanyor.fit(vocabulary, pitmanyor.packed_pairs(repeated))
     name = {signed(h): w for w, h in finger.items()}
     state = {name[r["id"]]: r for r in table.collect()}
     for w, r in state.items():
@@ -381,6 +381,28 @@ def test_pitman_yor_follows_its_predictive_rule(spark, tmp_path):
     assert got[25] > got[24] and got[26] != got[27]  # the order of words counts
 
 
+def test_pitman_yor_scores_do_not_depend_on_chunks_and_ranges(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    read = lambda: {r["doc_id"]: r for r in pitmanyor.score(docs).collect()}
+    exp = read()
+    monkeypatch.setattr(pitmanyor, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(pitmanyor, "RANGE_ENTRIES", 500)
+    got = read()
+    assert set(got) == set(exp)
+    for i, r in got.items():
+        assert r["n_known"] == exp[i]["n_known"] and math.isclose(r["base_score"], exp[i]["base_score"], rel_tol=1e-9)
+        assert math.isclose(r["score"], exp[i]["score"], rel_tol=1e-4)
+
+
+def test_pitman_yor_packed_arrays():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 1000):
+        x = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64, endpoint=False))
+        assert (pitmanyor.restored(pitmanyor.steps(x)) == x).all()
+        y = rng.normal(size=(2, n)).astype(np.float32)
+        assert (pitmanyor.unpacked(pitmanyor.packed(y), np.float32).reshape(2, -1) == y).all()
+
+
 def test_pipeline_stages_on_odd_rows(spark, docs):
     import corpus_pipeline
     now = docs
