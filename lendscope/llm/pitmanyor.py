@@ -49,13 +49,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _FOLD, Shipped, discard, materialised, mix, release, remainder, scratch, small_batches, table, word_windows
+from .common import _FOLD, Shipped, discard, materialised, mix, release, remainder, scratch, small_batches, table, tidy, word_windows
 
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0  # of every restaurant
 BYTE_DISCOUNT = 0.5
-CHUNK_BYTES = 20 << 20
-RANGE_ENTRIES = 1 << 20
+CHUNK_BYTES = 12 << 20
+RANGE_ENTRIES, RANGE_WORDS = 1 << 20, 1 << 18
+BLOCK = 1 << 19
 SEED = 41
 END, START = 256, 257
 CONTEXTS, SYMBOLS = 258, 257
@@ -102,13 +103,16 @@ def pair_id(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 def chunk_pairs(ids: np.ndarray, codes: np.ndarray):
     """(pair, previous code, code, place of each token's pair): a chunk's distinct
     pairs by pair fingerprint."""
-    before = np.concatenate([np.zeros(1, codes.dtype), codes[:-1]])[:len(codes)]
-    both, place = np.unique(before.astype(np.int64) << 32 | codes, return_inverse=True)
+    both = np.zeros(len(codes), np.int64)
+    both[1:] = codes[:-1]
+    both <<= 32
+    both |= codes
+    both, place = np.unique(both, return_inverse=True)
     before, word = both >> 32, both & 0xFFFFFFFF
     pair = pair_id(ids[before], ids[word])
     order = np.argsort(pair, kind="stable")
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
+    back = np.empty(len(order), np.int32)
+    back[order] = np.arange(len(order), dtype=np.int32)
     return pair[order], before[order], word[order], back[place]
 
 
@@ -146,15 +150,16 @@ def _longs(raw: bytes) -> np.ndarray:
     return unpacked(raw, np.int64)
 
 
-CODED = "chunk long, ids binary, sizes binary, spelled binary, trained binary, codes binary, ends array<long>, doc_id array<{}>, held_out array<boolean>, pairs long, words long"
+CODED = "chunk long, ids binary, sizes binary, spelled binary, trained binary, codes binary, ends array<long>, doc_id array<{}>, held_out array<boolean>, tokens long, words long"
 
 
 def coded(docs: DataFrame) -> DataFrame:
     """A row for each chunk of texts: its words (fingerprint, size, bytes, count in
     training texts), its tokens as their codes, its documents and how many
-    distinct pairs and words it has."""
+    tokens and distinct words it has."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @tidy("pitmanyor")
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
         for whole in batches:
@@ -167,7 +172,7 @@ def coded(docs: DataFrame) -> DataFrame:
                 lists = lambda x: pa.ListArray.from_arrays(docs_, x)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(task << 32) + number]), one(steps(ids)), one(packed(size)), one(packed(raw)), one(packed(trained)), one(packed(codes)),
-                     lists(pa.array(ends.astype(np.int64))), lists(b.column("doc_id")), lists(pa.array(held)), pa.array([len(chunk_pairs(ids, codes)[0])]), pa.array([len(ids)])], names=names)
+                     lists(pa.array(ends.astype(np.int64))), lists(b.column("doc_id")), lists(pa.array(held)), pa.array([len(codes)]), pa.array([len(ids)])], names=names)
                 number += 1
 
     names = [part.split()[0] for part in CODED.split(", ")]
@@ -198,8 +203,48 @@ def _parts(cuts, chunk: int, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(data | {name: pa.array([cut(s, e) for _, s, e in cuts], pa.binary()) for name, cut in columns.items()})
 
 
+# A range of words: fingerprints, sizes, bytes, training counts; the sum of the
+# counts, and how many words have one.
+WORDS = "part long, ids binary, sizes binary, spelled binary, c binary, total long, known long"
+
+
+def _schema(kinds: str) -> pa.Schema:
+    return pa.schema([(n, pa.binary() if kind == "binary" else pa.int64()) for n, kind in (x.split() for x in kinds.split(", "))])
+
+
+def _words_row(part: int, ids, size, raw, c: np.ndarray) -> pa.Table:
+    row = {"part": part, "ids": steps(ids), "sizes": packed(size), "spelled": packed(raw), "c": packed(c), "total": int(c.sum()), "known": int((c > 0).sum())}
+    return pa.Table.from_pylist([row], schema=_schema(WORDS))
+
+
+def packed_words(vocabulary: DataFrame) -> DataFrame:
+    """Rows (id, word, c) as one range of words."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks().to_batches()[0]
+        size, raw, c = _columns(rows)
+        ids = rows.column("id").to_numpy().view(np.uint64)
+        order = np.argsort(ids)
+        return _words_row(0, ids[order], size[order], gathered(raw, (np.cumsum(size) - size)[order], size[order]), c[order])
+
+    return vocabulary.select("id", "word", "c", F.lit(0).alias("part")).groupBy("part").applyInArrow(run, WORDS)
+
+
+def word_rows(words: DataFrame) -> DataFrame:
+    """(id, c, ts, ps): the words of :func:`fit`, a row each."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                ids, c = restored(b.column("ids")[i].as_py()), _longs(b.column("c")[i].as_py())
+                ts, ps = (np.stack([unpacked(x, kind) for x in b.column(name)[i].as_py()], 1) for name, kind in (("ts", np.int64), ("ps", np.float32)))
+                lists = lambda x: pa.array(list(x))
+                yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(c), lists(ts), lists(ps)], names=["id", "c", "ts", "ps"])
+
+    return words.mapInArrow(run, "id long, c long, ts array<long>, ps array<float>")
+
+
 def count_words(chunks: DataFrame, ranges: int) -> DataFrame:
-    """(part, id, word, c): the distinct words by range and their counts in training texts."""
+    """A row for each range of words, see ``WORDS``."""
+    @tidy("pitmanyor")
     def ask(batches):
         for b in batches:
             for i in range(b.num_rows):
@@ -214,16 +259,16 @@ def count_words(chunks: DataFrame, ranges: int) -> DataFrame:
         ids, size, n = _all(rows["ids"], restored, np.uint64), _all(rows["sizes"], _longs, np.int64), _all(rows["n"], _longs, np.int64)
         raw = _all(rows["spelled"], lambda x: unpacked(x, np.uint8), np.uint8)
         own, first, place = np.unique(ids, return_index=True, return_inverse=True)
-        return pa.table({"part": pa.array(np.full(len(own), rows["part"][0].as_py())), "id": pa.array(own.view(np.int64)),
-                         "word": _binary(size[first], gathered(raw, (np.cumsum(size) - size)[first], size[first])), "c": pa.array(np.bincount(place, n, minlength=len(own)).astype(np.int64))})
+        return _words_row(rows["part"][0].as_py(), own, size[first], gathered(raw, (np.cumsum(size) - size)[first], size[first]), np.bincount(place, n, minlength=len(own)).astype(np.int64))
 
     asked = chunks.select("chunk", "ids", "sizes", "spelled", "trained").mapInArrow(ask, "part long, chunk long, ids binary, sizes binary, spelled binary, n binary")
-    return asked.groupBy("part").applyInArrow(count, "part long, id long, word binary, c long")
+    return asked.groupBy("part").applyInArrow(count, WORDS)
 
 
 def count_pairs(chunks: DataFrame, ranges: int) -> DataFrame:
     """(chunk, part, counts): the training counts of a chunk's distinct pairs of a
     range, doubled; 1 more where the chunk is the pair's owner."""
+    @tidy("pitmanyor")
     def ask(batches):
         for b in batches:
             for i in range(b.num_rows):
@@ -255,7 +300,7 @@ def _owned_row(chunk: int, ids, u, w, c: np.ndarray) -> pa.Table:
     u, w = at[:len(u)].astype(np.int32), at[len(u):].astype(np.int32)
     order = np.lexsort((w, u))
     return pa.Table.from_pylist([{"chunk": chunk, "ids": steps(ids[used]), "u": packed(u[order]), "w": packed(w[order]), "c": packed(c[order]), "inside": int(c.sum()), "twice": int((c == 2).sum())}],
-                                schema=pa.schema([(n.split()[0], pa.binary() if n.endswith("binary") else pa.int64()) for n in OWNED.split(", ")]))
+                                schema=_schema(OWNED))
 
 
 def owned_pairs(chunks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -445,42 +490,12 @@ def _columns(batch):
     words = batch.column("word").cast(pa.large_binary())
     off = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] is not None else np.zeros(0, np.uint8)
-    return np.diff(off), data[off[0]:off[-1]], batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _word_tables(words: DataFrame, restaurant: Words, spelling: Spelling, opened: int, sweep: int):
-    """(cell, n): tables of the word restaurant by byte cell, their number under -1."""
-    shared = Shipped(words.sparkSession, (restaurant, spelling, opened, sweep))  # bounded by the byte alphabet
-
-    def run(batches):
-        own, spell, tables, turn = shared.value
-        cells, counts, total = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        for b in batches:
-            size, raw, n = _columns(b)
-            t = own.tables(n, spell.logs(size, raw), tables, word_states(size, raw, turn)) if turn else np.minimum(n, 1)
-            ctx, symbol, _ = spell.symbols(size, raw)
-            cell, where = np.unique(np.concatenate([cells, ctx * SYMBOLS + symbol]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([counts, np.repeat(t, size + 1)]), minlength=len(cell)).astype(np.int64)
-            cells, total = cell, total + int(t.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(cells, -1)), pa.array(np.append(counts, total))], names=["cell", "n"])
-
-    got = words.where("c > 0").select("word", "n").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
-    return got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-
-
-def _with_probability(words: DataFrame, restaurant: Words, before: tuple, now: tuple, sweep: int) -> DataFrame:
-    """Words with the log probability ``p`` that the word restaurant's state gives them."""
-    shared = Shipped(words.sparkSession, (restaurant, before, now, sweep))
+    return np.diff(off), data[off[0]:off[-1]], batch.column("c").to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def run(batches):
-        own, (spell0, opened0), (spell, opened), turn = shared.value
-        for b in batches:
-            size, raw, n = _columns(b)
-            t = own.tables(n, spell0.logs(size, raw), opened0, word_states(size, raw, turn)) if turn else np.minimum(n, 1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own.log_probability(n, t, spell.logs(size, raw), opened).astype(np.float32))], names=[*b.schema.names, "p"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
-    return words.mapInArrow(run, f"{kinds}, p float")
+def _spelled(read):
+    """(size, bytes, counts) of a range of words."""
+    return unpacked(read("sizes"), np.int64), unpacked(read("spelled"), np.uint8), unpacked(read("c"), np.int64)
 
 
 SUMS = "part long, chunk long, ids binary, sums binary"
@@ -510,7 +525,7 @@ def pair_sums(owned: DataFrame, ranges: int) -> DataFrame:
 def seated_sums(owned: DataFrame, words: DataFrame, ranges: int, restaurant: Words, sweep: int) -> DataFrame:
     """By word: the tables of the repeated pairs that it begins (tu) and ends (tw)."""
     shared = Shipped(words.sparkSession, restaurant)
-    told = word_answers(owned, words.select("part", "id", "c", F.array(F.element_at("ts", -1).cast("float"), F.element_at("ps", -1)).alias("x")), ranges)
+    told = word_answers(owned, words.select("part", "ids", "c", F.slice("ts", -1, 1).alias("ts"), F.slice("ps", -1, 1).alias("ps")), ranges)
 
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
         chunk, ids, u, w, c = _owned(own, 0)
@@ -521,68 +536,111 @@ def seated_sums(owned: DataFrame, words: DataFrame, ranges: int, restaurant: Wor
     return owned.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, SUMS)
 
 
-def added(words: DataFrame, sums: DataFrame, names: list) -> DataFrame:
-    """Words with the sums that the chunks sent for them, by name."""
+# A range of words in a sweep: customers that only one pair gives as previous word
+# (single_u) and as word (single_w); tables by state (ts) and log probabilities (ps);
+# the customers n of the word restaurant, its tables t and theirs by byte cell.
+HELD = "part long, ids binary, sizes binary, spelled binary, c binary, single_u binary, single_w binary, ts array<binary>, ps array<binary>"
+SEATED = f"{HELD}, n binary, t binary, cells binary, tables binary, once long, twos long, customers long"
+
+
+def seated_words(words: DataFrame, sums: DataFrame, restaurant: Words | None, state: tuple, sweep: int) -> DataFrame:
+    """The word restaurant of a sweep, its customers being the tables of the pairs."""
+    shared = Shipped(words.sparkSession, (restaurant, *state))  # bounded by the byte alphabet
+    names = [x.split()[0] for x in SEATED.split(", ")]
+    schema = pa.schema([(n, pa.list_(pa.binary()) if n in ("ts", "ps") else pa.int64() if n in ("part", "once", "twos", "customers") else pa.binary()) for n in names])
+
     def run(known: pa.Table, got: pa.Table) -> pa.Table:
-        ids = known["id"].to_numpy().view(np.uint64)
-        order = np.argsort(ids)
-        total = np.zeros((len(names), len(ids)), np.int64)
+        own, spell, opened = shared.value
+        row = {name: x[0] for name, x in known.to_pydict().items()}
+        ids, (size, raw, c) = restored(row["ids"]), _spelled(row.get)
+        total = np.zeros((2 if sweep else 4, len(ids)), np.int64)
         for asked, amounts in zip(got["ids"].to_pylist(), got["sums"].to_pylist()):
-            total[:, order[np.searchsorted(ids, restored(asked), sorter=order)]] += _longs(amounts).reshape(len(names), -1)
-        for name, x in zip(names, total):
-            known = known.append_column(name, pa.array(x))
-        return known
+            total[:, np.searchsorted(ids, restored(asked))] += _longs(amounts).reshape(len(total), -1)
+        if not sweep:
+            row |= {"single_u": packed(c - total[0]), "single_w": packed(c - total[1]), "ts": [], "ps": []}
+        tables, n = _longs(row["single_u"]) + total[-2], _longs(row["single_w"]) + total[-1]
+        live = np.flatnonzero(c > 0)
+        lsize, lraw, ln = size[live], gathered(raw, (np.cumsum(size) - size)[live], size[live]), n[live]
+        t = own.tables(ln, spell.logs(lsize, lraw), opened, word_states(lsize, lraw, sweep)) if sweep else np.minimum(ln, 1)
+        ctx, symbol, _ = spell.symbols(lsize, lraw)
+        cell, where = np.unique(ctx * SYMBOLS + symbol, return_inverse=True)
+        count = np.bincount(where, np.repeat(t, lsize + 1), minlength=len(cell)).astype(np.int64)
+        everyone = np.zeros(len(ids), np.int64)
+        everyone[live] = t
+        row |= {"ts": [*row["ts"], packed(tables)], "n": packed(n), "t": packed(everyone), "cells": packed(np.append(cell, -1)), "tables": packed(np.append(count, t.sum())),
+                "once": int((ln == 1).sum()), "twos": int((ln == 2).sum()), "customers": int(ln.sum())}
+        return pa.Table.from_pylist([{name: row[name] for name in names}], schema=schema)
+
+    return words.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(run, SEATED)
+
+
+def byte_cells(seated: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the word restaurant by byte cell (bounded by the byte alphabet), their number under -1."""
+    def run(batches):
+        for b in batches:
+            for cells, tables in zip(b.column("cells").to_pylist(), b.column("tables").to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(_longs(cells)), pa.array(_longs(tables))], names=["cell", "n"])
 
-    kinds = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in words.schema] + [f"{name} long" for name in names])
-    return words.groupBy("part").cogroup(sums.groupBy("part")).applyInArrow(run, kinds)
+    got = seated.select("cells", "tables").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
+    return got["cell"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+
+
+def with_probability(seated: DataFrame, restaurant: Words, spelling: Spelling, opened: int) -> DataFrame:
+    """Words with the log probability that the word restaurant's state gives them."""
+    shared = Shipped(seated.sparkSession, (restaurant, spelling, opened))
+
+    @tidy("pitmanyor")
+    def run(batches):
+        own, spell, tables = shared.value
+        for b in batches:
+            ps = []
+            for i in range(b.num_rows):
+                read = lambda name: b.column(name)[i].as_py()
+                size, raw, _ = _spelled(read)
+                p = own.log_probability(unpacked(read("n"), np.int64), unpacked(read("t"), np.int64), spell.logs(size, raw), tables)
+                ps.append([*read("ps"), packed(p.astype(np.float32))])
+            yield pa.RecordBatch.from_arrays([pa.array(ps, pa.list_(pa.binary())) if name == "ps" else b.column(name) for name in names], names=names)
+
+    names = [x.split()[0] for x in HELD.split(", ")]
+    return seated.select(*names, "n", "t").mapInArrow(run, HELD)
 
 
 def fit(vocabulary: DataFrame, owned: DataFrame, ranges: int = 1, burn_in: int = BURN_IN, samples: int = SAMPLES):
     """(restaurants, words, log probability of the unknown word in each state).
 
-    ``vocabulary`` holds (id, word, c) and, with more than one range of words,
-    their ``part``; ``owned`` the pairs of two or more (:func:`packed_pairs`).
-    ``words`` holds (part, id, c, ts, ps): in each state the tables of the
-    word's own restaurant (as the previous word) and its log probability.
-    State 0 has one table a pair; a sweep leads from each state to the next."""
+    ``vocabulary`` holds the ranges of words (:func:`count_words`), ``owned`` the
+    pairs of two or more (:func:`owned_pairs`). ``words`` holds in each state the
+    tables of each word's own restaurant (as the previous word) and its log
+    probability (:func:`word_rows`). State 0 has one table a pair; a sweep leads
+    from each state to the next."""
     spark = vocabulary.sparkSession
-    one = lambda x: F.when(x, 1).otherwise(0)
-    if "part" not in vocabulary.columns:
-        vocabulary = vocabulary.withColumn("part", F.lit(0).cast("long"))
-    total = vocabulary.agg(F.sum("c")).first()[0] or 0
+    total = vocabulary.agg(F.sum("total")).first()[0] or 0
     inside, twice = owned.agg(F.sum("inside"), F.sum("twice")).first()
     pairs = (int(total) - int(inside or 0), int(twice or 0))
     words, restaurant, state, byte_tables, states = None, None, (Spelling.uniform(), 0), {}, []
-    held = ["part", "id", "word", "c", "single_u", "single_w"]
     for sweep in range(1 + burn_in + samples):
-        if sweep == 0:
-            now = added(vocabulary, pair_sums(owned, ranges), ["cu", "cw", "tu", "tw"]).withColumns({"single_u": F.col("c") - F.col("cu"), "single_w": F.col("c") - F.col("cw")})
-            now = now.withColumns({"ts": F.array().cast("array<long>"), "ps": F.array().cast("array<float>")})
-        else:
-            now = added(words, seated_sums(owned, words, ranges, restaurant, sweep), ["tu", "tw"])
-        t, n = F.col("single_u") + F.col("tu"), F.col("single_w") + F.col("tw")
-        now = materialised(now.select(*held, F.concat("ts", F.array(t)).alias("ts"), "ps", n.alias("n")), "seated")
-        once, twos, customers = now.where("c > 0").agg(F.sum(one(F.col("n") == 1)), F.sum(one(F.col("n") == 2)), F.sum("n")).first()
+        sums = seated_sums(owned, words, ranges, restaurant, sweep) if sweep else pair_sums(owned, ranges)
+        now = materialised(seated_words(words if sweep else vocabulary, sums, restaurant, state, sweep), "seated")
+        once, twos, customers = now.agg(F.sum("once"), F.sum("twos"), F.sum("customers")).first()
         restaurant = restaurant or Words((int(once or 0), int(twos or 0)), pairs)
         restaurant.customers = int(customers or 0)
-        cell, count = _word_tables(now, restaurant, *state, sweep)
+        cell, count = byte_cells(now)
         opened = int(count[cell == -1].sum())
         spelling, byte_tables = Spelling.sampled(cell[cell >= 0], count[cell >= 0], state[0], byte_tables, SEED + sweep)
-        told = _with_probability(now, restaurant, state, (spelling, opened), sweep)
-        before, words = words, materialised(told.select(*held, "ts", F.concat("ps", F.array("p")).alias("ps")), "words")
+        before, words = words, materialised(with_probability(now, restaurant, spelling, opened), "words")
         state = (spelling, opened)
         states.append((spelling, opened, restaurant.customers))
         for done in (now, before):
             if done is not None:
                 discard(done)
-        del told, now, before, done
+        del sums, now, before, done
         release(spark)
     left = unknown_mass(vocabulary, [s for s, _, _ in states])
     unknown = []
     for share, (_, opened, customers) in zip(left, states):
         restaurant.customers = customers
         unknown.append(float(restaurant.log_probability(np.zeros(1), np.zeros(1), np.log([share]), opened)[0]))
-    return restaurant, words.select("part", "id", "c", "ts", "ps"), unknown
+    return restaurant, words, unknown
 
 
 def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
@@ -594,17 +652,19 @@ def unknown_mass(vocabulary: DataFrame, states: list) -> np.ndarray:
         spells = shared.value
         total = np.zeros(len(spells))
         for b in batches:
-            size, raw, _ = _columns(b)
-            total += [np.exp(spell.logs(size, raw)).sum() for spell in spells]
+            for i in range(b.num_rows):
+                size, raw, c = _spelled(lambda name: b.column(name)[i].as_py())
+                total += [np.exp(spell.logs(size, raw))[c > 0].sum() for spell in spells]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["state", "p"])
 
-    known = vocabulary.where("c > 0").select("word", F.col("c").alias("n")).mapInArrow(run, "state long, p double").groupBy("state").agg(F.sum("p").alias("p")).toPandas()
+    known = vocabulary.select("sizes", "spelled", "c").mapInArrow(run, "state long, p double").groupBy("state").agg(F.sum("p").alias("p")).toPandas()
     return np.maximum(1.0 - np.bincount(known["state"], known["p"], minlength=len(states)), 1e-12)
 
 
 def word_answers(askers: DataFrame, words: DataFrame, ranges: int) -> DataFrame:
-    """(chunk, part, cs, xs): for the words of a chunk in a range their counts
-    ``c`` and their 32-bit floats ``x``."""
+    """(chunk, part, cs, xs): for the words of a chunk in a range their counts,
+    and as 32-bit floats the tables and log probabilities that ``words`` holds."""
+    @tidy("pitmanyor")
     def ask(batches):
         for b in batches:
             for i in range(b.num_rows):
@@ -612,14 +672,13 @@ def word_answers(askers: DataFrame, words: DataFrame, ranges: int) -> DataFrame:
                 yield _parts(_cut(range_of(ids, ranges)), b.column("chunk")[i].as_py(), {"ids": lambda s, e: steps(ids[s:e])})
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        known = known.combine_chunks()
-        ids, c = known["id"].to_numpy().view(np.uint64), known["c"].to_numpy()
-        x = known["x"].combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(ids), -1) if len(ids) else np.zeros((0, 1), np.float32)
-        order, cs, xs = np.argsort(ids), [], []
+        row, cs, xs = {name: x[0] for name, x in known.to_pydict().items()}, [], []
+        ids, c = restored(row["ids"]), _longs(row["c"])
+        x = np.stack([*[_longs(t).astype(np.float32) for t in row["ts"]], *[unpacked(p, np.float32) for p in row["ps"]]])
         for raw in asked["ids"].to_pylist():
-            at = order[np.searchsorted(ids, restored(raw), sorter=order)]
+            at = np.searchsorted(ids, restored(raw))
             cs.append(packed(c[at]))
-            xs.append(packed(x[at].T))
+            xs.append(packed(x[:, at]))
         return pa.table({"chunk": asked["chunk"], "part": asked["part"], "cs": pa.array(cs, pa.binary()), "xs": pa.array(xs, pa.binary())})
 
     asked = askers.select("chunk", "ids").mapInArrow(ask, "part long, chunk long, ids binary")
@@ -639,9 +698,10 @@ def pair_log10(restaurant: Words, unknown: list, samples: int, u, w, c, cu, cw,
     probabilities ``pw`` (rows: those states and the one before; columns: pairs)."""
     first = len(unknown) - samples
     total, d = np.zeros(len(c)), restaurant.pair_discount
+    many, t = np.flatnonzero(c > 1), np.minimum(c, 1)  # a single customer has one table
     for i in range(1, samples + 1):
         k = first + i - 1
-        t = restaurant.pair_tables(u, w, c, tu[i - 1], pw[i - 1], k)
+        t[many] = restaurant.pair_tables(u[many], w[many], c[many], tu[i - 1, many], pw[i - 1, many], k)
         p = np.exp(np.where(cw > 0, pw[i].astype(float), unknown[k]))
         total += (np.where(c > 0, c - d * t, 0.0) + (STRENGTH + d * tu[i].astype(float)) * p) / (STRENGTH + cu)
     return np.log10(total / samples)
@@ -654,10 +714,10 @@ def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Da
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     with scratch(spark):
         chunks = materialised(coded(docs), "coded")
-        entries, asked = chunks.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-        ranges = -(-asked // RANGE_ENTRIES) or 1
+        entries, asked = chunks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+        ranges = -(-asked // RANGE_WORDS) or 1
         vocabulary = materialised(count_words(chunks, ranges), "vocabulary")
-        n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+        n, v = vocabulary.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
         release(spark)
         answers = materialised(count_pairs(chunks, -(-entries // RANGE_ENTRIES) or 1), "answers")
         release(spark)
@@ -665,7 +725,8 @@ def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Da
         release(spark)
         restaurant, words, unknown = fit(vocabulary, owned, ranges, burn_in, samples)
         last = lambda name: F.slice(name, -(samples + 1), samples + 1)
-        told = word_answers(chunks, words.select("part", "id", "c", F.concat(last("ts").cast("array<float>"), last("ps")).alias("x")), ranges)
+        release(spark)
+        told = word_answers(chunks, words.select("part", "ids", "c", last("ts").alias("ts"), last("ps").alias("ps")), ranges)
         shared = Shipped(spark, (restaurant, unknown))
 
         def run(own: pa.Table, got: pa.Table) -> pa.Table:
@@ -674,7 +735,10 @@ def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Da
             _, before, word, place = chunk_pairs(fingers, codes)
             c = _all(got.sort_by("part")["counts"], _longs, np.int64) >> 1
             cw, x = _answered(got, 2 * (samples + 1))
-            lp = pair_log10(model, none, samples, fingers[before], fingers[word], c, cw[before], cw[word], x[:samples + 1, before], x[samples + 1:, word])
+            lp = np.empty(len(c))
+            for at in range(0, len(c), BLOCK):
+                u, w = before[at:at + BLOCK], word[at:at + BLOCK]
+                lp[at:at + BLOCK] = pair_log10(model, none, samples, fingers[u], fingers[w], c[at:at + BLOCK], cw[u], cw[w], x[:samples + 1, u], x[samples + 1:, w])
             start = np.append(0, ends[:-1])
             sums = lambda x: pa.array(np.add.reduceat(x, start))
             base = np.log10((cw + 1) / float(n + v + 1))

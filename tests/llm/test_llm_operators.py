@@ -347,9 +347,9 @@ def test_pitman_yor_follows_its_predictive_rule(spark, tmp_path):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     vocabulary = spark.createDataFrame([(signed(h), w.encode(), c[w]) for w, h in finger.items()], "id long, word binary, c long")
     repeated = spark.createDataFrame([(signed(finger[u]), signed(finger[w]), n) for (u, w), n in pairs.items() if n > 1], "u long, w long, c long")
-    model, table, unknown = pitmanyor.fit(vocabulary, pitmanyor.packed_pairs(repeated))
+    model, table, unknown = pitmanyor.fit(pitmanyor.packed_words(vocabulary), pitmanyor.packed_pairs(repeated))
     name = {signed(h): w for w, h in finger.items()}
-    state = {name[r["id"]]: r for r in table.collect()}
+    state = {name[r["id"]]: r for r in pitmanyor.word_rows(table).collect()}
     for w, r in state.items():
         assert r["ts"][0] == sum(u == w for u, _ in pairs)
     known = [w for w in finger if c[w]]
@@ -387,6 +387,7 @@ def test_pitman_yor_scores_do_not_depend_on_chunks_and_ranges(spark, small, monk
     exp = read()
     monkeypatch.setattr(pitmanyor, "CHUNK_BYTES", 3000)
     monkeypatch.setattr(pitmanyor, "RANGE_ENTRIES", 500)
+    monkeypatch.setattr(pitmanyor, "RANGE_WORDS", 100)
     got = read()
     assert set(got) == set(exp)
     for i, r in got.items():
