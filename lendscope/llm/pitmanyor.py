@@ -100,17 +100,34 @@ def pair_id(before: np.ndarray, word: np.ndarray) -> np.ndarray:
         return mix(mix(before) + word)
 
 
+def _numbered(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of so many bits in order, and each entry's place among them:
+    key and number of an entry are sorted as one integer, where they fit in one."""
+    low = len(key).bit_length()
+    if bits + low > 64:
+        return np.unique(key, return_inverse=True)
+    both = np.sort(key << np.uint64(low) | np.arange(len(key), dtype=np.uint64))
+    key = both >> np.uint64(low)
+    both &= np.uint64((1 << low) - 1)
+    new = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
+    place = np.empty(len(key), np.int32)
+    place[both.astype(np.int64)] = np.cumsum(new, dtype=np.int32) - 1
+    return key[new], place
+
+
 def chunk_pairs(ids: np.ndarray, codes: np.ndarray):
     """(pair, previous code, code, place of each token's pair): a chunk's distinct
-    pairs by pair fingerprint."""
-    both = np.zeros(len(codes), np.int64)
+    pairs in the order of the high bits of their fingerprints, then of the words."""
+    bits = max(1, len(ids).bit_length())
+    both = np.zeros(len(codes), np.uint64)
     both[1:] = codes[:-1]
-    both <<= 32
-    both |= codes
-    both, place = np.unique(both, return_inverse=True)
-    before, word = both >> 32, both & 0xFFFFFFFF
+    both <<= np.uint64(bits)
+    both |= codes.astype(np.uint64)
+    both, place = _numbered(both, 2 * bits)
+    before, word = (both >> np.uint64(bits)).astype(np.int64), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
     pair = pair_id(ids[before], ids[word])
-    order = np.argsort(pair, kind="stable")
+    low = np.uint64((1 << len(pair).bit_length()) - 1)
+    order = (np.sort((pair & ~low) | np.arange(len(pair), dtype=np.uint64)) & low).astype(np.int64)
     back = np.empty(len(order), np.int32)
     back[order] = np.arange(len(order), dtype=np.int32)
     return pair[order], before[order], word[order], back[place]
@@ -133,7 +150,7 @@ def unpacked(raw: bytes, kind) -> np.ndarray:
 
 
 def steps(x: np.ndarray) -> bytes:
-    """Ascending fingerprints, packed as differences."""
+    """Fingerprints in order, packed as differences (mod 2^64)."""
     return packed(np.diff(x, prepend=np.uint64(0)))
 
 
@@ -343,18 +360,21 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, state: np.n
     drawn at once. ``state`` seeds each dish's own random numbers.
     """
     tables = np.minimum(customers, 1).astype(float)
-    live = np.flatnonzero(customers > 1)
-    seated = 1
+    order = np.flatnonzero(customers > 1)
+    order = order[np.argsort(-customers[order], kind="stable")]  # those still to seat stay in front
+    n, own, w, z = customers[order], tables[order], weight[order], state[order]
+    fewer, live, seated = -n, len(n), 1
     with np.errstate(over="ignore"):
-        while len(live):
-            party = np.minimum(max(1, seated // 64), customers[live] - seated)
-            p = weight[live] / (seated - discount * tables[live] + weight[live])
-            u = _uniform(state[live] + np.uint64(2 * seated))
+        while live:
+            t, size = own[:live], max(1, seated // 64)
+            p = w[:live] / (seated - discount * t + w[:live])
+            u = _uniform(z[:live] + np.uint64(2 * seated))
             if seated < 128:
-                new = u < p
+                t += u < p
             else:
+                party = np.minimum(size, n[:live] - seated)
                 mean = party * p
-                v = _uniform(state[live] + np.uint64(2 * seated + 1))
+                v = _uniform(z[:live] + np.uint64(2 * seated + 1))
                 normal = np.sqrt(-2 * np.log1p(-u)) * np.cos(2 * np.pi * v)
                 new = np.clip(np.rint(mean + normal * np.sqrt(mean * (1 - p))), 0, party)
                 rare = np.flatnonzero(mean < 9)
@@ -369,9 +389,10 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, state: np.n
                         term = term * mean[rare] / i
                         total = total + term
                     new[rare] = np.minimum(k, party[rare])
-            tables[live] += new
-            seated += max(1, seated // 64)
-            live = live[customers[live] > seated]
+                t += new
+            seated += size
+            live = int(np.searchsorted(fewer[:live], -seated))
+    tables[order] = own
     return tables.astype(np.int64)
 
 
