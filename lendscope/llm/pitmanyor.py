@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _FOLD, Shipped, discard, materialised, mix, release, remainder, scratch, small_batches, table, tidy, word_windows
+from .common import _FOLD, Shipped, discard, materialised, mix, release, remainder, scratch, small_batches, table, tidy, trimmed, word_windows
 
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0  # of every restaurant
@@ -236,6 +236,7 @@ def _words_row(part: int, ids, size, raw, c: np.ndarray) -> pa.Table:
 
 def packed_words(vocabulary: DataFrame) -> DataFrame:
     """Rows (id, word, c) as one range of words."""
+    @trimmed
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks().to_batches()[0]
         size, raw, c = _columns(rows)
@@ -271,6 +272,7 @@ def count_words(chunks: DataFrame, ranges: int) -> DataFrame:
                 yield _parts(_cut(range_of(ids, ranges)), b.column("chunk")[i].as_py(),
                              {"ids": lambda s, e: steps(ids[s:e]), "sizes": lambda s, e: packed(size[s:e]), "spelled": lambda s, e: packed(raw[at[s]:at[e]]), "n": lambda s, e: packed(trained[s:e])})
 
+    @trimmed
     def count(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         ids, size, n = _all(rows["ids"], restored, np.uint64), _all(rows["sizes"], _longs, np.int64), _all(rows["n"], _longs, np.int64)
@@ -294,6 +296,7 @@ def count_pairs(chunks: DataFrame, ranges: int) -> DataFrame:
                 n = np.bincount(place, np.repeat(~held, np.diff(ends, prepend=0)), minlength=len(pair)).astype(np.int64)
                 yield _parts(_cut(range_of(pair, ranges)), chunk, {"pairs": lambda s, e: steps(pair[s:e]), "n": lambda s, e: packed(n[s:e])})
 
+    @trimmed
     def count(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         pairs = [restored(x) for x in rows["pairs"].to_pylist()]
@@ -322,6 +325,7 @@ def _owned_row(chunk: int, ids, u, w, c: np.ndarray) -> pa.Table:
 
 def owned_pairs(chunks: DataFrame, answers: DataFrame) -> DataFrame:
     """Each chunk's own repeated pairs."""
+    @trimmed
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
         chunk, ids, codes, _, _ = _chunk_row(own, 0)
         _, u, w, _ = chunk_pairs(ids, codes)
@@ -548,6 +552,7 @@ def seated_sums(owned: DataFrame, words: DataFrame, ranges: int, restaurant: Wor
     shared = Shipped(words.sparkSession, restaurant)
     told = word_answers(owned, words.select("part", "ids", "c", F.slice("ts", -1, 1).alias("ts"), F.slice("ps", -1, 1).alias("ps")), ranges)
 
+    @trimmed
     def run(own: pa.Table, got: pa.Table) -> pa.Table:
         chunk, ids, u, w, c = _owned(own, 0)
         _, x = _answered(got, 2)
@@ -570,6 +575,7 @@ def seated_words(words: DataFrame, sums: DataFrame, restaurant: Words | None, st
     names = [x.split()[0] for x in SEATED.split(", ")]
     schema = pa.schema([(n, pa.list_(pa.binary()) if n in ("ts", "ps") else pa.int64() if n in ("part", "once", "twos", "customers") else pa.binary()) for n in names])
 
+    @trimmed
     def run(known: pa.Table, got: pa.Table) -> pa.Table:
         own, spell, opened = shared.value
         row = {name: x[0] for name, x in known.to_pydict().items()}
@@ -692,6 +698,7 @@ def word_answers(askers: DataFrame, words: DataFrame, ranges: int) -> DataFrame:
                 ids = restored(b.column("ids")[i].as_py())
                 yield _parts(_cut(range_of(ids, ranges)), b.column("chunk")[i].as_py(), {"ids": lambda s, e: steps(ids[s:e])})
 
+    @trimmed
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         row, cs, xs = {name: x[0] for name, x in known.to_pydict().items()}, [], []
         ids, c = restored(row["ids"]), _longs(row["c"])
@@ -750,6 +757,7 @@ def score(docs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Da
         told = word_answers(chunks, words.select("part", "ids", "c", last("ts").alias("ts"), last("ps").alias("ps")), ranges)
         shared = Shipped(spark, (restaurant, unknown))
 
+        @trimmed
         def run(own: pa.Table, got: pa.Table) -> pa.Table:
             model, none = shared.value
             _, fingers, codes, ends, held = _chunk_row(own, 0)
