@@ -11,13 +11,15 @@ bounds a bag (rate = min(1, TREE_ROWS / rows)), so a task's memory is bounded
 however large the table is; different trees see different rows.
 
 *Boosting.* The binned rows are dealt into chunks by a hash of row_id and
-written once. Each level of a tree is one job: every chunk computes its rows'
-gradients and hessians and sums them per (node, slot, bin); the sums are added
-up (in two steps when there are many chunks) and only nodes x bins numbers reach the
-driver, which takes the splits with the largest second-order gain. The sums of
-a table of one chunk are its totals, so its task goes on by itself. Margins are
-folded into the chunks every ``FOLD`` rounds, which also cuts the lineage. Sums run
-in chunk order, so any layout of the input gives the same model.
+kept one a partition. Each level of a tree is one job: every chunk computes its
+rows' gradients and hessians and sums them per (node, slot, bin), of slots with
+two bins only over the rows in the second, since the node's total tells the rest;
+the sums are added up (in two steps when there are many chunks) and only nodes x
+bins numbers reach the driver, which takes the splits with the largest second-order
+gain. The sums of a table of one chunk are its totals, so its task goes on by
+itself. A tree's values go into the chunks' margins when it is done; every ``FOLD``
+rounds the chunks are written, which cuts the lineage. Sums run in chunk order, so
+any layout of the input gives the same model.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -42,8 +45,12 @@ MAX_BINS = 32
 TREE_ROWS = 200_000
 CHUNK_ROWS = 65_536
 FOLD = 25
+#: Chunks whose sums go straight to the driver.
+DIRECT = 64
 #: Open nodes of a forest tree handled at a time; weights and gains up to LEAST count as none.
 BLOCK, LEAST = 1024, 1e-12
+#: Gains of boosted splits that differ by no more than this share are equal.
+TIE = 1e-9
 _KEY = "row_id"
 
 
@@ -315,24 +322,64 @@ def _shares(trees, slots: int) -> np.ndarray:
 
 # --- boosting ------------------------------------------------------------------------
 
+PARTS = ("ids", "wide", "ones", "at", "y", "w", "m")
+
+
+def _kinds(edges):
+    """The slots with more than two bins, and the others."""
+    many = np.array([len(e) > 1 for e in edges], bool)
+    return np.flatnonzero(many), np.flatnonzero(~many)
+
+
 def _chunks(df: DataFrame, edges, n: int, features: str, label: str, weight: str) -> DataFrame:
-    """One row per chunk: chunk, ids, x, y, w, m (margins), packed as binary."""
+    """One row per chunk, packed as binary: ids, the bins of the wide slots (slot by
+    slot), the entries of the narrow slots whose bin is 1 (slot and row), y, w, m (margins)."""
     rows = _binned_rows(df, edges, features, label, weight).withColumn("chunk", F.pmod(F.xxhash64("row_id"), F.lit(n)).cast("int"))
+    slots, (wide, narrow) = len(edges), _kinds(edges)
 
     def pack(key, p):
         p = p.sort_values("row_id", kind="stable")
         raw = lambda c, t: p[c].to_numpy(t).tobytes()
-        return pd.DataFrame([(int(key[0]), raw("row_id", np.int64), b"".join(p["x"]), raw("y", float), raw("w", float), np.zeros(len(p)).tobytes())],
-                            columns=["chunk", "ids", "x", "y", "w", "m"])
-
-    return rows.groupBy("chunk").applyInPandas(pack, "chunk int, ids binary, x binary, y binary, w binary, m binary")
+        x = _matrix(p["x"], slots)
+        at, ones = np.nonzero(x[:, narrow])
+        row = (int(key[0]), raw("row_id", np.int64), np.ascontiguousarray(x[:, wide].T).tobytes(), ones.astype(np.int32).tobytes(),
+               at.astype(np.int32).tobytes(), raw("y", float), raw("w", float), np.zeros(len(p)).tobytes())
+        return pd.DataFrame([row], columns=["chunk", *PARTS])
+
+    return rows.groupBy("chunk").applyInPandas(pack, "chunk int, " + ", ".join(f"{k} binary" for k in PARTS))
+
+
+class _Chunk:
+    """The arrays of a packed chunk; ``x`` has the bins of all slots, slot by slot."""
+
+    def __init__(self, parts, b: _Boosting):
+        ids, wide, ones, at, y, w, m = parts
+        self.ids = np.frombuffer(ids, np.int64)
+        self.y, self.w, self.m = (np.frombuffer(v, float) for v in (y, w, m))
+        self.ones, self.at = np.frombuffer(ones, np.int32).astype(np.int64), np.frombuffer(at, np.int32)
+        n = len(self.ids)
+        self.x = np.zeros((b.slots, n), np.uint8)
+        self.x[b.wide] = np.frombuffer(wide, np.uint8).reshape(len(b.wide), n)
+        self.x[b.narrow[self.ones], self.at] = 1
+
+    def step(self, tree: dict, node: np.ndarray, steps: int) -> np.ndarray:
+        """The nodes of the rows that stand at ``node``, so many levels further down."""
+        own, inner, n = np.arange(len(tree["feature"])), tree["feature"] >= 0, len(node)
+        base = np.where(inner, tree["feature"], 0).astype(np.int64) * n
+        left, right = np.where(inner, tree["left"], own), np.where(inner, tree["right"], own)
+        flat, row = self.x.ravel(), np.arange(n)
+        for _ in range(steps):
+            node = np.where(flat[base[node] + row] <= tree["bin"][node], left[node], right[node])
+        return node
 
 
 class _Boosting:
     """The arithmetic of a boosted tree, the same wherever it runs."""
 
-    def __init__(self, slots: int, bins: int, seed: int, step: float, depth: int, rows: float, columns: float, penalty: float, least: float):
-        self.slots, self.bins, self.seed, self.step, self.depth = slots, bins, seed, step, depth
+    def __init__(self, edges, seed: int, step: float, depth: int, rows: float, columns: float, penalty: float, least: float):
+        self.slots, self.bins = len(edges), max((len(e) for e in edges), default=0) + 1
+        self.wide, self.narrow = _kinds(edges)
+        self.seed, self.step, self.depth = seed, step, depth
         self.rows, self.columns, self.penalty, self.least = rows, columns, penalty, least
 
     def usable(self, turn: int) -> np.ndarray:
@@ -340,24 +387,46 @@ class _Boosting:
         picked = np.random.default_rng([self.seed, turn]).permutation(self.slots)
         return np.sort(picked[:max(1, int(self.columns * self.slots))])
 
-    def sampled(self, ids: np.ndarray, turn: int) -> np.ndarray:
-        return np.flatnonzero(uniform(ids, self.seed, turn) < self.rows)
-
-    def sums(self, x, y, w, margin, at, active, used) -> np.ndarray:
-        """Gradient and hessian sums (active nodes x used slots x bins x 2) of
-        rows that stand at the nodes ``at``."""
-        place = np.full(max(int(at.max(initial=0)), max(active)) + 1, -1, np.int64)
-        place[active] = np.arange(len(active))
-        mine = place[at]
-        rows = np.flatnonzero(mine >= 0)
-        p = 1.0 / (1.0 + np.exp(-margin[rows]))
-        g, h = w[rows] * (p - y[rows]), w[rows] * p * (1.0 - p)
-        base, n = mine[rows] * self.bins, len(active) * self.bins
-        out = np.empty((len(active), len(used), self.bins, 2))
-        for i, j in enumerate(used):
-            cell = base + x[rows, j]
-            out[:, i, :, 0] = np.bincount(cell, g, n).reshape(-1, self.bins)
-            out[:, i, :, 1] = np.bincount(cell, h, n).reshape(-1, self.bins)
+    def slopes(self, c: _Chunk, turn: int):
+        """Gradient and hessian of each row; a row that the tree does not sample has none."""
+        p = 1.0 / (1.0 + np.exp(-c.m))
+        w = np.where(uniform(c.ids, self.seed, turn) < self.rows, c.w, 0.0)
+        return w * (p - c.y), w * p * (1.0 - p)
+
+    def sums(self, c: _Chunk, slopes, node: np.ndarray, active, used) -> np.ndarray:
+        """Gradient and hessian sums of the rows that stand at the ``active``
+        nodes: of the nodes, of (node, used wide slot, bin) and of the rows
+        with 1 in (node, used narrow slot); one flat array."""
+        n, bins, k = len(active), self.bins, len(self.narrow)
+        place = np.full(max(int(node.max(initial=0)), max(active)) + 1, n, np.int64)  # the others: one node more
+        place[active] = np.arange(n)
+        mine = place[node]
+        wide = np.flatnonzero(np.isin(self.wide, used))
+        kept = np.isin(self.narrow, used)
+        base, cell = mine * bins, mine[c.at] * k + c.ones
+        whole, by_bin, ones = np.empty((n, 2)), np.empty((n, len(wide), bins, 2)), np.empty((n, int(kept.sum()), 2))
+        for j, v in enumerate(slopes):
+            whole[:, j] = np.bincount(mine, v, n + 1)[:n]
+            ones[..., j] = np.bincount(cell, v[c.at], (n + 1) * k)[:n * k].reshape(n, k)[:, kept]
+        for i, s in enumerate(self.wide[wide]):
+            at = base + c.x[s]
+            for j, v in enumerate(slopes):
+                by_bin[:, i, :, j] = np.bincount(at, v, (n + 1) * bins)[:n * bins].reshape(n, bins)
+        return np.concatenate([a.ravel() for a in (whole, by_bin, ones)])
+
+    def opened(self, flat: np.ndarray, active, used) -> np.ndarray:
+        """The sums as (active nodes x used slots x bins x 2): bin 0 of a narrow slot is what bin 1 leaves."""
+        n, bins = len(active), self.bins
+        wide = np.isin(used, self.wide)
+        whole, by_bin, ones = np.split(flat, np.cumsum([n * 2, n * int(wide.sum()) * bins * 2]))
+        out = np.zeros((n, len(used), bins, 2))
+        out[:, wide] = by_bin.reshape(n, -1, bins, 2)
+        ones = ones.reshape(n, -1, 2)
+        rest = whole.reshape(n, 1, 2) - ones
+        rest[..., 1] = np.maximum(rest[..., 1], 0.0)
+        out[:, ~wide, 0] = rest
+        if bins > 1:
+            out[:, ~wide, 1] = ones
         return out
 
     def split(self, tree: dict, active, sums: np.ndarray, used) -> list[int]:
@@ -374,9 +443,10 @@ class _Boosting:
             tree["value"][0] = leaf(all_[0, 0, 0])
         new = []
         for i, v in enumerate(active):
-            best = int(gain[i].argmax())
-            if gain[i, best] <= 1e-9:
+            top = gain[i].max()
+            if top <= 1e-9:
                 continue
+            best = int((gain[i] >= top - TIE * max(top, 1.0)).argmax())  # of equal splits the first, however the sums were rounded
             j, c = divmod(best, self.bins)
             n = len(tree["feature"])
             for k, value in (("feature", int(used[j])), ("bin", c), ("left", n), ("right", n + 1), ("gain", float(gain[i, best]))):
@@ -407,27 +477,23 @@ def _tree_of(row) -> dict:
 _TREES = "tree int, " + ", ".join(f"{k} binary" for k, _ in FIELDS)
 
 
-def _open_chunk(c: dict, slots: int):
-    return (np.frombuffer(c["x"], np.uint8).reshape(-1, slots), *[np.frombuffer(c[k], float) for k in ("y", "w", "m")], np.frombuffer(c["ids"], np.int64))
-
-
 def _rounds_in_chunk(chunks: DataFrame, b: _Boosting, turns: range) -> list[dict]:
     """Some rounds of a table that is one chunk: its sums are the totals, so
     one task grows the trees."""
     def run(batches):
         for batch in batches:
-            for c in batch.to_pylist():
-                x, y, w, m, ids = _open_chunk(c, b.slots)
-                out = []
+            for row in batch.to_pylist():
+                c, out = _Chunk([row[k] for k in PARTS], b), []
                 for turn in turns:
-                    used, tree, active, rows = b.usable(turn), b.start(), [0], b.sampled(ids, turn)
-                    part = (x[rows], y[rows], w[rows], m[rows])
+                    used, tree, active, slopes = b.usable(turn), b.start(), [0], b.slopes(c, turn)
+                    node = np.zeros(len(c.ids), np.int64)
                     for _ in range(b.depth):
                         if not active:
                             break
-                        active = b.split(tree, active, b.sums(*part, walk(b.arrays(tree), part[0]), active, used), used)
+                        active = b.split(tree, active, b.opened(b.sums(c, slopes, node, active, used), active, used), used)
+                        node = c.step(b.arrays(tree), node, 1)
                     tree = b.arrays(tree)
-                    m = m + tree["value"][walk(tree, x)]
+                    c.m = c.m + tree["value"][node]
                     out.append(_tree_row(turn, tree))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32())]
                                                  + [pa.array([r[i + 1] for r in out], pa.binary()) for i in range(len(FIELDS))],
@@ -436,43 +502,46 @@ def _rounds_in_chunk(chunks: DataFrame, b: _Boosting, turns: range) -> list[dict
     return [_tree_of(r) for r in sorted(chunks.mapInArrow(run, _TREES).collect(), key=lambda r: r["tree"])]
 
 
-def _round(chunks: DataFrame, n_chunks: int, b: _Boosting, turn: int, trees) -> dict:
-    """One round over many chunks, a job per level. ``trees`` are those that
-    the chunks' margins do not hold yet."""
+def _moved(b: _Boosting, trees):
+    """The packed chunk with the values of ``trees`` in its margins."""
+    def run(parts):
+        c = _Chunk(parts, b)
+        m = c.m
+        for t in trees:
+            m = m + t["value"][c.step(t, np.zeros(len(m), np.int64), b.depth)]
+        return (*parts[:-1], m.tobytes())
+
+    return run
+
+
+def _round(chunks: RDD, n_chunks: int, b: _Boosting, turn: int) -> dict:
+    """One round over many chunks, a job per level."""
     used, tree, active = b.usable(turn), b.start(), [0]
-    for _ in range(b.depth):
+    for level in range(b.depth):
         if not active:
             break
         now, nodes = b.arrays(tree), list(active)
-        shape = (len(active), len(used), b.bins, 2)
-
-        def sums(batches):
-            for batch in batches:
-                for c in batch.to_pylist():
-                    x, y, w, m, ids = _open_chunk(c, b.slots)
-                    rows = b.sampled(ids, turn)
-                    x, y, w, m = x[rows], y[rows], w[rows], m[rows]
-                    for t in trees:
-                        m = m + t["value"][walk(t, x)]
-                    out = b.sums(x, y, w, m, walk(now, x), nodes, used)
-                    yield pa.RecordBatch.from_arrays([pa.array([c["chunk"]], pa.int32()), pa.array([out.tobytes()], pa.binary())], ["chunk", "s"])
-
-        def added(key, p):
-            total = np.zeros(shape)
-            for s in p.sort_values("chunk")["s"]:
-                total += np.frombuffer(s, float).reshape(shape)
-            return pd.DataFrame([(int(key[0]), total.tobytes())], columns=["chunk", "s"])
-
-        parts = chunks.mapInArrow(sums, "chunk int, s binary")
-        if n_chunks > 16:  # two steps: as many sums as the square root of the chunks reach the driver
-            parts = parts.groupBy((F.col("chunk") % math.isqrt(n_chunks)).alias("part")).applyInPandas(added, "chunk int, s binary")
-        total = np.zeros(shape)
-        for r in sorted(parts.collect(), key=lambda r: r["chunk"]):
-            total += np.frombuffer(bytes(r["s"]), float).reshape(shape)
-        active = b.split(tree, active, total, used)
+
+        def sums(parts):
+            c = _Chunk(parts, b)
+            return b.sums(c, b.slopes(c, turn), c.step(now, np.zeros(len(c.ids), np.int64), level), nodes, used).tobytes()
+
+        added = chunks.mapValues(sums)
+        if n_chunks > DIRECT:  # two steps: as many sums as the square root of the chunks reach the driver
+            steps = math.isqrt(n_chunks)
+            added = added.map(lambda kv: (kv[0] % steps, kv)).groupByKey(steps, int).mapValues(lambda kvs: _added(kvs).tobytes())
+        active = b.split(tree, active, b.opened(_added(added.collect()), nodes, used), used)
     return b.arrays(tree)
 
 
+def _added(numbered) -> np.ndarray:
+    """The sum of the arrays, in the order of their numbers."""
+    total = 0.0
+    for _, v in sorted(numbered):
+        total = total + np.frombuffer(v, float)
+    return total
+
+
 def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, features: str = "features", maxIter: int = 300,
                 stepSize: float = 0.05, maxDepth: int = 6, subsamplingRate: float = 0.8, columnRate: float = 0.8, leafPenalty: float = 1.0,
                 minChildWeight: float = 1.0, seed: int = 42, chunk_rows: int = CHUNK_ROWS, fold: int = FOLD) -> TreeModel:
@@ -481,7 +550,7 @@ def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, feat
     grows ``fold`` trees per job, a larger one a level per job; the sums and
     splits are the same."""
     spark, slots = df.sparkSession, len(edges)
-    b = _Boosting(slots, max((len(e) for e in edges), default=0) + 1, seed, stepSize, maxDepth, subsamplingRate, columnRate, leafPenalty, minChildWeight)
+    b = _Boosting(edges, seed, stepSize, maxDepth, subsamplingRate, columnRate, leafPenalty, minChildWeight)
     path = shared_dir(spark, "boosting")
 
     def stored(d, k):
@@ -491,15 +560,14 @@ def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, feat
     n_chunks = max(1, -(-n_rows // chunk_rows))
     chunks = stored(_chunks(df, edges, n_chunks, features, label, weight), 0)
     trees: list[dict] = []
-    for first in range(0, maxIter, fold):
-        turns = range(first, min(first + fold, maxIter))
-        if n_chunks == 1:
+    if n_chunks == 1:
+        for first in range(0, maxIter, fold):
+            turns = range(first, min(first + fold, maxIter))
             trees += _rounds_in_chunk(chunks, b, turns)
-        else:
-            for turn in turns:
-                trees.append(_round(chunks, n_chunks, b, turn, trees[first:]))
-        if turns.stop < maxIter:  # margins into the chunks: tasks walk few trees, the lineage ends
-            chunks = stored(_folded(chunks, slots, trees[first:]), turns.stop)
+            if turns.stop < maxIter:
+                chunks = stored(_folded(chunks, b, trees[first:]), turns.stop)
+    else:
+        trees = _rounds_over_chunks(chunks, n_chunks, b, maxIter, fold, path)
     drop_dir(spark, path)
     gains, uses = np.zeros(slots), np.zeros(slots)
     for t in trees:
@@ -510,15 +578,37 @@ def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, feat
     return TreeModel("boosted", edges, trees, mean / mean.sum() if mean.sum() else mean)
 
 
-def _folded(chunks: DataFrame, slots: int, trees) -> DataFrame:
+def _folded(chunks: DataFrame, b: _Boosting, trees) -> DataFrame:
+    moved = _moved(b, trees)
+
     def run(batches):
-        for b in batches:
-            margins = []
-            for c in b.to_pylist():
-                x, m = np.frombuffer(c["x"], np.uint8).reshape(-1, slots), np.frombuffer(c["m"], float)
-                for t in trees:
-                    m = m + t["value"][walk(t, x)]
-                margins.append(m.tobytes())
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in ("chunk", "ids", "x", "y", "w")], pa.array(margins, pa.binary())], b.schema.names)
+        for batch in batches:
+            margins = [moved([c[k] for k in PARTS])[-1] for c in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in ("chunk", *PARTS[:-1])], pa.array(margins, pa.binary())], batch.schema.names)
 
     return chunks.mapInArrow(run, chunks.schema)
+
+
+def _rounds_over_chunks(stored: DataFrame, n_chunks: int, b: _Boosting, rounds: int, fold: int, path: str) -> list[dict]:
+    """All rounds over many chunks, one chunk a partition. After a tree its
+    values go into the chunks' margins, kept in memory; every ``fold`` rounds the
+    chunks are written, which ends the lineage."""
+    sc = stored.sparkSession.sparkContext
+    dealt = lambda pairs: pairs.partitionBy(n_chunks, int).persist(StorageLevel.MEMORY_AND_DISK)
+    chunks, before, trees, written = dealt(stored.rdd.map(lambda r: (r["chunk"], tuple(bytes(r[k]) for k in PARTS)))), None, [], f"{path}/0"
+    for turn in range(rounds):
+        trees.append(_round(chunks, n_chunks, b, turn))
+        if before is not None:  # the chunks are in memory by now
+            before.unpersist()
+        if turn + 1 == rounds:
+            break
+        before, chunks = chunks, chunks.mapValues(_moved(b, trees[-1:])).persist(StorageLevel.MEMORY_AND_DISK)
+        if (turn + 1) % fold == 0:
+            chunks.saveAsPickleFile(f"{path}/{turn + 1}")
+            for old in (before, chunks):
+                old.unpersist()
+            drop_dir(stored.sparkSession, written)
+            written, before = f"{path}/{turn + 1}", None
+            chunks = dealt(sc.pickleFile(written))
+    chunks.unpersist()
+    return trees

@@ -140,3 +140,37 @@ def test_saved_and_loaded(spark, halves, edges, fit, tmp_path):
     assert told(model) == told(back)
     assert back.stages[-1].featureImportances == model.stages[-1].featureImportances
     assert sum(back.stages[-1].featureImportances.toArray()) == pytest.approx(1.0)
+
+
+def test_equal_splits_go_to_the_first_slot_in_any_chunks(halves):
+    """A slot and its complement split alike: the sums' rounding must not choose,
+    nor the number of chunks (75: their sums are added in two steps)."""
+    mirrored = VectorAssembler(inputCols=[*NUM, "e"], outputCol="wider").transform(halves[0].withColumn("e", 1 - F.col("d")))
+    edges = T.bin_table(mirrored, NUM[:3], 5)
+    fits = [boosted(mirrored, edges, features="wider", columnRate=1.0, maxIter=5, fold=3, chunk_rows=n) for n in (1500, 400, 20)]
+    assert any((t["feature"] == 3).any() for t in fits[0].trees)
+    assert not any((t["feature"] == 4).any() for m in fits for t in m.trees)
+    for other in fits[1:]:
+        same_trees(fits[0], other, exact=False)
+
+
+def test_sums_of_a_chunk_are_those_of_its_rows():
+    rnd = np.random.default_rng(5)
+    edges = [[.1 * i for i in range(7)], [.5], [.5], [0, .5], []]
+    x = np.stack([rnd.integers(0, len(e) + 1, 300) for e in edges], axis=1).astype(np.uint8)
+    b = T._Boosting(edges, 1, .1, 3, .8, 1.0, 1.0, 0.0)
+    at, ones = np.nonzero(x[:, b.narrow])
+    w, m = rnd.random(300), rnd.normal(size=300)
+    y = rnd.integers(0, 2, 300).astype(float)
+    parts = [np.arange(300), np.ascontiguousarray(x[:, b.wide].T), ones.astype(np.int32), at.astype(np.int32), y, w, m]
+    c = T._Chunk([p.tobytes() for p in parts], b)
+    assert (c.x.T == x).all()
+    node, used = rnd.integers(0, 6, 300), np.array([0, 1, 3, 4])
+    got = b.opened(b.sums(c, b.slopes(c, 2), node, [2, 5], used), [2, 5], used)
+    p = 1 / (1 + np.exp(-m))
+    on = T.uniform(np.arange(300), 1, 2) < .8
+    for i, v in enumerate((2, 5)):
+        for k, s in enumerate(used):
+            for bin_ in range(8):
+                r = on & (node == v) & (x[:, s] == bin_)
+                assert got[i, k, bin_] == pytest.approx([(w * (p - y))[r].sum(), (w * p * (1 - p))[r].sum()], abs=1e-9)
