@@ -8,7 +8,8 @@ slots get two), so a row is one byte per slot.
 (seed, t, row_id): the bag does not depend on partitions or row order, and one
 shuffle by tree brings each bag to the task that grows the tree. ``TREE_ROWS``
 bounds a bag (rate = min(1, TREE_ROWS / rows)), so a task's memory is bounded
-however large the table is; different trees see different rows.
+however large the table is; different trees see different rows. The tasks write
+their trees to the shared folder; the driver gets each slot's gains only.
 
 *Boosting.* The binned rows are dealt into chunks by a hash of row_id and
 kept one a partition. Each level of a tree is one job: every chunk computes its
@@ -38,12 +39,15 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import drop_dir, shared_dir
+from ..session import drop_dir, shared_dir, stored_table
 from .quantiles import exact_quantiles
 
 MAX_BINS = 32
 TREE_ROWS = 200_000
 CHUNK_ROWS = 65_536
+#: Trees up to this size are shipped whole; of larger forests a task holds so much, and so many rows, when it scores.
+TREE_BYTES = 32 << 20
+SCORE_ROWS = 1 << 19
 FOLD = 25
 #: Chunks whose sums go straight to the driver.
 DIRECT = 64
@@ -202,20 +206,38 @@ def grow_bag(x: np.ndarray, y: np.ndarray, w: np.ndarray, max_depth: int, tries:
 class TreeModel(Model, MLWritable, MLReadable):
     """A fitted ensemble: adds ``probability`` and ``prediction`` from the
     assembled ``features``. ``kind`` is "forest" (leaf shares are averaged) or
-    "boosted" (leaf values are summed into log odds)."""
+    "boosted" (leaf values are summed into log odds).
 
-    meta = Param(Params._dummy(), "meta", "kind, bin edges and importances as JSON", typeConverter=TypeConverters.toString)
+    The trees are a list, or a stored table (a row per tree) that the executors
+    wrote. A table of more than ``TREE_BYTES`` never comes to the driver: rows
+    meet the trees in a join, group by group."""
 
-    def __init__(self, kind: str | None = None, edges=None, trees=None, importance=None):
+    meta = Param(Params._dummy(), "meta", "kind, bin edges, importances and size of the trees as JSON", typeConverter=TypeConverters.toString)
+
+    def __init__(self, kind: str | None = None, edges=None, trees=None, importance=None, table: DataFrame | None = None, size: int = 0):
         super().__init__()
-        self.trees = trees or []
+        self.table, self._list = table, trees
         if kind is not None:
-            self._set(meta=json.dumps({"kind": kind, "edges": edges, "importance": [float(v) for v in importance]}))
+            self._set(meta=json.dumps({"kind": kind, "edges": edges, "importance": [float(v) for v in importance], "bytes": size}))
 
     @property
     def told(self) -> dict:
         return json.loads(self.getOrDefault(self.meta))
 
+    @property
+    def large(self) -> bool:
+        return self.table is not None and self.told.get("bytes", 0) > TREE_BYTES
+
+    @property
+    def trees(self) -> list[dict]:
+        """All trees here, for those who ask: a large forest is as large in the driver."""
+        if self._list is not None:
+            return self._list
+        trees = [_tree_of(r) for r in self.table.orderBy("tree").collect()] if self.table is not None else []
+        if not self.large:
+            self._list = trees
+        return trees
+
     @property
     def featureImportances(self):
         from pyspark.ml.linalg import Vectors
@@ -224,22 +246,48 @@ class TreeModel(Model, MLWritable, MLReadable):
     def _transform(self, df: DataFrame) -> DataFrame:
         told = self.told
         edges, forest = told["edges"], told["kind"] == "forest"
-        shared = df.sparkSession.sparkContext.broadcast(self.trees)  # the model itself
-
-        @F.pandas_udf("double")
-        def positive(v: pd.Series) -> pd.Series:
-            if not len(v):
-                return pd.Series([], dtype="float64")
-            x, out = binned(np.stack(v.to_numpy()), edges), np.zeros(len(v))
-            for t in shared.value:
-                out += t["value"][walk(t, x)]
-            return pd.Series(out / max(1, len(shared.value)) if forest else 1.0 / (1.0 + np.exp(-out)))
-
-        out = df.withColumn("prediction", positive(vector_to_array("features")))
+        if self.large and not df.isStreaming:
+            out = self._joined(df, edges, told["bytes"])
+        else:
+            shared = df.sparkSession.sparkContext.broadcast(self.trees)  # the model itself
+
+            @F.pandas_udf("double")
+            def positive(v: pd.Series) -> pd.Series:
+                if not len(v):
+                    return pd.Series([], dtype="float64")
+                x, out = binned(np.stack(v.to_numpy()), edges), np.zeros(len(v))
+                for t in shared.value:
+                    out += t["value"][walk(t, x)]
+                return pd.Series(out / max(1, len(shared.value)) if forest else 1.0 / (1.0 + np.exp(-out)))
+
+            out = df.withColumn("prediction", positive(vector_to_array("features")))
         p = F.col("prediction")
         out = out.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
         return out.withColumn("prediction", (p > 0.5).cast("double"))
 
+    def _joined(self, df: DataFrame, edges, size: int) -> DataFrame:
+        """``prediction`` by a large forest: blocks of rows meet groups of trees,
+        so that a task holds about ``TREE_BYTES`` of trees and ``SCORE_ROWS``
+        rows. The rows are written once, with a number each."""
+        key, slots = "_tree_row", len(edges)
+        rows = stored_table(df.withColumn(key, F.monotonically_increasing_id()), "to-score")
+        blocks, parts = max(1, -(-rows.count() // SCORE_ROWS)), -(-size // TREE_BYTES)
+        x = _binned_rows(rows.select(F.col(key).alias(_KEY), "features", F.lit(0).alias("y"), F.lit(0).alias("w")), edges, "features", "y", "w")
+        x = x.select("row_id", "x", F.pmod(F.xxhash64("row_id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        trees = self.table.select("*", (F.col("tree") % parts).alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+
+        def summed(key, r, t):
+            x, out = _matrix(r["x"], slots), np.zeros(len(r))
+            for tree in sorted((row for _, row in t.iterrows()), key=lambda row: row["tree"]):
+                tree = _tree_of(tree)
+                out += tree["value"][walk(tree, x)]
+            return pd.DataFrame({"row_id": r["row_id"], "s": out, "n": len(t), "part": int(key[0])})
+
+        sums = x.groupBy("part", "block").cogroup(trees.groupBy("part", "block")).applyInPandas(summed, "row_id long, s double, n long, part int")
+        in_order = F.transform(F.array_sort(F.collect_list(F.struct("part", "s"))), lambda v: v["s"])  # a number a group of trees
+        mean = F.aggregate(in_order, F.lit(0.0), lambda a, v: a + v) / F.sum("n")
+        return rows.join(sums.groupBy(F.col("row_id").alias(key)).agg(mean.alias("prediction")), key).select(*df.columns, "prediction")
+
     def write(self):
         return _TreeWriter(self)
 
@@ -256,8 +304,10 @@ class _TreeWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         spark = self.sparkSession
         DefaultParamsWriter.saveMetadata(self.instance, path, spark.sparkContext)
-        rows = [(i, *[bytearray(t[k].astype(kind).tobytes()) for k, kind in FIELDS]) for i, t in enumerate(self.instance.trees)]
-        spark.createDataFrame(rows, _TREES).write.parquet(path + "/trees")  # a row per tree
+        table = self.instance.table
+        if table is None:
+            table = spark.createDataFrame([_tree_row(i, t) for i, t in enumerate(self.instance.trees)], _TREES)
+        table.write.parquet(path + "/trees")  # a row per tree
 
 
 class _TreeReader(MLReader):
@@ -270,8 +320,7 @@ class _TreeReader(MLReader):
         model = self.cls()
         model._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(model, meta)
-        rows = self.sparkSession.read.parquet(path + "/trees").orderBy("tree").collect()
-        model.trees = [_tree_of(r) for r in rows]
+        model.table = self.sparkSession.read.schema(_TREES).parquet(path + "/trees")
         return model
 
 
@@ -302,22 +351,21 @@ def fit_forest(df: DataFrame, edges, n_rows: int, label: str, weight: str, featu
         t = int(key[0])
         tree = grow_bag(_matrix(bagged["x"], slots), bagged["y"].to_numpy(), bagged["w"].to_numpy(), depth, tries,
                         np.random.default_rng([seed, t]), bins)
-        return pd.DataFrame([_tree_row(t, tree)], columns=["tree", *[k for k, _ in FIELDS]])
+        return pd.DataFrame([(*_tree_row(t, tree), _share(tree, slots).tobytes())], columns=["tree", *[k for k, _ in FIELDS], "share"])
 
     rows = _binned_rows(df, edges, features, label, weight).mapInArrow(bag, "tree int, row_id long, x binary, y double, w double")
-    grown = rows.groupBy("tree").applyInPandas(grow, _TREES).collect()  # the model: a row per tree
-    trees = [_tree_of(r) for r in sorted(grown, key=lambda r: r["tree"])]
-    return TreeModel("forest", edges, trees, _shares(trees, slots))
-
-
-def _shares(trees, slots: int) -> np.ndarray:
-    """Mean over the trees of each tree's gain per slot, as shares of one."""
-    out = np.zeros(slots)
-    for t in trees:
-        inner = t["feature"] >= 0
-        own = np.bincount(t["feature"][inner], t["gain"][inner], slots)
-        out += own / own.sum() if own.sum() else own
-    return out / out.sum() if out.sum() else out
+    # the trees stay where the executors write them; the driver gets the slots' shares and the size
+    grown = stored_table(rows.groupBy("tree").applyInPandas(grow, _TREES + ", share binary"), "forest")
+    told = grown.select("tree", "share", sum(F.octet_length(k) for k, _ in FIELDS).alias("bytes")).orderBy("tree").collect()
+    share = sum((np.frombuffer(bytes(r["share"]), float) for r in told), np.zeros(slots))
+    return TreeModel("forest", edges, None, share / share.sum() if share.sum() else share, grown.drop("share"), sum(r["bytes"] for r in told))
+
+
+def _share(tree: dict, slots: int) -> np.ndarray:
+    """The gain of a tree per slot, as shares of one."""
+    inner = tree["feature"] >= 0
+    own = np.bincount(tree["feature"][inner], tree["gain"][inner], slots)
+    return own / own.sum() if own.sum() else own
 
 
 # --- boosting ------------------------------------------------------------------------

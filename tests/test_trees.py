@@ -174,3 +174,27 @@ def test_sums_of_a_chunk_are_those_of_its_rows():
             for bin_ in range(8):
                 r = on & (node == v) & (x[:, s] == bin_)
                 assert got[i, k, bin_] == pytest.approx([(w * (p - y))[r].sum(), (w * p * (1 - p))[r].sum()], abs=1e-9)
+
+
+def test_a_large_forest_stays_a_table(spark, halves, edges, tmp_path, monkeypatch):
+    """Fitting, saving, loading and scoring never bring the trees to the driver;
+    scores equal those of the shipped trees, equal rows and all columns kept."""
+    model = forest(halves[0], edges)
+    rows = halves[1].withColumn("more", F.lit("x")).union(halves[1].limit(50).withColumn("more", F.lit("y")))
+    p = vector_to_array("probability")
+    told = lambda m: m.transform(rows).orderBy("row_id", "more").select("row_id", "more", "prediction", p[1].alias("p")).collect()
+    want = told(model)
+    size = model.told["bytes"]
+    assert size == sum(a.nbytes for t in model.trees for a in t.values())
+    monkeypatch.setattr(T, "TREE_BYTES", size // 4)
+    monkeypatch.setattr(T, "SCORE_ROWS", 400)
+    monkeypatch.setattr(T.TreeModel, "trees", property(lambda self: pytest.fail("trees asked for")))
+    again = forest(halves[0], edges)
+    assert again.large and again.featureImportances == model.featureImportances
+    PipelineModel(stages=[again]).write().overwrite().save(str(tmp_path / "m"))
+    back = PipelineModel.load(str(tmp_path / "m")).stages[-1]
+    assert back.large and back.transform(rows).columns == [*rows.columns, "prediction", "probability"]
+    for m in (again, back):
+        got = told(m)
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        assert [r["p"] for r in got] == pytest.approx([r["p"] for r in want])
