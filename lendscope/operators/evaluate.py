@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import prefix_before
-from .small import null_safe_join
 
 THRESHOLD = 0.5
 
@@ -21,12 +20,12 @@ def predict_from_prob(prob) -> "F.Column":
     return (prob > THRESHOLD).cast("int")
 
 
-def confusion(df: DataFrame, by=("model_name",), y="y_true", p="y_pred") -> DataFrame:
+def confusion(df: DataFrame, by=("model_name",), y="y_true", p="y_pred", extra=()) -> DataFrame:
     t, q = F.col(y), F.col(p)
     return df.groupBy(*by).agg(F.count_if((t == 0) & (q == 0)).alias("tn"),
                                F.count_if((t == 0) & (q == 1)).alias("fp"),
                                F.count_if((t == 1) & (q == 0)).alias("fn"),
-                               F.count_if((t == 1) & (q == 1)).alias("tp"))
+                               F.count_if((t == 1) & (q == 1)).alias("tp"), *extra)
 
 
 def _safe_div(a, b):
@@ -60,11 +59,17 @@ def roc_auc(df: DataFrame, by=("model_name",), y="y_true", score="y_prob", digit
     g = (df.select(*by, s.alias("_s"), F.col(y).alias("_y"))
            .groupBy(*by, "_s")
            .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg")))
+    return _ranked(g, by).select(*by, "positives", "negatives", "roc_auc")
+
+
+def _ranked(g: DataFrame, by: list, sums=()) -> DataFrame:
+    """positives, negatives, roc_auc and the totals of ``sums`` per group, from
+    counts (_pos, _neg) per distinct score _s."""
     agg = prefix_before(g, by, "_s", "_neg", out="_below").groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_below") + 0.5 * F.col("_neg"))).alias("_num"),
-        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
+        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"), *[F.sum(c).alias(c) for c in sums])
     auc = F.col("_num") / (F.col("positives") * F.col("negatives"))
-    return agg.select(*by, "positives", "negatives", F.when((F.col("positives") > 0) & (F.col("negatives") > 0), auc).alias("roc_auc"))
+    return agg.withColumn("roc_auc", F.when((F.col("positives") > 0) & (F.col("negatives") > 0), auc))
 
 
 def classification_report(df: DataFrame, by=("model_name",)) -> DataFrame:
@@ -93,7 +98,10 @@ def classification_report(df: DataFrame, by=("model_name",)) -> DataFrame:
 
 
 def evaluation(df: DataFrame, by=("model_name",)) -> DataFrame:
-    """Confusion counts, the four threshold metrics and ROC-AUC per group."""
-    m = binary_metrics(df, by)
-    a = roc_auc(df, by).select(*by, "roc_auc")
-    return null_safe_join(m, a, list(by), "left")
+    """Confusion counts, the four threshold metrics and ROC-AUC per group. The
+    rows are scored once: all of it comes from counts per distinct score."""
+    by = list(by)
+    t, cells = F.col("y_true"), ["tn", "fp", "fn", "tp"]
+    g = confusion(df.withColumn("_s", F.col("y_prob")), [*by, "_s"], extra=[F.count_if(t == 1).alias("_pos"), F.count_if(t == 0).alias("_neg")])
+    m = _ranked(g, by, cells)
+    return metrics_from_counts(m.select(*by, *cells, "roc_auc")).select(*by, *cells, "accuracy", "precision", "recall", "f1_score", "roc_auc")

@@ -65,12 +65,15 @@ def fit(key: str, train: DataFrame, num, cat, features_model=None, **params):
 
     ``features_model`` -- a feature pipeline already fitted on the same
     training rows -- is reused instead of fitting the statistics again. The
-    transformed rows are persisted once; counts, bin edges and the learner read
-    them from there."""
+    columns of the transformed rows that the learner needs are persisted once;
+    counts, bin edges and the learner read them from there."""
     kind = family(key)
     if features_model is None:
         features_model = feature_pipeline(num, cat).fit(train)
-    rows = features_model.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = features_model.transform(train)
+    # not the categories, their indices and their encodings: they are in the features
+    needed = [c for c in rows.columns if c in train.columns and c not in cat] if kind != "logistic" else [LABEL]
+    rows = rows.select(*needed, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = rows.count()
         if kind == "logistic":

@@ -8,12 +8,14 @@ hash the same values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import drift as drift_ops
 from ..operators.clean import CATEGORICAL, NUMERIC, PLAIN_NUMERIC
+from ..session import keep_compiled
 from . import oracle as O
 from .pipeline import FIXTURE_SPLITS, clean, r6, scan_loans, split_features, splits
 
@@ -24,7 +26,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, d):
+            keep_compiled(spark)
+            return fn(spark, d)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

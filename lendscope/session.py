@@ -56,6 +56,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+#: Bytecode of the largest method that the JVM compiles (HotSpot's HugeMethodLimit).
+COMPILED_BYTES = 8000
+
+
+def keep_compiled(spark: SparkSession) -> None:
+    """Have Spark run a stage operator by operator if its generated method is
+    beyond what the JVM compiles. Fused into one such method, a wide projection
+    runs interpreted, several times slower; results are the same."""
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535")) > COMPILED_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_BYTES))
+
+
 def shared_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
