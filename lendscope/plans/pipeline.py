@@ -39,6 +39,8 @@ def splits(spark: SparkSession, sf_dir: str, ranges=FIXTURE_SPLITS) -> DataFrame
 
 
 _STORED: dict = {}
+#: Bytes of a row group of the stored table: tasks can share a file only by its row groups.
+ROW_GROUP_BYTES = 4 << 20
 
 
 def stored_path(spark: SparkSession, sf_dir: str) -> str:
@@ -48,7 +50,8 @@ def stored_path(spark: SparkSession, sf_dir: str) -> str:
     path = _STORED.get(key)
     if path is None:
         path = shared_dir(spark, "clean")
-        clean(spark, sf_dir).hint("rebalance", YEAR).write.mode("overwrite").partitionBy(YEAR).parquet(path)
+        (clean(spark, sf_dir).hint("rebalance", YEAR).write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+         .partitionBy(YEAR).parquet(path))
         _STORED[key] = path
     return path
 
