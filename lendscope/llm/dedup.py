@@ -28,13 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialised, mix, scratch, small_batches, table, tidy, unused, word_hashes
+from .common import bucketed, components, discard, materialised, mix, release, scratch, small_batches, table, tidy, unused, word_hashes
 
 BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
 ROUNDS = 3
 CHUNK = 120_000
 SEED = 17
+#: Places of a filter before a join (262,144 longs at most, for any input), and shingles in a bucket of the stored sets.
+PLACES = 1 << 24
+BUCKET = 4_000_000
 
 
 def shingle_sets(texts: pa.Array, width: int):
@@ -146,8 +149,21 @@ def named_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "name binary, shingles array<long>").where(F.size("shingles") > 0)
 
 
+def flagged(df: DataFrame, columns: list[str], keys: DataFrame, flag: str) -> DataFrame:
+    """``df`` with a boolean column: false only for rows whose ``columns`` are no row of
+    ``keys``. A bitmap of hashed keys tells, of bounded size for any input, so that
+    most rows without a partner need not be shuffled for a join; the join decides."""
+    place = lambda names: F.pmod(F.xxhash64(*names), F.lit(PLACES))
+    bucket, held = unused([*df.columns, flag], "_bucket", "_bits")
+    at = keys.select(place(keys.columns).alias("_at"))
+    bits = at.groupBy(F.shiftright("_at", 6).alias(bucket)).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at % 64 AS int))")).alias(held))
+    met = df.withColumn(bucket, F.shiftright(place(columns), 6)).join(F.broadcast(bits), bucket, "left")
+    return met.withColumn(flag, F.coalesce(F.getbit(held, (place(columns) % 64).cast("int")) == 1, F.lit(False))).drop(bucket, held)
+
+
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union."""
+    """The pairs (a, b) with 100 * intersection >= percent * union. The set of a
+    goes to b's, so a name of very many pairs had better be an a."""
     left = sets.select(F.col("name").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("name").alias("b"), F.col("shingles").alias("_y"))
     common = F.size(F.array_intersect("_x", "_y"))
@@ -170,6 +186,7 @@ def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     enough = f"{100 + percent} * m >= {percent} * (n_shingles + int(({percent} * n_shingles + 99) / 100))"  # with a partner of the least size
     first = listed.withColumn("_p", reach).where(f"_p > 0 AND {enough}").withColumn("s", F.slice("s", F.lit(1), F.col("_p").cast("int")))
     first = materialised(first.select("name", "n_shingles", "root", "m", F.posexplode("s").alias("at", "shingle")), "prefixes")
+    release(first.sparkSession)
     side = lambda end: first.select("shingle", *[F.col(c).alias(c + end) for c in ("name", "n_shingles", "root", "m", "at")])
     # what follows a common shingle can be common enough; if that holds for any, it does for the first, so pairs
     # may come once a common shingle and are told apart by the caller's distinct
@@ -180,7 +197,7 @@ def rare_partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _pairs(turn: int, member: DataFrame, root: DataFrame, sets: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of a round that were not compared before."""
+    """The pairs (a, b) of a round that were not compared before; a is the partner that many may have."""
     now = member.join(root, "name")
     ends = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "low")
     apart = materialised(now.join(ends, "key"), "apart")
@@ -194,22 +211,32 @@ def _pairs(turn: int, member: DataFrame, root: DataFrame, sets: DataFrame, asked
         met = rare_partners(materialised(apart.select("name", "n_shingles", "root").distinct(), "open"), sets, percent)
     # sizes too far apart cannot be similar
     fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    return met.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
+    low, high = F.least("x", "y"), F.greatest("x", "y")
+    new = met.where(fits).groupBy(low.alias("low"), high.alias("high")).agg(F.max("y").alias("a")).join(asked, ["low", "high"], "left_anti")
+    return new.select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"))
+
+
+def members(classes: DataFrame) -> DataFrame:
+    """key, name, n_shingles of every class and band key that it shares."""
+    keyed = classes.select(F.explode("bands").alias("key"), "name", "n_shingles")
+    shared = materialised(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
+    return materialised(flagged(keyed, ["key"], shared, "_maybe").where("_maybe").drop("_maybe").join(shared, "key"), "members")
 
 
-def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def links(classes: DataFrame, member: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Verified links (a, b) between class names that connect exactly the
     classes that all links connect."""
-    member = classes.select(F.explode("bands").alias("key"), "name", "n_shingles")
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    member = materialised(member.join(shared, "key"), "members")
     held = materialised(member.select("name", "n_shingles").distinct(), "held")
-    firsts = classes.join(held, "name", "left_semi").select("first_id").distinct()
-    texts = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi")
-    sets = materialised(named_sets(texts, width).join(held.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sets")
+    firsts = materialised(classes.join(held, "name", "left_semi").select("first_id").distinct(), "firsts")
     spark = classes.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (held.agg(F.sum("n_shingles")).first()[0] or 0) // BUCKET)
+    texts = flagged(docs.select("doc_id", "text"), ["doc_id"], firsts, "_maybe").where("_maybe")
+    texts = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first_id"]))  # as a semi-join it would move below the filter
+    sets = named_sets(texts, width).repartition(buckets, "name")
+    sets = bucketed(sets.join(held.select("name"), "name", "left_semi").dropDuplicates(["name"]), "sets", "name", buckets)
+    release(spark)
     found = spark.createDataFrame([], "a binary, b binary")
-    asked = spark.createDataFrame([], "a binary, b binary")
+    asked = spark.createDataFrame([], "low binary, high binary")
     root = held.select("name", F.col("name").alias("root"))
     for turn in range(ROUNDS + 1):
         with scratch(spark):
@@ -217,10 +244,11 @@ def links(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
             if pairs.isEmpty():
                 continue
             new = materialised(similar(pairs, sets, percent), "links", keep=True)
-            asked, found = asked.union(pairs), found.union(new)
+            asked, found = asked.union(pairs.select(F.least("a", "b"), F.greatest("a", "b"))), found.union(new)
             if turn < ROUNDS and not new.isEmpty():
                 roots = components(found).select(F.col("node").alias("name"), "root")
                 root = materialised(held.join(roots, "name", "left").select("name", F.coalesce("root", "name").alias("root")), "roots", keep=True)
+        release(spark)  # the round's shuffle files
     return found
 
 
@@ -231,14 +259,20 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     told = materialised(described(docs, width), "described")
     classes = told.where("n_shingles > 0").groupBy("name").agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands"))
-    classes = materialised(classes, "classes")
-    roots = components(links(classes, docs, width, percent))
+    banded = materialised(classes, "banded")
+    member = members(banded)
+    # the bands go, they are most of both tables
+    classes, slim = materialised(banded.drop("bands"), "classes"), materialised(told.drop("bands"), "told")
+    for wide in (banded, told):
+        discard(wide)
+    release(docs.sparkSession)
+    roots = components(links(classes, member, docs, width, percent))
     joined = classes.select("name", "first_id").join(roots, classes["name"] == roots["node"], "left") \
                     .select("name", "first_id", F.coalesce("root", "name").alias("root"))
     joined = materialised(joined, "joined")
     least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = joined.join(least, "root").select("name", "root", "component_id")
-    out = told.drop("bands").join(of_class, "name", "left")
+    out = slim.join(of_class, "name", "left")
     alone = F.col("n_shingles") == 0
     return out.select("doc_id", "tag", "n_shingles", "root", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -251,18 +285,19 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         found = materialised(groups(docs, width, percent).where("n_shingles > 0"), "grouped", keep=True)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tag")
     first = found.groupBy("root").agg(F.min(rank).alias("_first"))
-    d, t, own = unused(docs.columns, "_d", "_t", "_tag")
+    d, t, own, twice, maybe = unused(docs.columns, "_d", "_t", "_tag", "_twice", "_maybe")
     rest = found.join(first, "root").where(~rank.eqNullSafe(F.col("_first"))).select(F.col("doc_id").alias(d), F.col("tag").alias(t)).distinct()
     rest = materialised(rest, "rest")
     again = found.groupBy("doc_id", "tag").count().where("count > 1").select(F.col("doc_id").alias(d), F.col("tag").alias(t))
-    again = materialised(again, "again")
-    tagged = docs.withColumn(own, F.xxhash64("text"))
-    same = lambda x: tagged["doc_id"].eqNullSafe(x[d]) & (tagged[own] == x[t])
-    out = tagged.join(rest, same(rest), "left_anti")
-    if not again.isEmpty():
-        tagged = out
-        out = tagged.join(again, same(again), "left_anti").union(tagged.join(again, same(again), "left_semi").dropDuplicates(["doc_id", own]))
-    return out.select(docs.columns)
+    again = again.join(rest, again[d].eqNullSafe(rest[d]) & (again[t] == rest[t]), "left_anti")
+    marks = materialised(rest.withColumn(twice, F.lit(False)).union(again.withColumn(twice, F.lit(True))), "marks")
+    # only rows that may be marked are joined; an anti-join would move below the filter
+    tagged = flagged(docs.withColumn(own, F.xxhash64("text")), ["doc_id", own], marks.select(d, t), maybe)
+    met = tagged.where(maybe).join(marks, tagged["doc_id"].eqNullSafe(marks[d]) & (tagged[own] == marks[t]), "left")
+    out = tagged.where(~F.col(maybe)).select(docs.columns).union(met.where(F.col(twice).isNull()).select(docs.columns))
+    if not marks.where(twice).isEmpty():
+        out = out.union(met.where(twice).dropDuplicates(["doc_id", own]).select(docs.columns))
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendscope.llm import ann, dedup, language, mixing, packing, pii, pitmanyor, pivots, toxicity, warc
-from lendscope.llm.common import WORD, components, shared_folder, word_hashes
+from lendscope.llm.common import WORD, bucketed, components, shared_folder, word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, name string"
 FOLD = {i: i + 32 for i in range(65, 91)}
@@ -89,6 +89,53 @@ def test_dedup_keeps_one_row_of_each_group(docs):
     assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 6, 10, 11, 12, 14]  # 13 repeats one word before the text of 6
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_shuffles_no_text_that_has_no_partner(spark, docs):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = docs.withColumn("_bucket", F.lit(7)).withColumn("_bits", F.lit("b"))
+        out = dedup.deduplicated(wide)
+        nodes = plan(out).split("\n")
+        sent = [i for i, line in enumerate(nodes) if "Exchange hashpartitioning" in line and "doc_id" in line]
+        assert sent and all("getbit" in "\n".join(nodes[i:i + 16]) for i in sent)  # the filter is below the exchange
+        assert out.columns == wide.columns
+        ids = [r["doc_id"] for r in out.where("_bucket = 7 AND _bits = 'b'").collect()]
+        assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 6, 10, 11, 12, 14] and ids.count(None) == 1
+        same = spark.createDataFrame([(None, "")] * 3 + [(1, "")] * 2 + [(None, "a b")] * 3 + [(4, "c d")] * 2, "doc_id long, text string")
+        kept = [tuple(r) for r in dedup.deduplicated(same).collect()]
+        assert sorted(kept, key=str) == sorted([(None, "")] * 3 + [(1, "")] * 2 + [(None, "a b"), (4, "c d")], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_filter_before_a_join_loses_no_key(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.col("id").alias("_bits"))
+    keys = rows.where("k % 40 = 0 OR k IS NULL").select("k")
+    got = {r["k"]: r["maybe"] for r in dedup.flagged(rows, ["k"], keys, "maybe").collect()}
+    assert len(got) == 20_000 and all(got[k] for k in got if k is None or k % 40 == 0)
+    assert sum(got.values()) < 600  # all but a few of the others are told
+    assert not any(r["maybe"] for r in dedup.flagged(rows, ["k"], keys.where("k < 0"), "maybe").collect())
+
+
+def test_stored_sets_are_joined_without_a_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = spark.range(50).select(F.col("id").cast("string").cast("binary").alias("name"))
+        sets = bucketed(names.withColumn("shingles", F.array(F.lit(1), F.lit(2))), "sets", "name", 4)
+        pairs = spark.range(50).select(F.col("id").cast("string").cast("binary").alias("a"), ((F.col("id") + 1) % 50).cast("string").cast("binary").alias("b"))
+        found = dedup.similar(pairs, sets, 80)
+        assert plan(found).count("Exchange") == 2  # of the pairs, once by either end
+        assert found.count() == 50
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("sets")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 2**63, 400).astype(np.uint64))
