@@ -4,12 +4,15 @@
 ``MAX_BINS`` bins (exact quantiles of the training rows for numeric slots; 0 / 1
 slots get two), so a row is one byte per slot.
 
-*Forest.* Tree ``t`` takes row ``i`` Poisson(rate) times, drawn from a hash of
-(seed, t, row_id): the bag does not depend on partitions or row order, and one
-shuffle by tree brings each bag to the task that grows the tree. ``TREE_ROWS``
-bounds a bag (rate = min(1, TREE_ROWS / rows)), so a task's memory is bounded
-however large the table is; different trees see different rows. The tasks write
-their trees to the shared folder; the driver gets each slot's gains only.
+*Forest.* Tree ``t`` takes row ``i`` Poisson(1) times, drawn from a hash of
+(seed, t, row_id), of all rows: the bag does not depend on partitions or row order.
+The rows are packed into chunks by a hash of row_id; trees are grown some at a
+time, so that the bags on disk are as many as the cluster's tasks hold. A bag of
+up to ``BAG_BYTES`` goes to the task that grows its tree. A larger one's nodes are split
+by sums over the chunks, a job a level, until their rows fit into a task; each task
+then grows some of these nodes, and its part is a tree of its own whose values
+add up with the other parts'. The tasks write their trees to the shared folder; the
+driver gets each slot's gains only.
 
 *Boosting.* The binned rows are dealt into chunks by a hash of row_id and
 kept one a partition. Each level of a tree is one job: every chunk computes its
@@ -38,22 +41,24 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import drop_dir, shared_dir, stored_table
+from ..session import drop_dir, release, shared_dir, stored_table
 from .quantiles import exact_quantiles
 
 MAX_BINS = 32
-TREE_ROWS = 200_000
 CHUNK_ROWS = 65_536
+#: Packed rows of a forest's bag that a task holds to grow a tree, or part of one.
+BAG_BYTES = 96 << 20
 #: Trees up to this size are shipped whole; of larger forests a task holds so much, and so many rows, when it scores.
 TREE_BYTES = 32 << 20
 SCORE_ROWS = 1 << 19
 FOLD = 25
 #: Chunks whose sums go straight to the driver.
 DIRECT = 64
-#: Open nodes of a forest tree handled at a time; weights and gains up to LEAST count as none.
-BLOCK, LEAST = 1024, 1e-12
-#: Gains of boosted splits that differ by no more than this share are equal.
+#: Open nodes and rows of a forest tree handled at a time; weights and gains up to this share of a node's weight count as none.
+BLOCK, ROWS, LEAST = 4096, 1 << 16, 1e-11
+#: Gains of splits that differ by no more than this share are equal.
 TIE = 1e-9
 _KEY = "row_id"
 
@@ -148,57 +153,253 @@ def walk(tree: dict, x: np.ndarray) -> np.ndarray:
         at[inner] = np.where(goes, tree["left"][n], tree["right"][n])
 
 
+# --- a forest's tree -----------------------------------------------------------
+
+class _Growing:
+    """The arithmetic of a forest's tree: the splits of nodes by weighted Gini
+    decrease, from sums that may come from any number of pieces.
+
+    A row is a row of words: the bits of its narrow slots, its weight (below
+    zero for class 0), the bins of its wide slots as bytes. A node has a key, made from its parent's: the slots that it tries
+    are drawn from it, ``tries`` at first and as many more when none of them
+    splits it, until all are tried; so where a node is grown does not matter."""
+
+    def __init__(self, wide, narrow, bins: int, tries: int, max_depth: int):
+        self.wide, self.narrow, self.bins, self.tries, self.max_depth = wide, narrow, bins, tries, max_depth
+        self.slots = len(wide) + len(narrow)
+        self.is_wide = np.zeros(self.slots, bool)
+        self.is_wide[wide] = True
+        self.place = np.empty(self.slots, np.int64)  # of a slot among those of its kind
+        self.place[wide], self.place[narrow] = np.arange(len(wide)), np.arange(len(narrow))
+        self.words = max(1, -(-len(narrow) // 64))
+
+        self.row_words = self.words + 1 + -(-len(wide) // 8)
+
+    def pack(self, x: np.ndarray, s: np.ndarray) -> np.ndarray:
+        """Rows of bins (rows x slots) and signed weights."""
+        bits = np.zeros((len(x), 64 * self.words), np.uint8)
+        bits[:, :len(self.narrow)] = x[:, self.narrow]
+        out = np.zeros((len(x), self.row_words), np.uint64)
+        out[:, :self.words] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        out[:, self.words] = np.ascontiguousarray(s, float).view(np.uint64)
+        out.view(np.uint8)[:, 8 * self.words + 8:][:, :len(self.wide)] = x[:, self.wide]
+        return out
+
+    def rows(self, packed) -> np.ndarray:
+        return np.frombuffer(packed, np.uint64).reshape(-1, self.row_words)
+
+    def weights(self, rows: np.ndarray) -> np.ndarray:
+        return rows[:, self.words].view(float)
+
+    def bins_of(self, rows: np.ndarray, i: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The bin of row ``i`` in the wide slot at ``place``."""
+        return rows.view(np.uint8).ravel()[i * (8 * self.row_words) + place + 8 * (self.words + 1)]
+
+    @staticmethod
+    def children(keys: np.ndarray) -> np.ndarray:
+        """The keys of the left and right child of each node, in turn."""
+        with np.errstate(over="ignore"):
+            return np.stack([_mix(keys + np.uint64(s)) for s in (0x9E3779B97F4A7C15, 0x3C6EF372FE94F82B)], axis=1).ravel()
+
+    def looks(self, keys: np.ndarray, first: int) -> np.ndarray:
+        """(node x slot) the next slots of the nodes that have tried ``first``:
+        a random order of all slots, as far as it is asked for."""
+        upto, row = min(first + self.tries, self.slots), np.arange(len(keys))
+        order = np.tile(np.arange(self.slots), (len(keys), 1))
+        for i in range(upto):
+            with np.errstate(over="ignore"):
+                u = _mix(keys + np.uint64((i + 1) * 0xD1B54A32D192ED03 % (1 << 64))) >> np.uint64(11)
+            j = i + (u.astype(np.float64) * ((self.slots - i) / float(1 << 53))).astype(np.int64)
+            order[row, i], order[row, j] = order[row, j], order[row, i]
+        return order[:, first:upto]
+
+    def plan(self, look: np.ndarray):
+        """What the sums of nodes that try these slots need: the bits of their
+        narrow slots, the try of each, and their wide slots as (node, try, slot)."""
+        n, k = look.shape
+        node, turn = np.divmod(np.arange(n * k), k)
+        wide, place = self.is_wide[look].ravel(), self.place[look].ravel()
+        tried = np.zeros((n, 64 * self.words), np.uint8)
+        turn_of = np.zeros((n, 64 * self.words), np.int16)
+        tried[node[~wide], place[~wide]] = 1
+        turn_of[node[~wide], place[~wide]] = turn[~wide]
+        held = np.bincount(node[wide], minlength=n)
+        return k, np.packbits(tried, axis=1, bitorder="little").view("<u8"), turn_of, (node[wide], turn[wide], place[wide], held, np.cumsum(held) - held)
+
+    def sums(self, rows, mine: np.ndarray, n: int, plan):
+        """Weights by class of rows that stand at nodes ``mine``: per (node, try,
+        class) of the rows with 1 in a narrow slot, per (wide try, bin, class)."""
+        s = self.weights(rows)
+        k, tried, turn_of, (_, _, slot, held, first) = plan
+        y, w, at, cells, weights = (s > 0).astype(np.int64), np.abs(s), np.arange(len(s)), [], []
+        for word in range(self.words):
+            v = rows[:, word] & tried[:, word].take(mine)
+            i = np.flatnonzero(v)
+            v = v[i]
+            while len(i):
+                lowest = v & (~v + np.uint64(1))
+                node = mine[i]
+                turn = turn_of.take(node * turn_of.shape[1] + (64 * word + np.bitwise_count(lowest - np.uint64(1)).astype(np.int64)))
+                cells.append((node * k + turn) * 2 + y[i])
+                weights.append(w[i])
+                v ^= lowest
+                more = np.flatnonzero(v)
+                i, v = i[more], v[more]
+        ones = np.bincount(np.concatenate(cells), np.concatenate(weights), n * k * 2) if cells else np.zeros(n * k * 2)
+        by_bin = np.zeros(len(slot) * self.bins * 2)
+        if len(slot):
+            count = held[mine]
+            i = np.repeat(at, count)
+            pair = np.arange(len(i)) - np.repeat(np.cumsum(count) - count - first[mine], count)
+            by_bin = np.bincount((pair * self.bins + self.bins_of(rows, i, slot[pair])) * 2 + y[i], w[i], len(by_bin))
+        return ones.reshape(n, k, 2), by_bin.reshape(-1, self.bins, 2)
+
+    def best(self, whole: np.ndarray, ones: np.ndarray, by_bin: np.ndarray, look: np.ndarray, plan):
+        """(slot or -1, last bin that goes left, gain) of nodes with these sums:
+        of equal splits that of the first try and bin, however the sums were rounded."""
+        n, k = look.shape
+        node, turn = plan[3][:2]
+
+        def gains(low, all_):
+            high = np.maximum(all_ - low, 0.0)
+            nl, nr, total = low.sum(-1), high.sum(-1), all_.sum(-1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = (low ** 2).sum(-1) / nl + (high ** 2).sum(-1) / nr - (all_ ** 2).sum(-1) / total
+            return np.where((nl > LEAST * total) & (nr > LEAST * total), gain, -np.inf)
+
+        total = whole.sum(-1)
+        slack = lambda top, total: top - (TIE * np.abs(top) + 1e-13 * total)
+        gain, cut = gains(np.maximum(whole[:, None] - ones, 0.0), whole[:, None]), np.zeros((n, k), np.int64)
+        if len(node):
+            g = gains(by_bin.cumsum(axis=1), whole[node][:, None])
+            cut[node, turn] = c = (g >= slack(g.max(axis=1), total[node])[:, None]).argmax(axis=1)
+            gain[node, turn] = g[np.arange(len(g)), c]
+        j = (gain >= slack(gain.max(axis=1), total)[:, None]).argmax(axis=1)
+        at = np.arange(n)
+        gain = gain[at, j]
+        return np.where(gain > LEAST * total, look[at, j], -1), cut[at, j], gain
+
+    def right(self, rows: np.ndarray, mine: np.ndarray, slot: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Whether each row goes right at its node's split."""
+        place, wide, i = self.place[slot], self.is_wide[slot], np.arange(len(mine))
+        word, shift = np.where(wide, 0, place >> 6), np.where(wide, 0, place & 63).astype(np.uint64)
+        out = (rows.ravel()[i * self.row_words + word[mine]] >> shift[mine]) & np.uint64(1) > 0
+        if wide.any():
+            w = np.flatnonzero(wide[mine])
+            out[w] = self.bins_of(rows, w, place[mine[w]]) > cut[mine[w]]
+        return out
+
+    def descend(self, tree: dict, rows) -> np.ndarray:
+        """The leaf of each row."""
+        at = np.zeros(len(rows), np.int64)
+        i = np.flatnonzero(tree["feature"][at] >= 0)
+        while len(i):
+            v = at[i]
+            goes = self.right(rows[i], v, tree["feature"], tree["bin"])
+            at[i] = np.where(goes, tree["right"][v], tree["left"][v])
+            i = i[tree["feature"][at[i]] >= 0]
+        return at
+
+    def _split(self, rows, offset, keys, whole):
+        """The best splits of nodes whose rows lie one after another."""
+        m = len(keys)
+        slot, cut, gain = np.full(m, -1), np.zeros(m, np.int64), np.zeros(m)
+        first = 0
+        while first < m:
+            last = max(first + 1, min(first + BLOCK, int(np.searchsorted(offset, offset[first] + ROWS, "right")) - 1))
+            todo = np.arange(first, last)
+            for seen in range(0, self.slots, self.tries):
+                if not len(todo):
+                    break
+                look = self.looks(keys[todo], seen)
+                plan, sums, at = self.plan(look), None, np.full(last - first, -1)
+                at[todo - first] = np.arange(len(todo))
+                for a in range(offset[first], offset[last], ROWS):
+                    b = min(a + ROWS, offset[last])
+                    lo, hi = np.searchsorted(offset, [a, b - 1], "right") - 1
+                    mine = np.repeat(at[lo - first:hi + 1 - first], np.minimum(offset[lo + 1:hi + 2], b) - np.maximum(offset[lo:hi + 1], a))
+                    part = rows[a:b]
+                    if len(todo) < last - first:
+                        kept = np.flatnonzero(mine >= 0)
+                        part, mine = part[kept], mine[kept]
+                    got = self.sums(part, mine, len(todo), plan)
+                    sums = got if sums is None else [s + g for s, g in zip(sums, got)]
+                slot[todo], cut[todo], gain[todo] = self.best(whole[todo], *sums, look, plan)
+                todo = todo[slot[todo] < 0]
+            first = last
+        return slot, cut, np.where(slot >= 0, gain, 0.0)
+
+    def grow(self, held: list, sizes, keys, depths) -> dict:
+        """The trees below nodes whose rows lie one after another (``sizes`` of
+        them each), in one tree's arrays: these nodes first, then level by level.
+        ``held`` has the rows and is emptied, so that they can be freed."""
+        rows, sizes = held.pop(), np.asarray(sizes, np.int64)
+        keys, depths, levels, made = np.asarray(keys, np.uint64), np.asarray(depths, np.int64), [], 0
+        whole, offset = np.zeros((len(keys), 2)), np.concatenate([[0], np.cumsum(sizes)])
+        for a, b, lo, hi, mine in _pieces(offset):
+            s = self.weights(rows[a:b])
+            whole[lo:hi] += np.bincount(mine * 2 + (s > 0), np.abs(s), (hi - lo) * 2).reshape(-1, 2)
+
+        def new(whole, depths):
+            """More nodes; which of them are open."""
+            total = whole.sum(-1)
+            levels.append({k: np.full(len(whole), v, t) for (k, t), v in zip(FIELDS, (-1, 0, -1, -1, 0.0, 0.0))})
+            levels[-1]["value"][:] = np.divide(whole[:, 1], total, out=np.zeros(len(whole)), where=total > 0)
+            return (whole.min(axis=1) > LEAST * total) & (depths < self.max_depth)  # both classes are left
+
+        open_ = new(whole, depths)
+        if not open_.all():
+            rows = rows[np.repeat(open_, sizes)]
+        while open_.any():
+            at, made = np.flatnonzero(open_), made + len(open_)
+            whole, sizes, keys, depths, level = whole[at], sizes[at], keys[at], depths[at], levels[-1]
+            offset = np.concatenate([[0], np.cumsum(sizes)])
+            slot, cut, gain = self._split(rows, offset, keys, whole)
+            m, goes = len(at), np.empty(int(offset[-1]), np.int8)
+            counts, sums = np.zeros((m, 2), np.int64), np.zeros((m, 2, 2))
+            for a, b, lo, hi, mine in _pieces(offset):
+                side = self.right(rows[a:b], mine, slot[lo:hi], cut[lo:hi])
+                goes[a:b] = side
+                s, place = self.weights(rows[a:b]), mine * 2 + side
+                counts[lo:hi] += np.bincount(place, minlength=(hi - lo) * 2).reshape(-1, 2)
+                sums[lo:hi] += np.bincount(place * 2 + (s > 0), np.abs(s), (hi - lo) * 4).reshape(-1, 2, 2)
+            split = np.flatnonzero((slot >= 0) & (counts.min(axis=1) > 0))
+            place = at[split]
+            level["feature"][place], level["bin"][place], level["gain"][place] = slot[split], cut[split], gain[split]
+            level["left"][place] = made + 2 * np.arange(len(split))
+            level["right"][place] = level["left"][place] + 1
+            open_ = np.zeros((m, 2), bool)
+            whole, keys, depths = sums[split].reshape(-1, 2), self.children(keys[split]), np.repeat(depths[split] + 1, 2)
+            open_[split] = new(whole, depths).reshape(-1, 2)
+            ends = np.where(open_, counts, 0)
+            starts = (np.cumsum(ends) - ends.ravel()).reshape(-1, 2)
+            order = np.empty(int(ends.sum()), np.int32 if len(goes) < 1 << 31 else np.int64)  # the rows of the open children
+            for side in (0, 1):
+                i = np.flatnonzero(goes == side)
+                if not open_[:, side].all():
+                    i = i[np.repeat(open_[:, side], counts[:, side])]
+                n = ends[:, side]
+                order[np.arange(len(i)) + np.repeat(starts[:, side] - (np.cumsum(n) - n), n)] = i
+            rows = rows.take(order, axis=0)
+            sizes, open_ = counts[split].ravel(), open_[split].ravel()
+        return {k: np.concatenate([v[k] for v in levels]) for k, _ in FIELDS}
+
+
+def _pieces(offset: np.ndarray):
+    """(first row, end, first node, end, node of each row less the first) of the
+    rows, ``ROWS`` at a time; node ``i`` has those from ``offset[i]`` on."""
+    for a in range(0, int(offset[-1]), ROWS):
+        b = min(a + ROWS, int(offset[-1]))
+        lo, hi = np.searchsorted(offset, [a, b - 1], "right")
+        yield a, b, lo - 1, hi, np.repeat(np.arange(hi + 1 - lo), np.minimum(offset[lo:hi + 1], b) - np.maximum(offset[lo - 1:hi], a))
+
+
 def grow_bag(x: np.ndarray, y: np.ndarray, w: np.ndarray, max_depth: int, tries: int, rng: np.random.Generator, bins: int) -> dict:
-    """A classification tree of one bag by weighted Gini decrease.
-
-    Each node looks at ``tries`` random slots, and at as many more when none of
-    them splits it, until all are tried. Leaves may hold one row. Open nodes
-    wait in a queue and are taken ``BLOCK`` at a time, so the sums stay bounded."""
-    slots = x.shape[1]
-    feature, cut, left, right, value, gain = [-1], [0], [-1], [-1], [0.0], [0.0]
-    node = np.zeros(len(y), np.int64)
-    total = w.sum()
-    value[0] = float(w[y == 1].sum() / total) if total else 0.0
-    by_class = [np.where(y == c, w, 0.0) for c in (0, 1)]
-    queue = [(0, 0, 0, rng.permutation(slots))]  # node, its depth, slots already tried, their order
-    while queue:
-        taken, queue = queue[:BLOCK], queue[BLOCK:]
-        active = np.array([q[0] for q in taken])
-        place = np.full(len(feature), -1, np.int64)
-        place[active] = np.arange(len(active))
-        mine = place[node]
-        rows = np.flatnonzero(mine >= 0)
-        mine = mine[rows]
-        look = np.stack([np.take(order, range(seen, seen + tries), mode="clip") for _, _, seen, order in taken])
-        b = x[rows[:, None], look[mine]]
-        flat = ((mine[:, None] * tries + np.arange(tries)) * bins + b).ravel()
-        sums = np.stack([np.bincount(flat, np.repeat(c[rows], tries), len(active) * tries * bins) for c in by_class], axis=-1)
-        low = sums.reshape(len(active), tries, bins, 2).cumsum(axis=2)
-        all_ = low[:, :, -1:, :]
-        high = all_ - low
-        nl, nr, n = low.sum(-1), high.sum(-1), all_.sum(-1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = (low ** 2).sum(-1) / nl + (high ** 2).sum(-1) / nr - (all_ ** 2).sum(-1) / n
-        score = np.where((nl > LEAST) & (nr > LEAST), score, -np.inf).reshape(len(active), -1)
-        best = score.argmax(axis=1)
-        for i, (v, depth, seen, order) in enumerate(taken):
-            if score[i, best[i]] <= LEAST:
-                if seen + tries < slots and all_[i, 0, 0].min() > LEAST:
-                    queue.append((v, depth, seen + tries, order))
-                continue
-            j, c = divmod(int(best[i]), bins)
-            feature[v], cut[v], gain[v] = int(look[i, j]), c, float(score[i, best[i]])
-            left[v], right[v] = len(feature), len(feature) + 1
-            for side in (low[i, j, c], high[i, j, c]):
-                if depth + 1 < max_depth and side.min() > LEAST:  # both classes are left
-                    queue.append((len(feature), depth + 1, 0, rng.permutation(slots)))
-                for a, new in ((feature, -1), (cut, 0), (left, -1), (right, -1), (gain, 0.0), (value, float(side[1] / side.sum()))):
-                    a.append(new)
-        f, c, n = np.array(feature), np.array(cut), node[rows]
-        moved = f[n] >= 0
-        r, n = rows[moved], n[moved]
-        node[r] = np.where(x[r, f[n]] <= c[n], np.array(left)[n], np.array(right)[n])
-    return {k: np.array(v, t) for (k, t), v in zip(FIELDS, (feature, cut, left, right, value, gain))}
+    """A classification tree of one bag (rows x slots) by weighted Gini
+    decrease. Leaves may hold one row."""
+    g = _Growing(np.arange(x.shape[1]), np.arange(0), bins, tries, max_depth)
+    kept = np.flatnonzero(w > 0)
+    return g.grow([g.pack(x[kept], np.where(y[kept] == 1, w[kept], -w[kept]))], [len(kept)], rng.integers(0, 1 << 63, 1).astype(np.uint64), [0])
 
 
 # --- the model --------------------------------------------------------------------
@@ -208,17 +409,19 @@ class TreeModel(Model, MLWritable, MLReadable):
     assembled ``features``. ``kind`` is "forest" (leaf shares are averaged) or
     "boosted" (leaf values are summed into log odds).
 
-    The trees are a list, or a stored table (a row per tree) that the executors
-    wrote. A table of more than ``TREE_BYTES`` never comes to the driver: rows
+    The trees are a list, or a stored table that the executors wrote: a row per
+    tree, or several whose values add up to a tree's. A table of more than ``TREE_BYTES`` never comes to the driver: rows
     meet the trees in a join, group by group."""
 
     meta = Param(Params._dummy(), "meta", "kind, bin edges, importances and size of the trees as JSON", typeConverter=TypeConverters.toString)
 
-    def __init__(self, kind: str | None = None, edges=None, trees=None, importance=None, table: DataFrame | None = None, size: int = 0):
+    def __init__(self, kind: str | None = None, edges=None, trees=None, importance=None, table: DataFrame | None = None, size: int = 0,
+                 count: int | None = None):
         super().__init__()
         self.table, self._list = table, trees
         if kind is not None:
-            self._set(meta=json.dumps({"kind": kind, "edges": edges, "importance": [float(v) for v in importance], "bytes": size}))
+            self._set(meta=json.dumps({"kind": kind, "edges": edges, "importance": [float(v) for v in importance], "bytes": size,
+                                       "trees": len(trees) if count is None else count}))
 
     @property
     def told(self) -> dict:
@@ -245,9 +448,9 @@ class TreeModel(Model, MLWritable, MLReadable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         told = self.told
-        edges, forest = told["edges"], told["kind"] == "forest"
+        edges, forest, count = told["edges"], told["kind"] == "forest", told.get("trees")
         if self.large and not df.isStreaming:
-            out = self._joined(df, edges, told["bytes"])
+            out = self._joined(df, edges, told["bytes"], count)
         else:
             shared = df.sparkSession.sparkContext.broadcast(self.trees)  # the model itself
 
@@ -258,14 +461,14 @@ class TreeModel(Model, MLWritable, MLReadable):
                 x, out = binned(np.stack(v.to_numpy()), edges), np.zeros(len(v))
                 for t in shared.value:
                     out += t["value"][walk(t, x)]
-                return pd.Series(out / max(1, len(shared.value)) if forest else 1.0 / (1.0 + np.exp(-out)))
+                return pd.Series(out / max(1, len(shared.value) if count is None else count) if forest else 1.0 / (1.0 + np.exp(-out)))
 
             out = df.withColumn("prediction", positive(vector_to_array("features")))
         p = F.col("prediction")
         out = out.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
         return out.withColumn("prediction", (p > 0.5).cast("double"))
 
-    def _joined(self, df: DataFrame, edges, size: int) -> DataFrame:
+    def _joined(self, df: DataFrame, edges, size: int, count: int | None) -> DataFrame:
         """``prediction`` by a large forest: blocks of rows meet groups of trees,
         so that a task holds about ``TREE_BYTES`` of trees and ``SCORE_ROWS``
         rows. The rows are written once, with a number each."""
@@ -285,7 +488,7 @@ class TreeModel(Model, MLWritable, MLReadable):
 
         sums = x.groupBy("part", "block").cogroup(trees.groupBy("part", "block")).applyInPandas(summed, "row_id long, s double, n long, part int")
         in_order = F.transform(F.array_sort(F.collect_list(F.struct("part", "s"))), lambda v: v["s"])  # a number a group of trees
-        mean = F.aggregate(in_order, F.lit(0.0), lambda a, v: a + v) / F.sum("n")
+        mean = F.aggregate(in_order, F.lit(0.0), lambda a, v: a + v) / (F.sum("n") if count is None else F.lit(count))
         return rows.join(sums.groupBy(F.col("row_id").alias(key)).agg(mean.alias("prediction")), key).select(*df.columns, "prediction")
 
     def write(self):
@@ -326,46 +529,251 @@ class _TreeReader(MLReader):
 
 # --- forest ------------------------------------------------------------------------
 
-def fit_forest(df: DataFrame, edges, n_rows: int, label: str, weight: str, features: str = "features", numTrees: int = 300,
-               maxDepth: int | None = None, seed: int = 42, tree_rows: int = TREE_ROWS) -> TreeModel:
-    """A random forest with the square root of the slots tried per node."""
-    spark, slots = df.sparkSession, len(edges)
-    rate = min(1.0, tree_rows / max(1, n_rows))
-    tries, bins, depth = max(1, math.isqrt(slots)), max((len(e) for e in edges), default=0) + 1, maxDepth or 1 << 30
+_BAG = "unit int, chunk int, root binary, rows binary"
+
+
+def _records(batch, *names):
+    """The rows of a batch as dicts; binary columns as buffers, not copied."""
+    for i in range(batch.num_rows):
+        cells = ((n, batch.column(n)[i]) for n in names)
+        yield {n: c.as_buffer() if isinstance(c, pa.BinaryScalar) else c.as_py() for n, c in cells}
+
+
+def _signed_chunks(df: DataFrame, edges, n: int, g: _Growing, features: str, label: str, weight: str) -> DataFrame:
+    """One row per chunk: the ids and packed rows of it."""
+    rows = _binned_rows(df, edges, features, label, weight).withColumn("chunk", F.pmod(F.xxhash64("row_id"), F.lit(n)).cast("int"))
+
+    def pack(key, p):
+        p = p[p["y"].isin([0.0, 1.0]) & (p["w"] > 0)].sort_values("row_id", kind="stable")
+        w = p["w"].to_numpy(float)
+        packed = g.pack(_matrix(p["x"], g.slots), np.where(p["y"] == 1, w, -w))
+        return pd.DataFrame([(int(key[0]), p["row_id"].to_numpy(np.int64).tobytes(), packed.tobytes())], columns=["chunk", "ids", "rows"])
+
+    return rows.groupBy("chunk").applyInPandas(pack, "chunk int, ids binary, rows binary")
+
+
+def _drawn(g: _Growing, ids: np.ndarray, rows: np.ndarray, seed: int, t: int, rate: float) -> np.ndarray:
+    """The rows of tree ``t``'s bag: each as often as its Poisson number says, in its weight."""
+    k = poisson(uniform(ids, seed, t), rate)
+    at = np.flatnonzero(k)
+    out = rows.take(at, axis=0)
+    g.weights(out)[:] *= k[at]
+    return out
+
+
+class _Top:
+    """A tree whose nodes are split by sums over all chunks, until every open
+    one has few enough rows to be grown in a task (``units``)."""
+
+    def __init__(self, key: np.ndarray):
+        self.tree = {k: [v] for (k, _), v in zip(FIELDS, (-1, 0, -1, -1, 0.0, 0.0))}
+        self.open = [(0, int(key), 0, 0)]  # node, key, depth, slots tried
+        self.shipped: list[tuple] = []  # node, key, depth, rows
+
+    def split(self, g: _Growing, counts, whole, parts, held: int) -> None:
+        """Next nodes from the sums of the open ones; ``parts`` by slots tried."""
+        was, self.open = self.open, []
+        found = {}
+        for at, look, plan, ones, by_bin in parts:
+            found.update(zip(at.tolist(), zip(*(v.tolist() for v in g.best(whole[at], ones, by_bin, look, plan)))))
+        for i, (v, key, depth, seen) in enumerate(was):
+            total = whole[i].sum()
+            self.tree["value"][v] = float(whole[i, 1] / total) if total > 0 else 0.0
+            if whole[i].min() <= LEAST * total or depth >= g.max_depth:
+                continue
+            if counts[i] <= held:
+                self.tree["value"][v] = 0.0  # its unit tells
+                self.shipped.append((v, key, depth, int(counts[i])))
+                continue
+            slot, cut, gain = found[i]
+            if slot < 0:
+                if seen + g.tries < g.slots:
+                    self.open.append((v, key, depth, seen + g.tries))
+                continue
+            n = len(self.tree["feature"])
+            for k, value in (("feature", slot), ("bin", cut), ("left", n), ("right", n + 1), ("gain", gain)):
+                self.tree[k][v] = value
+            for j, child in enumerate(g.children(np.array([key], np.uint64)).tolist()):
+                for k, value in zip(self.tree, (-1, 0, -1, -1, 0.0, 0.0)):
+                    self.tree[k].append(value)
+                self.open.append((n + j, child, depth + 1, 0))
+
+    def units(self, held: int) -> list[list[tuple]]:
+        """The shipped nodes, put together to as many rows as a task holds."""
+        out, rows = [[]], 0
+        for s in self.shipped:
+            if out[-1] and rows + s[3] > held:
+                out.append([])
+                rows = 0
+            out[-1].append(s[:3])
+            rows += s[3]
+        return out
+
+
+def _plans(g: _Growing, open_):
+    """(places of nodes, their slots, plan) of open nodes, by how many slots they tried."""
+    seen, keys = np.array([o[3] for o in open_]), np.array([o[1] for o in open_], np.uint64)
+    for s in np.unique(seen):
+        at = np.flatnonzero(seen == s)
+        look = g.looks(keys[at], int(s))
+        yield at, look, g.plan(look)
+
+
+def _top_level(chunks: DataFrame, g: _Growing, tops: dict, seed: int, rate: float, held: int) -> None:
+    """One more level of the ``tops`` (by tree): the sums of the open nodes over all
+    chunks, added in the order of the chunks, then their splits."""
+    asked = {t: (_Boosting.arrays(top.tree), top.open) for t, top in tops.items() if top.open}
+
+    def sums(batches):
+        plans = {t: list(_plans(g, open_)) for t, (_, open_) in asked.items()}
+        for batch in batches:
+            for row in _records(batch, "chunk", "ids", "rows"):
+                ids, rows = np.frombuffer(row["ids"], np.int64), g.rows(row["rows"])
+                for t, (tree, open_) in asked.items():
+                    bag, place = _drawn(g, ids, rows, seed, t, rate), np.full(len(tree["feature"]), -1)
+                    place[[o[0] for o in open_]] = np.arange(len(open_))
+                    mine, n = place[g.descend(tree, bag)], len(open_)
+                    i = np.flatnonzero(mine >= 0)
+                    bag, mine = bag[i], mine[i]
+                    s = g.weights(bag)
+                    out = [np.bincount(mine, minlength=n).astype(float), np.bincount(mine * 2 + (s > 0), np.abs(s), n * 2)]
+                    for at, look, plan in plans[t]:
+                        own = np.full(n, -1)
+                        own[at] = np.arange(len(at))
+                        own = own[mine]
+                        i = np.flatnonzero(own >= 0)
+                        out += g.sums(bag[i], own[i], len(at), plan)
+                    flat = np.concatenate([np.ravel(o) for o in out])
+                    yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([row["chunk"]], pa.int32()), pa.array([flat.tobytes()], pa.binary())],
+                                                     ["tree", "chunk", "sums"])
+
+    def add(key, p):
+        return pd.DataFrame({"tree": [int(key[0])], "sums": [_added(zip(p["chunk"], p["sums"])).tobytes()]})
+
+    added = chunks.mapInArrow(sums, "tree int, chunk int, sums binary").groupBy("tree").applyInPandas(add, "tree int, sums binary").collect()
+    for r in added:  # nodes x tries x bins numbers a tree
+        top, flat = tops[r["tree"]], np.frombuffer(bytes(r["sums"]), float)
+        n, parts, to = len(top.open), [], 3 * len(top.open)
+        counts, whole = flat[:n], flat[n:to].reshape(n, 2)
+        for at, look, plan in _plans(g, top.open):
+            ones, wide = look.size * 2, len(plan[3][0]) * g.bins * 2
+            parts.append((at, look, plan, flat[to:to + ones].reshape(*look.shape, 2), flat[to + ones:to + ones + wide].reshape(-1, g.bins, 2)))
+            to += ones + wide
+        top.split(g, counts, whole, parts, held)
+
+
+def _grown(chunks: DataFrame, g: _Growing, tops: dict, seed: int, rate: float, held: int) -> DataFrame:
+    """(tree, fields, share) of the ``tops`` with all that is below their
+    shipped nodes: a row per unit. The units of a tree are trees themselves, and
+    their values add up to the tree's: a leaf's value is in one of them."""
+    units = [(t, u, nodes) for t, top in sorted(tops.items()) for u, nodes in enumerate(top.units(held))]
+    trees = {t: _Boosting.arrays(top.tree) for t, top in tops.items()}
+    mine: dict = {}
+    for i, (t, _, nodes) in enumerate(units):
+        mine.setdefault(t, []).append((i, [v[0] for v in nodes]))
 
     def bag(batches):
-        """The rows of every tree's bag: (tree, row_id, x, y, w) with w the class weight times the count."""
-        for b in batches:
-            ids = b.column("row_id").to_numpy()
-            for t in range(numTrees):
-                k = poisson(uniform(ids, seed, t), rate)
-                at = np.flatnonzero(k)
-                if len(at):
-                    idx = pa.array(at)
-                    w = b.column("w").to_numpy()[at] * k[at]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), *[b.column(c).take(idx) for c in ("row_id", "x", "y")], pa.array(w)],
-                                                     ["tree", "row_id", "x", "y", "w"])
-
-    def grow(key, bagged):
-        bagged = bagged.sort_values("row_id", kind="stable")
-        t = int(key[0])
-        tree = grow_bag(_matrix(bagged["x"], slots), bagged["y"].to_numpy(), bagged["w"].to_numpy(), depth, tries,
-                        np.random.default_rng([seed, t]), bins)
-        return pd.DataFrame([(*_tree_row(t, tree), _share(tree, slots).tobytes())], columns=["tree", *[k for k, _ in FIELDS], "share"])
-
-    rows = _binned_rows(df, edges, features, label, weight).mapInArrow(bag, "tree int, row_id long, x binary, y double, w double")
-    # the trees stay where the executors write them; the driver gets the slots' shares and the size
-    grown = stored_table(rows.groupBy("tree").applyInPandas(grow, _TREES + ", share binary"), "forest")
-    told = grown.select("tree", "share", sum(F.octet_length(k) for k, _ in FIELDS).alias("bytes")).orderBy("tree").collect()
-    share = sum((np.frombuffer(bytes(r["share"]), float) for r in told), np.zeros(slots))
-    return TreeModel("forest", edges, None, share / share.sum() if share.sum() else share, grown.drop("share"), sum(r["bytes"] for r in told))
-
-
-def _share(tree: dict, slots: int) -> np.ndarray:
-    """The gain of a tree per slot, as shares of one."""
-    inner = tree["feature"] >= 0
-    own = np.bincount(tree["feature"][inner], tree["gain"][inner], slots)
-    return own / own.sum() if own.sum() else own
+        for batch in batches:
+            for row in _records(batch, "chunk", "ids", "rows"):
+                ids, rows = np.frombuffer(row["ids"], np.int64), g.rows(row["rows"])
+                for t, parts in mine.items():
+                    drawn = _drawn(g, ids, rows, seed, t, rate)
+                    whole = len(trees[t]["feature"]) == 1  # no top: all rows are the unit's
+                    leaf = None if whole else g.descend(trees[t], drawn)
+                    for i, nodes in parts:
+                        if whole:
+                            cells = b"", drawn
+                        else:
+                            place = np.full(len(trees[t]["feature"]), -1, np.int32)
+                            place[nodes] = np.arange(len(nodes))
+                            root = place[leaf]
+                            kept = np.flatnonzero(root >= 0)
+                            cells = root[kept], drawn[kept]
+                        cells = [pa.array([bytes(c)], pa.binary()) for c in cells]
+                        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([row["chunk"]], pa.int32()), *cells],
+                                                         ["unit", "chunk", "root", "rows"])
+
+    def grow(batches):
+        held: dict = {}
+        for batch in batches:
+            for row in _records(batch, "unit", "chunk", "root", "rows"):
+                held.setdefault(row["unit"], []).append((row["chunk"], row["root"], g.rows(row["rows"])))
+        batch = row = None
+        while held:
+            i, pieces = held.popitem()
+            (t, u, nodes), pieces = units[i], sorted(pieces, key=lambda p: p[0])
+            top, rows = trees[t], [np.concatenate([p[2] for p in pieces])]
+            sizes = [len(rows[0])]
+            if len(top["feature"]) > 1:
+                root = np.concatenate([np.frombuffer(p[1], np.int32) for p in pieces])
+                order, sizes = np.argsort(root, kind="stable"), np.bincount(root, minlength=len(nodes))
+                rows = [rows[0][order]]
+            elif not sizes[0]:
+                continue  # an empty bag
+            del pieces
+            tree = _joined_trees(top, [v[0] for v in nodes], g.grow(rows, sizes, [v[1] for v in nodes], [v[2] for v in nodes]), u == 0)
+            own = np.bincount(np.maximum(tree["feature"], 0), tree["gain"], g.slots)
+            cells = [*_tree_row(t, tree)[1:], own.tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), *[pa.array([c], pa.binary()) for c in cells]], ["tree", *[k for k, _ in FIELDS], "gains"])
+
+    spark = chunks.sparkSession
+    empty = spark.createDataFrame([(i, -1, bytearray(), bytearray()) for i in range(len(units))], _BAG)  # every unit is grown, also one without rows
+    bags = chunks.mapInArrow(bag, _BAG).union(empty)
+    return bags.repartitionById(len(units), "unit").mapInArrow(grow, _TREES + ", gains binary")
+
+
+def _joined_trees(top: dict, nodes, below: dict, first: bool) -> dict:
+    """``top`` with the trees ``below`` its ``nodes`` (their roots come first). Values of
+    the top's other leaves and its gains are kept in the first unit only."""
+    n, r = len(top["feature"]), len(nodes)
+    to = np.concatenate([np.asarray(nodes, np.int64), n + np.arange(max(0, len(below["feature"]) - r))]).astype(np.int32)
+    out = {}
+    for k, t in FIELDS:
+        v = below[k]
+        if k in ("left", "right"):
+            v = np.where(v >= 0, to[np.maximum(v, 0)] if len(to) else v, -1)
+        own = top[k] if first or k not in ("value", "gain") else np.zeros(n, t)
+        out[k] = np.concatenate([own, v[r:]]).astype(t)
+        out[k][to[:r]] = v[:r]
+    return out
+
+
+def fit_forest(df: DataFrame, edges, n_rows: int, label: str, weight: str, features: str = "features", numTrees: int = 300,
+               maxDepth: int | None = None, seed: int = 42, tree_rows: int | None = None) -> TreeModel:
+    """A random forest with the square root of the slots tried per node. A
+    bag is drawn from all rows, a row once on average; ``tree_rows`` is for callers
+    who ask for smaller ones."""
+    spark, slots = df.sparkSession, len(edges)
+    rate = min(1.0, tree_rows / max(1, n_rows)) if tree_rows else 1.0
+    bins, depth = max((len(e) for e in edges), default=0) + 1, maxDepth or 1 << 30
+    g = _Growing(*_kinds(edges), bins, max(1, math.isqrt(slots)), depth)
+    held = max(1, BAG_BYTES // (8 * g.row_words))
+    bag = n_rows * (1 - math.exp(-rate))
+    bag = max(1, int(bag + 6 * math.sqrt(bag)))  # with room for chance
+    chunks = stored_table(_signed_chunks(df, edges, max(1, -(-n_rows // CHUNK_ROWS)), g, features, label, weight), "bagged")
+    path, slots_now = shared_dir(spark, "forest"), max(1, spark.sparkContext.defaultParallelism)
+    keys = _mix(_mix(np.arange(numTrees, dtype=np.uint64)) + np.uint64(seed % (1 << 64)))
+    group = max(1, 2 * slots_now * held // bag)  # trees at a time: the bags on disk are as many as the cluster's tasks hold
+    group -= group % slots_now if group > slots_now else 0
+    for first in range(0, numTrees, group):
+        tops = {t: _Top(keys[t]) for t in range(first, min(first + group, numTrees))}
+        if bag <= held:
+            for top in tops.values():
+                (v, key, d, _), top.open = top.open[0], []
+                top.shipped = [(v, key, d, bag)]
+        while any(top.open for top in tops.values()):
+            _top_level(chunks, g, tops, seed, rate, held)
+        _grown(chunks, g, tops, seed, rate, held).write.mode("append").parquet(path)
+        release(spark)
+    # the trees stay where the executors write them; the driver gets the slots' gains and the size
+    schema = StructType.fromDDL(_TREES + ", gains binary")
+    grown = spark.read.schema(schema).parquet(path) if numTrees else spark.createDataFrame([], schema)
+    told = grown.select("tree", "gains", sum(F.octet_length(k) for k, _ in FIELDS).alias("bytes")).orderBy("tree").collect()
+    own: dict = {}
+    for r in told:
+        own[r["tree"]] = own.get(r["tree"], 0.0) + np.frombuffer(bytes(r["gains"]), float)
+    share = sum((v / v.sum() if v.sum() else v for v in own.values()), np.zeros(slots))
+    return TreeModel("forest", edges, None, share / share.sum() if share.sum() else share, grown.drop("gains"), sum(r["bytes"] for r in told), len(own))
 
 
 # --- boosting ------------------------------------------------------------------------

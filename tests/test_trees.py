@@ -198,3 +198,54 @@ def test_a_large_forest_stays_a_table(spark, halves, edges, tmp_path, monkeypatc
         got = told(m)
         assert [r[:3] for r in got] == [r[:3] for r in want]
         assert [r["p"] for r in got] == pytest.approx([r["p"] for r in want])
+
+
+def test_a_bag_is_drawn_from_all_rows(halves, edges):
+    """However many rows there are: bags were cut to 200,000 of them."""
+    fit = lambda n: T.fit_forest(halves[0], edges, n, "y", "w", numTrees=3, seed=7)
+    whole, told_more = fit(1500), fit(1500 * 4000)
+    same_trees(whole, told_more, exact=False)
+    assert all((t["feature"] >= 0).sum() > 100 for t in whole.trees)
+
+
+@pytest.mark.parametrize("depth, rows", [(None, 200), (4, 1)])
+def test_a_bag_larger_than_a_task_holds_gives_the_same_forest(halves, edges, depth, rows, monkeypatch):
+    """The top of such a tree is grown from sums over the chunks, the rest in
+    units; the units' values add up to the tree's."""
+    fit = lambda: forest(halves[0], edges, numTrees=4, maxDepth=depth)
+    whole = fit()
+    row = 8 * T._Growing(*T._kinds(edges), 32, 2, 9).row_words
+    monkeypatch.setattr(T, "CHUNK_ROWS", 300)
+    monkeypatch.setattr(T, "BAG_BYTES", rows * row)
+    parts = fit()
+    assert parts.told["trees"] == whole.told["trees"] == 4
+    assert depth or len(parts.trees) > 8
+    assert parts.featureImportances.toArray() == pytest.approx(whole.featureImportances.toArray())
+    told = lambda m: [r["p"] for r in m.transform(halves[1]).orderBy("row_id").select(vector_to_array("probability")[1].alias("p")).collect()]
+    assert told(parts) == pytest.approx(told(whole))
+    monkeypatch.setattr(T, "TREE_BYTES", parts.told["bytes"] // 3)  # scored by a join, too
+    assert told(parts) == pytest.approx(told(whole))
+
+
+def test_a_tree_splits_alike_from_narrow_and_wide_slots():
+    """Slots of two bins are summed from bits: the tree is that of their bins."""
+    rnd = np.random.default_rng(8)
+    edges = [[.5], [.1 * i for i in range(9)], *[[.5]] * 70, []]
+    x = np.stack([rnd.integers(0, len(e) + 1, 500) for e in edges], axis=1).astype(np.uint8)
+    y, w = rnd.integers(0, 2, 500), rnd.choice([1.0, 1.7, 2.0], 500)
+    wide, narrow = T._kinds(edges)
+    key, s = np.array([9], np.uint64), np.where(y == 1, w, -w)
+    packed = T._Growing(wide, narrow, 10, 5, 1 << 30)
+    rows, plain = packed.pack(x, s), T._Growing(np.arange(len(edges)), np.arange(0), 10, 5, 1 << 30)
+    tree, other = packed.grow([rows], [500], key, [0]), plain.grow([plain.pack(x, s)], [500], key, [0])
+    for k, _ in T.FIELDS:
+        assert np.allclose(tree[k], other[k])
+    assert (packed.descend(tree, rows) == T.walk(tree, x)).all()
+    assert ((tree["value"][T.walk(tree, x)] > .5) == (y == 1)).all()
+    low = x[:, tree["feature"][0]] <= tree["bin"][0]
+    gini = lambda i: (w[i & (y == 1)].sum() ** 2 + w[i & (y == 0)].sum() ** 2) / w[i].sum()
+    assert tree["gain"][0] == pytest.approx(gini(low) + gini(~low) - gini(y >= 0))
+    tried = packed.looks(key, 0)[0]
+    cuts = [gini(x[:, j] <= c) + gini(x[:, j] > c) for j in tried for c in range(len(edges[j])) if 0 < (x[:, j] <= c).sum() < 500]
+    assert tree["gain"][0] == pytest.approx(max(cuts) - gini(y >= 0))
+    assert sorted(np.concatenate([packed.looks(key, i)[0] for i in range(0, len(edges), 5)])) == list(range(len(edges)))
