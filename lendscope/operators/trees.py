@@ -14,22 +14,29 @@ then grows some of these nodes, and its part is a tree of its own whose values
 add up with the other parts'. The tasks write their trees to the shared folder; the
 driver gets each slot's gains only.
 
-*Boosting.* The binned rows are dealt into chunks by a hash of row_id and
-kept one a partition. Each level of a tree is one job: every chunk computes its
-rows' gradients and hessians and sums them per (node, slot, bin), of slots with
-two bins only over the rows in the second, since the node's total tells the rest;
-the sums are added up (in two steps when there are many chunks) and only nodes x
-bins numbers reach the driver, which takes the splits with the largest second-order
-gain. The sums of a table of one chunk are its totals, so its task goes on by
-itself. A tree's values go into the chunks' margins when it is done; every ``FOLD``
-rounds the chunks are written, which cuts the lineage. Sums run in chunk order, so
-any layout of the input gives the same model.
+*Boosting.* The binned rows are dealt into chunks by a hash of row_id. Up to
+``SHARES`` tasks put the chunks' rows into files of their machine, which any worker there maps;
+a cached row names them, so later tasks go where they are. Each level of a tree is a
+job that carries the tree so far: a task sums its rows' gradients and hessians per
+(node, slot, bin), of slots with two bins only over the rows in the second, since the
+node's total tells the rest, and of two children only over the one with less
+weight; only these sums reach the driver, which takes the splits with the largest
+second-order gain. The rows, gradients and margins stay with the share; if its files are
+gone they are made again from the chunks and the trees so far. A table of one share
+grows its trees in that task. A table too large for shares is kept one chunk a
+partition in memory and travels with each level's job, the sums of many chunks being
+added up in two steps. Sums run in the order of chunks, so any layout of the input
+gives the same model; of equal splits the first slot's is taken, so the number of
+shares chooses none.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import os
+import shutil
+import tempfile
 
 import numpy as np
 import pandas as pd
@@ -54,6 +61,8 @@ BAG_BYTES = 96 << 20
 TREE_BYTES = 32 << 20
 SCORE_ROWS = 1 << 19
 FOLD = 25
+#: Tasks that may hold a boosted table, the rows of each, and how often lost ones are made again.
+SHARES, SHARE_ROWS, RELOADS = 64, 1 << 21, 4
 #: Chunks whose sums go straight to the driver.
 DIRECT = 64
 #: Open nodes and rows of a forest tree handled at a time; weights and gains up to this share of a node's weight count as none.
@@ -933,29 +942,211 @@ def _tree_of(row) -> dict:
 _TREES = "tree int, " + ", ".join(f"{k} binary" for k, _ in FIELDS)
 
 
-def _rounds_in_chunk(chunks: DataFrame, b: _Boosting, turns: range) -> list[dict]:
-    """Some rounds of a table that is one chunk: its sums are the totals, so
-    one task grows the trees."""
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                c, out = _Chunk([row[k] for k in PARTS], b), []
-                for turn in turns:
-                    used, tree, active, slopes = b.usable(turn), b.start(), [0], b.slopes(c, turn)
-                    node = np.zeros(len(c.ids), np.int64)
-                    for _ in range(b.depth):
-                        if not active:
-                            break
-                        active = b.split(tree, active, b.opened(b.sums(c, slopes, node, active, used), active, used), used)
-                        node = c.step(b.arrays(tree), node, 1)
-                    tree = b.arrays(tree)
-                    c.m = c.m + tree["value"][node]
-                    out.append(_tree_row(turn, tree))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32())]
-                                                 + [pa.array([r[i + 1] for r in out], pa.binary()) for i in range(len(FIELDS))],
-                                                 ["tree", *[k for k, _ in FIELDS]])
-
-    return [_tree_of(r) for r in sorted(chunks.mapInArrow(run, _TREES).collect(), key=lambda r: r["tree"])]
+class _Share:
+    """The rows of some chunks, one after another, in a folder of the machine that
+    holds them: every worker there maps the files. Wide slots lie slot by slot, of
+    the narrow ones the bits and, row by row, the slots with 1 (filled up by one
+    slot more). What a turn and level leave has files of its own, which are
+    replaced as a whole: a task that runs again finds the same."""
+
+    def __init__(self, path: str, b: _Boosting):
+        self.path, self.b = path, b
+        self.ids, self.y, self.w, self.wide, self.bits, self.ones = (self._load(k) for k in ("ids", "y", "w", "wide", "bits", "ones"))
+
+    def _load(self, name: str) -> np.ndarray:
+        return np.load(f"{self.path}/{name}.npy", mmap_mode="r")
+
+    @staticmethod
+    def _save(path: str, name: str, v: np.ndarray) -> None:
+        with open(f"{path}/{name}.{os.getpid()}", "wb") as f:
+            np.save(f, v)
+        os.replace(f.name, f"{path}/{name}.npy")
+
+    @classmethod
+    def write(cls, chunks: list, b: _Boosting, trees: list) -> str:
+        """A folder with the rows of packed chunks; margins are those after ``trees``."""
+        path, k = tempfile.mkdtemp(prefix="lendscope-share-"), len(b.narrow)
+        of = lambda i, t: [np.frombuffer(p[i], t) for p in chunks] or [np.empty(0, t)]
+        ids = of(0, np.int64)
+        n, most, pairs, start = sum(map(len, ids)), 0, [], 0
+        bits = np.zeros((n, max(1, -(-k // 64))), np.uint64)
+        for ones, at, i in zip(of(2, np.int32), of(3, np.int32), ids):  # by row
+            x = np.zeros((len(i), 64 * bits.shape[1]), np.uint8)
+            x[at, ones] = 1
+            bits[start:start + len(i)] = np.packbits(x, axis=1, bitorder="little").view(np.uint64)
+            count = np.bincount(at, minlength=len(i))
+            most = max(most, int(count.max(initial=0)))
+            pairs.append((ones, at + start, np.arange(len(at)) - (np.cumsum(count) - count)[at]))
+            start += len(i)
+        filled = np.full((n, most), k, np.int16 if k < 1 << 15 else np.int32)
+        for ones, at, place in pairs:
+            filled[at, place] = ones
+        wide = np.concatenate([v.reshape(len(b.wide), len(i)) for v, i in zip(of(1, np.uint8), ids)], axis=1)
+        y, w, m = (np.concatenate(of(i, float)) for i in (4, 5, 6))
+        for name, v in (("ids", np.concatenate(ids)), ("y", y), ("w", w), ("wide", wide), ("bits", bits), ("ones", filled)):
+            cls._save(path, name, v)
+        share = cls(path, b)
+        for t in trees:
+            m = m + share.values(t)
+        cls._save(path, f"m-{len(trees)}", m)
+        return path
+
+    def goes(self, rows: np.ndarray, slot: int, cut: int) -> np.ndarray:
+        """Whether the rows go right."""
+        at = int(np.searchsorted(self.b.wide, slot))
+        if at < len(self.b.wide) and self.b.wide[at] == slot:
+            return self.wide[at].take(rows) > cut
+        at = int(np.searchsorted(self.b.narrow, slot))
+        return (self.bits[:, at >> 6].take(rows) >> np.uint64(at & 63)) & np.uint64(1) > cut
+
+    def values(self, tree: dict) -> np.ndarray:
+        """The tree's value of each row."""
+        out, at = np.empty(len(self.ids)), {0: np.arange(len(self.ids), dtype=np.int32)}
+        for v, slot in enumerate(tree["feature"].tolist()):  # a node comes before its children
+            rows = at.pop(v)
+            if slot < 0:
+                out[rows] = tree["value"][v]
+            else:
+                goes = self.goes(rows, slot, int(tree["bin"][v]))
+                at[int(tree["left"][v])], at[int(tree["right"][v])] = rows[~goes], rows[goes]
+        return out
+
+    def sums(self, rows: np.ndarray, slopes, wide, narrow) -> np.ndarray:
+        """Gradient and hessian sums of the rows: whole, by (wide slot, bin), and
+        with 1 in the narrow slots; one flat array."""
+        bins, most, first = self.b.bins, self.ones.shape[1], 1 + len(wide) * self.b.bins
+        out = np.zeros((first + len(narrow), 2))
+        for a in range(0, len(rows), ROWS):
+            part = rows[a:a + ROWS]
+            ones = self.ones.take(part, axis=0).ravel().astype(np.intp)
+            xs = [self.wide[s].take(part).astype(np.intp) for s in wide]
+            for j, v in enumerate(slopes):
+                v = v.take(part)
+                out[0, j] += v.sum()
+                out[first:, j] += np.bincount(ones, np.repeat(v, most), len(self.b.narrow) + 1)[:-1][narrow]
+                for i, x in enumerate(xs):
+                    out[1 + i * bins:1 + (i + 1) * bins, j] += np.bincount(x, v, bins)
+        return out.ravel()
+
+    def answer(self, turn: int, level: int, last: dict | None, tree: dict, was, active, asked) -> np.ndarray:
+        """The sums of the ``asked`` ones of the ``active`` nodes of a tree that
+        level ``level - 1``, of the nodes ``was``, has made; ``last`` is the tree before."""
+        b, used = self.b, self.b.usable(turn)
+        if level == 0:
+            if last is not None and not os.path.exists(f"{self.path}/m-{turn}.npy"):
+                self._save(self.path, f"m-{turn}", self._load(f"m-{turn - 1}") + self.values(last))
+            self.m = self._load(f"m-{turn}")
+            slopes = np.stack(b.slopes(self, turn))
+            self._save(self.path, f"slopes-{turn}", slopes)
+            rows = {0: np.flatnonzero(uniform(self.ids, b.seed, turn) < b.rows).astype(np.int32)}
+        else:
+            slopes, held = self._load(f"slopes-{turn}"), self._load(f"rows-{turn}-{level - 1}")
+            ends, rows = held[:len(was)], {}
+            for v, here in zip(was, np.split(held[len(was):], ends[:-1])):
+                slot = int(tree["feature"][v])
+                if slot >= 0:
+                    goes = self.goes(here, slot, int(tree["bin"][v]))
+                    rows[int(tree["left"][v])], rows[int(tree["right"][v])] = here[~goes], here[goes]
+        if level + 1 < b.depth:
+            rows = {v: rows[v] for v in active}
+            self._save(self.path, f"rows-{turn}-{level}", np.concatenate([np.cumsum([len(r) for r in rows.values()]), *rows.values()]).astype(np.int32))
+        for name in os.listdir(self.path):  # the turn before has ended
+            of = name.split(".")[0].split("-")
+            if len(of) > 1 and int(of[1]) < turn - (of[0] == "m"):
+                os.unlink(f"{self.path}/{name}")
+        wide, narrow = np.flatnonzero(np.isin(b.wide, used)), np.flatnonzero(np.isin(b.narrow, used))
+        return np.concatenate([self.sums(rows[v], slopes, wide, narrow) for v in asked])
+
+
+def _grown_by(b: _Boosting, turn: int, ask) -> dict:
+    """The tree of a round from the sums that ``ask`` gives for nodes. Of two
+    children the one with less weight is asked for, the other is what it leaves."""
+    used, tree, was, active, asked, rest, known = b.usable(turn), b.start(), [], [0], [0], {}, {}
+    cuts = np.cumsum([2, int(np.isin(used, b.wide).sum()) * b.bins * 2])
+    for level in range(b.depth):
+        if not active:
+            break
+        now = dict(zip(asked, ask(level, b.arrays(tree), was, active, asked).reshape(len(asked), -1)))
+        for v, (sibling, parent) in rest.items():
+            now[v] = known[parent] - now[sibling]
+            now[v][1::2] = np.maximum(now[v][1::2], 0.0)
+        known = now
+        table = np.stack([known[v] for v in active])
+        sums = b.opened(np.concatenate([t.ravel() for t in np.split(table, cuts, axis=1)]), active, used)
+        b.split(tree, active, sums, used)
+        asked, rest, was, active = [], {}, active, []
+        for i, v in enumerate(was):
+            if tree["feature"][v] < 0:
+                continue
+            left, right = tree["left"][v], tree["right"][v]
+            weights = sums[i, int(np.searchsorted(used, tree["feature"][v])), :, 1].cumsum()
+            less, more = (left, right) if 2 * weights[tree["bin"][v]] <= weights[-1] else (right, left)
+            asked.append(less)
+            rest[more] = (less, v)
+            active += [left, right]
+    return b.arrays(tree)
+
+
+def _held(chunks: DataFrame, n_tasks: int, b: _Boosting, trees: list) -> RDD:
+    """(number, folder) of ``n_tasks`` shares, cached where the folders are, so that
+    later tasks go there."""
+    def load(batches):
+        held = {row["chunk"]: [row[k] for k in PARTS] for batch in batches for row in _records(batch, "chunk", *PARTS)}
+        path = _Share.write([p for _, p in sorted(held.items())], b, trees)
+        yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
+
+    rows = chunks.repartitionById(n_tasks, F.col("chunk") % n_tasks).mapInArrow(load, "path string").rdd
+    return rows.mapPartitionsWithIndex(lambda i, rs: [(i, r["path"]) for r in rs]).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _rounds_held(chunks: DataFrame, n_tasks: int, b: _Boosting, rounds: int) -> list[dict]:
+    """Rounds of boosting whose rows stay where tasks hold them: a job a level
+    gets only the tree so far there and sums back; a single share is grown in its
+    task. If a share's files are not where a task runs, the shares are made
+    again; where that goes on, the trees so far are given."""
+    trees: list[dict] = []
+    for _ in range(RELOADS):
+        shares = _held(chunks, n_tasks, b, trees)
+        try:
+            while len(trees) < rounds:
+                turn, last = len(trees), trees[-1] if trees else None
+                if n_tasks == 1:
+                    trees += shares.mapValues(lambda path: _turns_here(path, b, range(turn, rounds), last)).collect()[0][1]
+                else:
+                    trees.append(_grown_by(b, turn, lambda *now: _asked(shares, b, turn, last, now)))
+            return trees
+        except _Lost:
+            continue
+        finally:
+            shares.foreach(lambda s: shutil.rmtree(s[1], ignore_errors=True))
+            shares.unpersist()
+    return trees
+
+
+class _Lost(Exception):
+    """A share's files are not where its task runs."""
+
+
+def _turns_here(path: str, b: _Boosting, turns: range, last: dict | None) -> list[dict]:
+    share, out = _Share(path, b), []
+    for turn in turns:
+        before = out[-1] if out else last
+        out.append(_grown_by(b, turn, lambda *now: share.answer(turn, now[0], before, *now[1:])))
+    return out
+
+
+def _asked(shares: RDD, b: _Boosting, turn: int, last: dict | None, now) -> np.ndarray:
+    """The sums of nodes over all shares, in their order."""
+    def answer(path):
+        try:
+            return _Share(path, b).answer(turn, now[0], last, *now[1:]).tobytes()
+        except FileNotFoundError:
+            return None
+
+    told = shares.mapValues(answer).collect()
+    if any(v is None for _, v in told):
+        raise _Lost
+    return _added(told)
 
 
 def _moved(b: _Boosting, trees):
@@ -1002,28 +1193,20 @@ def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, feat
                 stepSize: float = 0.05, maxDepth: int = 6, subsamplingRate: float = 0.8, columnRate: float = 0.8, leafPenalty: float = 1.0,
                 minChildWeight: float = 1.0, seed: int = 42, chunk_rows: int = CHUNK_ROWS, fold: int = FOLD) -> TreeModel:
     """Boosted trees with logistic loss: second-order gains, an L2 penalty on
-    leaf values, one sample of rows and of slots per tree. A table of one chunk
-    grows ``fold`` trees per job, a larger one a level per job; the sums and
-    splits are the same."""
+    leaf values, one sample of rows and of slots per tree. Up to ``SHARES``
+    tasks of ``SHARE_ROWS`` rows hold a table through all rounds; the chunks of a larger
+    one travel with each level's job. The sums and splits are the same."""
     spark, slots = df.sparkSession, len(edges)
     b = _Boosting(edges, seed, stepSize, maxDepth, subsamplingRate, columnRate, leafPenalty, minChildWeight)
-    path = shared_dir(spark, "boosting")
-
-    def stored(d, k):
-        d.write.mode("overwrite").parquet(f"{path}/{k}")
-        return spark.read.schema(d.schema).parquet(f"{path}/{k}")
-
-    n_chunks = max(1, -(-n_rows // chunk_rows))
-    chunks = stored(_chunks(df, edges, n_chunks, features, label, weight), 0)
-    trees: list[dict] = []
-    if n_chunks == 1:
-        for first in range(0, maxIter, fold):
-            turns = range(first, min(first + fold, maxIter))
-            trees += _rounds_in_chunk(chunks, b, turns)
-            if turns.stop < maxIter:
-                chunks = stored(_folded(chunks, b, trees[first:]), turns.stop)
-    else:
-        trees = _rounds_over_chunks(chunks, n_chunks, b, maxIter, fold, path)
+    path, n_chunks = shared_dir(spark, "boosting"), max(1, -(-n_rows // chunk_rows))
+    packed = _chunks(df, edges, n_chunks, features, label, weight)
+    packed.write.mode("overwrite").parquet(f"{path}/0")
+    chunks = spark.read.schema(packed.schema).parquet(f"{path}/0")
+    n_tasks, trees = min(n_chunks, SHARES, max(1, spark.sparkContext.defaultParallelism)), []
+    if n_rows <= n_tasks * max(SHARE_ROWS, chunk_rows):
+        trees = _rounds_held(chunks, n_tasks, b, maxIter)
+    if len(trees) < maxIter:
+        trees = _rounds_over_chunks(chunks, n_chunks, b, maxIter, trees, fold, path)
     drop_dir(spark, path)
     gains, uses = np.zeros(slots), np.zeros(slots)
     for t in trees:
@@ -1034,25 +1217,15 @@ def fit_boosted(df: DataFrame, edges, n_rows: int, label: str, weight: str, feat
     return TreeModel("boosted", edges, trees, mean / mean.sum() if mean.sum() else mean)
 
 
-def _folded(chunks: DataFrame, b: _Boosting, trees) -> DataFrame:
-    moved = _moved(b, trees)
-
-    def run(batches):
-        for batch in batches:
-            margins = [moved([c[k] for k in PARTS])[-1] for c in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in ("chunk", *PARTS[:-1])], pa.array(margins, pa.binary())], batch.schema.names)
-
-    return chunks.mapInArrow(run, chunks.schema)
-
-
-def _rounds_over_chunks(stored: DataFrame, n_chunks: int, b: _Boosting, rounds: int, fold: int, path: str) -> list[dict]:
-    """All rounds over many chunks, one chunk a partition. After a tree its
+def _rounds_over_chunks(stored: DataFrame, n_chunks: int, b: _Boosting, rounds: int, trees: list, fold: int, path: str) -> list[dict]:
+    """The rounds after ``trees`` over many chunks, one chunk a partition. After a tree its
     values go into the chunks' margins, kept in memory; every ``fold`` rounds the
     chunks are written, which ends the lineage."""
     sc = stored.sparkSession.sparkContext
     dealt = lambda pairs: pairs.partitionBy(n_chunks, int).persist(StorageLevel.MEMORY_AND_DISK)
-    chunks, before, trees, written = dealt(stored.rdd.map(lambda r: (r["chunk"], tuple(bytes(r[k]) for k in PARTS)))), None, [], f"{path}/0"
-    for turn in range(rounds):
+    moved = _moved(b, trees)
+    chunks, before, trees, written = dealt(stored.rdd.map(lambda r: (r["chunk"], moved([bytes(r[k]) for k in PARTS])))), None, list(trees), f"{path}/0"
+    for turn in range(len(trees), rounds):
         trees.append(_round(chunks, n_chunks, b, turn))
         if before is not None:  # the chunks are in memory by now
             before.unpersist()

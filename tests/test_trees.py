@@ -249,3 +249,67 @@ def test_a_tree_splits_alike_from_narrow_and_wide_slots():
     cuts = [gini(x[:, j] <= c) + gini(x[:, j] > c) for j in tried for c in range(len(edges[j])) if 0 < (x[:, j] <= c).sum() < 500]
     assert tree["gain"][0] == pytest.approx(max(cuts) - gini(y >= 0))
     assert sorted(np.concatenate([packed.looks(key, i)[0] for i in range(0, len(edges), 5)])) == list(range(len(edges)))
+
+
+def test_rounds_of_held_rows_are_those_of_chunks_that_travel(halves, edges, monkeypatch):
+    """Jobs get the tree so far and give sums of rows that stay where they are: the
+    trees are those of jobs over the chunks, also if the files are lost on the way."""
+    fit = lambda: boosted(halves[0], edges, maxIter=3, fold=2, chunk_rows=400)
+    held, over, calls = fit(), T._rounds_over_chunks, []
+    monkeypatch.setattr(T, "DIRECT", 2)  # sums over chunks are added in two steps
+    monkeypatch.setattr(T, "_rounds_over_chunks", lambda *a: calls.append(len(a[4])) or over(*a))
+    asked, lost = T._asked, iter([False] * 4 + [True] + [False] * 20)
+
+    def ask(shares, *a):
+        if next(lost):
+            shares.foreach(lambda s: T.shutil.rmtree(s[1]))
+        return asked(shares, *a)
+
+    monkeypatch.setattr(T, "_asked", ask)
+    same_trees(held, fit(), exact=False)
+    assert not calls and next(lost) is False
+    lost = iter([False] * 3 + [True] * 20)  # again and again
+    same_trees(held, fit(), exact=False)
+    assert calls == [1]
+    monkeypatch.setattr(T, "SHARE_ROWS", 1)
+    same_trees(held, fit(), exact=False)
+    assert calls == [1, 0]
+
+
+def test_a_share_sums_its_rows_as_their_chunks():
+    """A share's sums and margins are those of ``_Chunk``; a level that is asked for
+    again gives the same; a share without rows has sums of zero."""
+    rnd = np.random.default_rng(6)
+    edges = [[.1 * i for i in range(7)], [.5], *[[.5]] * 70, [0, .5], []]
+    b, chunks = T._Boosting(edges, 1, .1, 3, .8, .9, 1.0, 0.0), []
+    for c in range(2):
+        x = np.stack([rnd.integers(0, len(e) + 1, 300) for e in edges], axis=1).astype(np.uint8)
+        at, ones = np.nonzero(x[:, b.narrow])
+        parts = [np.arange(300) + 300 * c, np.ascontiguousarray(x[:, b.wide].T), ones.astype(np.int32), at.astype(np.int32),
+                 rnd.integers(0, 2, 300).astype(float), rnd.random(300), rnd.normal(size=300)]
+        chunks.append([p.tobytes() for p in parts])
+    share, both, asked = T._Share(T._Share.write(chunks, b, []), b), [T._Chunk(p, b) for p in chunks], []
+    known = [b.start(), b.start()]
+    for turn in (0, 1):
+        before = b.arrays(known[0]) if turn else None
+
+        def ask(level, *now):
+            got = share.answer(turn, level, before, *now)
+            assert (share.answer(turn, level, before, *now) == got).all()
+            asked.append((level, len(now[2]), len(now[3])))
+            return got
+
+        tree, used, active, nodes = T._grown_by(b, turn, ask), b.usable(turn), [0], [np.zeros(300, np.int64) for _ in both]
+        for _ in range(3):
+            sums = sum(b.sums(c, b.slopes(c, turn), n, active, used) for c, n in zip(both, nodes))
+            active = b.split(known[turn], active, b.opened(sums, active, used), used)
+            nodes = [c.step(b.arrays(known[turn]), n, 1) for c, n in zip(both, nodes)]
+        for k, _ in T.FIELDS:
+            assert np.allclose(tree[k], known[turn][k])
+        for c, n in zip(both, nodes):
+            c.m = c.m + np.array(known[turn]["value"])[n]
+    assert asked[:3] == [(0, 1, 1), (1, 2, 1), (2, 4, 2)]  # of two children one is summed
+    again = T._Share(T._Share.write(chunks, b, [b.arrays(t) for t in known]), b)
+    assert np.allclose(again._load("m-2"), np.concatenate([c.m for c in both]))
+    empty = T._Share(T._Share.write([], b, []), b)
+    assert not T._grown_by(b, 0, lambda level, *now: empty.answer(0, level, None, *now))["value"].any()
