@@ -759,7 +759,9 @@ def fit_forest(df: DataFrame, edges, n_rows: int, label: str, weight: str, featu
     held = max(1, BAG_BYTES // (8 * g.row_words))
     bag = n_rows * (1 - math.exp(-rate))
     bag = max(1, int(bag + 6 * math.sqrt(bag)))  # with room for chance
-    chunks = stored_table(_signed_chunks(df, edges, max(1, -(-n_rows // CHUNK_ROWS)), g, features, label, weight), "bagged")
+    packed, store = _signed_chunks(df, edges, max(1, -(-n_rows // CHUNK_ROWS)), g, features, label, weight), shared_dir(spark, "bagged")
+    packed.write.mode("overwrite").parquet(store)
+    chunks = spark.read.schema(packed.schema).parquet(store)
     path, slots_now = shared_dir(spark, "forest"), max(1, spark.sparkContext.defaultParallelism)
     keys = _mix(_mix(np.arange(numTrees, dtype=np.uint64)) + np.uint64(seed % (1 << 64)))
     group = max(1, 2 * slots_now * held // bag)  # trees at a time: the bags on disk are as many as the cluster's tasks hold
@@ -774,6 +776,7 @@ def fit_forest(df: DataFrame, edges, n_rows: int, label: str, weight: str, featu
             _top_level(chunks, g, tops, seed, rate, held)
         _grown(chunks, g, tops, seed, rate, held).write.mode("append").parquet(path)
         release(spark)
+    drop_dir(spark, store)
     # the trees stay where the executors write them; the driver gets the slots' gains and the size
     schema = StructType.fromDDL(_TREES + ", gains binary")
     grown = spark.read.schema(schema).parquet(path) if numTrees else spark.createDataFrame([], schema)
